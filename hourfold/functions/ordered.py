@@ -1,40 +1,12 @@
-"""Running values per key that never put a whole key into one task.
-
-A window over the key alone would sort a hot key's full history in one task. Both helpers split
-the history by a time bucket: the window runs inside (key, bucket), one summary row per
-(key, bucket) carries the value over from earlier buckets. The carry window holds one row per
-bucket, however many rows the key has.
-"""
+"""The row before, per key, without putting a whole key into one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_BUCKET, _CARRY, _LAST = "__bucket", "__carry", "__last"
-
+from .joins import hour_join
 
-def _carry_over(df: DataFrame, keys: list[str], summary: Column, fold) -> DataFrame:
-    """One row per (key, bucket) with the folded summary of all earlier buckets."""
-    per_bucket = df.groupBy(*keys, _BUCKET).agg(summary.alias(_LAST))
-    earlier = Window.partitionBy(*keys).orderBy(_BUCKET)
-    return per_bucket.select(*keys, _BUCKET, fold(F.col(_LAST), earlier).alias(_CARRY))
-
-
-def running_max(
-    df: DataFrame, keys: list[str], order: str, value: Column, name: str, bucket: Column
-) -> DataFrame:
-    """Largest value up to and including the row, per key in ``order``."""
-    df = df.withColumn(_BUCKET, bucket).withColumn(_LAST, value)
-    carry = _carry_over(
-        df, keys, F.max(_LAST),
-        lambda v, w: F.max(v).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-    )
-    inside = (
-        Window.partitionBy(*keys, _BUCKET).orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    out = df.withColumn(name, F.max(_LAST).over(inside)).join(carry, [*keys, _BUCKET])
-    return out.withColumn(name, F.greatest(name, _CARRY)).drop(_BUCKET, _LAST, _CARRY)
+_BUCKET, _CARRY, _LAST = "__bucket", "__carry", "__last"
 
 
 def previous_value(
@@ -43,15 +15,20 @@ def previous_value(
 ) -> DataFrame:
     """Value of the row before, per key in ``order``, and whether there is no row before.
 
-    ``bucket`` must not decrease along ``order``.
+    A window over the key alone would sort a hot key's whole history in one task. Here the window
+    runs inside (key, bucket), and one row per (key, bucket) hands the last value to the next
+    bucket. ``bucket`` must not decrease along ``order``.
     """
-    df = df.withColumn(_BUCKET, bucket)
-    ranked = [F.col(c).alias(f"k{i}") for i, c in enumerate(order)]
-    ending = F.max(F.struct(*ranked, F.col(value).alias("v")))
-    carry = _carry_over(df, keys, ending, lambda v, w: F.lag(v).over(w))
     inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
     in_bucket = F.lag(F.struct(F.col(value).alias("v"))).over(inside)
-    out = df.withColumn(_LAST, in_bucket).join(carry, [*keys, _BUCKET])
+    rows = df.withColumn(_BUCKET, bucket).withColumn(_LAST, in_bucket)
+    ranked = [F.col(c).alias(f"k{i}") for i, c in enumerate(order)]
+    endings = rows.groupBy(*keys, _BUCKET).agg(
+        F.max(F.struct(*ranked, F.col(value).alias("v"))).alias("ending")
+    )
+    buckets = Window.partitionBy(*keys).orderBy(_BUCKET)
+    carry = endings.select(*keys, _BUCKET, F.lag("ending").over(buckets).alias(_CARRY))
+    out = hour_join(rows, carry, [*keys, _BUCKET], "inner")
     before = F.when(F.col(_LAST).isNotNull(), F.col(f"{_LAST}.v")).otherwise(F.col(f"{_CARRY}.v"))
     first = F.col(_LAST).isNull() & F.col(_CARRY).isNull()
     return out.withColumn(name, before).withColumn(is_first, first).drop(_BUCKET, _LAST, _CARRY)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import RERUN, SUCCESS, UNDECIDED, WAIT, Settings
-from ..functions import clock, ordered, text
+from ..functions import clock, text
+from ..functions.joins import hour_join
 from ..schemas import columns
 
 LAG = columns("lag_status")
@@ -28,24 +29,28 @@ def latest_observation(obs: DataFrame, as_of: Column | dt.datetime | None = None
 def latest_per_hour(
     obs: DataFrame, types: DataFrame, first: Column | dt.datetime, last: Column | dt.datetime
 ) -> DataFrame:
-    """Newest observation at or before every hour in [first, last], per Type.
+    """Newest observation at or before every hour in [first, last], for every listed Type.
 
-    Observations are first reduced to one per (Type, hour that sees them), then carried forward.
+    Observations are first reduced to one row per (Type, hour that sees them); hours without any
+    come from the calendar. So the window that carries them forward holds one row per hour of
+    the calendar for each Type, whatever the number of observations.
     """
+    low, high = clock.as_ntz(first), clock.as_ntz(last)
     floor = clock.hour_floor(F.col("Batch_time"))
     seen = F.when(floor == F.col("Batch_time"), floor).otherwise(clock.plus_hours(floor, 1))
-    low, high = clock.as_ntz(first), clock.as_ntz(last)
-    reduced = (
-        obs.select("Type", F.greatest(seen, low).alias("utc"), "Batch_time", "table_max")
-        .groupBy("Type", "utc").agg(F.max(F.struct("Batch_time", "table_max")).alias("o"))
+    readings = obs.join(types.select("Type").distinct(), "Type", "left_semi").select(
+        "Type", F.greatest(seen, low).alias("utc"), F.struct("Batch_time", "table_max").alias("o")
     )
     hours = types.select("Type").distinct().select(
-        "Type", F.explode(F.sequence(low, high, F.expr("interval 1 hour"))).alias("utc")
+        "Type", F.explode(F.sequence(low, high, F.expr("interval 1 hour"))).alias("utc"),
+        F.lit(None).alias("o"),
     )
-    grid = hours.join(reduced, ["Type", "utc"], "left")
-    filled = ordered.running_max(
-        grid, ["Type"], "utc", F.col("o"), "newest", F.col("utc").cast("date")
+    per_hour = readings.unionByName(hours).groupBy("Type", "utc").agg(F.max("o").alias("o"))
+    so_far = (
+        Window.partitionBy("Type").orderBy("utc")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    filled = per_hour.filter(F.col("utc") <= high).withColumn("newest", F.max("o").over(so_far))
     return filled.select("Type", "utc", "newest.Batch_time", "newest.table_max")
 
 
@@ -70,23 +75,16 @@ def lag_status(
     Only target Types are judged: Success once the reading reached the threshold, Wait before,
     undecided without a reading or a timezone. All others are Success at once.
     """
-    low, high = clock.as_ntz(first), clock.as_ntz(last)
     targets = target_types.select("Type", F.lit(True).alias("is_target")).distinct()
     zones = type_timezone.select("Type", "Timezone").distinct()
-    readings = latest_per_hour(obs.join(targets, "Type", "left_semi"), targets, low, high)
-    # A Type without any reading has no threshold either.
-    judged = (
-        readings.filter(F.col("Batch_time").isNotNull()).join(zones, "Type", "left")
-        .select(
-            "Type", "utc", "table_max",
-            clock.run_threshold(F.col("utc"), F.col("Timezone"), settings.slack_minutes)
-            .alias("threshold"),
-        )
-    )
-    hours = structure.join(targets, "Type", "left").select(
-        "*", F.explode(F.sequence(low, high, F.expr("interval 1 hour"))).alias("utc")
+    readings = latest_per_hour(
+        obs.join(targets, "Type", "left_semi"), structure.select("Type"), first, last
     )
-    rows = hours.join(judged, ["Type", "utc"], "left")
+    listed = structure.join(targets, "Type", "left").join(zones, "Type", "left")
+    due = clock.run_threshold(F.col("utc"), F.col("Timezone"), settings.slack_minutes)
+    # A Type that was never observed has no threshold either.
+    judged = F.col("is_target") & F.col("Batch_time").isNotNull()
+    rows = readings.join(listed, "Type").withColumn("threshold", F.when(judged, due))
     reached = F.col("table_max") >= F.col("threshold")
     status = (
         F.when(F.col("is_target").isNull(), SUCCESS)
@@ -113,7 +111,7 @@ def recheck_lag(lag: DataFrame, obs: DataFrame) -> DataFrame:
         .select("Type", "Run_threshold").distinct().join(newest, "Type", "left")
         .withColumn("looked_at", F.lit(True))
     )
-    joined = lag.join(waiting, ["Type", "Run_threshold"], "left")
+    joined = hour_join(lag, waiting, ["Type", "Run_threshold"], "left")
     reading = F.when(F.col("looked_at"), F.col("reading")).otherwise(F.col("Table_max"))
     caught_up = text.status_is(F.col("Status"), WAIT) & (reading >= F.col("Run_threshold"))
     return joined.select(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import EMPTY, FAIL, LEDGER_KEYS, RUNNING, SUCCESS
 from ..functions import clock, text
+from ..functions.joins import hour_join
 from ..schemas import columns
 from .routing import expected_destinations
 
@@ -40,7 +41,7 @@ def not_ready(lag_status: DataFrame) -> DataFrame:
 
 def runnable(manifest: DataFrame, held: DataFrame) -> DataFrame:
     """Manifest rows that may be read: not held back and with a known window."""
-    free = manifest.join(held, ["LinkServerName", "Type", "DatePlayed"], "left_anti")
+    free = hour_join(manifest, held, ["LinkServerName", "Type", "DatePlayed"], "left_anti")
     return free.filter(F.col("start_t").isNotNull()).select(*manifest.columns)
 
 
@@ -68,9 +69,8 @@ def batch_outcome(
     )
     due = manifest.select("LinkServerName", "Type", "DatePlayed").distinct()
     due = expected_destinations(due, server_lookup)
-    joined = due.join(bad, ["LinkServerName", "Type", "DatePlayed"], "left").join(
-        arrived, ["LinkServerName", "Type", "DatePlayed", "Destination"], "left"
-    )
+    hour = ["LinkServerName", "Type", "DatePlayed"]
+    joined = hour_join(hour_join(due, bad, hour, "left"), arrived, [*hour, "Destination"], "left")
     status = F.when(F.col("bad"), FAIL).when(F.col("arrived"), SUCCESS).otherwise(EMPTY)
     return _ledger_rows(
         joined.withColumn("UpDateTime", F.col("DatePlayed")), status, F.lit(seconds)
@@ -92,7 +92,7 @@ def apply_status(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     for_all = updates.filter(F.col("Destination").isNull()).groupBy(*wide).agg(
         F.max(new).alias("for_all")
     )
-    joined = ledger.join(exact, LEDGER_KEYS, "left").join(for_all, wide, "left")
+    joined = hour_join(hour_join(ledger, for_all, wide, "left"), exact, LEDGER_KEYS, "left")
     old = F.struct("Status", "Exe_Time_sec")
     merged = joined.withColumn("now", F.coalesce("exact", "for_all", old))
     return merged.select(

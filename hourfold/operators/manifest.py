@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import SOURCE_KEYS, Settings
+from ..constants import OUTPUT_UTC_OFFSET_HOURS, SOURCE_KEYS, Settings
 from ..functions import clock
 
 MANIFEST_COLUMNS = [
@@ -56,34 +56,48 @@ def _windows(df: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def schedule(
+def spans(
     sources: DataFrame,
     type_timezone: DataFrame,
     first_batch: Column | dt.datetime,
     last_batch: Column | dt.datetime,
-    settings: Settings = Settings(),
 ) -> DataFrame:
-    """Manifest of every source for every batch hour in [first, last].
+    """Every source with its timezone and the batch hours [low, high] it serves within [first, last].
 
-    A month database only yields the hours whose window starts in its month, so each source is
-    expanded over its own hours and nothing is filtered afterwards. A Type without a timezone
-    keeps its hours with an empty window; its month is then taken on the output clock.
+    A month database serves only the hours whose window starts in its month. A Type without a
+    timezone keeps its hours, with the month taken on the output clock.
     """
     zoned = _with_timezone(sources, type_timezone).select(
         "*", clock.as_ntz(first_batch).alias("first"), clock.as_ntz(last_batch).alias("last")
     )
     # The window of batch b starts at b + timezone - 1h.
-    back = 1 - F.coalesce(F.col("Timezone"), F.lit(8))
+    back = 1 - F.coalesce(F.col("Timezone"), F.lit(OUTPUT_UTC_OFFSET_HOURS))
     opens = clock.month_first(F.col("MonthDB"))
     month_low = clock.plus_hours(opens, back)
     month_high = clock.plus_hours(F.timestamp_add("MONTH", F.lit(1), opens), back - 1)
-    low = F.when(F.col("MonthDB").isNull(), F.col("first")).otherwise(F.greatest("first", month_low))
-    high = F.when(F.col("MonthDB").isNull(), F.col("last")).otherwise(F.least("last", month_high))
-    hours = (
-        zoned.withColumn("low", low).withColumn("high", high).filter(F.col("low") <= F.col("high"))
-        .withColumn("batch_utc", F.explode(F.sequence("low", "high", F.expr("interval 1 hour"))))
-    )
-    return _windows(hours, settings)
+    whole = F.col("MonthDB").isNull()
+    return zoned.select(
+        *SOURCE_KEYS, "Timezone",
+        F.when(whole, F.col("first")).otherwise(F.greatest("first", month_low)).alias("low"),
+        F.when(whole, F.col("last")).otherwise(F.least("last", month_high)).alias("high"),
+    ).filter(F.col("low") <= F.col("high"))
+
+
+def expand(source_spans: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One manifest row per source and batch hour it serves."""
+    each_hour = F.explode(F.sequence("low", "high", F.expr("interval 1 hour")))
+    return _windows(source_spans.withColumn("batch_utc", each_hour), settings)
+
+
+def schedule(
+    sources: DataFrame,
+    type_timezone: DataFrame,
+    first_batch: Column | dt.datetime,
+    last_batch: Column | dt.datetime,
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """Manifest of every source for every batch hour in [first, last]."""
+    return expand(spans(sources, type_timezone, first_batch, last_batch), settings)
 
 
 def schedule_for(
@@ -92,7 +106,8 @@ def schedule_for(
     """Manifest of scattered (LinkServerName, Type, batch_utc) pairs, as a redo needs."""
     pairs = wanted.select("LinkServerName", "Type", "batch_utc").distinct()
     zoned = _with_timezone(sources, type_timezone).join(pairs, ["LinkServerName", "Type"])
-    starts = clock.plus_hours(F.col("batch_utc"), F.coalesce(F.col("Timezone"), F.lit(8)) - 1)
+    zone = F.coalesce(F.col("Timezone"), F.lit(OUTPUT_UTC_OFFSET_HOURS))
+    starts = clock.window_start(F.col("batch_utc"), zone)
     in_month = F.col("MonthDB").isNull() | (F.col("MonthDB") == clock.month_code(starts))
     return _windows(zoned.filter(in_month), settings)
 

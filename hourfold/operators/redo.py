@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..constants import EMPTY, FAIL, LEDGER_KEYS, RERUN, SUCCESS, Settings
 from ..functions import clock, text
+from ..functions.joins import hour_join
 from . import ledger, manifest, rollup, routing
 
 
@@ -20,7 +21,8 @@ def redo_candidates(status: DataFrame, server_lookup: DataFrame, lag: DataFrame)
     names = server_lookup.select("Server", "LinkServerName").distinct()
     due = cleared.join(names, "LinkServerName").select("Server", "Type", "UpDateTime").distinct()
     failed = status.filter(text.status_is(F.col("Status"), FAIL))
-    return failed.join(due, ["Server", "Type", "UpDateTime"], "left_semi").select(*status.columns)
+    hits = hour_join(failed, due, ["Server", "Type", "UpDateTime"], "left_semi")
+    return hits.select(*status.columns)
 
 
 def redo_manifest(
@@ -54,23 +56,21 @@ def redo_rollup(
     every destination.
     """
     routed = routing.route(
-        rollup.hourly_rollup(wagers, work, games, settings), site_group, server_lookup
+        rollup.rollup_of_windows(wagers, work, games, settings), site_group, server_lookup
     )
     if all_destinations:
         return routed
     keys = candidates.select(
         "Server", "Type", "Destination", F.col("UpDateTime").alias("DatePlayed")
     ).distinct()
-    return routed.join(
-        keys, ["Server", "Type", "Destination", "DatePlayed"], "left_semi"
-    ).select(*routed.columns)
+    asked = hour_join(routed, keys, ["Server", "Type", "Destination", "DatePlayed"], "left_semi")
+    return asked.select(*routed.columns)
 
 
 def redo_outcome(candidates: DataFrame, outcome: DataFrame) -> DataFrame:
     """Ledger rows of the redo, limited to what was asked for."""
-    return outcome.join(candidates.select(*LEDGER_KEYS).distinct(), LEDGER_KEYS, "left_semi").select(
-        *ledger.LEDGER
-    )
+    asked = candidates.select(*LEDGER_KEYS).distinct()
+    return hour_join(outcome, asked, LEDGER_KEYS, "left_semi").select(*ledger.LEDGER)
 
 
 def close_redo(
@@ -86,7 +86,7 @@ def close_redo(
     ).agg(F.min(F.col("Status").isin(SUCCESS, EMPTY)).alias("ended_well"))
     closed = per_hour if close_failed else per_hour.filter("ended_well")
     closed = closed.select("LinkServerName", "Type", "DatePlayed", F.lit(SUCCESS).alias("closed"))
-    return lag.join(closed, ["LinkServerName", "Type", "DatePlayed"], "left").select(
+    return hour_join(lag, closed, ["LinkServerName", "Type", "DatePlayed"], "left").select(
         "DatePlayed", "LinkServerName", "Type", "Category",
         F.coalesce("closed", "Status").alias("Status"), "Table_max", "Run_threshold",
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import ROLLUP_COLUMNS, SOURCE_KEYS, Settings
 from ..functions import clock, text
+from ..functions.joins import hour_join
 
 _SUM, _HOUR = "bet_sum", "start_t"
 
@@ -54,23 +55,51 @@ def in_game_list(rows: DataFrame, games: DataFrame, settings: Settings = Setting
 
 
 def hourly_rollup(
-    wagers: DataFrame, manifest: DataFrame, games: DataFrame, settings: Settings = Settings()
+    wagers: DataFrame, source_spans: DataFrame, games: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """Rollup rows of all manifest windows, with the source they came from.
+    """Rollup rows of all batch hours the spans cover, with the source they came from.
 
-    Windows are whole hours, so a window is matched by its start: an equi-join, not a range join.
+    Windows are whole hours, so a row's hour and its source's timezone give its batch: the join
+    needs the sources only, not sources times hours.
     """
+    start = F.col("r.start_t")
+    named_by = start if settings.month_of == "start" else clock.plus_hours(start, 1)
+    monthly = F.col("r.MonthDB").isNotNull()
+    served = F.when(monthly, clock.month_code(start)).eqNullSafe(F.col("s.MonthDB"))
+    for key in ("LinkServerName", "DBName", "TableName", "Type"):
+        served = served & (F.col(f"r.{key}") == F.col(f"s.{key}"))
+    rows = source_hours(wagers, settings).alias("r")
+    zoned = source_spans.filter(F.col("Timezone").isNotNull()).alias("s")
+    batch = clock.plus_hours(start, 1 - F.col("s.Timezone"))
+    placed = (
+        rows.join(zoned, served)
+        .filter(batch.between(F.col("s.low"), F.col("s.high")))
+        .filter(~monthly | (F.col("r.MonthDB") == clock.month_code(named_by)))
+        .select(clock.utc_to_output(batch).alias("DatePlayed"), "r.*").drop(_HOUR)
+    )
+    return in_game_list(placed, games, settings)
+
+
+def rollup_of_windows(
+    wagers: DataFrame, manifest: DataFrame, games: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """Rollup rows of listed windows, as a redo has them: matched by source and window start."""
     windows = manifest.filter(F.col("start_t").isNotNull()).select(
         "LinkServerName", "DBName", "TableName", "Type", "start_t", "DatePlayed",
         F.col("read_month").alias("MonthDB"),
     ).distinct()
-    rows = source_hours(wagers, settings).alias("r")
-    w = windows.alias("w")
     same = F.col("r.MonthDB").eqNullSafe(F.col("w.MonthDB"))
     for key in ("LinkServerName", "DBName", "TableName", "Type", "start_t"):
         same = same & (F.col(f"r.{key}") == F.col(f"w.{key}"))
-    placed = rows.join(w, same).select("w.DatePlayed", "r.*").drop(_HOUR)
-    return in_game_list(placed, games, settings)
+    rows = source_hours(wagers, settings).alias("r")
+    placed = hour_join(rows, windows.alias("w"), same, "inner")
+    return in_game_list(placed.select("w.DatePlayed", "r.*").drop(_HOUR), games, settings)
+
+
+def without_held(rollup: DataFrame, held: DataFrame) -> DataFrame:
+    """Rollup rows of Types that are not held back in their hour."""
+    free = hour_join(rollup, held, ["LinkServerName", "Type", "DatePlayed"], "left_anti")
+    return free.select(*rollup.columns)
 
 
 def report_rows(rollup: DataFrame) -> DataFrame:

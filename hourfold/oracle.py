@@ -19,7 +19,7 @@ def _values(rows, columns: str) -> str:
 
 _place = {p[0]: p for p in ev.PLACES}
 _TYPE = "CASE event_type WHEN 'click' THEN 22 WHEN 'view' THEN 23 WHEN 'purchase' THEN 97 WHEN 'signup' THEN 98 ELSE 39 END"
-_MONEY = "DOUBLE"
+_MONEY = "DECIMAL(28,2)"
 _SOURCE = "LinkServerName, DBName, MonthDB, TableName, Type"
 
 CTES: dict[str, str] = {
@@ -249,7 +249,11 @@ CTES |= {
         UNION ALL SELECT 'owner', Email FROM people WHERE Department = 'DS' AND name = 'Customer#000000007'""",
 }
 
-_REPORT = "DatePlayed, GameAccount, SiteId, GameTypeSourceId, Commissionable, WagersCount, PayOff, WinsCount"
+_DOUBLE = "CAST({0} AS DOUBLE) AS {0}"
+_REPORT = (
+    "DatePlayed, GameAccount, SiteId, GameTypeSourceId, WagersCount, WinsCount, "
+    + _DOUBLE.format("Commissionable") + ", " + _DOUBLE.format("PayOff")
+)
 _AT = f"TIMESTAMP '{ev.AFTER}'"
 _BIG_AT = f"TIMESTAMP '{od.CURRENT}'"
 
@@ -286,9 +290,9 @@ FINAL: dict[str, str] = {
     "q_rollup_lineitem": f"""
         SELECT strftime(l_shipdate, '%y%m') AS m, lower(c_name) AS GameAccount, c_nationkey AS SiteId,
                p_size AS GameTypeSourceId,
-               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS {_MONEY}) AS Commissionable,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS Commissionable,
                count(*) AS WagersCount,
-               CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END * CAST(l_extendedprice AS DECIMAL(18,2))) AS {_MONEY}) AS PayOff,
+               CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END * CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS PayOff,
                CAST(sum(CASE WHEN l_returnflag = 'R' AND CAST(l_extendedprice AS DECIMAL(18,2)) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS WinsCount
         FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
         JOIN customer ON c_custkey = o_custkey
@@ -296,13 +300,13 @@ FINAL: dict[str, str] = {
         HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) > 0""",
     "q_route_sites": f"""
         SELECT Destination, DatePlayed, Type, count(*) AS n,
-               CAST(sum(Commissionable) AS {_MONEY}) AS Commissionable
+               CAST(sum(Commissionable) AS DOUBLE) AS Commissionable
         FROM routed GROUP BY Destination, DatePlayed, Type""",
     "q_site_filter": f"""
         SELECT {_REPORT} FROM rollup
         WHERE SiteId NOT IN (SELECT Siteid FROM sites WHERE SiteType IN ('Noah1', 'Noah2'))""",
     "q_write_readback": f"""
-        SELECT Destination, count(*) AS n, CAST(sum(Commissionable) AS {_MONEY}) AS Commissionable
+        SELECT Destination, count(*) AS n, CAST(sum(Commissionable) AS DOUBLE) AS Commissionable
         FROM routed GROUP BY Destination""",
     "q_start_status": """
         SELECT v.Server, m.Type, d.Destination, 'Running' AS Status, m.DatePlayed AS UpDateTime
@@ -377,9 +381,9 @@ FINAL: dict[str, str] = {
     "q_undecided_hours": "SELECT Type, count(*) AS n_undecided FROM lag_rows WHERE Status = 'TBD' GROUP BY Type",
     "q_redo_candidates": "SELECT * FROM candidates",
     "q_redo_rollup": f"""
-        SELECT {', '.join('r.' + c for c in _REPORT.split(', '))}, r.Destination FROM redo_routed r
-        JOIN candidates c ON c.Server = r.Server AND c.Type = r.Type AND c.Destination = r.Destination
-          AND c.UpDateTime = r.DatePlayed""",
+        SELECT {_REPORT}, Destination FROM redo_routed r WHERE EXISTS (
+          SELECT 1 FROM candidates c WHERE c.Server = r.Server AND c.Type = r.Type
+            AND c.Destination = r.Destination AND c.UpDateTime = r.DatePlayed)""",
     "q_close_redo": """
         SELECT l.DatePlayed, l.LinkServerName, l.Type, l.Category,
                CASE WHEN c.Type IS NOT NULL THEN 'Success' ELSE l.Status END AS Status,

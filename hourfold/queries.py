@@ -13,7 +13,7 @@ from .operators import (
 )
 from .sinks import files
 from .sources import tables
-from .testbed import from_events as ev, from_orders as od
+from .testbed import from_events as ev, from_orders as od, given
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,15 +32,19 @@ def _money(df: DataFrame) -> DataFrame:
 
 # Chains shared by several queries.
 
-def _manifest(spark: SparkSession, d: str) -> DataFrame:
+def _spans(spark: SparkSession, d: str) -> DataFrame:
     first, last = ev.hour_range(spark, d)
     sources = manifest.list_sources(ev.source_lookup(spark))
-    return manifest.schedule(sources, ev.type_timezone(spark), first, last)
+    return manifest.spans(sources, ev.type_timezone(spark), first, last)
+
+
+def _manifest(spark: SparkSession, d: str) -> DataFrame:
+    return manifest.expand(_spans(spark, d))
 
 
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
     games = manifest.game_list(ev.source_lookup(spark))
-    return rollup.hourly_rollup(ev.wagers(spark, d), _manifest(spark, d), games)
+    return rollup.hourly_rollup(ev.wagers(spark, d), _spans(spark, d), games)
 
 
 def _routed(spark: SparkSession, d: str) -> DataFrame:
@@ -98,11 +102,8 @@ def q_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_manifest_as_is(spark: SparkSession, d: str) -> DataFrame:
-    first, last = ev.hour_range(spark, d)
     settings = Settings(month_of="end")
-    rows = manifest.schedule(
-        manifest.list_sources(ev.source_lookup(spark)), ev.type_timezone(spark), first, last, settings
-    )
+    rows = manifest.expand(_spans(spark, d), settings)
     return rows.select("batch_utc", "Type", manifest.physical_name(settings).alias("source"))
 
 
@@ -148,9 +149,8 @@ def q_resolve_duplicate_mappings(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_exclude_unreadable_sources(spark: SparkSession, d: str) -> DataFrame:
     lookup = od.source_lookup(spark, d)
-    supplier = spark.read.parquet(f"{d}/supplier.parquet")
     return tables.exclude_unreadable(
-        manifest.list_sources(lookup), od.unreadable_sources(lookup, supplier)
+        manifest.list_sources(lookup), od.unreadable_sources(lookup, given(spark, d, "supplier"))
     )
 
 
@@ -166,7 +166,7 @@ def q_hourly_rollup_game_filter(spark: SparkSession, d: str) -> DataFrame:
     shared = F.col("DBName") == Settings().shared_db
     lookup = ev.source_lookup(spark)
     rows = rollup.hourly_rollup(
-        ev.wagers(spark, d).filter(shared), _manifest(spark, d).filter("is_shared_db"),
+        ev.wagers(spark, d).filter(shared), _spans(spark, d).filter(shared),
         manifest.game_list(lookup),
     )
     return _money(rollup.report_rows(rows))
@@ -217,11 +217,9 @@ def q_start_status(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_batch_outcome(spark: SparkSession, d: str) -> DataFrame:
-    servers, games = ev.server_lookup(spark), manifest.game_list(ev.source_lookup(spark))
-    work = _manifest(spark, d)
-    held = ledger.not_ready(ev.lag_hours(spark, d))
-    rows = rollup.hourly_rollup(ev.wagers(spark, d), ledger.runnable(work, held), games)
-    routed = routing.route(rows, ev.site_group(spark), servers)
+    servers, held = ev.server_lookup(spark), ledger.not_ready(ev.lag_hours(spark, d))
+    ready = rollup.without_held(_rollup(spark, d), held)
+    routed, work = routing.route(ready, ev.site_group(spark), servers), _manifest(spark, d)
     outcome = ledger.batch_outcome(work, routed, held, servers)
     return outcome.select("Server", "Type", "Destination", "UpDateTime", "Status")
 

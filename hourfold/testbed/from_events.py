@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import clock, ordered
+from ..functions import clock
 from ..operators import lag, routing
-from . import fixed_rows
+from . import fixed_rows, given
 
 # Where each Type lives: Type, event type, server, database, has month databases, table.
 PLACES = [
@@ -36,32 +36,37 @@ AFTER_UTC, AFTER = "2024-01-31 00:00:00", "2024-01-31 08:00:00"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return given(spark, sf_dir, "events")
 
 
-def _of_event(position: int) -> Column:
-    """A column of PLACES looked up by event type; unknown events live with the last row."""
-    out = F.lit(PLACES[-1][position])
-    for row in PLACES[:-1]:
-        out = F.when(F.col("event_type") == row[1], F.lit(row[position])).otherwise(out)
-    return out
+def _of_event(position: int) -> str:
+    """SQL for a column of PLACES looked up by event type; unknown events live with the last row."""
+    def literal(value: object) -> str:
+        return f"'{value}'" if isinstance(value, str) else str(value)
+
+    cases = " ".join(f"WHEN '{row[1]}' THEN {literal(row[position])}" for row in PLACES[:-1])
+    return f"CASE event_type {cases} ELSE {literal(PLACES[-1][position])} END"
 
 
 def wagers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as wagers: mixed-case accounts, NULL and zero bets, NULL and negative payoffs."""
-    eid, value = F.col("event_id"), F.col("value").cast("decimal(18,2)")
-    kind = _of_event(0)
-    bet = F.when(eid % 10 == 0, None).when(eid % 10 == 1, F.lit(0)).otherwise(value)
-    payoff = F.when(eid % 7 == 0, None).when(eid % 3 == 0, value).otherwise(-value)
-    return events(spark, sf_dir).select(
-        _of_event(2).alias("LinkServerName"), _of_event(3).alias("DBName"),
-        F.when(_of_event(4), clock.month_code(F.col("ts"))).alias("MonthDB"),
-        _of_event(5).alias("TableName"), kind.alias("Type"), F.col("ts").alias("wagerstime"),
-        F.concat(F.when(eid % 2 == 0, "User").otherwise("USER"), F.col("user_id").cast("string"))
-        .alias("GameAccount"),
-        (F.col("user_id") % 8).cast("int").alias("SiteId"),
-        (kind * 10 + eid % 4).cast("int").alias("GameTypeSourceId"),
-        bet.cast("decimal(18,2)").alias("betamount"), payoff.cast("decimal(18,2)").alias("PayOff"),
+    placed = events(spark, sf_dir).selectExpr(
+        "event_id AS eid", "user_id", "ts", "CAST(value AS decimal(18,2)) AS amount",
+        *[f"{_of_event(i)} AS {name}" for i, name in enumerate(
+            ["Type", "event_type", "LinkServerName", "DBName", "monthly", "TableName"])],
+    )
+    return placed.selectExpr(
+        "LinkServerName", "DBName",
+        "IF(monthly, lpad(CAST((year(ts) * 100 + month(ts)) % 10000 AS string), 4, '0'), NULL) "
+        "AS MonthDB",
+        "TableName", "Type", "ts AS wagerstime",
+        "concat(IF(eid % 2 = 0, 'User', 'USER'), CAST(user_id AS string)) AS GameAccount",
+        "CAST(user_id % 8 AS int) AS SiteId",
+        "CAST(Type * 10 + eid % 4 AS int) AS GameTypeSourceId",
+        "CAST(CASE eid % 10 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE amount END AS decimal(18,2)) "
+        "AS betamount",
+        "CAST(CASE WHEN eid % 7 = 0 THEN NULL WHEN eid % 3 = 0 THEN amount ELSE -amount END "
+        "AS decimal(18,2)) AS PayOff",
     )
 
 
@@ -118,22 +123,24 @@ def observations(spark: SparkSession, sf_dir: str, both_paths: bool = False) ->
 
     ``both_paths`` repeats the readings of server 10 with Type 22 on server 20.
     """
-    fact = events(spark, sf_dir).select(
-        _of_event(0).alias("Type"), "ts", clock.hour_floor(F.col("ts")).alias("h")
+    wagered = events(spark, sf_dir).select(
+        F.expr(_of_event(0)).alias("Type"), clock.hour_floor(F.col("ts")).alias("h"), "ts"
     )
-    per_hour = fact.groupBy("Type", "h").agg(F.max("ts").alias("newest"))
     first, last = hour_range(spark, sf_dir)
-    types = fixed_rows(spark, [(p[0], s, dict(ZONES).get(p[0], 0)) for p in PLACES for s, link, _ in SERVERS if link == p[2]],
-        "Type int, Server string, zone int",
-    )
-    grid = types.select("*", first.alias("first"), last.alias("last")).select(
-        "Type", "Server", "zone",
-        F.explode(F.sequence("first", "last", F.expr("interval 1 hour"))).alias("h"),
+    places = fixed_rows(spark, [
+        (p[0], s, dict(ZONES).get(p[0], 0)) for p in PLACES for s, link, _ in SERVERS if link == p[2]
+    ], "Type int, Server string, zone int")
+    calendar = places.select("Type", first.alias("first"), last.alias("last")).select(
+        "Type", F.explode(F.sequence("first", "last", F.expr("interval 1 hour"))).alias("h"),
+        F.lit(None).cast("timestamp_ntz").alias("ts"),
     )
-    running = ordered.running_max(
-        grid.join(per_hour, ["Type", "h"], "left"), ["Type"], "h", F.col("newest"), "so_far",
-        F.col("h").cast("date"),
+    per_hour = wagered.unionByName(calendar).groupBy("Type", "h").agg(F.max("ts").alias("newest"))
+    # One row per hour of the calendar for each Type.
+    so_far = (
+        Window.partitionBy("Type").orderBy("h")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    running = per_hour.withColumn("so_far", F.max("newest").over(so_far)).join(places, "Type")
     utc0 = clock.plus_hours(F.col("h"), 1)
     reading = clock.plus_hours(F.col("so_far"), F.col("zone"))
     if both_paths:

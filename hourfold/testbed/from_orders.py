@@ -9,19 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clock
+from . import given
 
 CURRENT = "1998-06-15 08:00:00"
 SERVER = "S3"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations 0-4 keep one shared database, 5-9 a legacy one, the others a database per month."""
-    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lines = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
+    supplier = given(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    lines = given(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
     nation = F.col("s_nationkey")
     placed = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.concat(F.lit("S"), (nation % 5).cast("string")).alias("LinkServerName"),
@@ -37,7 +34,7 @@ def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def game_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four nations stand for the excluded halls; categories repeat and some are missing."""
-    supplier, nation = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "nation")
+    supplier, nation = given(spark, sf_dir, "supplier"), given(spark, sf_dir, "nation")
     halls = {1: "SE", 2: "3Sing", 3: "TGP2", 4: "PS2"}
     hall = F.col("n_name")
     for key, name in halls.items():
@@ -51,7 +48,7 @@ def game_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def type_timezone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers in the red have no stored timezone."""
-    supplier = _table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
+    supplier = given(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
     return supplier.select(
         F.col("s_suppkey").cast("int").alias("Type"),
         (F.col("s_nationkey") - 12).cast("int").alias("Timezone"),
@@ -60,7 +57,7 @@ def type_timezone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_data_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared timezones; suppliers of region 0 declare two."""
-    supplier, nation = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "nation")
+    supplier, nation = given(spark, sf_dir, "supplier"), given(spark, sf_dir, "nation")
     zone = (F.col("s_nationkey") - 12).cast("int")
     zones = F.when(F.col("n_regionkey") == 0, F.array(zone, zone + 1)).otherwise(F.array(zone))
     return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
@@ -76,7 +73,7 @@ def unreadable_sources(lookup: DataFrame, supplier: DataFrame) -> DataFrame:
 
 
 def alert_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _table(spark, sf_dir, "customer")
+    customer = given(spark, sf_dir, "customer")
     return customer.select(
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("Email"),
         F.when(F.col("c_mktsegment") == "BUILDING", "DS").otherwise("DBA").alias("Department"),
@@ -88,12 +85,12 @@ def alert_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_wagers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as wagers of customers on part sizes, by ship month."""
-    line = _table(spark, sf_dir, "lineitem").select(
+    line = given(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag", "l_shipdate"
     )
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    buyer = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(
+    part = given(spark, sf_dir, "part").select("p_partkey", "p_size")
+    customer = given(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    buyer = given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(
         customer, F.col("o_custkey") == F.col("c_custkey")
     )
     price = F.col("l_extendedprice").cast("decimal(18,2)")

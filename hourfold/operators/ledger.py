@@ -101,6 +101,12 @@ def apply_status(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
+def put_rows(ledger: DataFrame, rows: DataFrame) -> DataFrame:
+    """Ledger with ``rows`` added in place of rows of the same key, so that a re-run adds nothing."""
+    kept = hour_join(ledger, rows.select(*LEDGER_KEYS).distinct(), LEDGER_KEYS, "left_anti")
+    return kept.select(*LEDGER).unionByName(rows.select(*LEDGER))
+
+
 def mark_running(ledger: DataFrame, keys: DataFrame) -> DataFrame:
     """Set the listed rows to Running and clear their time."""
     updates = keys.select(*LEDGER_KEYS).distinct().withColumn("Status", F.lit(RUNNING))

@@ -10,10 +10,11 @@ import datetime as dt
 import time
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import FAIL, LEDGER_KEYS, Settings
+from ..constants import FAIL, LEDGER_KEYS, OUTPUT_UTC_OFFSET_HOURS, Settings
 from ..functions import clock
 from ..operators import alerts, gates, ledger, manifest, redo, rollup, routing
 from ..sinks import files
@@ -37,10 +38,6 @@ class Inputs:
     batch_status: DataFrame
     settings: Settings = field(default_factory=Settings)
 
-    @property
-    def listed(self) -> DataFrame:
-        return tables.drop_excluded(self.lookup, self.excluded, self.settings)
-
 
 @dataclass
 class Result:
@@ -59,20 +56,32 @@ def _one_hour(inputs: Inputs, current: dt.datetime) -> DataFrame:
 
 
 def closed_gate(inputs: Inputs, current: dt.datetime) -> tuple[str, DataFrame] | None:
-    """The first gate that does not let the hour through, with its alert rows."""
+    """The first gate that lets no server through, with its alert rows."""
     hour = _one_hour(inputs, current)
     fresh = gates.gate_lookup_fresh(hour, inputs.lookup_updates)
     if not fresh.first()["ready"]:
         return "lookup", alerts.gate_alerts(fresh, "Lookup update")
-    twice = gates.ambiguous_mappings(inputs.lookup, current)
-    if not twice.isEmpty():
-        return "mapping", alerts.mapping_alerts(twice, current)
     lag_gate = gates.gate_lag_done(hour, inputs.lag_runs)
     if not lag_gate.first()["ready"]:
         return "lag", alerts.gate_alerts(lag_gate, "Lag check")
     return None
 
 
+def ambiguous_servers(inputs: Inputs, current: dt.datetime) -> DataFrame | None:
+    """Ambiguous sources where there are any; they stop their own server only."""
+    twice = gates.ambiguous_mappings(inputs.lookup, current)
+    return None if twice.isEmpty() else twice
+
+
+def listed_games(inputs: Inputs, twice: DataFrame | None) -> DataFrame:
+    """Lookup rows to work on: without excluded games and without stopped servers."""
+    listed = tables.drop_excluded(inputs.lookup, inputs.excluded, inputs.settings)
+    if twice is None:
+        return listed
+    stopped = twice.select("LinkServerName").distinct()
+    return listed.join(stopped, "LinkServerName", "left_anti").select(*listed.columns)
+
+
 def healed_timezones(inputs: Inputs, current: dt.datetime) -> DataFrame:
     """Stored timezones plus those that the sources of missing Types declare."""
     missing = gates.missing_timezones(inputs.lookup, inputs.type_timezone)
@@ -94,7 +103,7 @@ def _write_and_judge(
     spark, began = work.sparkSession, time.monotonic()
     try:
         files.write_rollup(routed, due, path)
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         failed = work.select("LinkServerName", "Type", "DatePlayed")
         return ledger.batch_outcome(
             work, routed.limit(0), held, inputs.server_lookup, failed, time.monotonic() - began
@@ -107,16 +116,17 @@ def _write_and_judge(
 
 def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result:
     """Gates, manifest, rollup, routing, write and ledger of one batch hour."""
-    current = batch_utc + dt.timedelta(hours=8)
+    current = batch_utc + dt.timedelta(hours=OUTPUT_UTC_OFFSET_HOURS)
     closed = closed_gate(inputs, current)
     if closed is not None:
         fails = ledger.clone_last_as_fail(inputs.batch_status, current)
         return Result(
-            inputs.batch_status.unionByName(fails), inputs.type_timezone, inputs.lag_status,
+            ledger.put_rows(inputs.batch_status, fails), inputs.type_timezone, inputs.lag_status,
             closed[0], closed[1],
         )
+    twice = ambiguous_servers(inputs, current)
+    listed = listed_games(inputs, twice)
     zones = healed_timezones(inputs, current)
-    listed = inputs.listed
     source_spans = manifest.spans(manifest.list_sources(listed), zones, batch_utc, batch_utc)
     work = manifest.expand(source_spans, inputs.settings)
     due = routing.expected_destinations(work, inputs.server_lookup)
@@ -131,26 +141,45 @@ def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result
     )
     outcome = _write_and_judge(inputs, work, routed, due, held, rollup_path)
     started = ledger.start_status(work, inputs.server_lookup).distinct()
-    status = inputs.batch_status.unionByName(ledger.apply_status(started, outcome))
-    return Result(status, zones, inputs.lag_status)
+    status = ledger.put_rows(inputs.batch_status, ledger.apply_status(started, outcome))
+    if twice is None:
+        return Result(status, zones, inputs.lag_status)
+    names = inputs.server_lookup.join(twice, "LinkServerName", "left_semi").select("Server")
+    stopped = inputs.batch_status.join(names.distinct(), "Server", "left_semi")
+    status = ledger.put_rows(
+        status, ledger.clone_last_as_fail(stopped.select(*ledger.LEDGER), current)
+    )
+    return Result(
+        status, zones, inputs.lag_status, "mapping", alerts.mapping_alerts(twice, current)
+    )
 
 
 def run_redo(
-    inputs: Inputs, rollup_path: str, all_destinations: bool = False, close_failed: bool = False
+    inputs: Inputs,
+    batch_utc: dt.datetime,
+    rollup_path: str,
+    all_destinations: bool = False,
+    close_failed: bool = False,
 ) -> Result:
     """Every failed hour that the lag check has cleared, in one job.
 
     Held rows are those of the redone hour, not of the present one. A gate that is closed for the
-    present hour stops the redo quietly; callers test ``closed_gate`` first.
+    present hour stops the redo without a trace in the ledger.
     """
     servers, settings = inputs.server_lookup, inputs.settings
+    current = batch_utc + dt.timedelta(hours=OUTPUT_UTC_OFFSET_HOURS)
+    closed = closed_gate(inputs, current)
+    if closed is not None:
+        return Result(
+            inputs.batch_status, inputs.type_timezone, inputs.lag_status, closed[0], closed[1]
+        )
     wanted = files.stored(
         redo.redo_candidates(inputs.batch_status, servers, inputs.lag_status), "redo"
     )
     if wanted.isEmpty():
         return Result(inputs.batch_status, inputs.type_timezone, inputs.lag_status)
     running = ledger.mark_running(inputs.batch_status, wanted.select(*LEDGER_KEYS))
-    listed = inputs.listed
+    listed = listed_games(inputs, ambiguous_servers(inputs, current))
     work = redo.redo_manifest(wanted, listed, inputs.type_timezone, servers, settings)
     held = ledger.not_ready(inputs.lag_status)
     routed = redo.redo_rollup(

@@ -1,0 +1,131 @@
+import datetime as dt
+
+from conftest import got
+from pyspark.sql import functions as F
+
+from hourfold.operators import alerts, lag, ledger, redo
+
+H = [f"2024-02-01 {h:02d}:00:00" for h in range(24)]
+
+
+def obs(table, rows):
+    """(Batch_time, Server, Type, table_max)"""
+    return table("tz_observations", rows, only=["Batch_time", "Server", "Type", "table_max"])
+
+
+def ntz(s):
+    return F.lit(s).cast("timestamp_ntz")
+
+
+def test_latest_observation_breaks_ties_by_reading(table):
+    rows = obs(table, [
+        (H[1], "a", 1, H[0]), (H[2], "a", 1, None), (H[2], "b", 1, H[1]), (H[3], "a", 2, None),
+        (H[2], "a", 2, H[2]),
+    ])
+    assert got(lag.latest_observation(rows)) == [(1, H[2], H[1]), (2, H[3], None)]
+    assert got(lag.latest_observation(rows, as_of=H[2])) == [(1, H[2], H[1]), (2, H[2], H[2])]
+
+
+def test_latest_per_hour_matches_brute_force(spark, table):
+    import random
+
+    rng = random.Random(5)
+    base = dt.datetime(2024, 2, 1)
+    rows = [
+        (str(base + dt.timedelta(minutes=rng.randrange(-600, 3000))), f"s{rng.randrange(3)}",
+         rng.choice([1, 1, 1, 2, 3]), str(base + dt.timedelta(minutes=i)))
+        for i in range(200)
+    ]
+    first, last = base, base + dt.timedelta(hours=40)
+    types = spark.createDataFrame([(1,), (2,), (4,)], "Type int")
+    have = {
+        (r["Type"], r["utc"]): r["table_max"]
+        for r in lag.latest_per_hour(obs(table, rows), types, ntz(str(first)), ntz(str(last))).collect()
+    }
+    assert len(have) == 3 * 41
+    for (kind, utc), reading in have.items():
+        seen = [(b, t) for b, _, k, t in rows if k == kind and b <= str(utc)]
+        assert (str(reading) if reading else None) == (max(seen)[1] if seen else None)
+
+
+def test_lag_truth_table(spark, table):
+    """Target with a late, an exact and an empty reading; without timezone; never observed; not a target."""
+    utc = H[10]
+    lookup = table("source_lookup", [("S1", t, "d", None, "t", t) for t in (1, 2, 3, 4, 5, 6)])
+    games = table("game_lookup", [(1, "h", "x"), (1, "h", "y"), (6, "h", "z")])
+    readings = obs(table, [
+        (utc, "a", 1, "2024-02-01 17:49:59"), (utc, "a", 2, "2024-02-01 09:50:00"), (utc, "a", 3, None),
+        (utc, "a", 4, utc), (utc, "a", 6, H[1]),
+    ])
+    tz = table("type_timezone", [(1, 8), (2, 0), (3, 0), (5, 0), (6, 0)], only=["Type", "Timezone"])
+    targets = table("lag_target_types", [(t,) for t in (1, 2, 3, 4, 5)])
+    rows = lag.lag_status(lag.lag_structure(lookup, games), readings, tz, targets, utc, utc)
+    day = H[18]
+    assert got(rows) == [
+        (day, "S1", 1, "x", "Wait", "2024-02-01 17:49:59", "2024-02-01 17:50:00"),
+        (day, "S1", 1, "y", "Wait", "2024-02-01 17:49:59", "2024-02-01 17:50:00"),
+        (day, "S1", 2, None, "Success", "2024-02-01 09:50:00", "2024-02-01 09:50:00"),
+        (day, "S1", 3, None, "TBD", None, "2024-02-01 09:50:00"),
+        (day, "S1", 4, None, "TBD", utc, None),
+        (day, "S1", 5, None, "TBD", None, None),
+        (day, "S1", 6, "z", "Success", None, None),
+    ]
+    assert got(lag.undecided_hours(rows)) == [(3, 1), (4, 1), (5, 1)]
+
+
+def lag_rows(table, rows):
+    """(DatePlayed, Type, Status, Table_max, Run_threshold)"""
+    return table("lag_status", [(d, "S1", t, None, s, m, r) for d, t, s, m, r in rows])
+
+
+def test_recheck(table):
+    rows = lag_rows(table, [
+        (H[8], 1, "Wait", H[0], H[1]), (H[9], 1, "wait", H[0], H[2]), (H[10], 1, "Wait", H[0], H[5]),
+        (H[8], 1, "Success", H[1], H[1]), (H[8], 2, "Wait", H[0], H[1]), (H[8], 3, "TBD", None, None),
+    ])
+    later = obs(table, [(H[12], "a", 1, "2024-02-01 02:00:00.123456")])
+    new = "2024-02-01 02:00:00.123000"
+    assert got(lag.recheck_lag(rows, later).select("Type", "DatePlayed", "Status", "Table_max")) == [
+        (1, H[8], "ReRun", new), (1, H[8], "Success", new), (1, H[9], "ReRun", new),
+        (1, H[10], "Wait", new), (2, H[8], "Wait", None), (3, H[8], "TBD", None),
+    ]
+
+
+def test_alert_after_three_waiting_hours(table):
+    rows = lag_rows(table, [(H[h], 1, "Wait" if h % 2 else "wait", None, H[1]) for h in (5, 8, 11)]
+                    + [(H[h], 2, "Wait", None, H[1]) for h in (5, 8)] + [(H[1], 1, "Success", None, H[1])])
+    assert got(alerts.lag_alerts(rows)) == [
+        (1, 3, H[5], "Type 1 has not been updated since 2024-02-01 05:00:00.000")]
+
+
+def test_redo_candidates_once_per_ledger_row(table):
+    servers = table("server_lookup", [("10", "S1", False), ("20", "S2", True)])
+    book = table("batch_status", [
+        ("10", 1, "DS_Server", "Fail", 1.0, H[8]), ("10", 1, "DS_Server", "Fail", 1.0, H[9]),
+        ("10", 2, "DS_Server", "Fail", 1.0, H[8]), ("20", 1, "DS_Server", "Fail", 1.0, H[8]),
+        ("10", 3, "DS_Server", "Success", 1.0, H[8]), ("99", 1, "DS_Server", "Fail", 1.0, H[8]),
+    ])
+    lags = table("lag_status", [
+        (H[8], "S1", 1, "x", "ReRun", None, None), (H[8], "S1", 1, "y", "Success", None, None),
+        (H[9], "S1", 1, None, "Wait", None, None), (H[8], "S1", 2, None, "TBD", None, None),
+        (H[8], "S1", 3, None, "Success", None, None),
+    ])
+    assert got(redo.redo_candidates(book, servers, lags).select("Server", "Type", "UpDateTime")) == [("10", 1, H[8])]
+
+
+def test_close_only_hours_that_ended_well(table):
+    servers = table("server_lookup", [("20", "S2", True)])
+    lags = table("lag_status", [(H[8], "S2", t, None, "ReRun", None, None) for t in (1, 2, 3)])
+    outcome = table("batch_status", [
+        ("20", 1, "DS_Server", "Success", 1.0, H[8]), ("20", 1, "Noah1_Server", "Empty", 1.0, H[8]),
+        ("20", 2, "DS_Server", "Success", 1.0, H[8]), ("20", 2, "Noah1_Server", "Fail", 1.0, H[8]),
+    ])
+    assert got(redo.close_redo(lags, outcome, servers).select("Type", "Status")) == [
+        (1, "Success"), (2, "ReRun"), (3, "ReRun")]
+    assert got(redo.close_redo(lags, outcome, servers, close_failed=True).select("Type", "Status")) == [
+        (1, "Success"), (2, "Success"), (3, "ReRun")]
+
+
+def test_not_ready_and_runnable(spark, table):
+    held = ledger.not_ready(lag_rows(table, [(H[8], 1, "WAIT", None, None), (H[8], 2, "TBD", None, None)]))
+    assert got(held) == [("S1", 1, H[8])]

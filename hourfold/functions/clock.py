@@ -61,10 +61,14 @@ def window_start(batch_utc: Column, timezone: Column) -> Column:
     return plus_hours(batch_utc, timezone - 1)
 
 
+def month_number(ts: Column) -> Column:
+    """Month database suffix as a number: 2407 for July 2024."""
+    return (F.year(ts) % 100) * 100 + F.month(ts)
+
+
 def month_code(ts: Column) -> Column:
     """Month database suffix, yyMM."""
-    number = (F.year(ts) % 100) * 100 + F.month(ts)
-    return F.lpad(number.cast("string"), 4, "0")
+    return F.lpad(month_number(ts).cast("string"), 4, "0")
 
 
 def month_first(code: Column) -> Column:

@@ -1,14 +1,38 @@
-"""Joins whose strategy must not rest on the optimizer's size estimate."""
+"""Joins whose strategy must not rest on the optimizer's size estimate.
+
+Tables keyed by Type and hour come from expanding few rows over many hours. The optimizer only
+sees the few rows and would broadcast the expansion, which grows with the calendar.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
+
+# A broadcast of this many narrow rows stays within some tens of megabytes.
+BROADCAST_ROWS = 500_000
 
 
 def hour_join(left: DataFrame, right: DataFrame, on: list[str] | Column, how: str) -> DataFrame:
-    """Join of tables keyed by Type and hour, always by shuffle.
+    """Join of two tables keyed by Type and hour, always by shuffle."""
+    return left.join(right.hint("merge"), on, how)
+
 
-    Such tables come from expanding few rows over many hours. The optimizer only sees the few
-    rows and would broadcast the expansion, which grows with the calendar.
+def fits(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most ``most`` rows; counting stops one row past the bound."""
+    return df.limit(most + 1).count() <= most
+
+
+def fact_join(
+    fact: DataFrame,
+    right: DataFrame,
+    on: list[str] | Column,
+    how: str,
+    most: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join of fact-sized rows with a table keyed by Type and hour.
+
+    The right side is counted, up to the bound: within it, it is broadcast and the fact rows stay
+    where they are; beyond it, both sides are shuffled.
     """
-    return left.join(right.hint("merge"), on, how)
+    side = F.broadcast(right) if fits(right, most) else right.hint("merge")
+    return fact.join(side, on, how)

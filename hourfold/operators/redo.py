@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..constants import EMPTY, FAIL, LEDGER_KEYS, RERUN, SUCCESS, Settings
 from ..functions import clock, text
-from ..functions.joins import hour_join
+from ..functions.joins import fact_join, hour_join
 from . import ledger, manifest, rollup, routing
 
 
@@ -63,7 +63,7 @@ def redo_rollup(
     keys = candidates.select(
         "Server", "Type", "Destination", F.col("UpDateTime").alias("DatePlayed")
     ).distinct()
-    asked = hour_join(routed, keys, ["Server", "Type", "Destination", "DatePlayed"], "left_semi")
+    asked = fact_join(routed, keys, ["Server", "Type", "Destination", "DatePlayed"], "left_semi")
     return asked.select(*routed.columns)
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import ROLLUP_COLUMNS, SOURCE_KEYS, Settings
+from ..constants import ROLLUP_COLUMNS, Settings
 from ..functions import clock, text
-from ..functions.joins import hour_join
+from ..functions.joins import BROADCAST_ROWS, fact_join, fits
 
-_SUM, _HOUR = "bet_sum", "start_t"
+PLACED_COLUMNS = ["LinkServerName", "DBName", "TableName", "Type", *ROLLUP_COLUMNS[1:]]
+_SUM = "bet_sum"
+_SOURCE_HOUR = ["LinkServerName", "DBName", "monthly", "TableName", "Type", "start_t"]
 
 
 def measures(bet: Column, payoff: Column) -> list[Column]:
@@ -27,78 +29,107 @@ def with_positive_bets(grouped: DataFrame) -> DataFrame:
     return grouped.filter(F.col(_SUM) > 0).withColumnRenamed(_SUM, "Commissionable")
 
 
-def source_hours(wagers: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Every source's rollup by provider-local hour, before any batch is chosen.
+def _keyed(wagers: DataFrame, settings: Settings) -> DataFrame:
+    """Wagers with their grouping keys.
 
-    The grouping keys contain all that the batch windows and game lists test, so those tests can
-    follow the aggregation: the one wide shuffle carries partial sums, and the joins after it see
-    grouped rows whose sizes adaptive execution has measured.
+    A month database is only read for hours of its month, so whether there is one (``monthly``)
+    identifies it from here on.
     """
-    keyed = wagers.select(
-        *SOURCE_KEYS,
-        clock.hour_floor(F.col("wagerstime")).alias(_HOUR),
+    start = clock.hour_floor(F.col("wagerstime"))
+    named_by = start if settings.month_of == "start" else clock.plus_hours(start, 1)
+    month = F.col("MonthDB")
+    in_month = month.isNull() | (month.try_cast("int") == clock.month_number(named_by))
+    return wagers.filter(in_month).select(
+        "LinkServerName", "DBName", month.isNotNull().alias("monthly"), "TableName", "Type",
+        start.alias("start_t"),
         text.account_key(F.col("GameAccount"), settings.trim_accounts).alias("GameAccount"),
         "SiteId", "GameTypeSourceId", "betamount", F.col("PayOff").alias("payoff_amount"),
     )
-    keys = [*SOURCE_KEYS, _HOUR, "GameAccount", "SiteId", "GameTypeSourceId"]
+
+
+def _grouped(keyed: DataFrame, *more: str) -> DataFrame:
+    """One row per source, hour, account, site and game."""
+    keys = [*_SOURCE_HOUR, *more, "GameAccount", "SiteId", "GameTypeSourceId"]
     return with_positive_bets(
         keyed.groupBy(*keys).agg(*measures(F.col("betamount"), F.col("payoff_amount")))
     )
 
 
+def _served(rows: DataFrame, zoned: DataFrame) -> DataFrame:
+    """Rows whose hour is a window of a batch that their source serves, with its timezone."""
+    month = F.when(F.col("r.monthly"), clock.month_number(F.col("r.start_t")))
+    same = month.eqNullSafe(F.col("s.MonthDB").try_cast("int"))
+    for key in ("LinkServerName", "DBName", "TableName", "Type"):
+        same = same & (F.col(f"r.{key}") == F.col(f"s.{key}"))
+    batch = clock.plus_hours(F.col("r.start_t"), 1 - F.col("s.Timezone"))
+    joined = rows.alias("r").join(zoned.alias("s"), same)
+    return joined.filter(batch.between(F.col("s.low"), F.col("s.high"))).select("r.*", "s.Timezone")
+
+
 def in_game_list(rows: DataFrame, games: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows of a shared database are kept for listed games only; other databases keep all."""
-    listed = games.select("LinkServerName", "Type", "GameTypeSourceId", F.lit(True).alias("listed"))
-    marked = rows.join(listed, ["LinkServerName", "Type", "GameTypeSourceId"], "left")
+    marked = rows.join(
+        games.withColumn("listed", F.lit(True)), ["LinkServerName", "Type", "GameTypeSourceId"], "left"
+    )
     keep = ~F.col("DBName").eqNullSafe(settings.shared_db) | F.col("listed")
     return marked.filter(keep).select(*rows.columns)
 
 
 def hourly_rollup(
-    wagers: DataFrame, source_spans: DataFrame, games: DataFrame, settings: Settings = Settings()
+    wagers: DataFrame,
+    source_spans: DataFrame,
+    games: DataFrame,
+    settings: Settings = Settings(),
+    most: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rollup rows of all batch hours the spans cover, with the source they came from.
 
     Windows are whole hours, so a row's hour and its source's timezone give its batch: the join
-    needs the sources only, not sources times hours.
+    needs the sources only, not sources times hours. Sources and game lists of at most ``most``
+    rows are broadcast and drop wagers before the one wide shuffle. Larger ones wait until the
+    wagers are grouped, which their tests allow: all they look at is grouping keys.
     """
-    start = F.col("r.start_t")
-    named_by = start if settings.month_of == "start" else clock.plus_hours(start, 1)
-    monthly = F.col("r.MonthDB").isNotNull()
-    served = F.when(monthly, clock.month_code(start)).eqNullSafe(F.col("s.MonthDB"))
-    for key in ("LinkServerName", "DBName", "TableName", "Type"):
-        served = served & (F.col(f"r.{key}") == F.col(f"s.{key}"))
-    rows = source_hours(wagers, settings).alias("r")
-    zoned = source_spans.filter(F.col("Timezone").isNotNull()).alias("s")
-    batch = clock.plus_hours(start, 1 - F.col("s.Timezone"))
-    placed = (
-        rows.join(zoned, served)
-        .filter(batch.between(F.col("s.low"), F.col("s.high")))
-        .filter(~monthly | (F.col("r.MonthDB") == clock.month_code(named_by)))
-        .select(clock.utc_to_output(batch).alias("DatePlayed"), "r.*").drop(_HOUR)
-    )
-    return in_game_list(placed, games, settings)
+    zoned = source_spans.filter(F.col("Timezone").isNotNull())
+    rows = _keyed(wagers, settings)
+    early = fits(zoned, most)
+    early_games = early and fits(games, most)
+    if early:
+        rows = _served(rows, F.broadcast(zoned))
+    if early_games:
+        rows = in_game_list(rows, F.broadcast(games), settings)
+    rows = _grouped(rows, "Timezone") if early else _served(_grouped(rows), zoned)
+    if not early_games:
+        rows = in_game_list(rows, games, settings)
+    batch = clock.plus_hours(F.col("start_t"), 1 - F.col("Timezone"))
+    return rows.select(clock.utc_to_output(batch).alias("DatePlayed"), *PLACED_COLUMNS)
 
 
 def rollup_of_windows(
-    wagers: DataFrame, manifest: DataFrame, games: DataFrame, settings: Settings = Settings()
+    wagers: DataFrame,
+    manifest: DataFrame,
+    games: DataFrame,
+    settings: Settings = Settings(),
+    most: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rollup rows of listed windows, as a redo has them: matched by source and window start."""
+    """Rollup rows of listed windows, as a redo has them: matched by source and window start.
+
+    As many windows as may be broadcast drop wagers before the shuffle; more are matched after it.
+    """
     windows = manifest.filter(F.col("start_t").isNotNull()).select(
-        "LinkServerName", "DBName", "TableName", "Type", "start_t", "DatePlayed",
-        F.col("read_month").alias("MonthDB"),
+        "LinkServerName", "DBName", F.col("MonthDB").isNotNull().alias("monthly"), "TableName",
+        "Type", "start_t", "DatePlayed",
     ).distinct()
-    same = F.col("r.MonthDB").eqNullSafe(F.col("w.MonthDB"))
-    for key in ("LinkServerName", "DBName", "TableName", "Type", "start_t"):
-        same = same & (F.col(f"r.{key}") == F.col(f"w.{key}"))
-    rows = source_hours(wagers, settings).alias("r")
-    placed = hour_join(rows, windows.alias("w"), same, "inner")
-    return in_game_list(placed.select("w.DatePlayed", "r.*").drop(_HOUR), games, settings)
+    rows = _keyed(wagers, settings)
+    if fits(windows, most):
+        rows = _grouped(rows.join(F.broadcast(windows), _SOURCE_HOUR), "DatePlayed")
+    else:
+        rows = _grouped(rows).join(windows.hint("merge"), _SOURCE_HOUR)
+    return in_game_list(rows, games, settings).select("DatePlayed", *PLACED_COLUMNS)
 
 
 def without_held(rollup: DataFrame, held: DataFrame) -> DataFrame:
     """Rollup rows of Types that are not held back in their hour."""
-    free = hour_join(rollup, held, ["LinkServerName", "Type", "DatePlayed"], "left_anti")
+    free = fact_join(rollup, held, ["LinkServerName", "Type", "DatePlayed"], "left_anti")
     return free.select(*rollup.columns)
 
 

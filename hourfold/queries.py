@@ -197,9 +197,9 @@ def q_site_filter(spark: SparkSession, d: str) -> DataFrame:
 def q_write_readback(spark: SparkSession, d: str) -> DataFrame:
     """The routed month written twice and counted: the second write must change nothing."""
     due = routing.expected_destinations(_manifest(spark, d), ev.server_lookup(spark))
-    path = files.shared_dir(spark, "rollup")
+    path, routed = files.shared_dir(spark, "rollup"), files.stored(_routed(spark, d), "routed")
     for _ in range(2):
-        files.write_rollup(_routed(spark, d), due, path, layout="day")
+        files.write_rollup(routed, due, path, layout="day")
     return _money(
         files.read_rollup(spark, path).groupBy("Destination").agg(
             F.count(F.lit(1)).alias("n"), F.sum("Commissionable").alias("Commissionable")
@@ -217,7 +217,8 @@ def q_start_status(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_batch_outcome(spark: SparkSession, d: str) -> DataFrame:
-    servers, held = ev.server_lookup(spark), ledger.not_ready(ev.lag_hours(spark, d))
+    servers = ev.server_lookup(spark)
+    held = files.stored(ledger.not_ready(ev.lag_hours(spark, d)), "not_ready")
     ready = rollup.without_held(_rollup(spark, d), held)
     routed, work = routing.route(ready, ev.site_group(spark), servers), _manifest(spark, d)
     outcome = ledger.batch_outcome(work, routed, held, servers)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import clock
 from ..operators import lag, routing
@@ -109,13 +111,11 @@ def lag_target_types(spark: SparkSession) -> DataFrame:
     return fixed_rows(spark, [(t,) for t in TARGETS], "Type int")
 
 
-def hour_range(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
-    """First and last hour with an event, as one scalar of the same job."""
-    ends = F.struct(
-        clock.hour_floor(F.min("ts")).alias("first"), clock.hour_floor(F.max("ts")).alias("last")
-    )
-    span = events(spark, sf_dir).select(ends).scalar()
-    return span.getField("first"), span.getField("last")
+def hour_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    """First and last hour with an event: one row, as a caller of a run would give it."""
+    span = events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    first, last = (t.replace(minute=0, second=0, microsecond=0) for t in span)
+    return first, last
 
 
 def observations(spark: SparkSession, sf_dir: str, both_paths: bool = False) -> DataFrame:
@@ -130,8 +130,9 @@ def observations(spark: SparkSession, sf_dir: str, both_paths: bool = False) ->
     places = fixed_rows(spark, [
         (p[0], s, dict(ZONES).get(p[0], 0)) for p in PLACES for s, link, _ in SERVERS if link == p[2]
     ], "Type int, Server string, zone int")
-    calendar = places.select("Type", first.alias("first"), last.alias("last")).select(
-        "Type", F.explode(F.sequence("first", "last", F.expr("interval 1 hour"))).alias("h"),
+    hours = F.sequence(clock.as_ntz(first), clock.as_ntz(last), F.expr("interval 1 hour"))
+    calendar = places.select(
+        "Type", F.explode(hours).alias("h"),
         F.lit(None).cast("timestamp_ntz").alias("ts"),
     )
     per_hour = wagered.unionByName(calendar).groupBy("Type", "h").agg(F.max("ts").alias("newest"))
@@ -159,7 +160,7 @@ def lag_hours(spark: SparkSession, sf_dir: str, targets: DataFrame | None = None
         lag.lag_structure(source_lookup(spark), game_lookup(spark)),
         observations(spark, sf_dir), type_timezone(spark),
         lag_target_types(spark) if targets is None else targets,
-        clock.plus_hours(first, 1), clock.plus_hours(last, 1),
+        first + dt.timedelta(hours=1), last + dt.timedelta(hours=1),
     )
 
 

@@ -66,6 +66,20 @@ def test_two_timezones_give_two_windows(spark, table):
     assert got(plan.select("Timezone")) == [(0,), (8,)]
 
 
+def test_windows_of_two_timezones_do_not_mix(spark, table):
+    """Both windows belong to one batch; each is summed and judged by itself."""
+    rows = lookup(table, [("S1", 1, "_DbPlain", None, "T", 22)])
+    spans = manifest.spans(
+        manifest.list_sources(rows), zones(table, [(22, 0), (22, 8)]), hour(spark, B), hour(spark, B))
+    fact = table("wagers", [
+        ("S1", "_DbPlain", None, "T", 22, "2024-01-31 23:30:00", "a", 1, 1, "5", "0"),
+        ("S1", "_DbPlain", None, "T", 22, "2024-02-01 07:30:00", "a", 1, 1, "7", "0")])
+    for most in (0, 9):
+        out = rollup.hourly_rollup(fact, spans, manifest.game_list(rows), most=most)
+        assert [r[0] for r in got(out.select("Commissionable"))] == [Decimal("5.0000"), Decimal("7.0000")]
+        assert out.select("DatePlayed").distinct().count() == 1
+
+
 def test_scattered_hours_equal_the_range(spark, table):
     sources = manifest.list_sources(lookup(table, [
         ("S1", 1, "_DbMonth", "2401", "T", 22), ("S1", 1, "_DbMonth", "2402", "T", 22),
@@ -138,6 +152,15 @@ def test_both_rollup_forms_agree(spark, table):
     assert got(by_span) == got(by_window)
 
 
+def test_large_sources_and_lists_give_the_same_rows(spark, table):
+    """Bounds of no and of two rows stand for tables too large to broadcast."""
+    fact, spans, games = month(spark, table)
+    want = got(rollup.hourly_rollup(fact, spans, games))
+    for most in (0, 2):
+        assert got(rollup.hourly_rollup(fact, spans, games, most=most)) == want
+        assert got(rollup.rollup_of_windows(fact, manifest.expand(spans), games, most=most)) == want
+
+
 def test_trailing_blanks_are_an_option(spark, table):
     fact = table("wagers", [
         ("S1", "_DbPlain", None, "T", 22, "2024-01-31 23:00:00", a, 1, 220, "5", "0")

@@ -45,12 +45,11 @@ def _with_timezone(sources: DataFrame, type_timezone: DataFrame) -> DataFrame:
 
 
 def _windows(df: DataFrame, settings: Settings) -> DataFrame:
-    start, end = (f(F.col("batch_utc"), F.col("Timezone")) for f in (clock.window_start, clock.window_end))
-    named_by = start if settings.month_of == "start" else end
     return df.select(
         "batch_utc", *SOURCE_KEYS, "Timezone",
-        start.alias("start_t"), end.alias("end_t"),
-        F.when(F.col("MonthDB").isNotNull(), clock.month_code(named_by)).alias("read_month"),
+        clock.window_start(F.col("batch_utc"), F.col("Timezone")).alias("start_t"),
+        clock.window_end(F.col("batch_utc"), F.col("Timezone")).alias("end_t"),
+        "read_month",
         clock.utc_to_output(F.col("batch_utc")).alias("DatePlayed"),
         (F.col("DBName") == settings.shared_db).alias("is_shared_db"),
     )
@@ -61,26 +60,41 @@ def spans(
     type_timezone: DataFrame,
     first_batch: Column | dt.datetime,
     last_batch: Column | dt.datetime,
+    settings: Settings = Settings(),
 ) -> DataFrame:
     """Every source with its timezone and the batch hours [low, high] it serves within [first, last].
 
-    A month database serves only the hours whose window starts in its month. A Type without a
-    timezone keeps its hours, with the month taken on the output clock.
+    A month database serves only the hours whose window starts in its month; ``read_month`` names
+    the database that is read for them. A Type without a timezone keeps its hours, with the month
+    taken on the output clock.
     """
-    zoned = _with_timezone(sources, type_timezone).select(
-        "*", clock.as_ntz(first_batch).alias("first"), clock.as_ntz(last_batch).alias("last")
-    )
+    first, last = clock.as_ntz(first_batch), clock.as_ntz(last_batch)
     # The window of batch b starts at b + timezone - 1h.
     back = 1 - F.coalesce(F.col("Timezone"), F.lit(OUTPUT_UTC_OFFSET_HOURS))
     opens = clock.month_first(F.col("MonthDB"))
-    month_low = clock.plus_hours(opens, back)
-    month_high = clock.plus_hours(F.timestamp_add("MONTH", F.lit(1), opens), back - 1)
+    closes = F.timestamp_add("MONTH", F.lit(1), opens)
     whole = F.col("MonthDB").isNull()
-    return zoned.select(
-        *SOURCE_KEYS, "Timezone",
-        F.when(whole, F.col("first")).otherwise(F.greatest("first", month_low)).alias("low"),
-        F.when(whole, F.col("last")).otherwise(F.least("last", month_high)).alias("high"),
-    ).filter(F.col("low") <= F.col("high"))
+    bounded = _with_timezone(sources, type_timezone).select(
+        *SOURCE_KEYS, "Timezone", clock.plus_hours(closes, back - 1).alias("final"),
+        clock.month_code(closes).alias("next_month"),
+        F.when(whole, first).otherwise(F.greatest(first, clock.plus_hours(opens, back))).alias("low"),
+        F.when(whole, last).otherwise(F.least(last, clock.plus_hours(closes, back - 1))).alias("high"),
+    )
+    same_month = F.struct("low", "high", F.col("MonthDB").alias("read_month"))
+    if settings.month_of == "end":
+        # The window of a month's final hour ends in the next month.
+        before = F.struct(
+            "low", F.least("high", clock.plus_hours(F.col("final"), -1)).alias("high"),
+            F.col("MonthDB").alias("read_month"),
+        )
+        at_end = F.struct(
+            F.greatest("low", "final").alias("low"), "high", F.col("next_month").alias("read_month")
+        )
+        parts = F.when(whole, F.array(same_month)).otherwise(F.array(before, at_end))
+    else:
+        parts = F.array(same_month)
+    served = bounded.select(*SOURCE_KEYS, "Timezone", F.inline(parts))
+    return served.filter(F.col("low") <= F.col("high"))
 
 
 def expand(source_spans: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -97,7 +111,7 @@ def schedule(
     settings: Settings = Settings(),
 ) -> DataFrame:
     """Manifest of every source for every batch hour in [first, last]."""
-    return expand(spans(sources, type_timezone, first_batch, last_batch), settings)
+    return expand(spans(sources, type_timezone, first_batch, last_batch, settings), settings)
 
 
 def schedule_for(
@@ -105,11 +119,16 @@ def schedule_for(
 ) -> DataFrame:
     """Manifest of scattered (LinkServerName, Type, batch_utc) pairs, as a redo needs."""
     pairs = wanted.select("LinkServerName", "Type", "batch_utc").distinct()
-    zoned = _with_timezone(sources, type_timezone).join(pairs, ["LinkServerName", "Type"])
     zone = F.coalesce(F.col("Timezone"), F.lit(OUTPUT_UTC_OFFSET_HOURS))
     starts = clock.window_start(F.col("batch_utc"), zone)
-    in_month = F.col("MonthDB").isNull() | (F.col("MonthDB") == clock.month_code(starts))
-    return _windows(zoned.filter(in_month), settings)
+    named_by = starts if settings.month_of == "start" else clock.plus_hours(starts, 1)
+    whole = F.col("MonthDB").isNull()
+    due = (
+        _with_timezone(sources, type_timezone).join(pairs, ["LinkServerName", "Type"])
+        .filter(whole | (F.col("MonthDB") == clock.month_code(starts)))
+        .withColumn("read_month", F.when(~whole, clock.month_code(named_by)))
+    )
+    return _windows(due, settings)
 
 
 def resolve_duplicate_mappings(lookup: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import ROLLUP_COLUMNS, Settings
+from ..constants import ROLLUP_COLUMNS, SOURCE_KEYS, Settings
 from ..functions import clock, text
 from ..functions.joins import BROADCAST_ROWS, fact_join, fits
 
 PLACED_COLUMNS = ["LinkServerName", "DBName", "TableName", "Type", *ROLLUP_COLUMNS[1:]]
 _SUM = "bet_sum"
-_SOURCE_HOUR = ["LinkServerName", "DBName", "monthly", "TableName", "Type", "start_t"]
 
 
 def measures(bet: Column, payoff: Column) -> list[Column]:
@@ -30,18 +29,9 @@ def with_positive_bets(grouped: DataFrame) -> DataFrame:
 
 
 def _keyed(wagers: DataFrame, settings: Settings) -> DataFrame:
-    """Wagers with their grouping keys.
-
-    A month database is only read for hours of its month, so whether there is one (``monthly``)
-    identifies it from here on.
-    """
-    start = clock.hour_floor(F.col("wagerstime"))
-    named_by = start if settings.month_of == "start" else clock.plus_hours(start, 1)
-    month = F.col("MonthDB")
-    in_month = month.isNull() | (month.try_cast("int") == clock.month_number(named_by))
-    return wagers.filter(in_month).select(
-        "LinkServerName", "DBName", month.isNotNull().alias("monthly"), "TableName", "Type",
-        start.alias("start_t"),
+    """Wagers with their grouping keys."""
+    return wagers.select(
+        *SOURCE_KEYS, clock.hour_floor(F.col("wagerstime")).alias("start_t"),
         text.account_key(F.col("GameAccount"), settings.trim_accounts).alias("GameAccount"),
         "SiteId", "GameTypeSourceId", "betamount", F.col("PayOff").alias("payoff_amount"),
     )
@@ -49,21 +39,36 @@ def _keyed(wagers: DataFrame, settings: Settings) -> DataFrame:
 
 def _grouped(keyed: DataFrame, *more: str) -> DataFrame:
     """One row per source, hour, account, site and game."""
-    keys = [*_SOURCE_HOUR, *more, "GameAccount", "SiteId", "GameTypeSourceId"]
+    keys = [*SOURCE_KEYS, "start_t", *more, "GameAccount", "SiteId", "GameTypeSourceId"]
     return with_positive_bets(
         keyed.groupBy(*keys).agg(*measures(F.col("betamount"), F.col("payoff_amount")))
     )
 
 
-def _served(rows: DataFrame, zoned: DataFrame) -> DataFrame:
-    """Rows whose hour is a window of a batch that their source serves, with its timezone."""
-    month = F.when(F.col("r.monthly"), clock.month_number(F.col("r.start_t")))
-    same = month.eqNullSafe(F.col("s.MonthDB").try_cast("int"))
+def _same_source(r: str, other: str) -> Column:
+    """A row and the source it is read from; ``read_month`` names the month database, if any."""
+    same = F.col(f"{r}.MonthDB").eqNullSafe(F.col(f"{other}.read_month"))
     for key in ("LinkServerName", "DBName", "TableName", "Type"):
-        same = same & (F.col(f"r.{key}") == F.col(f"s.{key}"))
-    batch = clock.plus_hours(F.col("r.start_t"), 1 - F.col("s.Timezone"))
-    joined = rows.alias("r").join(zoned.alias("s"), same)
-    return joined.filter(batch.between(F.col("s.low"), F.col("s.high"))).select("r.*", "s.Timezone")
+        same = same & (F.col(f"{r}.{key}") == F.col(f"{other}.{key}"))
+    return same
+
+
+def _window_starts(source_spans: DataFrame) -> DataFrame:
+    """Sources with a timezone, and the window starts of the batches they serve."""
+    def start(batch: str) -> Column:
+        return clock.window_start(F.col(batch), F.col("Timezone"))
+
+    return source_spans.filter(F.col("Timezone").isNotNull()).select(
+        "LinkServerName", "DBName", "TableName", "Type", "read_month", "Timezone",
+        start("low").alias("from_start"), start("high").alias("to_start"),
+    )
+
+
+def _served(rows: DataFrame, served: DataFrame) -> DataFrame:
+    """Rows of hours that their source serves, with its timezone."""
+    joined = rows.alias("r").join(served.alias("s"), _same_source("r", "s"))
+    in_span = F.col("r.start_t").between(F.col("s.from_start"), F.col("s.to_start"))
+    return joined.filter(in_span).select("r.*", "s.Timezone")
 
 
 def in_game_list(rows: DataFrame, games: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -89,15 +94,14 @@ def hourly_rollup(
     rows are broadcast and drop wagers before the one wide shuffle. Larger ones wait until the
     wagers are grouped, which their tests allow: all they look at is grouping keys.
     """
-    zoned = source_spans.filter(F.col("Timezone").isNotNull())
-    rows = _keyed(wagers, settings)
-    early = fits(zoned, most)
+    served, rows = _window_starts(source_spans), _keyed(wagers, settings)
+    early = fits(served, most)
     early_games = early and fits(games, most)
     if early:
-        rows = _served(rows, F.broadcast(zoned))
+        rows = _served(rows, F.broadcast(served))
     if early_games:
         rows = in_game_list(rows, F.broadcast(games), settings)
-    rows = _grouped(rows, "Timezone") if early else _served(_grouped(rows), zoned)
+    rows = _grouped(rows, "Timezone") if early else _served(_grouped(rows), served)
     if not early_games:
         rows = in_game_list(rows, games, settings)
     batch = clock.plus_hours(F.col("start_t"), 1 - F.col("Timezone"))
@@ -116,14 +120,14 @@ def rollup_of_windows(
     As many windows as may be broadcast drop wagers before the shuffle; more are matched after it.
     """
     windows = manifest.filter(F.col("start_t").isNotNull()).select(
-        "LinkServerName", "DBName", F.col("MonthDB").isNotNull().alias("monthly"), "TableName",
-        "Type", "start_t", "DatePlayed",
+        "LinkServerName", "DBName", "TableName", "Type", "read_month", "start_t", "DatePlayed",
     ).distinct()
-    rows = _keyed(wagers, settings)
-    if fits(windows, most):
-        rows = _grouped(rows.join(F.broadcast(windows), _SOURCE_HOUR), "DatePlayed")
-    else:
-        rows = _grouped(rows).join(windows.hint("merge"), _SOURCE_HOUR)
+    early, rows = fits(windows, most), _keyed(wagers, settings)
+    side = F.broadcast(windows) if early else windows.hint("merge")
+    joined = (rows if early else _grouped(rows)).alias("r").join(
+        side.alias("w"), _same_source("r", "w") & (F.col("r.start_t") == F.col("w.start_t"))
+    ).select("r.*", "w.DatePlayed")
+    rows = _grouped(joined, "DatePlayed") if early else joined
     return in_game_list(rows, games, settings).select("DatePlayed", *PLACED_COLUMNS)
 
 

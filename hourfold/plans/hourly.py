@@ -127,7 +127,9 @@ def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result
     twice = ambiguous_servers(inputs, current)
     listed = listed_games(inputs, twice)
     zones = healed_timezones(inputs, current)
-    source_spans = manifest.spans(manifest.list_sources(listed), zones, batch_utc, batch_utc)
+    source_spans = manifest.spans(
+        manifest.list_sources(listed), zones, batch_utc, batch_utc, inputs.settings
+    )
     work = manifest.expand(source_spans, inputs.settings)
     due = routing.expected_destinations(work, inputs.server_lookup)
     held = ledger.not_ready(

@@ -32,10 +32,10 @@ def _money(df: DataFrame) -> DataFrame:
 
 # Chains shared by several queries.
 
-def _spans(spark: SparkSession, d: str) -> DataFrame:
+def _spans(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
     first, last = ev.hour_range(spark, d)
     sources = manifest.list_sources(ev.source_lookup(spark))
-    return manifest.spans(sources, ev.type_timezone(spark), first, last)
+    return manifest.spans(sources, ev.type_timezone(spark), first, last, settings)
 
 
 def _manifest(spark: SparkSession, d: str) -> DataFrame:
@@ -103,7 +103,7 @@ def q_manifest(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_manifest_as_is(spark: SparkSession, d: str) -> DataFrame:
     settings = Settings(month_of="end")
-    rows = manifest.expand(_spans(spark, d), settings)
+    rows = manifest.expand(_spans(spark, d, settings), settings)
     return rows.select("batch_utc", "Type", manifest.physical_name(settings).alias("source"))
 
 

@@ -37,18 +37,29 @@ def test_month_edge_reads_the_month_of_the_window_start(spark, table):
 
 def test_month_edge_as_is_names_the_month_of_the_window_end(spark, table):
     settings = Settings(month_of="end")
-    rows = lookup(table, [("S1", 1, "_DbMonth", "2401", "T", 22)])
-    spans = manifest.spans(
-        manifest.list_sources(rows), zones(table, [(22, 0)]), hour(spark, B), hour(spark, B)
-    )
-    plan = manifest.expand(spans, settings)
-    assert plan.select(manifest.physical_name(settings).alias("n")).first()["n"] == "S1._DbMonth2402.VW_T"
+    rows = lookup(table, [("S1", 1, "_DbMonth", "2401", "T", 22), ("S1", 1, "_DbMonth", "2402", "T", 22)])
+    sources, games, tz = manifest.list_sources(rows), manifest.game_list(rows), zones(table, [(22, 0)])
+    first, last = hour(spark, "2024-01-31 23:00:00"), hour(spark, "2024-02-01 01:00:00")
+    as_is = manifest.spans(sources, tz, first, last, settings)
+    plan = manifest.expand(as_is, settings)
+    named = plan.select("batch_utc", "MonthDB", manifest.physical_name(settings).alias("n"))
+    assert got(named) == [
+        ("2024-01-31 23:00:00", "2401", "S1._DbMonth2401.VW_T"),
+        ("2024-02-01 00:00:00", "2401", "S1._DbMonth2402.VW_T"),
+        ("2024-02-01 01:00:00", "2402", "S1._DbMonth2402.VW_T"),
+    ]
+    pairs = plan.select("LinkServerName", "Type", "batch_utc")
+    assert got(manifest.schedule_for(sources, tz, pairs, settings)) == got(plan)
+    # The last hour of January lies in January's database: read by start, missed as is.
     fact = table("wagers", [
         ("S1", "_DbMonth", "2401", "T", 22, "2024-01-31 23:30:00", "a", 1, 1, "5", "1"),
+        ("S1", "_DbMonth", "2401", "T", 22, "2024-01-31 22:30:00", "b", 1, 1, "5", "1"),
     ])
-    games = manifest.game_list(rows)
-    assert rollup.hourly_rollup(fact, spans, games, settings).count() == 0
-    assert rollup.hourly_rollup(fact, spans, games).count() == 1
+    for most in (0, 9):
+        late = rollup.hourly_rollup(fact, as_is, games, settings, most)
+        assert got(late.select("GameAccount")) == [("b",)]
+        whole = rollup.hourly_rollup(fact, manifest.spans(sources, tz, first, last), games, most=most)
+        assert got(whole.select("GameAccount")) == [("a",), ("b",)]
 
 
 def test_type_without_timezone_keeps_a_row_without_window(spark, table):

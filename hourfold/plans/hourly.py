@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..constants import FAIL, LEDGER_KEYS, OUTPUT_UTC_OFFSET_HOURS, Settings
 from ..functions import clock
+from ..functions.joins import hour_join
 from ..operators import alerts, gates, ledger, manifest, redo, rollup, routing
 from ..sinks import files
 from ..sources import tables
@@ -192,16 +193,14 @@ def run_redo(
         "LinkServerName", "Server", "Type", "Destination", "DatePlayed"
     ).distinct()
     if not all_destinations:
-        due = due.join(
-            wanted.select("Server", "Type", "Destination", F.col("UpDateTime").alias("DatePlayed")),
-            ["Server", "Type", "Destination", "DatePlayed"], "left_semi",
-        )
+        asked = wanted.withColumnRenamed("UpDateTime", "DatePlayed")
+        due = hour_join(due, asked, ["Server", "Type", "Destination", "DatePlayed"], "left_semi")
     outcome = _write_and_judge(inputs, work, routed, due, held, rollup_path)
     outcome = outcome if all_destinations else redo.redo_outcome(wanted, outcome)
     outcome = files.stored(outcome, "redo_outcome")
-    lost = running.join(
-        wanted.select(*LEDGER_KEYS), LEDGER_KEYS, "left_semi"
-    ).join(outcome, LEDGER_KEYS, "left_anti").withColumn("Status", F.lit(FAIL))
+    # What no source is listed for any more stays failed.
+    asked = hour_join(running, wanted, LEDGER_KEYS, "left_semi")
+    lost = hour_join(asked, outcome, LEDGER_KEYS, "left_anti").withColumn("Status", F.lit(FAIL))
     updates = outcome.unionByName(lost.select(*outcome.columns))
     status = ledger.apply_status(running, updates)
     lag_rows = redo.close_redo(inputs.lag_status, updates, servers, close_failed)

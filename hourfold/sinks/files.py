@@ -8,6 +8,8 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.joins import fact_join
+
 KEYS = ["Destination", "LinkServerName", "Type", "DatePlayed"]
 STORED = [
     "DatePlayed", "GameAccount", "SiteId", "GameTypeSourceId", "Commissionable", "WagersCount",
@@ -70,7 +72,7 @@ def write_rollup(routed: DataFrame, due: DataFrame, path: str, layout: str = "ho
     over tasks by the rebalance, so no task writes it alone.
     """
     spark = routed.sparkSession
-    keys = due.select(*KEYS).distinct()
+    keys = stored(due.select(*KEYS).distinct(), "due")
     new = routed.select(*STORED)
     rows = new.unionByName(_markers(keys, new))
     old = read_existing(spark, path)
@@ -81,11 +83,9 @@ def write_rollup(routed: DataFrame, due: DataFrame, path: str, layout: str = "ho
         if low is not None:
             days = F.col("date").cast("string").between(str(low.date()), str(high.date()))
             touched = _placed(keys, layout).select(*parts).distinct()
-            kept = (
-                _placed(old.filter(days).select(*STORED), layout)
-                .join(touched, parts, "left_semi").join(keys, KEYS, "left_anti").select(*STORED)
-            )
-            rows = rows.unionByName(kept)
+            nearby = _placed(old.filter(days).select(*STORED), layout)
+            kept = fact_join(fact_join(nearby, touched, parts, "left_semi"), keys, KEYS, "left_anti")
+            rows = rows.unionByName(kept.select(*STORED))
     (
         _placed(rows, layout).hint("rebalance", *[F.col(p) for p in parts])
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -21,14 +20,11 @@ LAYOUTS = {"day": ["Destination", "date"], "hour": ["Destination", "date", "hour
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder that all executors see.
 
-    It lies in the folder the cluster names for checkpoints; only a local master, whose one
-    process sees its own disk, falls back to a temporary folder.
+    It lies in the folder the cluster names for checkpoints, or next to the tables of the warehouse
+    where none is named.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="hourfold-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, line_dedup, order_minhash, packing
+from . import (
+    bpe, edit_embedding, language_id, line_dedup, lm_scoring, order_minhash, packing, pii, pivot_topk, secret_scan,
+)
 from .tasks import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,11 +25,28 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_edit_embedding(spark: SparkSession, d: str) -> DataFrame:
+    return edit_embedding.edited_fingerprints(documents(spark, d))
+
+
 @query
 def op2_bpe_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, d), VOCABULARY)
 
 
+@query
+def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    labels = spark.read.schema("doc_id bigint, quality int, toxic int").parquet(f"{d}/labels.parquet")
+    return lm_scoring.cross_entropy_differences(documents(spark, d), labels, VOCABULARY)
+
+
+@query
+def op4_pivot_topk(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.schema("vec_id bigint, embedding array<float>").parquet(f"{d}/embeddings.parquet")
+    return pivot_topk.top_k(rows, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op5_order_minhash(spark: SparkSession, d: str) -> DataFrame:
     """Class of every document; one document of each class is kept."""
@@ -35,11 +54,26 @@ def op5_order_minhash(spark: SparkSession, d: str) -> DataFrame:
     return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+@query
+def op6_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, d))
+
+
+@query
+def op7_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return language_id.identify(documents(spark, d))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(documents(spark, d), VOCABULARY)
 
 
+@query
+def op9_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    return secret_scan.find_secrets(documents(spark, d))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, d))

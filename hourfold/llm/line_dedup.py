@@ -129,7 +129,8 @@ def dropped_keys(docs: DataFrame, shortest: int = SHORTEST, documents_from: int
     spark = docs.sparkSession
     held = stored(held_lines(docs, shortest), "held_lines")
     many = ingest(spark, held).merged().filter(F.col("docs") >= documents_from)
-    many = many.select("high", "low", F.col("owner").alias("keeper"))
+    # Written, so that the join below deals both sides itself and can split a line of many documents.
+    many = stored(many.select("high", "low", F.col("owner").alias("keeper")), "repeated_lines")
     lost = held.join(many.hint("merge"), ["high", "low"]).filter(F.col("owner") < F.col("keeper"))
     return lost.groupBy("owner").agg(F.collect_set(F.struct("high", "low")).alias("lost"))
 

@@ -111,6 +111,7 @@ def merge_words(vocabulary: Vocabulary, words: list[bytes]) -> list[bytes]:
     after[ends - 1] = n
     before[starts] = n
 
+    touched = np.full(n + 1, -1)
     index: dict[int, list[np.ndarray]] = {}
     active: list[int] = []
 
@@ -126,13 +127,14 @@ def merge_words(vocabulary: Vocabulary, words: list[bytes]) -> list[bytes]:
     add(inside[after[:n] < n])
     while active:
         rank = heapq.heappop(active)
-        lists = index.pop(rank)
-        at = np.unique(np.concatenate(lists))
+        at = np.concatenate(index.pop(rank))
         left, right = vocabulary.left[rank], vocabulary.right[rank]
         second = after[at]
         stands = (token[at] == left) & (token[second] == right)
         at, second = at[stands], second[stands]
         if left == right and len(at) > 1:  # in a run of equal symbols every other pair counts
+            order = np.argsort(at)
+            at, second = at[order], second[order]
             opens = np.r_[True, second[:-1] != at[1:]]
             first = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
             taken = (np.arange(len(at)) - first) % 2 == 0
@@ -143,8 +145,10 @@ def merge_words(vocabulary: Vocabulary, words: list[bytes]) -> list[bytes]:
         token[at], token[second] = vocabulary.made[rank], -1
         after[at] = following
         before[following] = at
+        # A position comes once into a list: a symbol just made may be the one before another.
+        touched[at] = rank
         previous = before[at]
-        add(np.concatenate([previous[previous < n], at[following < n]]))
+        add(np.concatenate([previous[(previous < n) & (touched[previous] != rank)], at[following < n]]))
 
     kept = token[:n] >= 0
     counts = np.add.reduceat(kept, starts, dtype=np.int64)

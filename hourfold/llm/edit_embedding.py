@@ -23,15 +23,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ..sinks.files import stored
 from . import links
-from .tasks import arrow_schema, map_arrow, map_batches, record_batch, ship
+from .tasks import arrow_schema, map_arrow, map_batches, record_batch, ship, slices
 
 #: Samples of the first steps and of each octave.
 SAMPLES = 64
@@ -41,8 +43,9 @@ PERIOD = 1 << 14
 _CLASSES = 256
 #: Characters of texts that walk together, in a task.
 TOGETHER = 6_000_000
-BANDS, BAND_DIGITS = 24, 6
+BANDS, BAND_DIGITS = 64, 6
 SIMILARITY = 0.8
+_DEALT = "range bigint, behind boolean, doc_id bigint, order bigint, tie bigint, packed binary"
 _LEAST = -(2**63)  # in the place of a null doc_id
 _END = 255  # a sample beyond the text
 _DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
@@ -126,8 +129,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _in_order(docs: DataFrame) -> DataFrame:
     """Rows dealt into ranges of doc_id, each range sorted and followed by the first row of the next.
 
-    That row has ``behind`` set; the last range is followed by the first row of all. What goes through
-    the driver is a cut and a first row per range.
+    That row has ``behind`` set; the last range is followed by the first row of all. Texts travel
+    compressed. What goes through the driver is a cut and the key of the first row per range.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -148,18 +151,25 @@ def _in_order(docs: DataFrame) -> DataFrame:
     opening = sorted((r["range"], r["at"]["order"], r["at"]["tie"]) for r in first)
     before = {own[1:]: previous[0] for previous, own in zip([*opening[-1:], *opening], opening)}
 
-    @F.pandas_udf("array<bigint>")
-    def places(order: pd.Series, ties: pd.Series) -> pd.Series:
-        own = np.searchsorted(cuts, order.to_numpy()).tolist()
-        previous = map(before.get, zip(order.tolist(), ties.tolist(), strict=True))
-        return pd.Series([[a] if b is None else [a, -1 - b] for a, b in zip(own, previous, strict=True)])
-
-    rows = rows.withColumn("place", F.explode(places("order", "tie")))
-    behind = F.col("place") < 0
-    return rows.select(
-        F.when(behind, -1 - F.col("place")).otherwise(F.col("place")).alias("range"),
-        behind.alias("behind"), "doc_id", "text", "order", "tie",
-    ).repartition(parts, "range").sortWithinPartitions("range", "behind", "order", "tie")
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row to its range, and the first row of a range also to the one before."""
+        packer, schema = zstandard.ZstdCompressor(level=1), arrow_schema(_DEALT)
+        for batch in batches:
+            for part in slices(batch.column(3)):
+                keys, orders, ties, texts = (c.slice(part.start, part.stop - part.start) for c in batch.columns)
+                orders, ties = orders.to_pylist(), ties.to_pylist()
+                previous = [before.get(x) for x in zip(orders, ties, strict=True)]
+                again = [i for i, p in enumerate(previous) if p is not None]
+                rows = np.r_[np.arange(len(orders)), again].astype(int).tolist()
+                packed = [packer.compress(t.as_buffer()) for t in texts]
+                keys = keys.to_pylist()
+                yield record_batch([
+                    np.searchsorted(cuts, orders).tolist() + [previous[i] for i in again],
+                    [False] * len(orders) + [True] * len(again), *([c[i] for i in rows] for c in (keys, orders, ties, packed)),
+                ], schema)
+
+    dealt = map_arrow(rows.select("doc_id", "order", "tie", "text"), deal, _DEALT)
+    return dealt.repartition(parts, "range").sortWithinPartitions("range", "behind", "order", "tie")
 
 
 EDITED = (
@@ -195,8 +205,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk, rows, size = Walk(), [], 0
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for *row, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                row.append(unpacker.decompress(packed).decode())
                 if rows and rows[-1][1] and row[1] and rows[-1][0] == row[0]:
                     continue  # the row that follows, once more
                 rows.append(row)
@@ -208,7 +220,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         if rows:
             yield made(walk, rows)
 
-    ordered = _in_order(docs).select("range", "behind", "doc_id", "text")
+    ordered = _in_order(docs).select("range", "behind", "doc_id", "packed")
     return map_arrow(ordered, run, EDITED)
 
 
@@ -245,19 +257,27 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return distance
 
 
-def band_keys(fingerprint: str, walk: Walk, bands: int = BANDS, digits: int = BAND_DIGITS) -> list[int]:
-    """A key per band: digits sampled from those of the octaves that the text fills, and of one less."""
+def band_keys(fingerprint: str, bands: int = BANDS, digits: int = BAND_DIGITS) -> list[int]:
+    """A key per band: neighbouring samples, from those of the octaves that the text fills, and of one less.
+
+    Edits upset stretches of the walk; neighbours are upset together, so more bands stay whole.
+    """
     octaves = len(fingerprint) // SAMPLES
     out = []
     for filled in {octaves, octaves - 1} - {-1}:
         known = fingerprint[: filled * SAMPLES] if filled else fingerprint
-        places = np.random.default_rng(filled).integers(0, max(1, len(known)), (bands, digits))
-        for band, where in enumerate(places.tolist()):
-            key = f"{filled},{band}," + "".join(known[i : i + 1] for i in where)
+        for at in _band_places(filled, len(known), bands, digits):
+            key = f"{filled},{at},{known[at : at + digits]}"
             out.append(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))
     return out
 
 
+@lru_cache(1024)
+def _band_places(filled: int, size: int, bands: int, digits: int) -> list[int]:
+    random = np.random.default_rng(filled)
+    return sorted(set(random.integers(0, max(1, size - digits + 1), bands).tolist()))
+
+
 def linked(texts: list[str], threshold: float = SIMILARITY) -> list[tuple[int, int]]:
     """Pairs of texts whose edit distance is at most (1 - threshold) of the longer one."""
     find, join = links.union_find(len(texts))
@@ -278,7 +298,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         texts = [t or "" for t in texts.to_pylist()]
         marks = [walk.text(x) for x in walk.samples(texts)]
         digests = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in texts]
-        return [digests, [band_keys(m, walk) for m in marks]]
+        return [digests, [band_keys(m) for m in marks]]
 
     made = stored(
         map_batches(docs.select("doc_id", "text"), Walk, columns, "digest binary, keys array<bigint>"), "bands"

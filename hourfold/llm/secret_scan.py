@@ -29,6 +29,8 @@ from .tasks import map_batches, ship
 Span = tuple[int, int]
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.5
+#: Characters of the longest literal that may be a key.
+LONGEST = 4096
 
 # The base patterns.
 _ASSIGN = re.compile(
@@ -54,8 +56,10 @@ _NAME = re.compile(r"""([A-Za-z_$][\w.$-]*)["'\]]{0,2}[ \t]*$""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*)(?: [^<>\n]*)?>([^<>\n]+)</\1>")
 _OPTION = re.compile(r"(?<!\S)--?([A-Za-z][\w-]*)[ \t]+([^\s-]\S*)")
-_QUOTED = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`''')
-_BARE = re.compile(r"[^\s,;(){}\[\]\"'`<>]+")
+_QUOTED = re.compile(
+    r'''"((?:[^"\\\n]|\\.){0,%d})"|'((?:[^'\\\n]|\\.){0,%d})'|`([^`\n]{0,%d})`''' % (LONGEST, LONGEST, LONGEST)
+)
+_BARE = re.compile(r"\$\{[\w.]{1,%d}\}|[^\s,;(){}\[\]\"'`<>]{1,%d}" % (LONGEST, LONGEST + 1))
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*")
 _IDENTIFIER = re.compile(r"(?:\$\{?)?([A-Za-z_][\w.]*)\}?")
 _NAME_REACH = 96  # characters before a mark in which its name begins
@@ -99,7 +103,7 @@ def strength(literal: str, quoted: bool) -> float:
 class Literal:
     def __init__(self, start: int, end: int, text: str, quoted: bool):
         self.start, self.end, self.text, self.quoted = start, end, text, quoted
-        self.names: list[str] = []
+        self.names: set[str] = set()
 
 
 def _pairs(text: str) -> Iterator[tuple[int, str, int]]:
@@ -137,7 +141,7 @@ def _value(text: str, at: int, known: dict[str, list[Literal]]) -> list[Literal]
             handed = known.get(name[1]) if name else None
             if handed is not None:
                 out += handed
-            elif not word.startswith("$"):
+            elif not word.startswith("$") and len(word) <= LONGEST:
                 out.append(Literal(at, end, word, False))
             at = bare.end()
         more = _JOIN.match(text, at)
@@ -151,16 +155,16 @@ def assigned_literals(text: str) -> list[Literal]:
     known: dict[str, list[Literal]] = {}
     found: dict[Span, Literal] = {}
     for _, name, at in sorted(_pairs(text)):
-        held = _value(text, at, known)
+        held = list(dict.fromkeys(_value(text, at, known)))
         for literal in held:
-            literal.names.append(name)
+            literal.names.add(name)
             found[literal.start, literal.end] = literal
         if held:
             known[name] = held
     if "</" in text:
         for m in _ELEMENT.finditer(text):
             literal = Literal(*m.span(2), m[2], True)
-            literal.names.append(m[1])
+            literal.names.add(m[1])
             found.setdefault(m.span(2), literal)
     return list(found.values())
 

@@ -1,0 +1,70 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hourfold.llm import pivot_topk as pt
+
+DDL = "vec_id bigint, embedding array<float>, rank string, score string, width string"
+
+
+def brute(rows, k=10):
+    held = {}
+    for key, vector in rows:
+        if key is None or vector is None or any(x is None or not np.isfinite(x) for x in vector):
+            continue
+        whole = [int(np.floor(1024 * float(np.float32(x)))) for x in vector]
+        held[key] = min(held.get(key, whole), whole)
+    out = []
+    for q in held:
+        if q % 100 == 0:
+            scores = sorted(
+                (-sum(a * b for a, b in zip(held[q], v)), i) for i, v in held.items()
+                if i != q and len(v) == len(held[q])
+            )
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+def search(spark, rows):
+    table = spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], "", "", "") for i, v in rows], DDL)
+    return sorted(map(tuple, pt.top_k(table, F.col("vec_id") % 100 == 0).collect()))
+
+
+def test_whole_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    got = sorted(map(tuple, pt.top_k(table, F.col("vec_id") % 100 == 0).collect()))
+    assert got == brute([(r.vec_id, r.embedding) for r in table.collect()])
+
+
+@pytest.mark.parametrize("spread", [0.01, 1.0])
+def test_ties_and_clusters(spark, monkeypatch, spread):
+    monkeypatch.setattr(pt, "VECTORS", 64)
+    monkeypatch.setattr(pt, "QUERIES", 2)
+    pick = np.random.default_rng(3)
+    centres = pick.normal(size=(5, 8))
+    rows = [(i, (centres[i % 5] + spread * pick.normal(size=8)).round(1).tolist()) for i in range(500)]
+    rows += [(1000 + i, rows[i][1]) for i in range(60)]
+    assert search(spark, rows) == brute(rows)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (0, [1, 2]), (100, [0.5, -0.25]), (200, None), (300, [1, None]), (400, [1, float("nan")]),
+        (500, [float("inf"), 1]), (None, [1, 2]), (7, [1, 2]), (8, [3, 4]), (8, [3, 4]), (8, [2, 4]), (600, [1, 2, 3]),
+        (700, []), (9, []), (10, [0, 0]),
+    ]
+    assert search(spark, rows) == brute(rows)
+    assert search(spark, []) == []
+
+
+def test_bounds_hold(spark):
+    """No vector beats its bound, whatever the pivots."""
+    pick = np.random.default_rng(9)
+    vectors = pick.integers(-900, 900, (300, 12))
+    rows = [{"vec_id": i, "vector": v.tolist()} for i, v in enumerate(vectors[:20])]
+    pivots = pt.Pivots(rows, float((vectors.astype(float) ** 2).sum(1).max()))
+    queries = vectors[:10]
+    far_q, far_v = pivots.from_queries(queries.astype(float)), pivots.from_vectors(vectors.astype(float))
+    bound = np.abs(far_q[:, None, :] - far_v[None, :, :]).max(2)
+    most = ((queries.astype(float) ** 2).sum(1)[:, None] + pivots.square - bound**2) / 2
+    assert (queries @ vectors.T <= most + 1).all()

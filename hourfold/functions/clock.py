@@ -68,10 +68,10 @@ def month_code(ts: Column) -> Column:
 
 
 def month_first(code: Column) -> Column:
-    """First instant of a yyMM month (this century)."""
-    return F.make_date(
-        F.substring(code, 1, 2).cast("int") + 2000, F.substring(code, 3, 2).cast("int"), F.lit(1)
-    ).cast("timestamp_ntz")
+    """First instant of a yyMM month, of 1970 to 2069."""
+    year = F.substring(code, 1, 2).cast("int")
+    year = F.when(year < 70, year + 2000).otherwise(year + 1900)
+    return F.make_date(year, F.substring(code, 3, 2).cast("int"), F.lit(1)).cast("timestamp_ntz")
 
 
 def minutes_crossed(earlier: Column, later: Column) -> Column:

@@ -46,6 +46,44 @@ def observe_source_max(
     )
 
 
+def known_readings(obs: DataFrame, lookup: DataFrame, server_lookup: DataFrame) -> DataFrame:
+    """Largest stored reading of every listed (LinkServerName, Type); NULL where there is none yet."""
+    names = server_lookup.select("Server", "LinkServerName").distinct()
+    stored = obs.join(names, "Server").groupBy("LinkServerName", "Type").agg(
+        F.max("table_max").alias("known")
+    )
+    listed = lookup.select("LinkServerName", "Type").distinct()
+    return listed.join(stored, ["LinkServerName", "Type"], "left")
+
+
+def unseen(wagers: DataFrame, known: DataFrame, most: int = 1000) -> DataFrame:
+    """Wagers that may lie beyond ``known_readings``: all those of a Type that lacks one.
+
+    A Type's bound is the least reading of its servers, as a literal that reaches the scan. More than
+    ``most`` Types are read without a bound.
+    """
+    per_type = known.groupBy("Type").agg(
+        F.min("known").alias("low"), F.bool_and(F.col("known").isNotNull()).alias("all_known")
+    )
+    rows = per_type.filter("all_known").limit(most + 1).collect()
+    if not rows or len(rows) > most:
+        return wagers
+    t = F.col("wagerstime")
+    keep = ~F.col("Type").isin([r["Type"] for r in rows])
+    for r in rows:
+        keep = keep | ((F.col("Type") == r["Type"]) & (t >= clock.as_ntz(r["low"])))
+    return wagers.filter(keep)
+
+
+def at_least(observed: DataFrame, known: DataFrame) -> DataFrame:
+    """Observed readings, or the known ones where those are later."""
+    joined = observed.join(known, ["LinkServerName", "Type"], "left")
+    joined = joined.withColumn("table_max", F.greatest("table_max", "known"))
+    return joined.withColumn(
+        "diff_min", clock.minutes_crossed(F.col("table_max"), F.col("utc0"))
+    ).select(*observed.columns)
+
+
 def append_observations(
     obs: DataFrame, observed: DataFrame, server_lookup: DataFrame, batch_time: Column | dt.datetime
 ) -> DataFrame:

@@ -53,14 +53,25 @@ CTES: dict[str, str] = {
         FROM typed t JOIN places p ON p.Type = t.Type""",
     "hours": """
         SELECT unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM typed""",
-    "manifest": f"""
+    # Batches in which any timezone's events are read: events of hour h belong to batch h + 1 - Timezone.
+    "batches": """
+        SELECT unnest(generate_series(
+                 min(h) + to_hours(CAST((SELECT 1 - max(Timezone) FROM tz) AS INT)),
+                 max(h) + to_hours(CAST((SELECT 1 - min(Timezone) FROM tz) AS INT)), INTERVAL 1 HOUR)) AS h
+        FROM typed""",
+}
+
+
+def _manifest(lookup: str, batches: str, zones: str) -> str:
+    return f"""
         SELECT h AS batch_utc, s.*, z.Timezone, h + to_hours(CAST(z.Timezone - 1 AS INT)) AS start_t,
                h + to_hours(CAST(z.Timezone AS INT)) AS end_t, h + INTERVAL 8 HOUR AS DatePlayed
-        FROM (SELECT DISTINCT {_SOURCE} FROM lookup) s CROSS JOIN hours LEFT JOIN tz z ON z.Type = s.Type
+        FROM (SELECT DISTINCT {_SOURCE} FROM {lookup}) s CROSS JOIN {batches} LEFT JOIN {zones} z ON z.Type = s.Type
         WHERE MonthDB IS NULL
-           OR MonthDB = strftime(h + to_hours(CAST(coalesce(z.Timezone, 8) - 1 AS INT)), '%y%m')""",
-    "rollup_from": "",
-}
+           OR MonthDB = strftime(h + to_hours(CAST(coalesce(z.Timezone, 8) - 1 AS INT)), '%y%m')"""
+
+
+CTES["manifest"] = _manifest("lookup", "batches", "tz")
 
 
 def _rollup(manifest: str, wagers: str = "wagers") -> str:
@@ -117,7 +128,6 @@ def _choose(inferred: str) -> str:
 _first = ", ".join(f"'{s}'" for s in ev.FIRST_PATH)
 _second = ", ".join(f"'{s}'" for s in ev.SECOND_PATH)
 
-del CTES["rollup_from"]
 CTES |= {
     "rollup": _rollup("manifest"),
     "routed": _route("rollup"),
@@ -233,6 +243,21 @@ CTES |= {
         UNION ALL
         SELECT CAST(s_suppkey AS INT), CAST(s_nationkey - 11 AS INT) FROM supplier
         JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = 0""",
+    "big_servers": _values(od.SERVERS, "Server, LinkServerName, GroupRouted"),
+    "big_batches": f"""
+        SELECT unnest(generate_series(TIMESTAMP '{od.FIRST_BATCH}', TIMESTAMP '{od.LAST_BATCH}', INTERVAL 1 HOUR)) AS h""",
+    "big_manifest": _manifest("big_lookup", "big_batches", "big_tz"),
+    # One batch hour; the source of Type 39 declares a timezone.
+    "one_batch": f"SELECT TIMESTAMP '{ev.BATCH}' AS h",
+    "healed_tz": """
+        SELECT Type, Timezone FROM tz UNION ALL
+        SELECT Type, Timezone FROM declared_rows WHERE Type NOT IN (SELECT Type FROM tz)""",
+    "one_manifest": _manifest("lookup", "one_batch", "healed_tz"),
+    "one_rollup": _rollup("one_manifest"),
+    "one_routed": _route("one_rollup"),
+    "one_late": """
+        SELECT l.LinkServerName, l.Type FROM lag_rows l JOIN one_batch b ON l.DatePlayed = b.h + INTERVAL 8 HOUR
+        WHERE l.Status = 'Wait'""",
     "ambiguous": """
         SELECT DISTINCT LinkServerName, DBName, MonthDB, TableName, Type FROM big_lookup
         WHERE GameTypeSourceId IN (
@@ -257,12 +282,33 @@ _REPORT = (
 _AT = f"TIMESTAMP '{ev.AFTER}'"
 _BIG_AT = f"TIMESTAMP '{od.CURRENT}'"
 
+
+
+def _one_hour(fails: str, kept: str) -> str:
+    """Ledger and stored rows of the hour: ``fails`` is true of failed Types, ``kept`` of stored ones."""
+    return f"""
+        SELECT v.Server, m.Type, d.Destination, m.DatePlayed AS UpDateTime,
+               CASE WHEN {fails} THEN 'Fail' WHEN r.n > 0 THEN 'Success' ELSE 'Empty' END AS Status,
+               CASE WHEN {kept} THEN r.n END AS n, CASE WHEN {kept} THEN r.Commissionable END AS Commissionable
+        FROM (SELECT DISTINCT LinkServerName, Type, DatePlayed FROM one_manifest) m
+        JOIN servers v ON v.LinkServerName = m.LinkServerName
+        JOIN dests d ON v.GroupRouted OR NOT d.narrow
+        LEFT JOIN (SELECT LinkServerName, Type, Destination, count(*) AS n,
+                          CAST(sum(Commissionable) AS DOUBLE) AS Commissionable
+                   FROM one_routed GROUP BY LinkServerName, Type, Destination) r
+          ON r.LinkServerName = m.LinkServerName AND r.Type = m.Type AND r.Destination = d.Destination"""
+
+
+_LATE = "EXISTS (SELECT 1 FROM one_late l WHERE l.Type = m.Type AND l.LinkServerName = m.LinkServerName)"
+
 FINAL: dict[str, str] = {
-    "q_manifest": "SELECT batch_utc, LinkServerName, Type, DBName, MonthDB, start_t, end_t, DatePlayed FROM manifest",
+    "q_run_hour": _one_hour(_LATE, f"NOT {_LATE}"),
+    "q_run_hour_twice": _one_hour("m.Type IN (22, 97)", "true"),
+    "q_manifest": "SELECT batch_utc, LinkServerName, Type, DBName, MonthDB, start_t, end_t, DatePlayed FROM big_manifest",
     "q_manifest_as_is": """
         SELECT batch_utc, Type, LinkServerName || '.' || DBName
-               || CASE WHEN MonthDB IS NULL THEN '' ELSE strftime(end_t, '%y%m') END
-               || '.VW_' || TableName AS source FROM manifest""",
+               || CASE WHEN MonthDB IS NULL THEN '' ELSE strftime(coalesce(end_t, batch_utc + INTERVAL 8 HOUR), '%y%m') END
+               || '.VW_' || TableName AS source FROM big_manifest""",
     "q_game_list": "SELECT DISTINCT LinkServerName, Type, GameTypeSourceId FROM big_lookup",
     "q_game_counts": """
         SELECT LinkServerName, Type, count(DISTINCT GameTypeSourceId) AS n_games FROM big_lookup
@@ -310,7 +356,7 @@ FINAL: dict[str, str] = {
         FROM routed GROUP BY Destination""",
     "q_start_status": """
         SELECT v.Server, m.Type, d.Destination, 'Running' AS Status, m.DatePlayed AS UpDateTime
-        FROM manifest m JOIN servers v ON v.LinkServerName = m.LinkServerName
+        FROM big_manifest m JOIN big_servers v ON v.LinkServerName = m.LinkServerName
         JOIN dests d ON v.GroupRouted OR NOT d.narrow""",
     "q_batch_outcome": """
         SELECT DISTINCT v.Server, m.Type, d.Destination, m.DatePlayed AS UpDateTime,
@@ -394,7 +440,7 @@ FINAL: dict[str, str] = {
     "q_observe_source_max": "SELECT Type, table_max, utc0, diff_min FROM observed",
     "q_append_observations": f"""
         SELECT * FROM obs UNION ALL
-        SELECT {_AT} AS Batch_time, v.Server, o.Type, o.table_max, o.utc0, o.diff_min
+        SELECT TIMESTAMP '{ev.AFTER_UTC}' AS Batch_time, v.Server, o.Type, o.table_max, o.utc0, o.diff_min
         FROM observed o JOIN servers v ON v.LinkServerName = o.LinkServerName""",
     "q_tz_updates_only": """
         SELECT Type, Batch_time, table_max, table_max_lag, diff_min FROM (
@@ -423,8 +469,8 @@ FINAL: dict[str, str] = {
         FROM tz z FULL JOIN (SELECT Type, max(Timezone) AS Timezone FROM chosen GROUP BY Type) c ON c.Type = z.Type""",
     "q_select_recipients": """
         SELECT mode, string_agg(Email, ', ' ORDER BY Email) AS recipients FROM (
-          SELECT mode, Email, substr(md5(Email), 1, 4) AS shard,
-                 (row_number() OVER (PARTITION BY mode, substr(md5(Email), 1, 4) ORDER BY Email) - 1) // 50 AS line
+          SELECT mode, Email, substr(md5(Email), 1, 1) AS shard,
+                 (row_number() OVER (PARTITION BY mode, substr(md5(Email), 1, 1) ORDER BY Email) - 1) // 50 AS line
           FROM (SELECT DISTINCT mode, Email FROM picked))
         GROUP BY mode, shard, line""",
 }

@@ -1,7 +1,7 @@
 """One batch hour and one redo, from stored tables to stored tables.
 
 The driver looks at one row per gate; all rows stay with the executors. A run that dies can be
-started again: the rollup sink replaces by key and state tables are versioned.
+started again: rollup rows are versioned by key and state tables as a whole.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from ..operators import alerts, gates, ledger, manifest, redo, rollup, routing
 from ..sinks import files
 from ..sources import tables
 
+FAILURES = (PySparkException, Py4JJavaError)
+
 
 @dataclass
 class Inputs:
@@ -91,27 +93,47 @@ def healed_timezones(inputs: Inputs, current: dt.datetime) -> DataFrame:
 
 
 def _stored_hours(spark, path: str, due: DataFrame) -> DataFrame:
-    """What the sink now holds for the due keys, read from their days only."""
+    """What the sink now holds for the due keys, read from the folders of their days only."""
     low, high = due.select(F.min("DatePlayed"), F.max("DatePlayed")).first()
-    rows = files.read_rollup(spark, path)
-    return rows.filter(F.col("DatePlayed").between(clock.as_ntz(low), clock.as_ntz(high)))
+    if low is None:
+        low = high = "1970-01-01 00:00:00"
+    return files.read_rollup(spark, path, clock.as_ntz(low), clock.as_ntz(high))
+
+
+def _write(routed: DataFrame, due: DataFrame, path: str) -> list[int]:
+    """Types that could not be written; a job that fails is run again Type by Type.
+
+    The Types of a run are few (one per game provider), and so are the jobs of the second attempt.
+    """
+    try:
+        files.write_rollup(routed, due, path)
+        return []
+    except FAILURES:
+        types = sorted(r["Type"] for r in due.select("Type").distinct().collect())
+    failed = []
+    for one in types:
+        try:
+            own = F.col("Type") == one
+            files.write_rollup(routed.filter(own), due.filter(own), path)
+        except FAILURES:
+            failed.append(one)
+    return failed
 
 
 def _write_and_judge(
     inputs: Inputs, work: DataFrame, routed: DataFrame, due: DataFrame, held: DataFrame, path: str
 ) -> DataFrame:
-    """Ledger rows of the work after writing it; a failed write fails all of it."""
+    """Ledger rows of the work after writing it; Types that cannot be read or written fail alone.
+
+    The seconds are those of the whole run: all Types share its jobs.
+    """
     spark, began = work.sparkSession, time.monotonic()
-    try:
-        files.write_rollup(routed, due, path)
-    except (PySparkException, Py4JJavaError):
-        failed = work.select("LinkServerName", "Type", "DatePlayed")
-        return ledger.batch_outcome(
-            work, routed.limit(0), held, inputs.server_lookup, failed, time.monotonic() - began
-        )
-    stored = _stored_hours(spark, path, due)
+    failed = _write(routed, due, path)
+    lost = F.col("Type").isin(failed)
+    stored = _stored_hours(spark, path, due.filter(~lost)) if failed else _stored_hours(spark, path, due)
     return ledger.batch_outcome(
-        work, stored, held, inputs.server_lookup, seconds=time.monotonic() - began
+        work, stored.filter(~lost), held, inputs.server_lookup,
+        work.filter(lost).select("LinkServerName", "Type", "DatePlayed"), time.monotonic() - began,
     )
 
 
@@ -132,12 +154,14 @@ def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result
         manifest.list_sources(listed), zones, batch_utc, batch_utc, inputs.settings
     )
     work = manifest.expand(source_spans, inputs.settings)
-    due = routing.expected_destinations(work, inputs.server_lookup)
     held = ledger.not_ready(
         inputs.lag_status.filter(F.col("DatePlayed") == clock.as_ntz(current))
     )
+    # Held Types and Types without a window keep what is stored of them.
+    due = routing.expected_destinations(ledger.runnable(work, held), inputs.server_lookup)
     rows = rollup.hourly_rollup(
-        inputs.wagers, source_spans, manifest.game_list(listed), inputs.settings
+        tables.within_batches(inputs.wagers, [(batch_utc, batch_utc)]), source_spans,
+        manifest.game_list(listed), inputs.settings,
     )
     routed = routing.route(
         rollup.without_held(rows, held), inputs.site_group, inputs.server_lookup
@@ -157,6 +181,20 @@ def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result
     )
 
 
+def _batches(wanted: DataFrame) -> list[tuple[dt.datetime, dt.datetime]]:
+    """First and last batch hour (UTC) of each run of days in which hours are redone."""
+    days = wanted.select(clock.output_to_utc(F.col("UpDateTime")).cast("date").alias("d")).distinct()
+    out: list[tuple[dt.datetime, dt.datetime]] = []
+    for day in sorted(r["d"] for r in days.collect()):  # a row per day of the calendar
+        first = dt.datetime.combine(day, dt.time())
+        last = first + dt.timedelta(hours=23)
+        if out and first - out[-1][1] <= dt.timedelta(days=1):
+            out[-1] = out[-1][0], last
+        else:
+            out.append((first, last))
+    return out
+
+
 def run_redo(
     inputs: Inputs,
     batch_utc: dt.datetime,
@@ -183,13 +221,16 @@ def run_redo(
         return Result(inputs.batch_status, inputs.type_timezone, inputs.lag_status)
     running = ledger.mark_running(inputs.batch_status, wanted.select(*LEDGER_KEYS))
     listed = listed_games(inputs, ambiguous_servers(inputs, current))
-    work = redo.redo_manifest(wanted, listed, inputs.type_timezone, servers, settings)
+    zones = healed_timezones(inputs, current)
+    work = redo.redo_manifest(wanted, listed, zones, servers, settings)
     held = ledger.not_ready(inputs.lag_status)
+    free = ledger.runnable(work, held)
+    wagers = tables.within_batches(inputs.wagers, _batches(wanted))
     routed = redo.redo_rollup(
-        wanted, ledger.runnable(work, held), inputs.wagers, manifest.game_list(listed),
+        wanted, free, wagers, manifest.game_list(listed),
         inputs.site_group, servers, settings, all_destinations,
     )
-    due = routing.expected_destinations(work, servers).select(
+    due = routing.expected_destinations(free, servers).select(
         "LinkServerName", "Server", "Type", "Destination", "DatePlayed"
     ).distinct()
     if not all_destinations:
@@ -204,4 +245,4 @@ def run_redo(
     updates = outcome.unionByName(lost.select(*outcome.columns))
     status = ledger.apply_status(running, updates)
     lag_rows = redo.close_redo(inputs.lag_status, updates, servers, close_failed)
-    return Result(status, inputs.type_timezone, lag_rows)
+    return Result(status, zones, lag_rows)

@@ -39,9 +39,11 @@ def run_lag_check(
         F.lit(str(current)).cast("timestamp_ntz").alias("DatePlayed")
     )
     finished = gates.mark_lag_run(gates.open_lag_run(hour), hour)
-    both = stored_lag.unionByName(rows)
+    # The rows of an hour replace those of an earlier check of it.
+    other = ~F.col("DatePlayed").eqNullSafe(F.lit(str(current)).cast("timestamp_ntz"))
+    both = stored_lag.filter(other).unionByName(rows)
     return LagResult(
-        both, stored_runs.unionByName(finished), alerts.lag_alerts(both, settings.alert_hours)
+        both, stored_runs.filter(other).unionByName(finished), alerts.lag_alerts(both, settings.alert_hours)
     )
 
 
@@ -58,10 +60,17 @@ def run_observe(
     batch_utc: dt.datetime,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Observation history with the readings of this batch."""
-    observed = timezones.observe_source_max(wagers, lookup, batch_utc, settings)
-    current = batch_utc + dt.timedelta(hours=OUTPUT_UTC_OFFSET_HOURS)
-    return timezones.append_observations(obs, observed, server_lookup, current)
+    """Observation history with the readings of this batch; Batch_time is UTC, as its readers expect.
+
+    Only wagers from the stored readings on are read; sources only grow, so a new reading is the
+    larger of the stored one and what is found.
+    """
+    known = timezones.known_readings(obs, lookup, server_lookup)
+    observed = timezones.observe_source_max(
+        timezones.unseen(wagers, known), lookup, batch_utc, settings
+    )
+    observed = timezones.at_least(observed, known)
+    return timezones.append_observations(obs, observed, server_lookup, batch_utc)
 
 
 @dataclass

@@ -11,6 +11,8 @@ from .functions import clock
 from .operators import (
     alerts, gates, lag, ledger, manifest, redo, rollup, routing, timezones,
 )
+from .plans import hourly
+from .schemas import fields
 from .sinks import files
 from .sources import tables
 from .testbed import from_events as ev, from_orders as od, given
@@ -33,7 +35,7 @@ def _money(df: DataFrame) -> DataFrame:
 # Chains shared by several queries.
 
 def _spans(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
-    first, last = ev.hour_range(spark, d)
+    first, last = ev.batch_range(spark, d)
     sources = manifest.list_sources(ev.source_lookup(spark))
     return manifest.spans(sources, ev.type_timezone(spark), first, last, settings)
 
@@ -63,7 +65,7 @@ def _redo_state(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Data
     """
     lag_rows = files.stored(ev.lag_hours(spark, d), "lag_status")
     status = _ledger(spark, lag_rows)
-    rechecked = lag.recheck_lag(lag_rows, ev.observations(spark, d))
+    rechecked = files.stored(lag.recheck_lag(lag_rows, ev.observations(spark, d)), "rechecked")
     wanted = redo.redo_candidates(status, ev.server_lookup(spark), rechecked)
     return status, rechecked, wanted
 
@@ -93,9 +95,17 @@ def _chosen(spark: SparkSession, d: str) -> DataFrame:
 
 # Manifest and lookup.
 
+def _listed_manifest(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
+    """Manifest of the sources that the order lines list."""
+    sources = manifest.list_sources(od.source_lookup(spark, d))
+    return manifest.schedule(
+        sources, od.type_timezone(spark, d), od.FIRST_BATCH, od.LAST_BATCH, settings
+    )
+
+
 @query
 def q_manifest(spark: SparkSession, d: str) -> DataFrame:
-    return _manifest(spark, d).select(
+    return _listed_manifest(spark, d).select(
         "batch_utc", "LinkServerName", "Type", "DBName", "MonthDB", "start_t", "end_t", "DatePlayed"
     )
 
@@ -103,7 +113,7 @@ def q_manifest(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_manifest_as_is(spark: SparkSession, d: str) -> DataFrame:
     settings = Settings(month_of="end")
-    rows = manifest.expand(_spans(spark, d, settings), settings)
+    rows = _listed_manifest(spark, d, settings)
     return rows.select("batch_utc", "Type", manifest.physical_name(settings).alias("source"))
 
 
@@ -199,7 +209,7 @@ def q_write_readback(spark: SparkSession, d: str) -> DataFrame:
     due = routing.expected_destinations(_manifest(spark, d), ev.server_lookup(spark))
     path, routed = files.shared_dir(spark, "rollup"), files.stored(_routed(spark, d), "routed")
     for _ in range(2):
-        files.write_rollup(routed, due, path, layout="day")
+        files.write_rollup(routed, due, path)
     return _money(
         files.read_rollup(spark, path).groupBy("Destination").agg(
             F.count(F.lit(1)).alias("n"), F.sum("Commissionable").alias("Commissionable")
@@ -207,11 +217,60 @@ def q_write_readback(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# One batch hour through the plan.
+
+def _hour_inputs(spark: SparkSession, d: str, **changes) -> hourly.Inputs:
+    """The tables of a run; the lag check of every hour has finished."""
+    lag_rows = ev.lag_hours(spark, d)
+    no_books = spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in fields("batch_status")))
+    return hourly.Inputs(**{
+        "wagers": ev.wagers(spark, d), "lookup": ev.source_lookup(spark),
+        "excluded": tables.excluded_types(ev.game_lookup(spark)),
+        "type_timezone": ev.type_timezone(spark), "raw_data_info": ev.raw_data_info(spark),
+        "site_group": ev.site_group(spark), "server_lookup": ev.server_lookup(spark),
+        "lookup_updates": ev.lookup_updates(spark, d), "lag_status": lag_rows,
+        "lag_runs": lag_rows.select("DatePlayed", F.lit("Success").alias("Status")).distinct(),
+        "batch_status": no_books, **changes,
+    })
+
+
+def _with_rows(spark: SparkSession, path: str, result: hourly.Result) -> DataFrame:
+    """Ledger rows with the rollup rows that are stored for them."""
+    stored = files.read_rollup(spark, path).join(ev.server_lookup(spark), "LinkServerName").groupBy(
+        "Server", "Type", "Destination", F.col("DatePlayed").alias("UpDateTime")
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum("Commissionable").alias("Commissionable"))
+    rows = result.batch_status.join(stored, LEDGER_KEYS, "left")
+    return _money(rows.select(*LEDGER_KEYS, "Status", "n", "Commissionable"))
+
+
+@query
+def q_run_hour(spark: SparkSession, d: str) -> DataFrame:
+    """A batch hour from gates to ledger; one Type's timezone is healed, late Types are held."""
+    path = files.shared_dir(spark, "rollup")
+    return _with_rows(spark, path, hourly.run_hour(_hour_inputs(spark, d), ev.BATCH, path))
+
+
+@query
+def q_run_hour_twice(spark: SparkSession, d: str) -> DataFrame:
+    """The hour again, with one Type held and one without timezone: their stored rows stay."""
+    path, ready = files.shared_dir(spark, "rollup"), F.lit("Success").alias("Status")
+    lag_rows = ev.lag_hours(spark, d).withColumn("Status", ready)
+    first = hourly.run_hour(_hour_inputs(spark, d, lag_status=lag_rows), ev.BATCH, path)
+    held = F.when(F.col("Type") == 97, "Wait").otherwise("Success")
+    zones = ev.type_timezone(spark).filter("Type <> 22")
+    declared = ev.raw_data_info(spark).filter("Type <> 22")
+    again = hourly.run_hour(_hour_inputs(
+        spark, d, lag_status=lag_rows.withColumn("Status", held), type_timezone=zones, raw_data_info=declared,
+        batch_status=files.stored(first.batch_status, "book"),
+    ), ev.BATCH, path)
+    return _with_rows(spark, path, again)
+
+
 # Ledger.
 
 @query
 def q_start_status(spark: SparkSession, d: str) -> DataFrame:
-    rows = ledger.start_status(_manifest(spark, d), ev.server_lookup(spark))
+    rows = ledger.start_status(_listed_manifest(spark, d), od.server_lookup(spark))
     return rows.select("Server", "Type", "Destination", "Status", "UpDateTime")
 
 
@@ -369,7 +428,7 @@ def q_append_observations(spark: SparkSession, d: str) -> DataFrame:
         ev.wagers(spark, d), ev.source_lookup(spark), ev.AFTER_UTC
     )
     return timezones.append_observations(
-        ev.observations(spark, d), observed, ev.server_lookup(spark), ev.AFTER
+        ev.observations(spark, d), observed, ev.server_lookup(spark), ev.AFTER_UTC
     )
 
 
@@ -446,4 +505,4 @@ def q_select_recipients(spark: SparkSession, d: str) -> DataFrame:
     rows = picked[0]
     for more in picked[1:]:
         rows = rows.unionByName(more)
-    return alerts.recipient_lines(rows, shard_digits=4)
+    return alerts.recipient_lines(rows, shard_digits=1)

@@ -31,6 +31,7 @@ TABLES: dict[str, str] = {
         "Status string, Table_max timestamp_ntz, Run_threshold timestamp_ntz"
     ),
     "lag_run_status": "DatePlayed timestamp_ntz, Status string",
+    # Batch_time is UTC, like utc0; table_max is on the provider's clock.
     "tz_observations": (
         "Batch_time timestamp_ntz, Server string, Type int, table_max timestamp_ntz, "
         "utc0 timestamp_ntz, diff_min bigint"

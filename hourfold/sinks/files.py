@@ -1,7 +1,8 @@
-"""Parquet sinks that can be run again: rollup partitions replaced by key, state tables by snapshot."""
+"""Parquet sinks that can be run again: rollup rows versioned by key, state tables by snapshot."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,8 @@ STORED = [
     "DatePlayed", "GameAccount", "SiteId", "GameTypeSourceId", "Commissionable", "WagersCount",
     "PayOff", "WinsCount", "LinkServerName", "Type", "Destination",
 ]
+# Versions that a reader names to the scan, so that other versions' folders aren't opened.
+LIVE_VERSIONS = 1000
 LAYOUTS = {"day": ["Destination", "date"], "hour": ["Destination", "date", "hour"]}
 
 
@@ -45,53 +48,62 @@ def read_existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _placed(df: DataFrame, layout: str) -> DataFrame:
-    df = df.withColumn("date", F.col("DatePlayed").cast("date").cast("string"))
-    return df.withColumn("hour", F.hour("DatePlayed")) if layout == "hour" else df
+def _rows_schema() -> str:
+    kinds = {
+        "DatePlayed": "timestamp_ntz", "GameAccount": "string", "SiteId": "int", "GameTypeSourceId": "int",
+        "Commissionable": "decimal(38,4)", "WagersCount": "bigint", "PayOff": "decimal(38,4)",
+        "WinsCount": "bigint", "LinkServerName": "string", "Type": "int", "Destination": "string",
+    }
+    return ", ".join(f"{c} {kinds[c]}" for c in STORED)
 
 
-def _markers(keys: DataFrame, like: DataFrame) -> DataFrame:
-    """One empty row per key, so that a key without rows still replaces its partition."""
-    blank: list[Column] = []
-    for f in like.schema.fields:
-        if f.name not in KEYS:
-            value = F.lit(0) if f.name in ("WagersCount", "WinsCount") else F.lit(None)
-            blank.append(value.cast(f.dataType).alias(f.name))
-    return keys.select(*KEYS, *blank).select(*like.columns)
+def write_rollup(
+    routed: DataFrame, due: DataFrame, path: str, layout: str = "hour", version: str | None = None
+) -> None:
+    """Replace the rows of every ``due`` key (KEYS) by the routed ones, whatever was there before.
 
-
-def write_rollup(routed: DataFrame, due: DataFrame, path: str, layout: str = "hour") -> None:
-    """Replace the rows of every ``due`` key (KEYS) by the routed ones.
-
-    Running it again leaves the same table. Only the partitions of due keys are rewritten; rows
-    of other keys in them are carried over. A partition as large as a whole destination is split
-    over tasks by the rebalance, so no task writes it alone.
+    Rows and due keys go to folders of their own version, which is announced when both are complete:
+    nothing is read back, carried over or deleted, so a run that dies changes nothing and writers of
+    other keys don't meet. A key's rows are those of its newest announced version, so a key that is
+    announced without rows is empty. Versions sort by time. A destination's rows are split over tasks
+    by the rebalance.
     """
     spark = routed.sparkSession
-    keys = stored(due.select(*KEYS).distinct(), "due")
-    new = routed.select(*STORED)
-    rows = new.unionByName(_markers(keys, new))
-    old = read_existing(spark, path)
+    version = version or f"{time.time_ns():020d}-{uuid.uuid4().hex}"
     parts = LAYOUTS[layout]
-    if old is not None:
-        # One row: the days to look at, as literals that prune directories.
-        low, high = keys.select(F.min("DatePlayed"), F.max("DatePlayed")).first()
-        if low is not None:
-            days = F.col("date").cast("string").between(str(low.date()), str(high.date()))
-            touched = _placed(keys, layout).select(*parts).distinct()
-            nearby = _placed(old.filter(days).select(*STORED), layout)
-            kept = fact_join(fact_join(nearby, touched, parts, "left_semi"), keys, KEYS, "left_anti")
-            rows = rows.unionByName(kept.select(*STORED))
-    (
-        _placed(rows, layout).hint("rebalance", *[F.col(p) for p in parts])
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts).parquet(path)
+    kinds = [c.split(" ", 1) for c in _rows_schema().split(", ")]
+    rows = routed.selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in kinds])
+    rows = rows.withColumn("date", F.col("DatePlayed").cast("date"))
+    if "hour" in parts:
+        rows = rows.withColumn("hour", F.hour("DatePlayed"))
+    rows.hint("rebalance", *[F.col(p) for p in parts]).write.mode("overwrite").partitionBy(*parts).parquet(
+        f"{path}/rows/version={version}"
     )
+    due.select(*KEYS).distinct().write.mode("overwrite").parquet(f"{path}/keys/version={version}")
+    announced = spark.range(1).select(F.lit(version).alias("version"))
+    announced.write.mode("append").parquet(f"{path}/announced")
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """Stored rollup rows without the markers."""
-    return spark.read.parquet(path).filter(F.col("WagersCount") > 0).select(*STORED)
+def read_rollup(
+    spark: SparkSession, path: str, first: Column | None = None, last: Column | None = None
+) -> DataFrame:
+    """Stored rollup rows, of the output hours [first, last] where given; only their folders are read."""
+    announced = read_existing(spark, f"{path}/announced")
+    if announced is None:
+        return spark.createDataFrame([], _rows_schema())
+    keys = spark.read.schema(
+        "Destination string, LinkServerName string, Type int, DatePlayed timestamp_ntz, version string"
+    ).parquet(f"{path}/keys").join(announced, "version", "left_semi")
+    rows = spark.read.schema(f"{_rows_schema()}, version string, date date").parquet(f"{path}/rows")
+    for bound, within in ((first, Column.__ge__), (last, Column.__le__)):
+        if bound is not None:
+            keys = keys.filter(within(F.col("DatePlayed"), bound))
+            rows = rows.filter(within(F.col("DatePlayed"), bound) & within(F.col("date"), bound.cast("date")))
+    newest = keys.groupBy(*KEYS).agg(F.max("version").alias("version"))
+    live = [r["version"] for r in newest.select("version").distinct().limit(LIVE_VERSIONS + 1).collect()]
+    if len(live) <= LIVE_VERSIONS:  # else the join alone drops what later versions replaced
+        rows = rows.filter(F.col("version").isin(live))
+    return fact_join(rows, newest, [*KEYS, "version"], "left_semi").select(*STORED)
 
 
 def write_snapshot(df: DataFrame, root: str, version: int) -> None:

@@ -45,15 +45,24 @@ def read_wagers(
 
     Laid out in directories by Type and MonthDB, the month test also drops whole directories.
     """
-    low = first_batch + dt.timedelta(hours=WEST - 1)
-    high = last_batch + dt.timedelta(hours=EAST)
     wagers = read_table(spark, "wagers", path, fmt, **options)
-    t = F.col("wagerstime")
-    months = sorted(_months(low, high))
-    return wagers.filter(
-        (t >= clock.as_ntz(low)) & (t < clock.as_ntz(high))
-        & (F.col("MonthDB").isNull() | F.col("MonthDB").isin(months))
-    )
+    return within_batches(wagers, [(first_batch, last_batch)])
+
+
+def within_batches(
+    wagers: DataFrame, batches: list[tuple[dt.datetime, dt.datetime]]
+) -> DataFrame:
+    """Wagers that any source may hold for ranges [first, last] of batch hours (UTC).
+
+    The bounds are literals, so they reach the scan and prune months; none are kept for no ranges.
+    """
+    t, keep = F.col("wagerstime"), F.lit(False)
+    months: set[str] = set()
+    for first, last in batches:
+        low, high = first + dt.timedelta(hours=WEST - 1), last + dt.timedelta(hours=EAST)
+        keep = keep | ((t >= clock.as_ntz(low)) & (t < clock.as_ntz(high)))
+        months |= _months(low, high)
+    return wagers.filter(keep & (F.col("MonthDB").isNull() | F.col("MonthDB").isin(sorted(months))))
 
 
 def _months(low: dt.datetime, high: dt.datetime) -> set[str]:

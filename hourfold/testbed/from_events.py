@@ -35,6 +35,8 @@ TARGETS = [22, 23, 97, 39]
 FIRST_PATH, SECOND_PATH = ["10", "30"], ["20"]
 # The run that looks back on the month.
 AFTER_UTC, AFTER = "2024-01-31 00:00:00", "2024-01-31 08:00:00"
+# A batch hour in the middle of the month.
+BATCH = dt.datetime(2024, 1, 15, 6)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,12 @@ def hour_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.dateti
     return first, last
 
 
+def batch_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    """First and last batch hour in which a Type of any timezone has its events read."""
+    (first, last), zones = hour_range(spark, sf_dir), [z for _, z in ZONES]
+    return first + dt.timedelta(hours=1 - max(zones)), last + dt.timedelta(hours=1 - min(zones))
+
+
 def observations(spark: SparkSession, sf_dir: str, both_paths: bool = False) -> DataFrame:
     """Hourly readings: newest wager so far, on the provider's clock, at the end of the hour.
 

@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clock
-from . import given
+from . import fixed_rows, given
 
 CURRENT = "1998-06-15 08:00:00"
 SERVER = "S3"
+# Two days of batches around the end of a month (UTC).
+FIRST_BATCH, LAST_BATCH = "1998-06-30 00:00:00", "1998-07-01 23:00:00"
+SERVERS = [("10", "S0", False), ("20", "S1", True), ("30", "S2", False), ("40", "S3", True), ("50", "S4", False)]
 
 
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +35,10 @@ def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.distinct()
 
 
+def server_lookup(spark: SparkSession) -> DataFrame:
+    return fixed_rows(spark, SERVERS, "Server string, LinkServerName string, GroupRouted boolean")
+
+
 def game_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four nations stand for the excluded halls; categories repeat and some are missing."""
     supplier, nation = given(spark, sf_dir, "supplier"), given(spark, sf_dir, "nation")

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_file
+from hourfold.queries import QUERIES
 from hourfold.testbed import GIVEN
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -29,7 +30,7 @@ def normal(rows):
     return sorted(out, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_file.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_duckdb(spark, duck, name):
     df = entry_file.queries()[name](spark, SF_DIR)
     names = sorted(df.columns)
@@ -60,13 +61,24 @@ def test_month_totals_per_type(spark):
         F.sum("WinsCount"),
     )
     assert sorted((r[0], r[1], str(r[2]), r[3], str(r[4]), r[5]) for r in totals.collect()) == [
-        (22, 1587, "81599.39", 1591, "-25487.15", 448),
-        (23, 1577, "76574.96", 1579, "-21012.80", 462),
-        (97, 1209, "61133.79", 1214, "-17463.31", 346),
+        (22, 1588, "81641.52", 1592, "-25529.28", 448),
+        (23, 1596, "77494.38", 1598, "-21697.20", 466),
+        (97, 1218, "61635.42", 1223, "-17367.80", 350),
         (98, 363, "18101.15", 363, "-3996.03", 108),
     ]
 
 
+def test_every_event_of_a_known_timezone_has_a_batch(spark):
+    """The first and the last hours of the events too, whatever the Type's timezone."""
+    from hourfold.queries import _manifest
+    from hourfold.testbed import from_events as ev
+
+    work = _manifest(spark, SF_DIR).filter("start_t IS NOT NULL").select("Type", "start_t").distinct()
+    hours = ev.wagers(spark, SF_DIR).selectExpr("Type", "date_trunc('hour', wagerstime) AS start_t")
+    without = hours.filter("Type <> 39").join(work, ["Type", "start_t"], "left_anti")
+    assert without.isEmpty()
+
+
 def test_lag_totals_when_all_types_are_targets(spark):
     from hourfold.testbed import fixed_rows, from_events as ev
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hourfold.operators import manifest
 from hourfold.plans import hourly, watch
 from hourfold.sinks import files
+from hourfold.sources import tables
 
 UTC = dt.datetime(2024, 2, 1, 2)
 T, T1 = "2024-02-01 10:00:00", "2024-02-01 11:00:00"
@@ -53,6 +54,41 @@ def test_rollup_sink_replaces_by_key(spark, tmp_path, layout):
     ]
 
 
+def test_writing_reads_nothing_back(spark, tmp_path):
+    """A second write replaces rows that can no longer be read."""
+    path = tmp_path / "r"
+    rows = routed(spark, [("DS_Server", "S1", 1, T, "a"), ("DS_Server", "S1", 2, T, "b")])
+    files.write_rollup(rows, keys(rows), str(path))
+    for part in (path / "rows").rglob("*.parquet"):
+        part.write_bytes(b"broken")
+    files.write_rollup(rows, keys(rows), str(path))
+    assert held_rows(spark, str(path)) == [("DS_Server", 1, T, "a"), ("DS_Server", 2, T, "b")]
+
+
+def test_a_version_that_was_not_announced_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "r")
+    first = routed(spark, [("DS_Server", "S1", 1, T, "a")])
+    files.write_rollup(first, keys(first), path)
+    other = routed(spark, [("DS_Server", "S1", 1, T, "z")])
+    files.write_rollup(other, keys(other), path, version="9" * 20)
+    assert held_rows(spark, path) == [("DS_Server", 1, T, "z")]
+    (announced,) = [p for p in (tmp_path / "r" / "announced").glob("*.parquet")
+                    if "9" * 20 in str(spark.read.parquet(str(p)).collect())]
+    announced.unlink()
+    assert held_rows(spark, path) == [("DS_Server", 1, T, "a")]
+
+
+def test_reading_hours_prunes_folders(spark, tmp_path):
+    path = str(tmp_path / "r")
+    rows = routed(spark, [("DS_Server", "S1", 1, T, "a"), ("DS_Server", "S1", 1, "2024-02-03 10:00:00", "b")])
+    files.write_rollup(rows, keys(rows), path)
+    at = F.lit(T).cast("timestamp_ntz")
+    read = files.read_rollup(spark, path, at, at)
+    assert [r["GameAccount"] for r in read.collect()] == ["a"]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
 def test_snapshots_show_the_newest_announced_version(spark, tmp_path):
     root = str(tmp_path / "state")
     assert files.read_snapshot(spark, root) is None
@@ -123,6 +159,44 @@ def test_an_hour_from_gates_to_ledger_and_again(spark, inputs, tmp_path):
     assert got(result.type_timezone.select("Type", "Timezone")) == [(22, 0), (97, 8)]
 
 
+def test_a_second_run_keeps_held_and_unknown_types(spark, table, inputs, tmp_path):
+    path = str(tmp_path / "rollup")
+    hourly.run_hour(inputs(), UTC, path)
+    before = held_rows(spark, path)
+    late = table("lag_status", [(T, "S2", 97, None, "Wait", None, None)])
+    nowhere = table("raw_data_info", [(97, 8)])
+    zones = table("type_timezone", [(97, 8, T, "Success")])
+    again = hourly.run_hour(inputs(lag_status=late, type_timezone=zones, raw_data_info=nowhere), UTC, path)
+    assert held_rows(spark, path) == before
+    assert {r[3] for r in ledger_rows(again.batch_status) if r[1] in (22, 97)} == {"Fail"}
+
+
+def test_an_unreadable_type_fails_alone(spark, inputs, tmp_path):
+    fact = str(tmp_path / "fact")
+    inputs().wagers.write.partitionBy("Type").parquet(fact)
+    for part in (tmp_path / "fact" / "Type=97").glob("*.parquet"):
+        part.write_bytes(b"not parquet")
+    schema = inputs().wagers.schema
+    wagers = spark.read.schema(schema).parquet(fact).select(*schema.names)
+    result = hourly.run_hour(inputs(wagers=wagers), UTC, str(tmp_path / "r"))
+    assert ledger_rows(result.batch_status) == [
+        ("10", 22, "DS_Server", "Success"), ("20", 97, "DS_Server", "Fail"), ("20", 97, "Noah1_Server", "Fail"),
+        ("20", 97, "Noah2_Server", "Fail"), ("30", 39, "DS_Server", "Fail")]
+    assert held_rows(spark, str(tmp_path / "r")) == [("DS_Server", 22, T, "ann")]
+
+
+def test_fact_scans_are_bounded(spark, inputs, tmp_path):
+    """Literal bounds on the time and the month reach the scan."""
+    fact = str(tmp_path / "fact")
+    inputs().wagers.write.partitionBy("MonthDB").parquet(fact)
+    schema = inputs().wagers.schema
+    wagers = spark.read.schema(schema).parquet(fact).select(*schema.names)
+    read = tables.within_batches(wagers, [(UTC, UTC), (UTC + dt.timedelta(days=9), UTC + dt.timedelta(days=9))])
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(MonthDB" in plan and "GreaterThanOrEqual(wagerstime,2024-01-31T13:00" in plan
+    assert tables.within_batches(wagers, []).isEmpty()
+
+
 @pytest.mark.parametrize("gate, change", [
     ("lookup", lambda t: {"lookup_updates": t("lookup_update_status", [("2024-02-01 09:59:00", 1)])}),
     ("lag", lambda t: {"lag_runs": t("lag_run_status", [(T, "Updating")])}),
@@ -185,6 +259,17 @@ def test_late_hour_is_held_then_redone_once(spark, table, inputs, tmp_path):
     assert held_rows(spark, path) == want
 
 
+def test_redo_heals_timezones(spark, table, inputs, tmp_path):
+    """The source of the redone Type declares a timezone that isn't stored."""
+    path = str(tmp_path / "rollup")
+    cleared = table("lag_status", [(T, "S2", 97, None, "ReRun", None, None)])
+    book = table("batch_status", [("20", 97, "DS_Server", "Fail", 1.0, T)])
+    after = hourly.run_redo(inputs(batch_status=book, lag_status=cleared), UTC, path)
+    assert ledger_rows(after.batch_status) == [("20", 97, "DS_Server", "Success")]
+    assert held_rows(spark, path) == [("DS_Server", 97, T, "bob")]
+    assert (97, 8) in got(after.type_timezone.select("Type", "Timezone"))
+
+
 def test_redo_touches_only_the_failed_destination(spark, table, inputs, tmp_path):
     path = str(tmp_path / "rollup")
     cleared = table("lag_status", [(T, "S2", 97, None, "ReRun", None, None)])
@@ -214,6 +299,21 @@ def test_lag_check_then_recheck(table):
     assert got(watch.run_recheck(now, obs).select("Type", "Status")) == [(22, "ReRun"), (98, "Success")]
 
 
+def test_observe_then_lag_check_twice(table):
+    """The check sees the reading of its own hour, and a second check replaces the first."""
+    lookup = table("source_lookup", [("S1", 22, "d", None, "t", 22)])
+    fact = table("wagers", [("S1", "d", None, "t", 22, "2024-02-01 01:59:00", "a", 1, 22, "1", "1")])
+    servers, zones = table("server_lookup", [("10", "S1", False)]), table("type_timezone", [(22, 0)], only=["Type", "Timezone"])
+    obs = watch.run_observe(fact, lookup, table("tz_observations", []), servers, UTC)
+    games, targets = table("game_lookup", [(22, "h", "x")]), table("lag_target_types", [(22,)])
+    rows, runs = table("lag_status", []), table("lag_run_status", [])
+    for _ in range(2):
+        result = watch.run_lag_check(lookup, games, obs, zones, targets, rows, runs, UTC)
+        rows, runs = files.stored(result.lag_status, "lag"), files.stored(result.lag_runs, "runs")
+        assert got(rows.select("DatePlayed", "Type", "Status")) == [(T, 22, "Success")]
+        assert got(runs) == [(T, "Success")]
+
+
 def test_timezone_analysis_merges_only_without_changes(table):
     obs = table("tz_observations", [
         (f"2024-02-01 {h:02d}:00:00", s, t, f"2024-02-01 {h - 1:02d}:50:00", f"2024-02-01 {h:02d}:00:00", 10)
@@ -233,7 +333,11 @@ def test_timezone_analysis_merges_only_without_changes(table):
 def test_observation_run(table):
     lookup = table("source_lookup", [("S1", 22, "d", None, "t", 22)])
     fact = table("wagers", [("S1", "d", None, "t", 22, "2024-02-01 01:40:00", "a", 1, 22, "1", "1")])
-    old = table("tz_observations", [("2024-02-01 09:00:00", "10", 22, None, None, None)])
+    old = table("tz_observations", [("2024-02-01 01:00:00", "10", 22, None, None, None)])
     out = watch.run_observe(fact, lookup, old, table("server_lookup", [("10", "S1", False)]), UTC)
-    assert got(out)[-1] == (T, "10", 22, "2024-02-01 01:40:00", str(UTC), 20)
+    assert got(out)[-1] == (str(UTC), "10", 22, "2024-02-01 01:40:00", str(UTC), 20)
+    # A stored reading bounds what is read, and stays where nothing newer is found.
+    known = table("tz_observations", [(str(UTC), "10", 22, "2024-02-01 01:50:00", None, None)])
+    out = watch.run_observe(fact, lookup, known, table("server_lookup", [("10", "S1", False)]), UTC + dt.timedelta(hours=1))
+    assert got(out)[-1] == ("2024-02-01 03:00:00", "10", 22, "2024-02-01 01:50:00", "2024-02-01 03:00:00", 70)
     assert manifest.list_sources(lookup).count() == 1

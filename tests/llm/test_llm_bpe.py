@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 from hourfold.llm import bpe
 from hourfold.llm.queries import VOCABULARY
+from document_fixtures import awkward, docs_of  # noqa: F401
 
 
 @pytest.fixture(scope="module")

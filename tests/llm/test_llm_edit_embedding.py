@@ -4,7 +4,7 @@ import random
 import numpy as np
 
 from hourfold.llm import edit_embedding as ee
-from conftest import words
+from document_fixtures import awkward, docs_of, sample, words  # noqa: F401
 
 
 def slow_distance(a, b):

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from hourfold.llm import language_id as li
+from document_fixtures import awkward, docs_of  # noqa: F401
 
 EN = "the quick brown fox and the lazy dog were walking together through this whole city "
 FR = "le renard brun et le chien paresseux marchaient ensemble à travers toute cette ville "

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourfold.llm import line_dedup as ld
+from document_fixtures import awkward, docs_of, sample  # noqa: F401
 
 BLANK = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from hourfold.llm import lm_scoring as lm
 from hourfold.llm.queries import VOCABULARY
-from conftest import words
+from document_fixtures import awkward, docs_of, words  # noqa: F401
 
 LABELS = "doc_id bigint, quality int, toxic int"
 

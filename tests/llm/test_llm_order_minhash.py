@@ -5,7 +5,7 @@ import numpy as np
 import regex
 
 from hourfold.llm import links, order_minhash as om
-from conftest import words
+from document_fixtures import awkward, docs_of, sample, words  # noqa: F401
 
 
 def shingles(text):

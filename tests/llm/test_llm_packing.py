@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 from hourfold.llm import packing
 from hourfold.llm.queries import VOCABULARY
+from document_fixtures import awkward, docs_of, sample  # noqa: F401
 
 
 def least_bins(lengths, capacity):

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from hourfold.llm import pii
+from document_fixtures import awkward, docs_of, sample  # noqa: F401
 
 
 @pytest.fixture

@@ -6,6 +6,7 @@ from hourfold.llm.queries import VOCABULARY
 from hourfold.sinks.files import stored
 from test_llm_line_dedup import brute as line_brute
 from test_llm_order_minhash import brute_classes
+from document_fixtures import awkward, docs_of, sample  # noqa: F401
 
 
 def test_each_stage_against_a_plain_version(spark, sample):

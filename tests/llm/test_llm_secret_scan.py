@@ -5,6 +5,7 @@ import re
 import pytest
 
 from hourfold.llm import secret_scan as ss
+from document_fixtures import awkward, docs_of, sample  # noqa: F401
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A

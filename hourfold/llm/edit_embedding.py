@@ -45,6 +45,9 @@ _CLASSES = 256
 TOGETHER = 6_000_000
 BANDS, BAND_DIGITS = 64, 6
 SIMILARITY = 0.8
+#: Least likeness of fingerprints whose texts are compared. Texts of edit similarity 0.8 have more of it but
+#: for walks that stay out of step for long.
+LIKENESS = 0.2
 _DEALT = "range bigint, behind boolean, doc_id bigint, order bigint, tie bigint, packed binary"
 _LEAST = -(2**63)  # in the place of a null doc_id
 _END = 255  # a sample beyond the text
@@ -112,8 +115,9 @@ class Walk:
         """Of rows of samples: the share of steps in which embeddings agree, less the agreement by chance."""
         either = (a != _END) | (b != _END)
         equal = (a == b) & (a != _END)
-        total = either @ self.weights
-        share = np.divide(equal @ self.weights, total, out=np.ones(len(a)), where=total > 0)
+        weights = self.weights[: a.shape[1]]
+        total = either @ weights
+        share = np.divide(equal @ weights, total, out=np.ones(len(a)), where=total > 0)
         return np.clip((share - 1 / 16) / (15 / 16), 0, 1)
 
 
@@ -123,7 +127,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def columns(walk: Walk, texts: pa.Array) -> list:
         return [[walk.text(x) for x in walk.samples([t or "" for t in texts.to_pylist()])]]
 
-    return map_batches(docs.select("doc_id", "text"), Walk, columns, "fingerprint string")
+    return map_batches(docs.select("doc_id", "text"), shared_walk, columns, "fingerprint string")
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
@@ -204,7 +208,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         ], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk, rows, size = Walk(), [], 0
+        walk, rows, size = shared_walk(), [], 0
         unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             for *row, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -278,19 +282,36 @@ def _band_places(filled: int, size: int, bands: int, digits: int) -> list[int]:
     return sorted(set(random.integers(0, max(1, size - digits + 1), bands).tolist()))
 
 
-def linked(texts: list[str], threshold: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Pairs of texts whose edit distance is at most (1 - threshold) of the longer one."""
-    find, join = links.union_find(len(texts))
+def linked(payloads: list[str], threshold: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Pairs of texts whose edit distance is at most (1 - threshold) of the longer one.
+
+    A payload is a fingerprint, a line end and the text. Pairs are verified in descending order of their
+    likeness, from ``LIKENESS`` on, unless others connect them already.
+    """
+    prints, texts = zip(*(p.split("\n", 1) for p in payloads))
+    walk, n = shared_walk(), len(texts)
+    samples = np.full((n, max(map(len, prints), default=0)), _END, np.uint8)
+    for row, own in zip(samples, prints, strict=True):
+        row[: len(own)] = _VALUES[np.frombuffer(own.encode(), np.uint8)]
+    close = []
+    for i in range(n - 1):
+        like = walk.likeness(np.broadcast_to(samples[i], samples[i + 1 :].shape), samples[i + 1 :])
+        close += [(-like[k], i, i + 1 + k) for k in np.flatnonzero(like >= LIKENESS).tolist()]
+    find, join = links.union_find(n)
     out = []
-    for j in range(len(texts)):
-        for i in range(j):
-            most = int((1 - threshold) * max(len(texts[i]), len(texts[j])) + 1e-9)
-            if find(i) != find(j) and edit_distance(texts[i], texts[j], most) <= most:
-                join(i, j)
-                out.append((i, j))
+    for _, i, j in sorted(close):
+        most = int((1 - threshold) * max(len(texts[i]), len(texts[j])) + 1e-9)
+        if find(i) != find(j) and edit_distance(texts[i], texts[j], most) <= most:
+            join(i, j)
+            out.append((i, j))
     return out
 
 
+@lru_cache(1)
+def shared_walk() -> Walk:
+    return Walk()
+
+
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """doc_id and class_id: components of the texts that bands bring together and edit distance verifies."""
 
@@ -298,18 +319,22 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         texts = [t or "" for t in texts.to_pylist()]
         marks = [walk.text(x) for x in walk.samples(texts)]
         digests = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in texts]
-        return [digests, [band_keys(m) for m in marks]]
+        return [digests, [band_keys(m) for m in marks], marks]
 
     made = stored(
-        map_batches(docs.select("doc_id", "text"), Walk, columns, "digest binary, keys array<bigint>"), "bands"
+        map_batches(docs.select("doc_id", "text"), shared_walk, columns, "digest binary, keys array<bigint>, mark string"), "bands"
+    )
+    nodes = made.groupBy("digest").agg(
+        F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("mark").alias("mark")
     )
-    nodes = made.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
     bands = nodes.select(F.explode("keys").alias("key"), F.col("digest").alias("id"))
 
     def payloads(ids: DataFrame) -> DataFrame:
-        wanted = nodes.join(ids.withColumnRenamed("id", "digest"), "digest").select("doc_id", F.col("digest").alias("id"))
+        wanted = nodes.join(ids.withColumnRenamed("id", "digest"), "digest")
+        wanted = wanted.select("doc_id", F.col("digest").alias("id"), "mark")
+        text = F.coalesce("text", F.lit(""))
         return docs.select("doc_id", "text").join(wanted, "doc_id").select(
-            "id", F.coalesce("text", F.lit("")).alias("payload")
+            "id", F.concat_ws("\n", "mark", text).alias("payload")
         )
 
     roots = links.components(links.verified_links(links.groups(bands), payloads, linked))

@@ -78,3 +78,34 @@ def op9_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, d))
     return out.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+ORACLE["op4_pivot_topk"] = """
+    WITH whole AS (
+      SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM whole q JOIN whole c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0),
+    placed AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank
+      FROM scored)
+    SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 10"""
+
+ORACLE["op10_line_dedup"] = """
+    WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    numbered AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM parts),
+    keyed AS (
+      SELECT doc_id, pos, lines[pos] AS line,
+             translate(trim(lines[pos], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM numbered),
+    many AS (
+      SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    judged AS (
+      SELECT k.*, m.key IS NOT NULL AND k.doc_id < m.keeper AS dropped
+      FROM keyed k LEFT JOIN many m ON m.key = k.key)
+    SELECT doc_id, count(*) AS n_lines,
+           CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id"""

@@ -279,7 +279,9 @@ def q_batch_outcome(spark: SparkSession, d: str) -> DataFrame:
     servers = ev.server_lookup(spark)
     held = files.stored(ledger.not_ready(ev.lag_hours(spark, d)), "not_ready")
     ready = rollup.without_held(_rollup(spark, d), held)
-    routed, work = routing.route(ready, ev.site_group(spark), servers), _manifest(spark, d)
+    # Whether rows arrive depends on their sites only.
+    sites = ready.select("LinkServerName", "Type", "DatePlayed", "SiteId").distinct()
+    routed, work = routing.route(sites, ev.site_group(spark), servers), _manifest(spark, d)
     outcome = ledger.batch_outcome(work, routed, held, servers)
     return outcome.select("Server", "Type", "Destination", "UpDateTime", "Status")
 

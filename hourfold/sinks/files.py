@@ -17,6 +17,7 @@ STORED = [
 ]
 # Versions that a reader names to the scan, so that other versions' folders aren't opened.
 LIVE_VERSIONS = 1000
+_made: list[str] = []
 LAYOUTS = {"day": ["Destination", "date"], "hour": ["Destination", "date", "hour"]}
 
 
@@ -28,7 +29,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the folders that this process took with ``shared_dir``; what reads them is used up."""
+    jvm = spark._jvm
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from conftest import got
@@ -104,6 +105,10 @@ def test_shared_folder_comes_from_the_session(spark):
     assert folder.startswith(f"{named.rstrip('/')}/x-" if named else "/")
     assert folder != files.shared_dir(spark, "x")
     assert files.stored(spark.range(3), "y").count() == 3
+    kept = files.stored(spark.range(3), "z").inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(kept)
+    files.clean(spark)
+    assert not os.path.exists(kept)
 
 
 @pytest.fixture

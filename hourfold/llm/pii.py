@@ -4,10 +4,11 @@ High-recall generators propose spans, which may overlap: digit groups, spelled-o
 account numbers, device addresses. Gradient-boosted trees score a candidate by its format (digits,
 groups, separators, length) and its context (what stands before and after it, words nearby). They are
 trained on candidates of a bounded sample of documents: those that a plain pattern confirms are
-examples, the others counter-examples; the rules that tell them apart (the check digit, the leading
-plus, the dots) are no features, so that format and context have to. On a part of the sample that
-isn't trained on, each generator's threshold is set to the lowest score from which at least
-``PRECISION`` of the candidates are confirmed; a generator without such a score selects nothing.
+examples, the others counter-examples; some rules that tell them apart (the leading plus, the dots) are no
+features, so that format and context have to. On a part of the sample that isn't trained on, each
+generator's threshold is calibrated: going down from the highest score, it is the last score before
+one at which fewer than ``PRECISION`` of the candidates are confirmed; a generator whose best
+candidates aren't confirmed selects nothing.
 Plain spans stay whatever the trees say. All is built from DataFrame functions; the trees become
 one expression.
 
@@ -104,11 +105,12 @@ def _passes_luhn(digits: Column) -> Column:
     """Every second digit from the right is doubled, and its digits added."""
 
     def add(total: Column, i: Column) -> Column:
-        digit = F.substr(digits, -i, F.lit(1)).cast("int")
+        digit = F.substr(digits, -i, F.lit(1)).try_cast("int")
         doubled = F.when(digit > 4, 2 * digit - 9).otherwise(2 * digit)
         return total + F.when(i % 2 == 0, doubled).otherwise(digit)
 
-    return F.aggregate(F.sequence(F.lit(1), F.char_length(digits)), F.lit(0), add) % 10 == 0
+    places = F.sequence(F.lit(1), F.greatest(F.char_length(digits), F.lit(1)))
+    return F.coalesce(F.aggregate(places, F.lit(0), add) % 10 == 0, F.lit(False))
 
 
 def with_base_spans(docs: DataFrame) -> DataFrame:
@@ -150,6 +152,7 @@ def _features(text: Column, span: Column, generator: int) -> dict[str, Column]:
         "first_group": F.char_length(F.element_at(groups, 1)),
         "last_group": F.char_length(F.element_at(groups, -1)),
         "different_digits": F.size(F.array_distinct(F.split(digits, ""))),
+        "check_digit": _passes_luhn(digits),
         "brackets": F.contains(value, F.lit("(")),
         "slashes": F.contains(value, F.lit("/")),
         "stands_alone": before.rlike(r"(^|\s)$"),
@@ -239,11 +242,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Selector:
     )
     counts = scored.groupBy("generator", "score").agg(F.sum("label").alias("good"), F.count("*").alias("all")).collect()
     for name, _, _ in GENERATORS:  # at most 101 scores each
-        good = total = 0
         for row in sorted((r for r in counts if r["generator"] == name), key=lambda r: -r["score"]):
-            good, total = good + row["good"], total + row["all"]
-            if good >= PRECISION * total:
-                selector.thresholds[name] = row["score"] / 100
+            if row["good"] < PRECISION * row["all"]:
+                break
+            selector.thresholds[name] = row["score"] / 100
     return selector
 
 

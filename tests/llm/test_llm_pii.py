@@ -60,7 +60,8 @@ def test_whole_table(sample):
 def test_random_texts(docs_of, untrained):
     pick = random.Random(6)
     parts = ["a@b.co", "@", ".", "x_y@z.w", "1.2.3.4", "256.1.1.1", "4111111111111111", "4111 1111-1111 1111", "+1 (555) 010-9999", "+", "-",
-             " ", "  ", "12", "0", "9", "é", "\U0001f600", "a@b.c@d.e", "_", "007.08.09.010", "\n", "(", ")", "1234567890123456789"]
+             " ", "  ", "12", "0", "9", "é", "\U0001f600", "a@b.c@d.e", "_", "007.08.09.010", "\n", "(", ")", "1234567890123456789",
+             " joe(at)mail.com ", " DE44 5001 0517 5407 3249 31 ", " 00:1B:44:11:3A:B7 "]
     rows = [(i, "".join(pick.choice(parts) for _ in range(pick.randrange(30)))) for i in range(1500)]
     check(pii.find_personal_data(docs_of(rows)).collect(), rows)
 
@@ -98,6 +99,17 @@ def test_trees_select_what_resembles_confirmed_spans(docs_of):
     assert clean[1] == "call me at [PII] now" and clean[3] == "nothing"
 
 
+def test_numbers_without_a_check_digit_are_left_alone(docs_of):
+    """Half of the numbers in the same place and form are cards."""
+    pick = random.Random(12)
+    numbers = ["".join(pick.choice("0123456789") for _ in range(16)) for _ in range(9000)]
+    cards, others = [n for n in numbers if luhn(n)][:400], [n for n in numbers if not luhn(n)][:400]
+    rows = [(i, f"the number {n} was noted") for i, n in enumerate(cards + others)]
+    found = {r.doc_id: (r.n_card, r.spans) for r in pii.find_personal_data(docs_of(rows)).collect()}
+    assert all(found[i] == (1, "card:11:27") for i in range(400))
+    assert all(found[400 + i] == (0, "") for i in range(400))
+
+
 def test_redaction_merges_spans(docs_of):
     none = pii.Selector([], [], {}, [])
     (row,) = pii.redacted(docs_of([(1, "\U0001f600 mail a@b.co or 10.0.0.1!")]), none).collect()

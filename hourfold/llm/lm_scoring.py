@@ -23,11 +23,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ..sinks.files import stored
 from .bpe import encoder
-from .tasks import arrow_schema, map_arrow, record_batch
+from .tasks import arrow_schema, map_arrow, record_batch, slices
 
 #: Buckets of pairs.
 PAIRS = 1 << 20
@@ -35,7 +36,6 @@ PAIRS = 1 << 20
 PAIR_WEIGHT = 0.6
 #: Added to every count of a single id.
 SMOOTHING = 0.1
-_ENCODED = "doc_id bigint, is_target boolean, ids binary"
 _COUNTS = "place int, target bigint, background bigint"
 SCORES = (
     "doc_id bigint, n_tokens bigint, is_target boolean, target_loss double, background_loss double, "
@@ -48,33 +48,37 @@ def pair_places(ids: np.ndarray) -> np.ndarray:
     return (hashed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64) % PAIRS
 
 
-def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and whether a label says that the document is good."""
-    good = labels.filter("quality = 1").select("doc_id").distinct().withColumn("is_target", F.lit(True))
-    return docs.select("doc_id", "text").join(good, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target")
-    )
-
-
 def encoded(docs: DataFrame, labels: DataFrame, path: str) -> DataFrame:
-    """doc_id, is_target and the ids of every document, little-endian and unsigned, written once."""
-    schema = arrow_schema(_ENCODED)
+    """doc_id, is_target and the packed ids of every document, written once.
+
+    Labels meet the packed ids rather than the texts, and by the same join whatever their number.
+    """
+    ddl = "doc_id bigint, ids binary"
+    schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own, packer = encoder(path), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            ids = [x.tobytes() for x in own.encode(batch.column(1))]
-            yield record_batch([batch.column(0), batch.column(2), ids], schema)
+            for part in slices(batch.column(1)):
+                keys, texts = (c.slice(part.start, part.stop - part.start) for c in batch.columns)
+                yield record_batch([keys, [packer.compress(x) for x in own.encode(texts)]], schema)
+
+    ids = map_arrow(docs.select("doc_id", "text"), run, ddl)
+    good = labels.filter("quality = 1").select("doc_id").distinct().withColumn("is_target", F.lit(True))
+    is_target = F.coalesce("is_target", F.lit(False)).alias("is_target")
+    return stored(ids.join(good.hint("merge"), "doc_id", "left").select("doc_id", is_target, "ids"), "ids")
+
 
-    return stored(map_arrow(flagged(docs, labels), run, _ENCODED), "ids")
+def _unpacked(packed: pa.Array) -> Iterator[np.ndarray]:
+    unpacker = zstandard.ZstdDecompressor()
+    return (np.frombuffer(unpacker.decompress(x.as_buffer()), "<u4") for x in packed)
 
 
 def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Counts of the task's documents: places up to ``size`` are single ids, the others pairs."""
     counts = np.zeros((2, size + PAIRS), np.int64)
     for batch in batches:
-        for target, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids = np.frombuffer(held.as_buffer(), "<u4")
+        for target, ids in zip(batch.column(0).to_pylist(), _unpacked(batch.column(1)), strict=True):
             places = np.concatenate([ids, size + pair_places(ids)])
             np.add.at(counts[1], places, 1)
             if target:
@@ -131,13 +135,12 @@ def score(texts: DataFrame, models: Models) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(2)]
-            losses = [
-                shared.value.losses(ids, t) if len(ids) else (None, None)
-                for ids, t in zip(texts, batch.column(1).to_pylist(), strict=True)
-            ]
+            sizes, losses = [], []
+            for target, ids in zip(batch.column(1).to_pylist(), _unpacked(batch.column(2)), strict=True):
+                sizes.append(len(ids))
+                losses.append(shared.value.losses(ids, target) if len(ids) else (None, None))
             yield record_batch([
-                batch.column(0), list(map(len, texts)), batch.column(1), [a for a, _ in losses],
+                batch.column(0), sizes, batch.column(1), [a for a, _ in losses],
                 [b for _, b in losses], [None if a is None else a - b for a, b in losses],
             ], schema)
 

@@ -68,7 +68,7 @@ def _rows_schema() -> str:
 
 
 def write_rollup(
-    routed: DataFrame, due: DataFrame, path: str, layout: str = "hour", version: str | None = None
+    routed: DataFrame, due: DataFrame, path: str, layout: str = "day", version: str | None = None
 ) -> None:
     """Replace the rows of every ``due`` key (KEYS) by the routed ones, whatever was there before.
 
@@ -76,7 +76,8 @@ def write_rollup(
     nothing is read back, carried over or deleted, so a run that dies changes nothing and writers of
     other keys don't meet. A key's rows are those of its newest announced version, so a key that is
     announced without rows is empty. Versions sort by time. A destination's rows are split over tasks
-    by the rebalance.
+    by the rebalance. An hourly run has a version of its own, so folders by day do; ``layout="hour"``
+    cuts them finer.
     """
     spark = routed.sparkSession
     version = version or f"{time.time_ns():020d}-{uuid.uuid4().hex}"

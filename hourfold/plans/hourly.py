@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import FAIL, LEDGER_KEYS, OUTPUT_UTC_OFFSET_HOURS, Settings
 from ..functions import clock
@@ -26,7 +26,7 @@ FAILURES = (PySparkException, Py4JJavaError)
 
 @dataclass
 class Inputs:
-    """The tables a run reads; ``excluded`` holds the excluded Types."""
+    """The tables a run reads; ``excluded`` holds the excluded Types, ``unreadable`` sources without read right."""
 
     wagers: DataFrame
     lookup: DataFrame
@@ -40,6 +40,41 @@ class Inputs:
     lag_runs: DataFrame
     batch_status: DataFrame
     settings: Settings = field(default_factory=Settings)
+    unreadable: DataFrame | None = None
+
+
+LOOKUPS = (
+    "type_timezone", "raw_data_info", "site_group", "server_lookup", "lag_status",
+    "batch_status",
+)
+
+
+def read_inputs(
+    spark: SparkSession,
+    folder: str,
+    backup: str,
+    wagers: DataFrame,
+    unreadable: str | None = None,
+    settings: Settings = Settings(),
+) -> Inputs:
+    """Inputs from ``folder``, a Parquet table per logical name.
+
+    The lookup falls back to its copy in ``backup``, the excluded Types to the fixed ids; ``unreadable``
+    is a CSV file.
+    """
+    def read(name: str) -> DataFrame:
+        return tables.read_table(spark, name, f"{folder}/{name}")
+
+    return Inputs(
+        wagers=wagers,
+        lookup=tables.read_with_fallback(
+            spark, "source_lookup", f"{folder}/source_lookup", f"{backup}/source_lookup"
+        ),
+        excluded=tables.excluded_or_fallback(spark, f"{folder}/game_lookup"),
+        lookup_updates=read("lookup_update_status"), lag_runs=read("lag_run_status"),
+        settings=settings, unreadable=unreadable and tables.read_unreadable(spark, unreadable),
+        **{name: read(name) for name in LOOKUPS},
+    )
 
 
 @dataclass
@@ -92,6 +127,15 @@ def healed_timezones(inputs: Inputs, current: dt.datetime) -> DataFrame:
     return inputs.type_timezone.unionByName(found, allowMissingColumns=True)
 
 
+def _held(inputs: Inputs, lag_rows: DataFrame, work: DataFrame) -> DataFrame:
+    """What is not run: Types whose source is late, or may not be read."""
+    held = ledger.not_ready(lag_rows)
+    if inputs.unreadable is None:
+        return held
+    closed = tables.exclude_unreadable(work, inputs.unreadable, "left_semi")
+    return held.unionByName(closed.select(*held.columns)).distinct()
+
+
 def _stored_hours(spark, path: str, due: DataFrame) -> DataFrame:
     """What the sink now holds for the due keys, read from the folders of their days only."""
     low, high = due.select(F.min("DatePlayed"), F.max("DatePlayed")).first()
@@ -154,9 +198,11 @@ def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result
         manifest.list_sources(listed), zones, batch_utc, batch_utc, inputs.settings
     )
     work = manifest.expand(source_spans, inputs.settings)
-    held = ledger.not_ready(
-        inputs.lag_status.filter(F.col("DatePlayed") == clock.as_ntz(current))
+    held = _held(
+        inputs, inputs.lag_status.filter(F.col("DatePlayed") == clock.as_ntz(current)), work
     )
+    if inputs.unreadable is not None:
+        source_spans = tables.exclude_unreadable(source_spans, inputs.unreadable)
     # Held Types and Types without a window keep what is stored of them.
     due = routing.expected_destinations(ledger.runnable(work, held), inputs.server_lookup)
     rows = rollup.hourly_rollup(
@@ -223,7 +269,7 @@ def run_redo(
     listed = listed_games(inputs, ambiguous_servers(inputs, current))
     zones = healed_timezones(inputs, current)
     work = redo.redo_manifest(wanted, listed, zones, servers, settings)
-    held = ledger.not_ready(inputs.lag_status)
+    held = _held(inputs, inputs.lag_status, work)
     free = ledger.runnable(work, held)
     wagers = tables.within_batches(inputs.wagers, _batches(wanted))
     routed = redo.redo_rollup(

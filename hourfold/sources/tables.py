@@ -86,6 +86,14 @@ def fallback_excluded_types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(t,) for t in FALLBACK_EXCLUDED_TYPES], "Type int")
 
 
+def excluded_or_fallback(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Excluded Types by the game lookup at ``path``, or the fixed ids where it cannot be opened."""
+    try:
+        return excluded_types(read_table(spark, "game_lookup", path, fmt))
+    except (AnalysisException, ValueError):
+        return fallback_excluded_types(spark)
+
+
 def drop_excluded(lookup: DataFrame, excluded: DataFrame, settings: Settings) -> DataFrame:
     """Lookup rows whose game is not excluded; rows without a game id stay."""
     ids = excluded.select(F.col("Type").alias(settings.exclude_key)).distinct()
@@ -118,8 +126,10 @@ def without_sites(rollup: DataFrame, sites: DataFrame) -> DataFrame:
     return rollup.join(ids, "SiteId", "left_anti").select(*rollup.columns)
 
 
-def exclude_unreadable(sources: DataFrame, unreadable: DataFrame) -> DataFrame:
-    """Sources (or manifest rows) that are not on the no-read-right list."""
+def exclude_unreadable(
+    sources: DataFrame, unreadable: DataFrame, how: str = "left_anti"
+) -> DataFrame:
+    """Sources (or manifest rows) that are not on the no-read-right list; with "left_semi" those that are."""
     s, u = sources.alias("s"), unreadable.alias("u")
     same = (
         (F.col("s.LinkServerName") == F.col("u.LinkServerName"))
@@ -128,4 +138,4 @@ def exclude_unreadable(sources: DataFrame, unreadable: DataFrame) -> DataFrame:
         & (F.col("s.TableName") == F.col("u.TableName"))
         & (F.col("s.Type") == F.col("u.Type"))
     )
-    return s.join(u, same, "left_anti")
+    return s.join(u, same, how)

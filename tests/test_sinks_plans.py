@@ -190,6 +190,29 @@ def test_an_unreadable_type_fails_alone(spark, inputs, tmp_path):
     assert held_rows(spark, str(tmp_path / "r")) == [("DS_Server", 22, T, "ann")]
 
 
+def test_sources_without_read_right_fail_alone(spark, table, inputs, tmp_path):
+    closed = table("unreadable_sources", [("S2", "_DbShared", None, "C", 97, None)])
+    result = hourly.run_hour(inputs(unreadable=closed), UTC, str(tmp_path / "r"))
+    assert {(r[1], r[3]) for r in ledger_rows(result.batch_status)} == {(22, "Success"), (97, "Fail"), (39, "Fail")}
+    assert held_rows(spark, str(tmp_path / "r")) == [("DS_Server", 22, T, "ann")]
+
+
+def test_inputs_fall_back_to_copies(spark, inputs, tmp_path):
+    """No lookup and no game lookup in the folder: the copy and the fixed ids serve."""
+    state, folder, backup = inputs(), tmp_path / "main", tmp_path / "copy"
+    for name in hourly.LOOKUPS:
+        getattr(state, name).write.parquet(str(folder / name))
+    state.lookup_updates.write.parquet(str(folder / "lookup_update_status"))
+    state.lag_runs.write.parquet(str(folder / "lag_run_status"))
+    state.lookup.write.parquet(str(backup / "source_lookup"))
+    (tmp_path / "closed.csv").write_text("LinkServerName ,DBName,MonthDB,TableName,Type,query_string\nS2,_DbShared,,C,97,x\n")
+    read = hourly.read_inputs(spark, str(folder), str(backup), state.wagers, str(tmp_path / "closed.csv"))
+    assert got(read.lookup) == got(state.lookup)
+    assert got(read.excluded) == got(tables.fallback_excluded_types(spark))
+    result = hourly.run_hour(read, UTC, str(tmp_path / "r"))
+    assert {(r[1], r[3]) for r in ledger_rows(result.batch_status) if r[1] != 35} == {(22, "Success"), (97, "Fail"), (39, "Fail")}
+
+
 def test_fact_scans_are_bounded(spark, inputs, tmp_path):
     """Literal bounds on the time and the month reach the scan."""
     fact = str(tmp_path / "fact")

@@ -3,7 +3,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourfold.llm import pivot_topk as pt
-from document_fixtures import   # noqa: F401
 
 DDL = "vec_id bigint, embedding array<float>, rank string, score string, width string"
 

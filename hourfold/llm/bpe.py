@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 
 from .tasks import Pieces, map_batches, slices
 
+#: Different pieces whose ids a worker remembers, about 200 bytes each.
+REMEMBERED = 1_000_000
 _NONE = np.iinfo(np.int64).max
 
 
@@ -162,7 +164,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._pieces = Pieces(self._learn, "<u4")
+        self._pieces = Pieces(self._learn, "<u4", REMEMBERED)
         self._special = regex.compile("|".join(map(regex.escape, vocabulary.special)) or r"(?!)")
         self._lines = regex.compile(vocabulary.words.pattern + r"|\n")
 

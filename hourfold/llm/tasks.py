@@ -18,7 +18,7 @@ DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars big
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 8_000_000
 #: Different pieces of text that a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 _KINDS = {
     "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),

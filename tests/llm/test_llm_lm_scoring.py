@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -76,3 +77,19 @@ def test_awkward_documents(spark, docs_of, awkward):
     got = lm.cross_entropy_differences(docs_of(awkward), labels, VOCABULARY).collect()
     assert len(got) == len(awkward) and all(r.score is None or math.isfinite(r.score) for r in got)
     assert lm.cross_entropy_differences(docs_of([]), labels, VOCABULARY).collect() == []
+
+
+def test_pairs_are_told_apart(spark, docs_of, monkeypatch):
+    every = np.array([(a, b) for a in range(1200) for b in range(1200)], np.uint32)
+    assert len(np.unique(lm.pair_places(every.reshape(-1))[::2])) == len(every)
+
+    # More pairs than 2^20 buckets hold apart, over several blocks, against counts of the pairs themselves.
+    pick = random.Random(6)
+    rows = [(i, " ".join("".join(pick.choices("abcdefghij", k=3)) for _ in range(900))) for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 4)], LABELS)
+    got = lm.cross_entropy_differences(docs_of(rows), labels, VOCABULARY, 5_000).collect()
+    monkeypatch.setattr(lm, "pair_places", lambda x: np.array([int(a) * 2**32 + int(b) for a, b in zip(x, x[1:])]))
+    want = brute(rows, range(0, 60, 4))
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.target_loss, r.background_loss) == pytest.approx(want[r.doc_id], abs=1e-9)

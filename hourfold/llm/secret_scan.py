@@ -7,6 +7,9 @@ handed on to. A literal is a secret if one of those names is sensitive and the l
 key: score = sensitivity of the name x strength of the literal, from its length, the kinds of its
 characters and their entropy. Placeholders and references to the environment score nothing.
 
+Literals have any length. Long ones that end together, as those of a run of assignments do, are scored in
+one pass, so that a scan is linear in the length of a run.
+
 Spans count code points, the end excluded. Every base span stays; a literal inside one adds nothing.
 
 Defined results: null text is empty text and has no spans; repeated rows are scanned each; an empty
@@ -18,7 +21,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
+from bisect import bisect_right, insort
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,8 +33,8 @@ from .tasks import map_batches, ship
 Span = tuple[int, int]
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.5
-#: Characters of the longest literal that may be a key.
-LONGEST = 4096
+#: Characters from which on a literal without quotes is scored together with those that end where it ends.
+LONG = 4096
 
 # The base patterns.
 _ASSIGN = re.compile(
@@ -56,10 +60,9 @@ _NAME = re.compile(r"""([A-Za-z_$][\w.$-]*)["'\]]{0,2}[ \t]*$""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*)(?: [^<>\n]*)?>([^<>\n]+)</\1>")
 _OPTION = re.compile(r"(?<!\S)--?([A-Za-z][\w-]*)[ \t]+([^\s-]\S*)")
-_QUOTED = re.compile(
-    r'''"((?:[^"\\\n]|\\.){0,%d})"|'((?:[^'\\\n]|\\.){0,%d})'|`([^`\n]{0,%d})`''' % (LONGEST, LONGEST, LONGEST)
-)
-_BARE = re.compile(r"\$\{[\w.]{1,%d}\}|[^\s,;(){}\[\]\"'`<>]{1,%d}" % (LONGEST, LONGEST + 1))
+_QUOTED = re.compile(r'''"((?:[^"\\\n]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+)'|`([^`\n]*+)`''')
+_REFERENCE = re.compile(r"\$\{[\w.]++\}")
+_RUN = re.compile(r"[^\s,;(){}\[\]\"'`<>]++")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*")
 _IDENTIFIER = re.compile(r"(?:\$\{?)?([A-Za-z_][\w.]*)\}?")
 _NAME_REACH = 96  # characters before a mark in which its name begins
@@ -100,9 +103,31 @@ def strength(literal: str, quoted: bool) -> float:
     return min(1.0, 0.25 * min(entropy, 4) / 2 + 0.1 * kinds + 0.3 * min(n, 24) / 24)
 
 
+def _strengths(text: str, starts: list[int], end: int) -> dict[int, float]:
+    """strength() of the literals without quotes that begin at ``starts`` and end at ``end``, from the last one on."""
+    lowered = text[min(starts) : end].replace("\u0130", "i").lower()  # as long as before
+    held = min(starts) + max(map(lowered.rfind, _PLACEHOLDERS)) if any(p in lowered for p in _PLACEHOLDERS) else -1
+    counts: Counter[str] = Counter()
+    kinds: set[int] = set()
+    weight, at, out = 0.0, end, {}
+    for start in sorted(starts, reverse=True):
+        for c, many in Counter(text[start:at]).items():
+            old = counts[c]
+            counts[c] = old + many
+            weight += counts[c] * math.log2(counts[c]) - (old and old * math.log2(old))
+            kinds.add("a" <= c <= "z" or 2 * ("A" <= c <= "Z") or 3 * ("0" <= c <= "9") or 4)
+        at, n = start, end - start
+        if held >= start or text[start] in "$<{%" or 3 not in kinds or len(kinds) < 2:
+            out[start] = 0.0
+        else:
+            entropy = math.log2(n) - weight / n
+            out[start] = min(1.0, 0.25 * min(entropy, 4) / 2 + 0.1 * len(kinds) + 0.3 * min(n, 24) / 24)
+    return out
+
+
 class Literal:
-    def __init__(self, start: int, end: int, text: str, quoted: bool):
-        self.start, self.end, self.text, self.quoted = start, end, text, quoted
+    def __init__(self, start: int, end: int, quoted: bool):
+        self.start, self.end, self.quoted = start, end, quoted
         self.names: set[str] = set()
 
 
@@ -121,29 +146,42 @@ def _pairs(text: str) -> Iterator[tuple[int, str, int]]:
             yield m.start(), m[1], m.start(2)
 
 
-def _value(text: str, at: int, known: dict[str, list[Literal]]) -> list[Literal]:
+def _run_end(text: str, at: int, runs: list[Span]) -> int:
+    """Where the characters of a word without quotes end; ``at`` if none begins here. ``runs`` remembers long ones."""
+    place = bisect_right(runs, at, key=lambda run: run[0]) - 1
+    if place >= 0 and at < runs[place][1]:
+        return runs[place][1]
+    run = _RUN.match(text, at)
+    if not run:
+        return at
+    if run.end() - at > LONG:
+        insort(runs, run.span())
+    return run.end()
+
+
+def _value(text: str, at: int, known: dict[str, list[Literal]], runs: list[Span]) -> list[Literal]:
     """The literals that a chain of literals and names stands for."""
     out: list[Literal] = []
     while True:
-        quoted, bare = _QUOTED.match(text, at), None
+        quoted = _QUOTED.match(text, at)
         if quoted:
-            group = quoted.lastindex or 1
-            if quoted[group]:
-                out.append(Literal(*quoted.span(group), quoted[group], True))
+            start, end = quoted.span(quoted.lastindex or 1)
+            if start < end:
+                out.append(Literal(start, end, True))
             at = quoted.end()
         else:
-            bare = _BARE.match(text, at)
-            if not bare:
+            reference = _REFERENCE.match(text, at)
+            after = reference.end() if reference else _run_end(text, at, runs)
+            if after == at:
                 return out
-            end = bare.end() - (bare[0][-1] in ".,:;!?" and len(bare[0]) > 1)
-            word = text[at:end]
-            name = _IDENTIFIER.fullmatch(word)
+            end = after - (text[after - 1] in ".,:;!?" and after - at > 1)
+            name = _IDENTIFIER.fullmatch(text, at, end)
             handed = known.get(name[1]) if name else None
             if handed is not None:
                 out += handed
-            elif not word.startswith("$") and len(word) <= LONGEST:
-                out.append(Literal(at, end, word, False))
-            at = bare.end()
+            elif text[at] != "$":
+                out.append(Literal(at, end, False))
+            at = after
         more = _JOIN.match(text, at)
         if not more:
             return out
@@ -154,8 +192,9 @@ def assigned_literals(text: str) -> list[Literal]:
     """The literals of a text with the names they are assigned to, directly or handed on."""
     known: dict[str, list[Literal]] = {}
     found: dict[Span, Literal] = {}
+    runs: list[Span] = []
     for _, name, at in sorted(_pairs(text)):
-        held = list(dict.fromkeys(_value(text, at, known)))
+        held = list(dict.fromkeys(_value(text, at, known, runs)))
         for literal in held:
             literal.names.add(name)
             found[literal.start, literal.end] = literal
@@ -163,17 +202,27 @@ def assigned_literals(text: str) -> list[Literal]:
             known[name] = held
     if "</" in text:
         for m in _ELEMENT.finditer(text):
-            literal = Literal(*m.span(2), m[2], True)
+            literal = Literal(*m.span(2), True)
             literal.names.add(m[1])
             found.setdefault(m.span(2), literal)
     return list(found.values())
 
 
 def secret_literals(text: str, threshold: float = THRESHOLD) -> list[Span]:
-    return sorted(
-        (x.start, x.end) for x in assigned_literals(text)
-        if max(map(sensitivity, x.names)) * strength(x.text, x.quoted) >= threshold
-    )
+    out: list[Span] = []
+    long: dict[int, dict[int, float]] = defaultdict(dict)  # sensitivities by end and start
+    for x in assigned_literals(text):
+        sensitive = max(map(sensitivity, x.names))
+        if sensitive < threshold:  # no literal has more than its name
+            continue
+        if x.end - x.start > LONG and not x.quoted:
+            long[x.end][x.start] = sensitive
+        elif sensitive * strength(text[x.start : x.end], x.quoted) >= threshold:
+            out.append((x.start, x.end))
+    for end, names in long.items():
+        found = _strengths(text, list(names), end)
+        out += [(start, end) for start, sensitive in names.items() if sensitive * found[start] >= threshold]
+    return sorted(out)
 
 
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

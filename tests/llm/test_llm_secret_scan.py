@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -71,3 +72,31 @@ def test_redaction(docs_of, awkward):
 def test_long_lines_take_linear_time():
     for text in ("a=" * 50_000, "=" * 100_000, "'" * 100_000, "<a>" * 30_000, "token" * 20_000, "x = \"" * 20_000):
         ss.scan(text)
+
+
+def test_literals_of_any_length():
+    pick = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for many in (4095, 4096, 4097, 5000, 60_000):
+        blob = "".join(pick.choice(letters) for _ in range(many)).replace("null", "0000")
+        escaped = "\\n".join(blob[i : i + 64] for i in range(0, many, 64))
+        for text, value in ((f'signingKey = "{blob}"', blob), (f"credentials: {blob}\n", blob), (f"clientPassphrase = '{escaped}';", escaped)):
+            assert [text[a:b] for a, b in ss.secret_literals(text)] == [value]
+        assert ss.redacted(f"bearer: {blob}", ss.scan(f"bearer: {blob}")[1]) == "bearer: [SECRET]"
+
+
+def test_literals_that_end_together_are_scored_as_alone():
+    pick = random.Random(10)
+    parts = ["key=", "a", "B", "7", "-", "null", "Xxxx", "é", "\u0130", "$", "%"]
+    for _ in range(200):
+        text = "".join(pick.choices(parts, [1, 9, 9, 9, 9, 0.1, 0.1, 3, 1, 1, 1], k=120))
+        starts = [i for i in range(len(text) - 6) if pick.random() < 0.3] or [0]
+        for start, got in ss._strengths(text, starts, len(text)).items():
+            assert got == pytest.approx(ss.strength(text[start:], False))
+
+
+def test_long_runs_take_linear_time():
+    for text in ("key=" * 50_000, "signingKey=7" * 20_000, "pwd='" * 20_000, 'pwd="' + "\\" * 100_001, "pwd=${" * 30_000, "pwd: \"" + "x=1 " * 30_000):
+        began = time.perf_counter()
+        ss.secret_literals(text)
+        assert time.perf_counter() - began < 10

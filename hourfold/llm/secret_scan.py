@@ -59,7 +59,7 @@ _ASSIGNS = (":=", "=>", ":", "=")
 _NAME = re.compile(r"""([A-Za-z_$][\w.$-]*)["'\]]{0,2}[ \t]*$""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*)(?: [^<>\n]*)?>([^<>\n]+)</\1>")
-_OPTION = re.compile(r"(?<!\S)--?([A-Za-z][\w-]*)[ \t]+([^\s-]\S*)")
+_OPTION = re.compile(r"-(?<!\S-)-?([A-Za-z][\w-]*)[ \t]+([^\s-]\S*)")
 _QUOTED = re.compile(r'''"((?:[^"\\\n]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+)'|`([^`\n]*+)`''')
 _REFERENCE = re.compile(r"\$\{[\w.]++\}")
 _RUN = re.compile(r"[^\s,;(){}\[\]\"'`<>]++")
@@ -141,7 +141,7 @@ def _pairs(text: str) -> Iterator[tuple[int, str, int]]:
                 while text[at : at + 1] in (" ", "\t"):
                     at += 1
                 yield start, name[1], at
-    if "--" in text:
+    if "-" in text:
         for m in _OPTION.finditer(text):
             yield m.start(), m[1], m.start(2)
 

@@ -100,3 +100,14 @@ def test_long_runs_take_linear_time():
         began = time.perf_counter()
         ss.secret_literals(text)
         assert time.perf_counter() - began < 10
+
+
+@pytest.mark.parametrize("text, secrets", [
+    ("java -jar app.jar -passphrase Zx81kk20LqPm", ["Zx81kk20LqPm"]),
+    ("-token k3J9xx81Qmz2", ["k3J9xx81Qmz2"]),
+    ("run\t-verbose -authToken\tk3J9xx81Qmz2 -n 10", ["k3J9xx81Qmz2"]),
+    ("a well-password k3J9xx81Qmz2", []),
+    ("---password k3J9xx81Qmz2", []),
+])
+def test_options_with_one_hyphen(text, secrets):
+    assert [text[a:b] for a, b in ss.secret_literals(text)] == secrets

@@ -3,9 +3,11 @@
 High-recall generators propose spans, which may overlap: digit groups, spelled-out mail addresses,
 account numbers, device addresses. Gradient-boosted trees score a candidate by its format (digits,
 groups, separators, length) and its context (what stands before and after it, words nearby). They are
-trained on candidates of a bounded sample of documents: those that a plain pattern confirms are
-examples, the others counter-examples; some rules that tell them apart (the leading plus, the dots) are no
-features, so that format and context have to. On a part of the sample that isn't trained on, each
+trained on candidates of a bounded sample of documents. Examples are those that a plain pattern confirms or
+that pass a test of their own form: an address that is a mail address once it is spelled back, an account
+number whose remainder by 97 is 1, a well-formed device address. The others are counter-examples; some rules
+that tell them apart (the leading plus, the dots, the remainder) are no features, so that format and context
+have to. On a part of the sample that isn't trained on, each
 generator's threshold is calibrated: going down from the highest score, it is the last score before
 one at which fewer than ``PRECISION`` of the candidates are confirmed; a generator whose best
 candidates aren't confirmed selects nothing.
@@ -113,6 +115,31 @@ def _passes_luhn(digits: Column) -> Column:
     return F.coalesce(F.aggregate(places, F.lit(0), add) % 10 == 0, F.lit(False))
 
 
+def _passes_97(value: Column) -> Column:
+    """The remainder of an account number: its first four characters come last, letters count from 10."""
+    value = F.replace(value, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substr(value, F.lit(5)), F.substr(value, F.lit(1), F.lit(4)))
+
+    def add(rest: Column, i: Column) -> Column:
+        code = F.ascii(F.substr(turned, i, F.lit(1)))
+        return F.when(code < 65, rest * 10 + code - 48).otherwise(rest * 100 + code - 55) % 97
+
+    return F.aggregate(F.sequence(F.lit(1), F.char_length(turned)), F.lit(0), add) == 1
+
+
+def _well_formed(name: str, value: Column) -> Column:
+    """Whether a candidate passes the test of its own generator's form."""
+    if name == "address":
+        spelled = F.regexp_replace(value, r" ?[(\[]at[)\]] ?", "@")
+        spelled = F.regexp_replace(spelled, r" ?(?:\(dot\)|\[dot\]|\.) ?", ".")
+        return spelled.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")
+    if name == "account":
+        return _passes_97(value)
+    if name == "device":
+        return value.rlike("^(?:[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2}){5}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7})$")
+    return F.lit(False)
+
+
 def with_base_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text (never null) and an array of spans per kind."""
     text = F.col("text")
@@ -168,14 +195,16 @@ def _candidate(text: Column, name: str, number: int, plain: Column) -> Callable[
         features = [f.cast("double").alias(n) for n, f in _features(text, span, number).items()]
         return F.struct(
             F.lit(name).alias("generator"), span["start"].alias("start"), span["end"].alias("end"),
-            _overlaps(span, plain).alias("confirmed"), F.struct(*features).alias("features"),
+            _overlaps(span, plain).alias("plain"),
+            (_overlaps(span, plain) | _well_formed(name, span["value"])).alias("confirmed"),
+            F.struct(*features).alias("features"),
         )
 
     return made
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
-    """with_base_spans(), and ``candidates``: generator, span, features, and whether a pattern confirms it."""
+    """with_base_spans(), and ``candidates``: generator, span, features, whether it overlaps a plain span, and its label."""
     base = with_base_spans(docs)
     proposed = base.select(
         "*",
@@ -214,7 +243,7 @@ class Selector:
         least = F.coalesce(*[
             F.when(candidate["generator"] == name, F.lit(least)) for name, least in self.thresholds.items()
         ])
-        return F.coalesce(self.score(candidate["features"]) >= least, F.lit(False)) & ~candidate["confirmed"]
+        return F.coalesce(self.score(candidate["features"]) >= least, F.lit(False)) & ~candidate["plain"]
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Selector:

@@ -122,3 +122,40 @@ def test_plan_has_no_python(spark, untrained):
     for name in ("op6_pii", "op10_line_dedup"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def iban(pick):
+    body = "".join(pick.choice("0123456789") for _ in range(18))
+    code = f"DE{98 - int(body + '131400') % 97:02d}{body}"
+    return " ".join(code[i : i + 4] for i in range(0, len(code), 4))
+
+
+def test_each_generator_selects_its_own_form(docs_of):
+    pick = random.Random(13)
+
+    def device(size=2):
+        return ":".join("".join(pick.choice("0123456789ABCDEF") for _ in range(size)) for _ in range(6))
+
+    def code():
+        return "QX" + "".join(pick.choice("0123456789") for _ in range(14))
+
+    rows = [(i, f"write to joe{i}(at)mail{i % 7}[dot]com soon") for i in range(200)]
+    rows += [(1000 + i, f"see item{i}(at)shelf.4{i} there") for i in range(200)]
+    rows += [(2000 + i, f"my bank account is {iban(pick)} as ever") for i in range(200)]
+    rows += [(3000 + i, f"the part {code()} is in stock") for i in range(200)]
+    rows += [(4000 + i, f"the client has {device()} on it") for i in range(200)]
+    rows += [(5000 + i, f"the ratio was {device(1)} in all") for i in range(200)]
+    rows += [(6000 + i, f"please call me at +1 (555) 555-{1000 + i} today") for i in range(200)]
+    rows += [(7000 + i, f"the order no. {10**9 + 7 * i} has left the building") for i in range(200)]
+    selector = pii.train(docs_of(rows))
+    assert set(selector.thresholds) == {"number", "address", "account", "device"}
+    number = iban(pick)
+    asked = docs_of([
+        (1, "write to ann(at)post[dot]com soon"), (2, f"my bank account is {number} as ever"),
+        (3, "the client has 00:1B:44:11:3A:B7 on it"), (4, f"the part {code()} is in stock"),
+        (5, "the ratio was 1:2:3:4:5:6 in all"),
+    ])
+    clean = {r.doc_id: r.text for r in pii.redacted(asked, selector).collect()}
+    assert clean[1] == "write to [PII] soon" and clean[2] == "my bank account is [PII] as ever"
+    assert clean[3] == "the client has [PII] on it"
+    assert "[PII]" not in clean[4] and "[PII]" not in clean[5]

@@ -2,19 +2,18 @@
 
 High-recall generators propose spans, which may overlap: digit groups, spelled-out mail addresses,
 account numbers, device addresses. Gradient-boosted trees score a candidate by its format (digits,
-groups, separators, length) and its context (what stands before and after it, words nearby). They are
-trained on candidates of a bounded sample of documents. Examples are those that a plain pattern confirms or
-that pass a test of their own form: an address that is a mail address once it is spelled back, an account
-number whose remainder by 97 is 1, a well-formed device address. The others are counter-examples; some rules
-that tell them apart (the leading plus, the dots, the remainder) are no features, so that format and context
-have to. On a part of the sample that isn't trained on, each
-generator's threshold is calibrated: going down from the highest score, it is the last score before
-one at which fewer than ``PRECISION`` of the candidates are confirmed; a generator whose best
-candidates aren't confirmed selects nothing.
+groups, separators, length) and its context (what stands before and after it, words nearby). Examples
+are candidates that a plain pattern confirms or that pass a test of their own form: an address that is a
+mail address once it is spelled back, an account number whose remainder by 97 is 1, a well-formed device
+address. The others are counter-examples; some rules that tell them apart (the leading plus, the dots, the
+remainder) are no features, so that format and context have to. The trees are fitted on a bounded sample
+of the candidates of each generator and label, so that rare ones take part. Each generator's threshold
+is calibrated on the candidates of all documents that aren't trained on: it is the least score at which
+``PRECISION`` of the candidates are examples, as are of those at this score or above.
 Plain spans stay whatever the trees say. All is built from DataFrame functions; the trees become
 one expression.
 
-Defined results: null text is empty text and has no spans; if the sample holds too few examples or
+Defined results: null text is empty text and has no spans; if the table holds too few examples or
 counter-examples, only plain spans are found; repeated rows are searched each; an empty table gives
 an empty one; other columns are ignored. Offsets are code points, ends excluded. A document with n
 spans of a kind costs n^2 array copies, which matters from thousands of spans on.
@@ -22,6 +21,7 @@ spans of a kind costs n^2 array copies, which matters from thousands of spans on
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
@@ -32,8 +32,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..sinks.files import stored
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees are trained on, at most about so many.
-SAMPLE = 20_000
+#: Candidates of a generator and label that the trees are trained on, at most about so many and 3 of 4.
+SAMPLE = 5_000
+_DRAWS = 1 << 40
 #: Least number of examples and of counter-examples.
 EXAMPLES = 20
 TREES, DEPTH = 12, 3
@@ -246,35 +247,58 @@ class Selector:
         return F.coalesce(self.score(candidate["features"]) >= least, F.lit(False)) & ~candidate["plain"]
 
 
+def thresholds(counts: list[tuple[str, int, int, int]]) -> dict[str, float]:
+    """The threshold of each generator that has one, from generator, score in hundredths, examples and candidates."""
+    out, good, every = {}, Counter(), Counter()
+    for name, score, some, many in sorted(counts, key=lambda row: -row[1]):
+        good[name] += some
+        every[name] += many
+        if some >= PRECISION * many and good[name] >= PRECISION * every[name]:
+            out[name] = score / 100
+    return out
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Selector:
-    """From the candidates of a sample of documents that a hash of doc_id picks."""
-    share = min(1.0, sample / max(1, docs.count()))
-    picked = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = with_candidates(picked).select("doc_id", F.explode("candidates").alias("c"))
-    rows = rows.select(
-        "c", F.col("c.confirmed").cast("double").alias("label"),
-        (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0).alias("held_out"),
-    )
-    rows = stored(rows, "candidates")
-    names = rows.select("c.features.*").columns
-    few = rows.filter(~F.col("held_out")).agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
-    if min(few[0] or 0, few[1] or 0) < EXAMPLES:
+    """From the candidates of all documents; a hash of doc_id and text draws those that the trees are fitted on."""
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_DRAWS)).alias("draw")
+    held = stored(with_candidates(docs).select(draw, "candidates"), "candidates")
+    names = held.select(F.col("candidates")[0]["features"].alias("f")).select("f.*").columns
+    label = F.col("c.confirmed").cast("double").alias("label")
+    rows = held.select("draw", F.explode("candidates").alias("c"))
+    many = rows.groupBy("c.generator", "c.confirmed").count().collect()  # at most 2 a generator
+
+    def is_drawn(c: Column) -> Column:
+        return F.coalesce(*[
+            F.when(
+                (c["generator"] == r["generator"]) & (c["confirmed"] == r["confirmed"]),
+                F.col("draw") < int(_DRAWS * min(0.75, sample / r["count"])),
+            ) for r in many
+        ], F.lit(False))
+
+    drawn = held.select(F.explode(F.filter("candidates", is_drawn)).alias("c"))
+    drawn = stored(drawn.select(F.col("c.generator").alias("of"), label, "c.features.*"), "drawn")
+    parts = drawn.groupBy("of", "label").count().collect()
+    few = [sum(r["count"] for r in parts if r["label"] == kind) for kind in (0, 1)]
+    if min(few) < EXAMPLES:
         return Selector([], [], {}, names)
-    flat = rows.select("label", "held_out", "c.features.*")
-    assembled = VectorAssembler(inputCols=names, outputCol="x").transform(flat.filter(~F.col("held_out")))
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=1).fit(assembled)
+    # Each generator and label weighs the same.
+    weight = F.coalesce(*[
+        F.when((F.col("of") == r["of"]) & (F.col("label") == r["label"]), F.lit(sum(few) / len(parts) / r["count"]))
+        for r in parts
+    ])
+    assembled = VectorAssembler(inputCols=names, outputCol="x").transform(drawn.withColumn("weight", weight))
+    model = GBTClassifier(
+        featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=1
+    ).fit(assembled)
     trees = [t._call_java("rootNode") for t in model.trees]
     selector = Selector(trees, list(model.treeWeights), {}, names)
-    scored = rows.filter("held_out").select(
-        F.col("c.generator").alias("generator"), "label",
+    rest = held.filter(~F.exists("candidates", is_drawn)).select(F.explode("candidates").alias("c"))
+    scored = rest.select(
+        F.col("c.generator").alias("generator"), label,
         F.floor(100 * selector.score(F.col("c.features"))).cast("int").alias("score"),
     )
-    counts = scored.groupBy("generator", "score").agg(F.sum("label").alias("good"), F.count("*").alias("all")).collect()
-    for name, _, _ in GENERATORS:  # at most 101 scores each
-        for row in sorted((r for r in counts if r["generator"] == name), key=lambda r: -r["score"]):
-            if row["good"] < PRECISION * row["all"]:
-                break
-            selector.thresholds[name] = row["score"] / 100
+    counts = scored.groupBy("generator", "score").agg(F.sum("label").alias("good"), F.count("*").alias("all"))
+    selector.thresholds = thresholds(counts.collect())  # at most 101 scores a generator
     return selector
 
 

@@ -159,3 +159,15 @@ def test_each_generator_selects_its_own_form(docs_of):
     assert clean[1] == "write to [PII] soon" and clean[2] == "my bank account is [PII] as ever"
     assert clean[3] == "the client has [PII] on it"
     assert "[PII]" not in clean[4] and "[PII]" not in clean[5]
+
+
+def test_rare_examples_are_found_in_the_whole_table(docs_of):
+    rows = [(i, f"please call me at +1 (555) 555-{1000 + i} today") for i in range(60)]
+    rows += [(1000 + i, f"the order no. {10**9 + 7 * i} has left the building") for i in range(1500)]
+    selector = pii.train(docs_of(rows), sample=60)
+    assert selector.trees and "number" in selector.thresholds
+
+
+def test_thresholds_bear_single_counter_examples():
+    rows = [("number", 99, 0, 1), ("number", 98, 500, 500), ("number", 60, 1, 10), ("device", 70, 9, 10)]
+    assert pii.thresholds(rows) == {"number": 0.98}

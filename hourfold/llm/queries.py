@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bpe, edit_embedding, language_id, line_dedup, lm_scoring, order_minhash, packing, pii, pivot_topk, secret_scan,
+    bpe, edit_embedding, hilbert_neighbours, language_id, line_dedup, lm_scoring, order_minhash, packing, pii,
+    pivot_topk, secret_scan,
 )
 from .tasks import documents
 
@@ -79,6 +80,13 @@ def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, d))
     return out.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
+
+@query
+def op11_hilbert_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.schema("vec_id bigint, embedding array<float>").parquet(f"{d}/embeddings.parquet")
+    return hilbert_neighbours.nearest(rows, F.col("vec_id") % 20 == 0)
+
+
 ORACLE["op4_pivot_topk"] = """
     WITH whole AS (
       SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings

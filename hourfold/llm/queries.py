@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     bpe, edit_embedding, hilbert_neighbours, language_id, line_dedup, lm_scoring, order_minhash, packing, pii,
-    pivot_topk, secret_scan,
+    periodic_runs, pivot_topk, secret_scan,
 )
 from .tasks import documents
 
@@ -87,6 +87,11 @@ def op11_hilbert_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return hilbert_neighbours.nearest(rows, F.col("vec_id") % 20 == 0)
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return periodic_runs.run_digests(documents(spark, d))
+
+
 ORACLE["op4_pivot_topk"] = """
     WITH whole AS (
       SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bpe, edit_embedding, hilbert_neighbours, language_id, line_dedup, lm_scoring, order_minhash, packing, pii,
-    periodic_runs, pivot_topk, secret_scan,
+    bpe, conversation_repair, edit_embedding, hilbert_neighbours, language_id, line_dedup, lm_scoring, order_minhash,
+    packing, periodic_runs, pii, pivot_topk, secret_scan,
 )
 from .tasks import documents
 
@@ -87,6 +87,12 @@ def op11_hilbert_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return hilbert_neighbours.nearest(rows, F.col("vec_id") % 20 == 0)
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.schema("conv_id bigint, turn bigint, role string, text string").parquet(f"{d}/conversations.parquet")
+    return conversation_repair.repair(conversation_repair.damaged(rows))
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
     return periodic_runs.run_digests(documents(spark, d))

@@ -23,7 +23,7 @@ REMEMBERED = 300_000
 _KINDS = {
     "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),
     "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
-    "array<bigint>": pa.list_(pa.int64()),
+    "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()),
 }
 
 

@@ -1,5 +1,10 @@
 """Every registered query against its DuckDB twin."""
 
+import pathlib
+import shutil
+import subprocess
+import sys
+
 import duckdb
 import pandas as pd
 import pytest
@@ -101,3 +106,15 @@ def test_inferred_timezones(spark):
         97: (257.373512, 672, 190.943738, 17.373512, -4),
         98: (-461.767883, 685, 202.181423, 18.232117, 8),
     }
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_the_document_operators(tmp_path, pipeline):
+    """The entry imports, with the library's queries, where ``hourfold/llm`` is missing, with or without its pipeline."""
+    root = pathlib.Path(entry_file.__file__).resolve().parent
+    shutil.copytree(root / "hourfold", tmp_path / "hourfold", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", *["corpus_pipeline.py"] * (pipeline and (root / "corpus_pipeline.py").exists())):
+        shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.LIBRARY_QUERIES) and not set(e.oracle_sql()) - set(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.strip() == "True", done.stderr

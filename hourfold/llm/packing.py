@@ -19,14 +19,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..sinks.files import stored
 from .bpe import encoder
-from .tasks import arrow_schema, map_arrow, map_groups, record_batch, slices
+from .tasks import arrow_schema, map_arrow, map_group_tables, record_batch, slices
 
 CAPACITY = 4096
 GROUP_ROWS = 20_000
@@ -108,9 +107,10 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-def _pack_group(rows: pd.DataFrame, capacity: int, number: int) -> pd.DataFrame:
-    rows = rows.sort_values(["length", "doc_id", "piece", "slot"], ascending=[False, True, True, True])
-    lengths = rows["length"].to_numpy()
+def _pack_group(rows: pa.Table, capacity: int, number: int, schema: pa.Schema) -> pa.Table:
+    order = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("slot", "ascending")]
+    rows = rows.sort_by(order)
+    lengths = rows.column("length").to_numpy()
     bins, offsets = best_fit(lengths, capacity)
     free = capacity - np.bincount(bins, weights=lengths).astype(np.int64)
     if len(free) > lower_bound(lengths, capacity):
@@ -118,10 +118,9 @@ def _pack_group(rows: pd.DataFrame, capacity: int, number: int) -> pd.DataFrame:
     else:
         released = np.arange(len(free)) == free.argmax()
         released &= free > 0
-    first = number << 52 | int(rows["own_group"].iloc[0]) << 20
-    return rows.drop(columns="own_group").assign(
-        sequence_id=first + bins, offset=offsets, open=released[bins]
-    )
+    first = number << 52 | rows.column("own_group")[0].as_py() << 20
+    placed = [pa.array(c) for c in (first + bins, offsets, released[bins])]
+    return pa.Table.from_arrays([*rows.drop_columns("own_group").columns, *placed], schema=schema)
 
 
 def _round(rows: DataFrame, number: int, capacity: int, group_rows: int, many: int) -> DataFrame:
@@ -129,10 +128,9 @@ def _round(rows: DataFrame, number: int, capacity: int, group_rows: int, many: i
     dealt = F.pmod(F.xxhash64("slot", F.lit(number)), F.lit(groups))
     rows = rows.select(*[c.split(" ")[0] for c in PIECES.split(", ")]).withColumn("own_group", dealt)
 
-    def work(group: pd.DataFrame) -> pd.DataFrame:
-        return _pack_group(group, capacity, number)
-
-    return map_groups(rows, "own_group", work, f"{PIECES}, {_PLACED}")
+    ddl = f"{PIECES}, {_PLACED}"
+    schema = arrow_schema(ddl)
+    return map_group_tables(rows, "own_group", lambda group: _pack_group(group, capacity, number, schema), ddl)
 
 
 def pack(

@@ -83,3 +83,10 @@ def test_awkward_documents(docs_of, awkward):
     rows = packing.pack_documents(docs_of(awkward), VOCABULARY).collect()
     check(rows, [(r[0], r[1]) for r in awkward], 4096)
     assert packing.pack_documents(docs_of([]), VOCABULARY).collect() == []
+
+
+def test_large_ids_next_to_a_null_one(docs_of):
+    ids = [2**53 + i for i in range(1, 40, 2)] + [None, -(2**62) - 1]
+    rows = [(key, f"text number {i}") for i, key in enumerate(ids)]
+    packed = packing.pack_documents(docs_of(rows), VOCABULARY).collect()
+    check(packed, rows, 4096)

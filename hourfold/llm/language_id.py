@@ -24,11 +24,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .tasks import Pieces, arrow_schema, map_arrow, record_batch, slices
+from .tasks import Pieces, arrow_schema, map_arrow, record_batch, ship, slices
 
 BUCKETS = 1 << 16
 FOLDS = 5
@@ -148,6 +149,39 @@ def _mix(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return weights, np.log(likely @ weights) + top[:, 0]
 
 
+class Predictor:
+    """A model with the pieces of text that a task remembers."""
+
+    def __init__(self, model: Model):
+        self.model, self.width = model, len(model.langs) + 1
+        self.pieces = Pieces(self._learn, "<f4")
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """Letters of a piece, and its log likelihood in each language; nothing without letters."""
+        bucket, owner = windows(pieces)
+        letters = np.bincount(owner, minlength=len(pieces))
+        values = np.empty((len(pieces), self.width), np.float32)
+        values[:, 0] = letters
+        for i in range(self.width - 1):
+            values[:, i + 1] = np.bincount(owner, self.model.scores[bucket, i], len(pieces))
+        return [v.tobytes() if many else b"" for v, many in zip(values, letters.tolist(), strict=True)]
+
+    def of(self, texts: pa.Array) -> tuple[list[str], list[float], list[str]]:
+        """lang_pred, score and languages of each text."""
+        langs = self.model.langs
+        named, shares, sets = [], [], []
+        for values in self.pieces.of(texts):
+            values = values.reshape(-1, self.width)
+            if not len(values) or not langs:
+                named.append(UNDETERMINED), shares.append(0.0), sets.append("")
+                continue
+            found = mixture(values[:, 1:].astype(np.float64), values[:, 0].astype(np.float64))
+            first = int(found.argmax())
+            named.append(langs[first]), shares.append(min(1.0, float(found[first])))
+            sets.append(",".join(lang for lang, x in zip(langs, found, strict=True) if x > 0))
+        return named, shares, sets
+
+
 def predictions(docs: DataFrame, model: Model, fold_out: int = 0) -> DataFrame:
     """doc_id, held_out, lang_pred, score, and the languages of the document's set, comma-joined."""
     ddl = "doc_id bigint, held_out boolean, lang_pred string, score double, langs string"
@@ -155,34 +189,11 @@ def predictions(docs: DataFrame, model: Model, fold_out: int = 0) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        langs, width = known.langs, len(known.langs) + 1
-
-        def learn(pieces: list[str]) -> list[bytes]:
-            """Letters of a piece, and its log likelihood in each language; nothing without letters."""
-            bucket, owner = windows(pieces)
-            letters = np.bincount(owner, minlength=len(pieces))
-            values = np.empty((len(pieces), width), np.float32)
-            values[:, 0] = letters
-            for i in range(width - 1):
-                values[:, i + 1] = np.bincount(owner, known.scores[bucket, i], len(pieces))
-            return [v.tobytes() if many else b"" for v, many in zip(values, letters.tolist(), strict=True)]
-
-        pieces = Pieces(learn, "<f4")
+        predictor = Predictor(shared.value)
         for batch in batches:
             for part in slices(batch.column(2)):
                 keys, held, texts = (c.slice(part.start, part.stop - part.start) for c in batch.columns)
-                named, shares, sets = [], [], []
-                for values in pieces.of(texts):
-                    values = values.reshape(-1, width)
-                    if not len(values) or not langs:
-                        named.append(UNDETERMINED), shares.append(0.0), sets.append("")
-                        continue
-                    found = mixture(values[:, 1:].astype(np.float64), values[:, 0].astype(np.float64))
-                    first = int(found.argmax())
-                    named.append(langs[first]), shares.append(min(1.0, float(found[first])))
-                    sets.append(",".join(lang for lang, x in zip(langs, found, strict=True) if x > 0))
-                yield record_batch([keys, held, named, shares, sets], schema)
+                yield record_batch([keys, held, *predictor.of(texts)], schema)
 
     held_out = F.coalesce(fold(F.col("doc_id")) == fold_out, F.lit(False)).alias("held_out")
     return map_arrow(docs.select("doc_id", held_out, "text"), run, ddl)
@@ -193,9 +204,19 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which a language was found; rows without doc_id stay.
+    """The rows of ``docs`` in whose text a language was found, each judged by its own text.
 
     Texts without a letter go, and all texts if no language could be learned.
     """
-    rejected = identify(docs).filter(F.col("lang_pred") == UNDETERMINED).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs))
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predictor = Predictor(shared.value)
+        for batch in batches:
+            texts = pa.array(batch, pa.string())
+            parts = [predictor.of(texts.slice(p.start, p.stop - p.start))[0] for p in slices(texts)]
+            yield pd.Series([lang != UNDETERMINED for part in parts for lang in part], dtype=bool)
+
+    return docs.filter(found("text"))

@@ -13,9 +13,9 @@ shingle sequences are aligned within the band that the threshold allows, and the
 matched / (all - matched). Classes are the components of the links.
 
 Defined results: texts under five words are one shingle; texts without words are classed with equal
-texts only; null text is empty text; rows that share doc_id and words are one document; rows without
-doc_id are classed by equal words only; a class is named by its smallest doc_id; an empty table gives
-an empty one; columns beyond doc_id and text are ignored.
+texts only; null text is empty text; rows are told apart by doc_id and text, so one id may hold different
+texts; a class is named by its smallest doc_id, which is null if all its rows are without one; an empty
+table gives an empty one; columns beyond doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sinks.files import stored
 from . import links
@@ -162,56 +162,74 @@ def digests(words: list[np.ndarray], texts: pa.Array) -> list[bytes]:
     ]
 
 
+def text_key(text: Column) -> Column:
+    """Tells the texts of rows with the same doc_id apart."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (equal for equal words) and the keys of its sketches."""
+    """doc_id, text_key, digest (equal for equal words) and the keys of its sketches."""
 
     def columns(words: Pieces, texts: pa.Array) -> list:
         found = words.of(texts)
-        return [digests(found, texts), [sketch(w) for w in found]]
+        own = [hashlib.md5((t or "").encode()).hexdigest() for t in texts.to_pylist()]
+        return [own, digests(found, texts), [sketch(w) for w in found]]
 
-    return map_batches(docs.select("doc_id", "text"), word_pieces, columns, "digest binary, keys array<bigint>")
+    ddl = "text_key string, digest binary, keys array<bigint>"
+    return map_batches(docs.select("doc_id", "text"), word_pieces, columns, ddl)
 
 
 def _words_of(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """The words of nodes, read again from the document that stands for each."""
 
     def payloads(ids: DataFrame) -> DataFrame:
-        wanted = nodes.join(ids.withColumnRenamed("id", "digest"), "digest").select("doc_id", "digest")
-        texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("digest", "text")
+        wanted = nodes.join(ids.withColumnRenamed("id", "digest"), "digest")
+        texts = docs.select("doc_id", "text")
+        same = texts["doc_id"].eqNullSafe(wanted["first.doc_id"]) & (text_key(texts["text"]) == wanted["first.text_key"])
+        texts = texts.join(wanted, same).select("digest", "text")
 
         def columns(words: Pieces, values: pa.Array) -> list:
-            found = words.of(values)
-            return [[w.tobytes() for w in found], digests(found, values)]
+            return [[w.tobytes() for w in words.of(values)]]
 
-        # Another text under the same doc_id isn't the one that is looked for.
-        own = map_batches(texts, word_pieces, columns, "payload binary, own binary")
-        return own.filter("digest = own").select(F.col("digest").alias("id"), "payload")
+        found = map_batches(texts, word_pieces, columns, "payload binary")
+        return found.groupBy(F.col("digest").alias("id")).agg(F.first("payload").alias("payload"))
 
     return payloads
 
 
-def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id, the smallest doc_id of its class, for every row of ``docs``."""
+def _named_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` by doc_id, text_key and digest, and for each digest the row that its class is named by."""
     made = stored(sketches(docs), "sketches")
-    nodes = stored(made.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), "nodes")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    nodes = stored(made.groupBy("digest").agg(F.min(row).alias("first"), F.first("keys").alias("keys")), "nodes")
     bands = nodes.select(F.explode("keys").alias("key"), F.col("digest").alias("id"))
     found = links.verified_links(
-        links.groups(bands), _words_of(docs, nodes.select("doc_id", "digest")),
+        links.groups(bands), _words_of(docs, nodes.select("digest", "first")),
         lambda payloads: linked([np.frombuffer(p, "<u4") for p in payloads]),
     )
     roots = links.components(found).select(F.col("id").alias("digest"), "root")
-    nodes = nodes.select("digest", "doc_id").join(roots, "digest", "left")
+    nodes = nodes.select("digest", "first").join(roots, "digest", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "digest"))
-    classes = nodes.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    named = nodes.join(classes, "root").select("digest", "class_id")
-    return made.select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id")
+    classes = nodes.groupBy("root").agg(F.min("first").alias("named"))
+    return made.drop("keys"), nodes.join(classes, "root").select("digest", "first", "named")
+
+
+def near_duplicate_classes(docs: DataFrame) -> DataFrame:
+    """doc_id and class_id, the smallest doc_id of its class, for every row of ``docs``."""
+    made, named = _named_classes(docs)
+    return made.join(named, "digest").select("doc_id", F.col("named.doc_id").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that are near-duplicates of a document with a smaller id.
+    """The rows of ``docs`` that classes are named by: of each the one of the smallest doc_id, then text_key.
 
-    Documents with a null doc_id stay: nothing tells them apart.
+    Rows are told apart by doc_id and text. Of rows that share both, the least by a hash of all columns stays.
     """
-    kept = near_duplicate_classes(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.filter("doc_id IS NULL"))
+    named = _named_classes(docs)[1]
+    kept = named.filter("first = named").select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key"))
+    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (text_key(docs["text"]) == kept["kept_key"])
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    place = F.row_number().over(
+        Window.partitionBy("doc_id", text_key(F.col("text"))).orderBy(F.xxhash64(*hashed))
+    )
+    return docs.join(kept, same, "left_semi").withColumn("_nth_of_equal", place).filter("_nth_of_equal = 1").drop("_nth_of_equal")

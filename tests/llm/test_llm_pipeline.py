@@ -51,3 +51,14 @@ def test_awkward_documents_pass_all_stages(spark, docs_of, awkward):
     for _, stage in cp.STAGES:
         empty = stage(spark, empty, "")
     assert empty.collect() == []
+
+
+def test_stages_judge_rows_by_their_own_text(spark, docs_of):
+    """Different texts under one doc_id, or under none, are different documents; repeated rows are one."""
+    one, other, third = ("the quick brown fox jumps over the lazy dog " * 5 + f"{i} " + f"word{i} " * 40 for i in range(3))
+    rows = [(1, one), (1, other), (2, ""), (2, third), (3, third + " end"), (1, one), (None, other), (None, "alone with its words here")]
+    docs = docs_of([(*r, "en") for r in rows], clashing=False)
+    for name, stage in cp.STAGES[:1] + cp.STAGES[2:3]:
+        docs = stored(stage(spark, docs, ""), name)
+    got = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    assert got == sorted([(1, one), (1, other), (2, third), (None, "alone with its words here")], key=str)

@@ -1,14 +1,17 @@
 """Secrets in source and configuration text, by reading what is assigned to which name.
 
 Three plain patterns give the base spans. Beyond them a small lexer reads name-literal pairs, written
-as assignments, mapping entries, options or elements. A value may be a chain of literals and
-names; names stand for what was assigned to them before, so a literal reaches every name that it is
-handed on to. A literal is a secret if one of those names is sensitive and the literal looks like a
-key: score = sensitivity of the name x strength of the literal, from its length, the kinds of its
-characters and their entropy. Placeholders and references to the environment score nothing.
-
-Literals have any length. Long ones that end together, as those of a run of assignments do, are scored in
-one pass, so that a scan is linear in the length of a run.
+as assignments, mapping entries, options or elements. A value may be a chain of literals and names, may
+begin on the next line, and may be a block of indented lines or a text in triple quotes, whose lines are
+literals each. Names stand for what was assigned to them before, or else for the first thing assigned
+to them later. So values refer to values, and a literal has the sensitivity of the most sensitive name
+whose value it is reached from: the references are followed once, from the most sensitive name down. A
+literal is a secret if a name that it reaches is sensitive and the literal looks like a key: score =
+sensitivity of the name x strength of the literal, from its length, the kinds of its characters and their
+entropy. Placeholders and references to the environment score nothing.
+
+Names and literals have any length. Long literals that end together, as those of a run of assignments do,
+are scored in one pass, so that a scan is linear in the length of a run.
 
 Spans count code points, the end excluded. Every base span stays; a literal inside one adds nothing.
 
@@ -23,7 +26,7 @@ import math
 import re
 from bisect import bisect_right, insort
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -56,16 +59,19 @@ _PLACEHOLDERS = ("example", "changeme", "placeholder", "redacted", "your", "dumm
 # Longest first, so that comparisons and the like are told from assignments.
 _MARK = re.compile(r"==+|::+|://|[!<>+*/|&^%~-]=|:=|=>|[:=]")
 _ASSIGNS = (":=", "=>", ":", "=")
-_NAME = re.compile(r"""([A-Za-z_$][\w.$-]*)["'\]]{0,2}[ \t]*$""")
+_NAME_BACKWARD = re.compile(r"[\w.$-]*+")
+_NAME_FROM = re.compile(r"[A-Za-z_$]")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*)(?: [^<>\n]*)?>([^<>\n]+)</\1>")
 _OPTION = re.compile(r"-(?<!\S-)-?([A-Za-z][\w-]*)[ \t]+([^\s-]\S*)")
 _QUOTED = re.compile(r'''"((?:[^"\\\n]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+)'|`([^`\n]*+)`''')
 _REFERENCE = re.compile(r"\$\{[\w.]++\}")
 _RUN = re.compile(r"[^\s,;(){}\[\]\"'`<>]++")
-_JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*")
+_JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*(?:\\?\r?\n[ \t]*)?")
+_BLOCK = re.compile(r"[|>][+-]?[1-9]?[ \t]*\r?$", re.M)
+_INDENT = re.compile(r"[ \t]*")
+_TRIPLE = ('"""', "'''")
 _IDENTIFIER = re.compile(r"(?:\$\{?)?([A-Za-z_][\w.]*)\}?")
-_NAME_REACH = 96  # characters before a mark in which its name begins
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -128,24 +134,77 @@ def _strengths(text: str, starts: list[int], end: int) -> dict[int, float]:
 class Literal:
     def __init__(self, start: int, end: int, quoted: bool):
         self.start, self.end, self.quoted = start, end, quoted
-        self.names: set[str] = set()
+        self.sensitivity = 0.0  # of the most sensitive name that it reaches
+
+
+class Value:
+    """What is assigned to a name: literals, other values, and names that nothing was assigned to before."""
+
+    def __init__(self, name: str):
+        self.sensitivity = sensitivity(name)
+        self.parts: list[Literal | Value] = []
+        self.unknown: list[tuple[str, Span | None]] = []  # with the place, if the name may be a literal itself
+
+
+def _name_before(segment: str) -> str:
+    """The name that ends a piece of text, if need be before quotes, a bracket and blanks."""
+    segment = segment.rstrip(" \t")
+    for _ in range(2):
+        if segment.endswith(('"', "'", "]")):
+            segment = segment[:-1]
+    run = segment[len(segment) - _NAME_BACKWARD.match(segment[::-1]).end() :]
+    first = _NAME_FROM.search(run)
+    return run[first.start() :] if first else ""
+
+
+def _value_place(text: str, at: int) -> int:
+    """Where the value behind a mark begins: on its line, or as the only word or quoted text of the next one."""
+    while text[at : at + 1] in (" ", "\t", "("):
+        at += 1
+    line_end = at + 1 if text[at : at + 2] == "\r\n" else at
+    if text[line_end : line_end + 1] != "\n":
+        return at
+    start = _INDENT.match(text, line_end + 1).end()
+    if text[start : start + 1] in ('"', "'", "`"):
+        return start
+    end = text.find("\n", start)
+    word = text[start : len(text) if end < 0 else end].strip()
+    alone = start > line_end + 1 and len(word.split(None, 1)) == 1 and word[0] not in "-#" and ":" not in word
+    return start if alone and "=" not in word.rstrip("=") else at
 
 
 def _pairs(text: str) -> Iterator[tuple[int, str, int]]:
     """Place, name and beginning of the value, as the text has them."""
     if "=" in text or ":" in text:
+        done = 0  # a name doesn't reach over a mark
         for m in _MARK.finditer(text):
             start, at = m.span()
-            name = m[0] in _ASSIGNS and _NAME.search(text[max(0, start - _NAME_REACH) : start])
+            name = m[0] in _ASSIGNS and _name_before(text[done:start])
             if name:
-                while text[at : at + 1] in (" ", "\t"):
-                    at += 1
-                yield start, name[1], at
+                yield start, name, _value_place(text, at)
+            done = at
     if "-" in text:
         for m in _OPTION.finditer(text):
             yield m.start(), m[1], m.start(2)
 
 
+def _block_lines(text: str, at: int) -> Iterator[Span]:
+    """The lines, without blanks around them, that are indented deeper than the line of a block's mark at ``at``."""
+    line = text.rfind("\n", 0, at) + 1
+    depth = _INDENT.match(text, line).end() - line
+    line = text.find("\n", at) + 1
+    while line:
+        end = text.find("\n", line)
+        stop = len(text) if end < 0 else end
+        start = _INDENT.match(text, line).end()
+        held = text[start:stop].rstrip()
+        if held and start - line <= depth:
+            return
+        if held:
+            yield start, start + len(held)
+        line = end + 1
+
+
 def _run_end(text: str, at: int, runs: list[Span]) -> int:
     """Where the characters of a word without quotes end; ``at`` if none begins here. ``runs`` remembers long ones."""
     place = bisect_right(runs, at, key=lambda run: run[0]) - 1
@@ -159,52 +218,92 @@ def _run_end(text: str, at: int, runs: list[Span]) -> int:
     return run.end()
 
 
-def _value(text: str, at: int, known: dict[str, list[Literal]], runs: list[Span]) -> list[Literal]:
-    """The literals that a chain of literals and names stands for."""
-    out: list[Literal] = []
+def _read_value(
+    text: str, at: int, into: Value, known: dict[str, Value], literal: Callable[[int, int, bool], Literal], runs: list[Span]
+) -> None:
+    """Puts the literals and values that a chain of literals and names stands for ``into`` a value."""
+    if _BLOCK.match(text, at):
+        into.parts += [literal(start, end, False) for start, end in _block_lines(text, at)]
+        return
     while True:
-        quoted = _QUOTED.match(text, at)
-        if quoted:
+        if text[at : at + 3] in _TRIPLE:
+            end = text.find(text[at : at + 3], at + 3)
+            if end < 0:
+                return
+            line = at + 3
+            for held in text[line:end].split("\n"):
+                bare = held.strip()
+                if bare:
+                    start = line + held.index(bare)
+                    into.parts.append(literal(start, start + len(bare), True))
+                line += len(held) + 1
+            at = end + 3
+        elif quoted := _QUOTED.match(text, at):
             start, end = quoted.span(quoted.lastindex or 1)
             if start < end:
-                out.append(Literal(start, end, True))
+                into.parts.append(literal(start, end, True))
             at = quoted.end()
         else:
             reference = _REFERENCE.match(text, at)
             after = reference.end() if reference else _run_end(text, at, runs)
             if after == at:
-                return out
+                return
             end = after - (text[after - 1] in ".,:;!?" and after - at > 1)
             name = _IDENTIFIER.fullmatch(text, at, end)
             handed = known.get(name[1]) if name else None
             if handed is not None:
-                out += handed
+                into.parts.append(handed)
+            elif name:
+                into.unknown.append((name[1], (at, end) if text[at] != "$" else None))
             elif text[at] != "$":
-                out.append(Literal(at, end, False))
+                into.parts.append(literal(at, end, False))
             at = after
         more = _JOIN.match(text, at)
         if not more:
-            return out
+            return
         at = more.end()
 
 
 def assigned_literals(text: str) -> list[Literal]:
-    """The literals of a text with the names they are assigned to, directly or handed on."""
-    known: dict[str, list[Literal]] = {}
+    """The literals of a text, with the sensitivity of the names they are assigned to, directly or handed on."""
+    known: dict[str, Value] = {}
+    waiting: dict[str, list[tuple[Value, Span | None]]] = defaultdict(list)
     found: dict[Span, Literal] = {}
+    values: list[Value] = []
     runs: list[Span] = []
+
+    def literal(start: int, end: int, quoted: bool) -> Literal:
+        return found.setdefault((start, end), Literal(start, end, quoted))
+
     for _, name, at in sorted(_pairs(text)):
-        held = list(dict.fromkeys(_value(text, at, known, runs)))
-        for literal in held:
-            literal.names.add(name)
-            found[literal.start, literal.end] = literal
-        if held:
-            known[name] = held
+        value = Value(name)
+        _read_value(text, at, value, known, literal, runs)
+        if not value.parts and not value.unknown:
+            continue
+        values.append(value)
+        for unknown, span in value.unknown:
+            waiting[unknown].append((value, span))
+        known[name] = value
+        for earlier, _ in waiting.pop(name, ()):
+            earlier.parts.append(value)
+    for value, span in (x for names in waiting.values() for x in names):
+        if span:  # nothing is called so: the word is the literal
+            value.parts.append(literal(*span, False))
     if "</" in text:
         for m in _ELEMENT.finditer(text):
-            literal = Literal(*m.span(2), True)
-            literal.names.add(m[1])
-            found.setdefault(m.span(2), literal)
+            value = Value(m[1])
+            value.parts.append(literal(*m.span(2), True))
+            values.append(value)
+    seen: set[int] = set()
+    for value in sorted(values, key=lambda v: -v.sensitivity):
+        reached = [value]
+        while reached:
+            part = reached.pop()
+            if isinstance(part, Literal):
+                part.sensitivity = max(part.sensitivity, value.sensitivity)
+            elif id(part) not in seen:
+                seen.add(id(part))
+                reached += part.parts
     return list(found.values())
 
 
@@ -212,7 +311,7 @@ def secret_literals(text: str, threshold: float = THRESHOLD) -> list[Span]:
     out: list[Span] = []
     long: dict[int, dict[int, float]] = defaultdict(dict)  # sensitivities by end and start
     for x in assigned_literals(text):
-        sensitive = max(map(sensitivity, x.names))
+        sensitive = x.sensitivity
         if sensitive < threshold:  # no literal has more than its name
             continue
         if x.end - x.start > LONG and not x.quoted:

@@ -111,3 +111,43 @@ def test_long_runs_take_linear_time():
 ])
 def test_options_with_one_hyphen(text, secrets):
     assert [text[a:b] for a, b in ss.secret_literals(text)] == secrets
+
+
+@pytest.mark.parametrize("text, secrets", [
+    ("credential" + " " * 100 + '= "Zx81-kk20Lq"', ["Zx81-kk20Lq"]),
+    ("credential_" + "a" * 100 + ' = "Zx81-kk20Lq"', ["Zx81-kk20Lq"]),
+    ("colour" + " " * 5000 + "x" * 5000 + '_passphrase\t' + " " * 5000 + ': Zx81-kk20Lq', ["Zx81-kk20Lq"]),
+    ('["credential"] = "Zx81-kk20Lq"', ["Zx81-kk20Lq"]),
+])
+def test_names_of_any_length(text, secrets):
+    assert [text[a:b] for a, b in ss.secret_literals(text)] == secrets
+
+
+@pytest.mark.parametrize("text, secrets", [
+    ('AUTH_CREDENTIAL = tail\ntail = "20LqPm33"\n', ["20LqPm33"]),
+    ('pwd = one\none = two\ntwo = one + "Zx81-kk20Lq"\n', ["Zx81-kk20Lq"]),
+    ('a = "Zx81-kk20Lq"\nb = a\nb = b\ntitle = b\nclientPassphrase = b', ["Zx81-kk20Lq"]),
+    ('credential =\n    "Zx81-kk20Lq"', ["Zx81-kk20Lq"]),
+    ("credential:\r\n  q8Zt-55-xL0p\n", ["q8Zt-55-xL0p"]),
+    ("credentials:\n  user1: someone22\n  size: 10\n", []),
+    ("signingKey: |\n  q8Zt55xL0pQQ81mm\n\n  r4Tz9pQ81mZZ00kk\nother: |\n  h7Gd93kLmQ2x\n", ["q8Zt55xL0pQQ81mm", "r4Tz9pQ81mZZ00kk"]),
+    ('pwd = """\n  Zx81-kk20Lq\n"""', ["Zx81-kk20Lq"]),
+    ("pwd = (\n)", []),
+    ('passphrase = ("Zx81-kk20Lq" +\n    "20LqPm33")', ["Zx81-kk20Lq", "20LqPm33"]),
+    ('pwd = """never closed Zx81', []),
+])
+def test_order_and_lines_of_values(text, secrets):
+    assert [text[a:b] for a, b in ss.secret_literals(text)] == secrets
+
+
+def test_chains_of_constants_take_linear_time():
+    for turn in (1, -1):
+        lines = ['a0 = "Zx81-kk20Lq"'] + [f"a{i} = a{i - 1} + 'q{i}-77-xL0p'" for i in range(1, 40_000)] + ["pwd = a39999"]
+        text = "\n".join(lines[::turn])
+        began = time.perf_counter()
+        assert len(ss.secret_literals(text)) == 40_000
+        assert time.perf_counter() - began < 10
+    for text in ("credential:\n  " * 30_000, "pwd: |\n" * 30_000, 'pwd="""' * 30_001, "pwd" + " " * 200_000 + "= " * 1000, "k-" * 100_000 + "=1"):
+        began = time.perf_counter()
+        ss.secret_literals(text)
+        assert time.perf_counter() - began < 10

@@ -11,8 +11,10 @@ with its last character; a fingerprint ends there too.
 
 All walks of a batch go in lockstep, one NumPy operation per step for all of them.
 
-Near-duplicates are found by banding: bands sample digits of the fingerprints, documents that agree in
-one are candidates, and their texts are verified by edit distance, computed by bit-parallel rows.
+Near-duplicates are found by banding: bands are windows of the fingerprints of ``WALKS`` independent walks,
+documents that agree in one are candidates, and every pair of candidates is verified by edit distance,
+computed by bit-parallel rows. Edits all over a text put walks out of step, so a low likeness of two
+fingerprints rules nothing out; what stays are stretches of neighbouring samples.
 
 Defined results: null text is empty text, with an empty fingerprint, which is like itself only; equal
 texts have equal fingerprints. Documents are ordered by doc_id (null first), rows that share it by a
@@ -43,11 +45,9 @@ PERIOD = 1 << 14
 _CLASSES = 256
 #: Characters of texts that walk together, in a task.
 TOGETHER = 6_000_000
-BANDS, BAND_DIGITS = 64, 6
+#: Walks whose fingerprints are banded, digits of a band, and digits from one band to the next.
+WALKS, BAND_DIGITS, BAND_STEP = 2, 8, 4
 SIMILARITY = 0.8
-#: Least likeness of fingerprints whose texts are compared. Texts of edit similarity 0.8 have more of it but
-#: for walks that stay out of step for long.
-LIKENESS = 0.2
 _DEALT = "range bigint, behind boolean, doc_id bigint, order bigint, tie bigint, packed binary"
 _LEAST = -(2**63)  # in the place of a null doc_id
 _END = 255  # a sample beyond the text
@@ -261,32 +261,20 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return distance
 
 
-def band_keys(fingerprint: str, bands: int = BANDS, digits: int = BAND_DIGITS) -> list[int]:
-    """A key per band: neighbouring samples, from those of the octaves that the text fills, and of one less.
-
-    Edits upset stretches of the walk; neighbours are upset together, so more bands stay whole.
-    """
-    octaves = len(fingerprint) // SAMPLES
+def band_keys(fingerprint: str, walk: int, digits: int = BAND_DIGITS, step: int = BAND_STEP) -> list[int]:
+    """A key per window of neighbouring samples, which edits upset together."""
     out = []
-    for filled in {octaves, octaves - 1} - {-1}:
-        known = fingerprint[: filled * SAMPLES] if filled else fingerprint
-        for at in _band_places(filled, len(known), bands, digits):
-            key = f"{filled},{at},{known[at : at + digits]}"
-            out.append(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))
+    for at in range(0, max(1, len(fingerprint) - digits + 1), step):
+        key = f"{walk},{at},{fingerprint[at : at + digits]}"
+        out.append(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))
     return out
 
 
-@lru_cache(1024)
-def _band_places(filled: int, size: int, bands: int, digits: int) -> list[int]:
-    random = np.random.default_rng(filled)
-    return sorted(set(random.integers(0, max(1, size - digits + 1), bands).tolist()))
-
-
 def linked(payloads: list[str], threshold: float = SIMILARITY) -> list[tuple[int, int]]:
     """Pairs of texts whose edit distance is at most (1 - threshold) of the longer one.
 
     A payload is a fingerprint, a line end and the text. Pairs are verified in descending order of their
-    likeness, from ``LIKENESS`` on, unless others connect them already.
+    likeness, unless others connect them already.
     """
     prints, texts = zip(*(p.split("\n", 1) for p in payloads))
     walk, n = shared_walk(), len(texts)
@@ -296,7 +284,7 @@ def linked(payloads: list[str], threshold: float = SIMILARITY) -> list[tuple[int
     close = []
     for i in range(n - 1):
         like = walk.likeness(np.broadcast_to(samples[i], samples[i + 1 :].shape), samples[i + 1 :])
-        close += [(-like[k], i, i + 1 + k) for k in np.flatnonzero(like >= LIKENESS).tolist()]
+        close += [(-x, i, i + 1 + k) for k, x in enumerate(like.tolist())]
     find, join = links.union_find(n)
     out = []
     for _, i, j in sorted(close):
@@ -307,35 +295,36 @@ def linked(payloads: list[str], threshold: float = SIMILARITY) -> list[tuple[int
     return out
 
 
-@lru_cache(1)
-def shared_walk() -> Walk:
-    return Walk()
+@lru_cache(WALKS)
+def shared_walk(walk: int = 0) -> Walk:
+    return Walk(20 + walk)
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id: components of the texts that bands bring together and edit distance verifies."""
+    """doc_id and class_id: components of the texts that bands bring together and edit distance verifies.
 
-    def columns(walk: Walk, texts: pa.Array) -> list:
+    A class is named by its smallest doc_id, null if none of its rows has one.
+    """
+
+    def columns(_: None, texts: pa.Array) -> list:
         texts = [t or "" for t in texts.to_pylist()]
-        marks = [walk.text(x) for x in walk.samples(texts)]
-        digests = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in texts]
-        return [digests, [band_keys(m) for m in marks], marks]
+        marks = [[w.text(x) for x in w.samples(texts)] for w in map(shared_walk, range(WALKS))]
+        digests = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+        keys = [[key for walk, m in enumerate(own) for key in band_keys(m, walk)] for own in zip(*marks)]
+        return [digests, keys, marks[0]]
 
-    made = stored(
-        map_batches(docs.select("doc_id", "text"), shared_walk, columns, "digest binary, keys array<bigint>, mark string"), "bands"
-    )
+    ddl = "digest string, keys array<bigint>, mark string"
+    made = stored(map_batches(docs.select("doc_id", "text"), lambda: None, columns, ddl), "bands")
     nodes = made.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("mark").alias("mark")
     )
     bands = nodes.select(F.explode("keys").alias("key"), F.col("digest").alias("id"))
 
     def payloads(ids: DataFrame) -> DataFrame:
-        wanted = nodes.join(ids.withColumnRenamed("id", "digest"), "digest")
-        wanted = wanted.select("doc_id", F.col("digest").alias("id"), "mark")
         text = F.coalesce("text", F.lit(""))
-        return docs.select("doc_id", "text").join(wanted, "doc_id").select(
-            "id", F.concat_ws("\n", "mark", text).alias("payload")
-        )
+        texts = docs.groupBy(F.md5(text).alias("id")).agg(F.first(text).alias("text"))
+        marks = nodes.select(F.col("digest").alias("id"), "mark").join(ids, "id")
+        return texts.join(marks, "id").select("id", F.concat_ws("\n", "mark", "text").alias("payload"))
 
     roots = links.components(links.verified_links(links.groups(bands), payloads, linked))
     named = nodes.join(roots.withColumnRenamed("id", "digest"), "digest", "left").select(

@@ -109,3 +109,35 @@ def test_near_duplicate_classes(docs_of, awkward):
     assert all(got[100 + i] == 100 + i for i in range(40))
     got = [(r.doc_id, r.class_id) for r in ee.near_duplicate_classes(docs_of(awkward)).collect()]
     assert len(got) == len(awkward) and dict(got)[5] == 4 and dict(got)[2] == 1
+
+
+def scattered(text, rate, pick):
+    """A ``rate`` of the characters replaced, left out or followed by another one, all over the text."""
+    out = []
+    for c in text:
+        kind = pick.randrange(3) if pick.random() < rate else None
+        out.append({None: c, 0: "", 1: pick.choice("abcdefgh "), 2: c + pick.choice("abcdefgh ")}[kind])
+    return "".join(out)
+
+
+def test_recall_of_scattered_edits(docs_of):
+    """Pairs of edit similarity 0.8 and more, up to 20 % edits, and no pair below it."""
+    pick, rows, pairs = random.Random(8), [], {}
+    for size in (40, 150, 400):
+        for rate in (0.03, 0.06, 0.1, 0.13, 0.16, 0.2):
+            for _ in range(6):
+                key, text = len(rows), " ".join(words(pick.random(), size))
+                rows += [(key, text), (key + 1, scattered(text, rate, pick))]
+                most = max(len(text), len(rows[-1][1])) * 0.2
+                pairs[key] = ee.edit_distance(text, rows[-1][1], 10**6) <= most
+    got = {r.doc_id: r.class_id for r in ee.near_duplicate_classes(docs_of(rows)).collect()}
+    found = {key: got[key + 1] == key for key in pairs}
+    near = [key for key, true in pairs.items() if true]
+    assert len(near) >= 90 and sum(found[key] for key in near) >= 0.95 * len(near)
+    assert not any(found[key] for key in pairs if not pairs[key])
+
+
+def test_rows_without_id_are_classed_by_their_text(docs_of):
+    text = " ".join(words(77, 100))
+    got = ee.near_duplicate_classes(docs_of([(None, text), (3, text + " end"), (None, "else"), (4, text)])).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([(None, 3), (3, 3), (None, None), (4, 3)], key=str)

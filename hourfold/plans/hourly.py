@@ -1,7 +1,8 @@
-"""One batch hour and one redo, from stored tables to stored tables.
+"""One batch hour and one redo.
 
 The driver looks at one row per gate; all rows stay with the executors. A run that dies can be
-started again: rollup rows are versioned by key and state tables as a whole.
+started again: rollup rows are replaced by key. A result has the state tables as they are after the run,
+and in ``changes`` the rows that the run puts, by table; ``plans.store`` keeps those.
 """
 
 from __future__ import annotations
@@ -10,9 +11,7 @@ import datetime as dt
 import time
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import FAIL, LEDGER_KEYS, OUTPUT_UTC_OFFSET_HOURS, Settings
 from ..functions import clock
@@ -20,13 +19,16 @@ from ..functions.joins import hour_join
 from ..operators import alerts, gates, ledger, manifest, redo, rollup, routing
 from ..sinks import files
 from ..sources import tables
-
-FAILURES = (PySparkException, Py4JJavaError)
+from .isolation import FAILURES, failing, is_transient
 
 
 @dataclass
 class Inputs:
-    """The tables a run reads; ``excluded`` holds the excluded Types, ``unreadable`` sources without read right."""
+    """The tables a run reads.
+
+    ``excluded`` holds the excluded Types, ``unreadable`` sources without read right, ``isolated`` Types that
+    failed alone before.
+    """
 
     wagers: DataFrame
     lookup: DataFrame
@@ -41,6 +43,7 @@ class Inputs:
     batch_status: DataFrame
     settings: Settings = field(default_factory=Settings)
     unreadable: DataFrame | None = None
+    isolated: DataFrame | None = None
 
 
 LOOKUPS = (
@@ -86,6 +89,7 @@ class Result:
     lag_status: DataFrame
     blocked: str | None = None
     alert_rows: DataFrame | None = None
+    changes: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _one_hour(inputs: Inputs, current: dt.datetime) -> DataFrame:
@@ -120,11 +124,14 @@ def listed_games(inputs: Inputs, twice: DataFrame | None) -> DataFrame:
     return listed.join(stopped, "LinkServerName", "left_anti").select(*listed.columns)
 
 
+def _found_timezones(inputs: Inputs, current: dt.datetime) -> DataFrame:
+    missing = gates.missing_timezones(inputs.lookup, inputs.type_timezone)
+    return gates.heal_timezones(inputs.lookup, inputs.raw_data_info, missing, current)
+
+
 def healed_timezones(inputs: Inputs, current: dt.datetime) -> DataFrame:
     """Stored timezones plus those that the sources of missing Types declare."""
-    missing = gates.missing_timezones(inputs.lookup, inputs.type_timezone)
-    found = gates.heal_timezones(inputs.lookup, inputs.raw_data_info, missing, current)
-    return inputs.type_timezone.unionByName(found, allowMissingColumns=True)
+    return inputs.type_timezone.unionByName(_found_timezones(inputs, current), allowMissingColumns=True)
 
 
 def _held(inputs: Inputs, lag_rows: DataFrame, work: DataFrame) -> DataFrame:
@@ -144,63 +151,95 @@ def _stored_hours(spark, path: str, due: DataFrame) -> DataFrame:
     return files.read_rollup(spark, path, clock.as_ntz(low), clock.as_ntz(high))
 
 
-def _write(routed: DataFrame, due: DataFrame, path: str) -> list[int]:
-    """Types that could not be written; a job that fails is run again Type by Type.
+Place = tuple[str, int]  # LinkServerName, Type
 
-    The Types of a run are few (one per game provider), and so are the jobs of the second attempt.
+
+def _of(places: list[Place]) -> Column:
+    """Whether a row belongs to one of some Types of some servers."""
+    types: dict[str, list[int]] = {}
+    for server, one in places:
+        types.setdefault(server, []).append(one)
+    test = F.lit(False)
+    for server, own in types.items():
+        test = test | ((F.col("LinkServerName") == server) & F.col("Type").isin(own))
+    return test
+
+
+def _write(routed: DataFrame, due: DataFrame, path: str, alone: list[Place]) -> list[Place]:
+    """Types that could not be read; the rows of the others are stored.
+
+    One job writes all. If it fails, the Types, few per game provider and sorted by server, are halved until
+    those stand alone whose source can't be read. A folder that can't be written fails them all at once.
     """
-    try:
-        files.write_rollup(routed, due, path)
-        return []
-    except FAILURES:
-        types = sorted(r["Type"] for r in due.select("Type").distinct().collect())
-    failed = []
-    for one in types:
-        try:
-            own = F.col("Type") == one
-            files.write_rollup(routed.filter(own), due.filter(own), path)
-        except FAILURES:
-            failed.append(one)
-    return failed
+    places = [tuple(r) for r in due.select("LinkServerName", "Type").distinct().collect()]
+    places.sort(key=str)
+    if not files.can_write(routed.sparkSession, path):
+        return places
+
+    def attempt(part: list[Place]) -> None:
+        whole = len(part) == len(places)
+        files.write_rollup(*((routed, due) if whole else (routed.filter(_of(part)), due.filter(_of(part)))), path)
+
+    return failing(places, attempt, alone)
 
 
 def _write_and_judge(
     inputs: Inputs, work: DataFrame, routed: DataFrame, due: DataFrame, held: DataFrame, path: str
-) -> DataFrame:
-    """Ledger rows of the work after writing it; Types that cannot be read or written fail alone.
+) -> tuple[DataFrame, DataFrame]:
+    """Ledger rows of the work after writing it, and the Types that fail, or no longer fail, alone.
 
     The seconds are those of the whole run: all Types share its jobs.
     """
     spark, began = work.sparkSession, time.monotonic()
-    failed = _write(routed, due, path)
-    lost = F.col("Type").isin(failed)
+    alone = [] if inputs.isolated is None else [
+        (r["LinkServerName"], r["Type"]) for r in inputs.isolated.filter("NOT healthy").collect()
+    ]
+    failed = _write(routed, due, path, alone)
+    lost = _of(failed)
     stored = _stored_hours(spark, path, due.filter(~lost)) if failed else _stored_hours(spark, path, due)
-    return ledger.batch_outcome(
+    outcome = ledger.batch_outcome(
         work, stored.filter(~lost), held, inputs.server_lookup,
         work.filter(lost).select("LinkServerName", "Type", "DatePlayed"), time.monotonic() - began,
     )
+    rows = [(*p, False) for p in failed] + [(*p, True) for p in alone if p not in failed]
+    apart = spark.createDataFrame(rows, "LinkServerName string, Type int, healthy boolean")
+    return outcome, apart
 
 
 def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result:
-    """Gates, manifest, rollup, routing, write and ledger of one batch hour."""
+    """Gates, manifest, rollup, routing, write and ledger of one batch hour.
+
+    If a table other than the wagers can't be read, the hour fails as behind a closed gate.
+    """
     current = batch_utc + dt.timedelta(hours=OUTPUT_UTC_OFFSET_HOURS)
-    closed = closed_gate(inputs, current)
-    if closed is not None:
-        fails = ledger.clone_last_as_fail(inputs.batch_status, current)
-        return Result(
-            ledger.put_rows(inputs.batch_status, fails), inputs.type_timezone, inputs.lag_status,
-            closed[0], closed[1],
-        )
+    try:
+        closed = closed_gate(inputs, current)
+        if closed is None:
+            return _run_open_hour(inputs, batch_utc, current, rollup_path)
+    except FAILURES as err:
+        if is_transient(err):
+            raise
+        closed = "inputs", None
+    fails = ledger.clone_last_as_fail(inputs.batch_status, current)
+    return Result(
+        ledger.put_rows(inputs.batch_status, fails), inputs.type_timezone, inputs.lag_status,
+        closed[0], closed[1], {"batch_status": fails},
+    )
+
+
+def _run_open_hour(inputs: Inputs, batch_utc: dt.datetime, current: dt.datetime, rollup_path: str) -> Result:
     twice = ambiguous_servers(inputs, current)
     listed = listed_games(inputs, twice)
-    zones = healed_timezones(inputs, current)
-    source_spans = manifest.spans(
+    found = files.stored(_found_timezones(inputs, current), "found_timezones")
+    zones = inputs.type_timezone.unionByName(found, allowMissingColumns=True)
+    source_spans = files.stored(manifest.spans(
         manifest.list_sources(listed), zones, batch_utc, batch_utc, inputs.settings
-    )
-    work = manifest.expand(source_spans, inputs.settings)
-    held = _held(
+    ), "spans")
+    # Every later step asks for these again.
+    work = files.stored(manifest.expand(source_spans, inputs.settings), "work")
+    held = files.stored(_held(
         inputs, inputs.lag_status.filter(F.col("DatePlayed") == clock.as_ntz(current)), work
-    )
+    ), "held")
     if inputs.unreadable is not None:
         source_spans = tables.exclude_unreadable(source_spans, inputs.unreadable)
     # Held Types and Types without a window keep what is stored of them.
@@ -212,18 +251,21 @@ def run_hour(inputs: Inputs, batch_utc: dt.datetime, rollup_path: str) -> Result
     routed = routing.route(
         rollup.without_held(rows, held), inputs.site_group, inputs.server_lookup
     )
-    outcome = _write_and_judge(inputs, work, routed, due, held, rollup_path)
+    outcome, apart = _write_and_judge(inputs, work, routed, due, held, rollup_path)
     started = ledger.start_status(work, inputs.server_lookup).distinct()
-    status = ledger.put_rows(inputs.batch_status, ledger.apply_status(started, outcome))
+    put = ledger.apply_status(started, outcome)
+    status = ledger.put_rows(inputs.batch_status, put)
+    apart = apart.withColumn("since", clock.as_ntz(current))
+    changes = {"batch_status": put, "type_timezone": found, "isolated_types": apart}
     if twice is None:
-        return Result(status, zones, inputs.lag_status)
+        return Result(status, zones, inputs.lag_status, changes=changes)
     names = inputs.server_lookup.join(twice, "LinkServerName", "left_semi").select("Server")
     stopped = inputs.batch_status.join(names.distinct(), "Server", "left_semi")
-    status = ledger.put_rows(
-        status, ledger.clone_last_as_fail(stopped.select(*ledger.LEDGER), current)
-    )
+    fails = ledger.clone_last_as_fail(stopped.select(*ledger.LEDGER), current)
+    changes["batch_status"] = ledger.put_rows(put, fails)
     return Result(
-        status, zones, inputs.lag_status, "mapping", alerts.mapping_alerts(twice, current)
+        ledger.put_rows(status, fails), zones, inputs.lag_status, "mapping",
+        alerts.mapping_alerts(twice, current), changes,
     )
 
 
@@ -267,9 +309,10 @@ def run_redo(
         return Result(inputs.batch_status, inputs.type_timezone, inputs.lag_status)
     running = ledger.mark_running(inputs.batch_status, wanted.select(*LEDGER_KEYS))
     listed = listed_games(inputs, ambiguous_servers(inputs, current))
-    zones = healed_timezones(inputs, current)
-    work = redo.redo_manifest(wanted, listed, zones, servers, settings)
-    held = _held(inputs, inputs.lag_status, work)
+    found = _found_timezones(inputs, current)
+    zones = inputs.type_timezone.unionByName(found, allowMissingColumns=True)
+    work = files.stored(redo.redo_manifest(wanted, listed, zones, servers, settings), "redo_work")
+    held = files.stored(_held(inputs, inputs.lag_status, work), "redo_held")
     free = ledger.runnable(work, held)
     wagers = tables.within_batches(inputs.wagers, _batches(wanted))
     routed = redo.redo_rollup(
@@ -282,7 +325,7 @@ def run_redo(
     if not all_destinations:
         asked = wanted.withColumnRenamed("UpDateTime", "DatePlayed")
         due = hour_join(due, asked, ["Server", "Type", "Destination", "DatePlayed"], "left_semi")
-    outcome = _write_and_judge(inputs, work, routed, due, held, rollup_path)
+    outcome, apart = _write_and_judge(inputs, work, routed, due, held, rollup_path)
     outcome = outcome if all_destinations else redo.redo_outcome(wanted, outcome)
     outcome = files.stored(outcome, "redo_outcome")
     # What no source is listed for any more stays failed.
@@ -291,4 +334,9 @@ def run_redo(
     updates = outcome.unionByName(lost.select(*outcome.columns))
     status = ledger.apply_status(running, updates)
     lag_rows = redo.close_redo(inputs.lag_status, updates, servers, close_failed)
-    return Result(status, zones, lag_rows)
+    put = ledger.apply_status(hour_join(running, updates, LEDGER_KEYS, "left_semi"), updates)
+    changed = {
+        "batch_status": put, "type_timezone": found, "isolated_types": apart.withColumn("since", clock.as_ntz(current)),
+        "lag_status": lag_rows.subtract(inputs.lag_status.select(*lag_rows.columns)),
+    }
+    return Result(status, zones, lag_rows, changes=changed)

@@ -40,6 +40,7 @@ TABLES: dict[str, str] = {
     "site_group": "Siteid int, SiteType string",
     "server_lookup": "Server string, LinkServerName string, GroupRouted boolean",
     "lag_target_types": "Type int",
+    "isolated_types": "LinkServerName string, Type int, since timestamp_ntz, healthy boolean",
     "alert_recipients": (
         "Email string, Department string, name string, HourlyMail string, LookupMail string"
     ),

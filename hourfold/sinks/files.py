@@ -1,24 +1,33 @@
-"""Parquet sinks that can be run again: rollup rows versioned by key, state tables by snapshot."""
+"""Parquet sinks that can be run again: rollup and state tables replaced by key, snapshots, scratch tables."""
 
 from __future__ import annotations
 
-import time
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.joins import fact_join
+from ..constants import LEDGER_KEYS
+from ..schemas import TABLES
+from . import keyed
+from .keyed import Keyed, read_existing
 
 KEYS = ["Destination", "LinkServerName", "Type", "DatePlayed"]
 STORED = [
     "DatePlayed", "GameAccount", "SiteId", "GameTypeSourceId", "Commissionable", "WagersCount",
     "PayOff", "WinsCount", "LinkServerName", "Type", "Destination",
 ]
-# Versions that a reader names to the scan, so that other versions' folders aren't opened.
-LIVE_VERSIONS = 1000
 _made: list[str] = []
 LAYOUTS = {"day": ["Destination", "date"], "hour": ["Destination", "date", "hour"]}
+# Keys of the state tables, and the column that dates their rows.
+STATE_KEYS = {
+    "batch_status": (tuple(LEDGER_KEYS), "UpDateTime"),
+    "lag_status": (("DatePlayed", "LinkServerName", "Type"), "DatePlayed"),
+    "lag_run_status": (("DatePlayed",), "DatePlayed"),
+    "tz_observations": (("Batch_time", "Server", "Type"), "Batch_time"),
+    "type_timezone": (("Type",), None),
+    "isolated_types": (("LinkServerName", "Type"), None),
+}
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -48,16 +57,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None where nothing was written yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as err:
-        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def _rows_schema() -> str:
     kinds = {
         "DatePlayed": "timestamp_ntz", "GameAccount": "string", "SiteId": "int", "GameTypeSourceId": "int",
@@ -67,54 +66,38 @@ def _rows_schema() -> str:
     return ", ".join(f"{c} {kinds[c]}" for c in STORED)
 
 
+def can_write(spark: SparkSession, path: str) -> bool:
+    """Whether a table may have its folders at ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pending")
+    try:
+        return where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+    except Py4JJavaError:
+        return False
+
+
+def rollup_table(path: str, layout: str = "day") -> Keyed:
+    """The rollup at ``path``. An hourly run has a version of its own, so folders by day do; "hour" cuts them finer."""
+    return Keyed(path, tuple(KEYS), _rows_schema(), "DatePlayed", tuple(LAYOUTS[layout]))
+
+
 def write_rollup(
     routed: DataFrame, due: DataFrame, path: str, layout: str = "day", version: str | None = None
 ) -> None:
-    """Replace the rows of every ``due`` key (KEYS) by the routed ones, whatever was there before.
-
-    Rows and due keys go to folders of their own version, which is announced when both are complete:
-    nothing is read back, carried over or deleted, so a run that dies changes nothing and writers of
-    other keys don't meet. A key's rows are those of its newest announced version, so a key that is
-    announced without rows is empty. Versions sort by time. A destination's rows are split over tasks
-    by the rebalance. An hourly run has a version of its own, so folders by day do; ``layout="hour"``
-    cuts them finer.
-    """
-    spark = routed.sparkSession
-    version = version or f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-    parts = LAYOUTS[layout]
-    kinds = [c.split(" ", 1) for c in _rows_schema().split(", ")]
-    rows = routed.selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in kinds])
-    rows = rows.withColumn("date", F.col("DatePlayed").cast("date"))
-    if "hour" in parts:
-        rows = rows.withColumn("hour", F.hour("DatePlayed"))
-    rows.hint("rebalance", *[F.col(p) for p in parts]).write.mode("overwrite").partitionBy(*parts).parquet(
-        f"{path}/rows/version={version}"
-    )
-    due.select(*KEYS).distinct().write.mode("overwrite").parquet(f"{path}/keys/version={version}")
-    announced = spark.range(1).select(F.lit(version).alias("version"))
-    announced.write.mode("append").parquet(f"{path}/announced")
+    """Replace the rows of every ``due`` key (KEYS) by the routed ones, whatever was there before."""
+    keyed.write(rollup_table(path, layout), routed, due, version)
 
 
 def read_rollup(
     spark: SparkSession, path: str, first: Column | None = None, last: Column | None = None
 ) -> DataFrame:
     """Stored rollup rows, of the output hours [first, last] where given; only their folders are read."""
-    announced = read_existing(spark, f"{path}/announced")
-    if announced is None:
-        return spark.createDataFrame([], _rows_schema())
-    keys = spark.read.schema(
-        "Destination string, LinkServerName string, Type int, DatePlayed timestamp_ntz, version string"
-    ).parquet(f"{path}/keys").join(announced, "version", "left_semi")
-    rows = spark.read.schema(f"{_rows_schema()}, version string, date date").parquet(f"{path}/rows")
-    for bound, within in ((first, Column.__ge__), (last, Column.__le__)):
-        if bound is not None:
-            keys = keys.filter(within(F.col("DatePlayed"), bound))
-            rows = rows.filter(within(F.col("DatePlayed"), bound) & within(F.col("date"), bound.cast("date")))
-    newest = keys.groupBy(*KEYS).agg(F.max("version").alias("version"))
-    live = [r["version"] for r in newest.select("version").distinct().limit(LIVE_VERSIONS + 1).collect()]
-    if len(live) <= LIVE_VERSIONS:  # else the join alone drops what later versions replaced
-        rows = rows.filter(F.col("version").isin(live))
-    return fact_join(rows, newest, [*KEYS, "version"], "left_semi").select(*STORED)
+    return keyed.read(spark, rollup_table(path), first, last)
+
+
+def state_table(root: str, name: str) -> Keyed:
+    """A stored state table; its rows are replaced by key."""
+    keys, dated = STATE_KEYS[name]
+    return Keyed(f"{root.rstrip('/')}/{name}", keys, TABLES[name], dated)
 
 
 def write_snapshot(df: DataFrame, root: str, version: int) -> None:

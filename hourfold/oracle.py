@@ -258,6 +258,24 @@ CTES |= {
     "one_late": """
         SELECT l.LinkServerName, l.Type FROM lag_rows l JOIN one_batch b ON l.DatePlayed = b.h + INTERVAL 8 HOUR
         WHERE l.Status = 'Wait'""",
+    # Hours that are observed and checked one after the other.
+    "checked": _values([(str(u),) for u in ev.CHECKED], "utc_hour"),
+    "check_obs": f"""
+        SELECT CAST(c.utc_hour AS TIMESTAMP) AS utc, l.LinkServerName, l.Type, max(w.wagerstime) AS reading
+        FROM checked c CROSS JOIN (SELECT DISTINCT {_SOURCE} FROM lookup) l
+        LEFT JOIN wagers w ON w.Type = l.Type AND w.TableName = l.TableName AND w.MonthDB IS NOT DISTINCT FROM l.MonthDB
+          AND w.wagerstime < CAST(c.utc_hour AS TIMESTAMP)
+          AND (w.DBName <> '_DbShared' OR w.GameTypeSourceId IN (SELECT GameTypeSourceId FROM lookup k WHERE k.Type = w.Type))
+        GROUP BY c.utc_hour, l.LinkServerName, l.Type""",
+    "check_lag": """
+        SELECT o.utc + INTERVAL 8 HOUR AS DatePlayed, o.LinkServerName, o.Type,
+               CASE WHEN g.Type IS NULL OR o.reading >= o.due THEN 'Success' WHEN o.reading < o.due THEN 'Wait' ELSE 'TBD' END AS Status,
+               CASE WHEN g.Type IS NOT NULL THEN o.reading END AS Table_max,
+               CASE WHEN g.Type IS NOT NULL THEN o.due END AS Run_threshold
+        FROM (SELECT b.*, b.utc + to_minutes(CAST(z.Timezone * 60 - 10 AS INT)) AS due
+              FROM check_obs b LEFT JOIN tz z ON z.Type = b.Type) o
+        LEFT JOIN targets g ON g.Type = o.Type""",
+    "moved_tz": "SELECT Type, CASE WHEN Type = 97 THEN 5 ELSE Timezone END AS Timezone FROM tz",
     "ambiguous": """
         SELECT DISTINCT LinkServerName, DBName, MonthDB, TableName, Type FROM big_lookup
         WHERE GameTypeSourceId IN (
@@ -301,7 +319,54 @@ def _one_hour(fails: str, kept: str) -> str:
 
 _LATE = "EXISTS (SELECT 1 FROM one_late l WHERE l.Type = m.Type AND l.LinkServerName = m.LinkServerName)"
 
+
+
+def _analysis(name: str, zones: str) -> str:
+    """Stored timezones after the analysis: merged if no chosen one differs from a stored one."""
+    changed = f"SELECT c.Type FROM chosen c JOIN {zones} o ON o.Type = c.Type WHERE c.Timezone IS DISTINCT FROM o.Timezone"
+    return f"""
+        SELECT '{name}' AS stored, x.*, x.Type IN ({changed}) AS changed FROM (
+          SELECT coalesce(c.Type, z.Type) AS Type, CASE WHEN c.Type IS NULL THEN z.Timezone ELSE c.Timezone END AS Timezone,
+                 CASE WHEN c.Type IS NULL THEN TIMESTAMP '2024-01-01 00:00:00' ELSE {_AT} END AS UpdateTime,
+                 CASE WHEN c.Type IS NULL THEN 'Updating' ELSE 'Success' END AS Status, TRUE AS merged
+          FROM {zones} z FULL JOIN (SELECT Type, max(Timezone) AS Timezone FROM chosen GROUP BY Type) c ON c.Type = z.Type
+          WHERE NOT EXISTS ({changed})
+          UNION ALL
+          SELECT Type, Timezone, TIMESTAMP '2024-01-01 00:00:00', 'Success', FALSE FROM {zones} WHERE EXISTS ({changed})) x"""
+
+
 FINAL: dict[str, str] = {
+    "q_run_hour_partial_failure": f"""
+        SELECT *, 'broken' AS run, Type = 98 AS alone FROM ({_one_hour(f"({_LATE} OR m.Type = 98)", f"NOT {_LATE} AND m.Type <> 98")})
+        UNION ALL
+        SELECT *, 'mended', FALSE FROM ({_one_hour(_LATE, f"NOT {_LATE}")})""",
+    "q_two_writers": f"""
+        SELECT *, CASE WHEN Type IN (22, 97) THEN CAST(2000 AS DOUBLE) END AS added, CASE WHEN Type IN (22, 97) THEN 2 END AS attempts
+        FROM ({_one_hour(_LATE, f"NOT {_LATE}")})""",
+    "q_run_redo": """
+        SELECT s.Server, s.Type, s.Destination, s.UpDateTime,
+               CASE WHEN c.Server IS NULL THEN s.Status WHEN w.Type IS NULL THEN 'Fail'
+                    WHEN r.n > 0 THEN 'Success' ELSE 'Empty' END AS Status,
+               CASE WHEN c.Server IS NOT NULL THEN r.n END AS n,
+               CASE WHEN c.Server IS NOT NULL THEN r.Commissionable END AS Commissionable
+        FROM ledger s
+        LEFT JOIN candidates c ON c.Server = s.Server AND c.Type = s.Type AND c.Destination = s.Destination
+          AND c.UpDateTime = s.UpDateTime
+        LEFT JOIN (SELECT DISTINCT v.Server, m.Type, m.DatePlayed FROM redo_work m
+                   JOIN servers v ON v.LinkServerName = m.LinkServerName) w
+          ON w.Server = s.Server AND w.Type = s.Type AND w.DatePlayed = s.UpDateTime
+        LEFT JOIN (SELECT Server, Type, Destination, DatePlayed, count(*) AS n,
+                          CAST(sum(Commissionable) AS DOUBLE) AS Commissionable
+                   FROM redo_routed GROUP BY Server, Type, Destination, DatePlayed) r
+          ON r.Server = s.Server AND r.Type = s.Type AND r.Destination = s.Destination AND r.DatePlayed = s.UpDateTime""",
+    "q_observe_then_lag": """
+        SELECT l.*, a.n_wait, a.since FROM check_lag l
+        LEFT JOIN (SELECT Type, count(*) AS n_wait, min(DatePlayed) AS since FROM check_lag
+                   WHERE Status = 'Wait' GROUP BY Type HAVING count(*) >= 3) a ON a.Type = l.Type""",
+    "q_run_timezone_analysis": f"{_analysis('same', 'tz')} UNION ALL {_analysis('moved', 'moved_tz')}",
+    "q_compacted_rollup": f"""
+        SELECT Destination, count(*) AS n, CAST(sum(Commissionable) AS DOUBLE) AS Commissionable, TRUE AS few
+        FROM routed GROUP BY Destination""",
     "q_run_hour": _one_hour(_LATE, f"NOT {_LATE}"),
     "q_run_hour_twice": _one_hour("m.Type IN (22, 97)", "true"),
     "q_manifest": "SELECT batch_utc, LinkServerName, Type, DBName, MonthDB, start_t, end_t, DatePlayed FROM big_manifest",

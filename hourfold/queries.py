@@ -11,9 +11,9 @@ from .functions import clock
 from .operators import (
     alerts, gates, lag, ledger, manifest, redo, rollup, routing, timezones,
 )
-from .plans import hourly
+from .plans import hourly, store as state
 from .schemas import fields
-from .sinks import files
+from .sinks import files, keyed
 from .sources import tables
 from .testbed import from_events as ev, from_orders as od, given
 
@@ -217,6 +217,30 @@ def q_write_readback(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def q_compacted_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Every three hours of the month a version of their own, every third of them written wrong first; then merged and expired.
+
+    ``few`` is whether hundreds of versions have become a handful, in fewer files.
+    """
+    servers, path = ev.server_lookup(spark), files.shared_dir(spark, "rollup")
+    table, hours = files.rollup_table(path), F.floor(F.hour("DatePlayed") / 3)
+    routed = files.stored(_routed(spark, d), "routed")
+    due = files.stored(routing.expected_destinations(_manifest(spark, d), servers).select(*files.KEYS).distinct(), "due")
+    part = F.concat(F.date_format("DatePlayed", "yyyyMMdd"), hours.cast("string"))
+    wrong = hours % 3 == 0
+    doubled = routed.filter(wrong).withColumn("Commissionable", 2 * F.col("Commissionable"))
+    keyed.write_versions(table, doubled, due.filter(wrong), part)
+    keyed.write_versions(table, routed, due, part)
+    written = len(keyed.live(spark, table))
+    keyed.compact(spark, table)
+    keyed.expire(spark, table, keep_seconds=0)
+    left, read = keyed.live(spark, table), files.read_rollup(spark, path)
+    few = written >= 200 and len(left) <= keyed.FANOUT and len(read.inputFiles()) < written
+    totals = read.groupBy("Destination").agg(F.count(F.lit(1)).alias("n"), F.sum("Commissionable").alias("Commissionable"))
+    return _money(totals.withColumn("few", F.lit(few)))
+
+
 # One batch hour through the plan.
 
 def _hour_inputs(spark: SparkSession, d: str, **changes) -> hourly.Inputs:
@@ -234,12 +258,12 @@ def _hour_inputs(spark: SparkSession, d: str, **changes) -> hourly.Inputs:
     })
 
 
-def _with_rows(spark: SparkSession, path: str, result: hourly.Result) -> DataFrame:
+def _with_rows(spark: SparkSession, path: str, book: DataFrame) -> DataFrame:
     """Ledger rows with the rollup rows that are stored for them."""
     stored = files.read_rollup(spark, path).join(ev.server_lookup(spark), "LinkServerName").groupBy(
         "Server", "Type", "Destination", F.col("DatePlayed").alias("UpDateTime")
     ).agg(F.count(F.lit(1)).alias("n"), F.sum("Commissionable").alias("Commissionable"))
-    rows = result.batch_status.join(stored, LEDGER_KEYS, "left")
+    rows = book.join(stored, LEDGER_KEYS, "left")
     return _money(rows.select(*LEDGER_KEYS, "Status", "n", "Commissionable"))
 
 
@@ -247,7 +271,7 @@ def _with_rows(spark: SparkSession, path: str, result: hourly.Result) -> DataFra
 def q_run_hour(spark: SparkSession, d: str) -> DataFrame:
     """A batch hour from gates to ledger; one Type's timezone is healed, late Types are held."""
     path = files.shared_dir(spark, "rollup")
-    return _with_rows(spark, path, hourly.run_hour(_hour_inputs(spark, d), ev.BATCH, path))
+    return _with_rows(spark, path, hourly.run_hour(_hour_inputs(spark, d), ev.BATCH, path).batch_status)
 
 
 @query
@@ -263,7 +287,131 @@ def q_run_hour_twice(spark: SparkSession, d: str) -> DataFrame:
         spark, d, lag_status=lag_rows.withColumn("Status", held), type_timezone=zones, raw_data_info=declared,
         batch_status=files.stored(first.batch_status, "book"),
     ), ev.BATCH, path)
-    return _with_rows(spark, path, again)
+    return _with_rows(spark, path, again.batch_status)
+
+
+def _poisoned(spark: SparkSession, d: str) -> DataFrame:
+    """Wagers in which the bets of Type 98 can't be read."""
+    broken = F.when(F.col("Type") == 98, F.concat(F.lit("not a number: "), F.col("GameAccount")))
+    bets = F.coalesce(broken, F.col("betamount").cast("string")).cast("decimal(18,2)")
+    return ev.wagers(spark, d).withColumn("betamount", bets)
+
+
+@query
+def q_run_hour_partial_failure(spark: SparkSession, d: str) -> DataFrame:
+    """A Type whose source can't be read fails alone, and is tried alone the next time; then it is healthy again."""
+    store = state.Store(spark, files.shared_dir(spark, "state"))
+    base = _hour_inputs(spark, d)
+    store.put("lag_status", base.lag_status)
+    store.put("lag_run_status", base.lag_runs)
+    store.put("type_timezone", base.type_timezone)
+    broken = _hour_inputs(spark, d, wagers=_poisoned(spark, d))
+    for inputs in (broken, broken):
+        state.run_hour(store, inputs, ev.BATCH)
+    first = _with_rows(spark, store.rollup, store.read("batch_status")).withColumn("run", F.lit("broken"))
+    apart = store.read("isolated_types").filter("NOT healthy")
+    first = files.stored(first.join(
+        ev.server_lookup(spark).join(apart, "LinkServerName").select("Server", "Type", F.lit(True).alias("alone")),
+        ["Server", "Type"], "left",
+    ), "first")
+    state.run_hour(store, base, ev.BATCH)
+    again = _with_rows(spark, store.rollup, store.read("batch_status")).withColumn("run", F.lit("mended"))
+    both = first.unionByName(again.withColumn("alone", F.lit(None).cast("boolean")))
+    return both.withColumn("alone", F.coalesce("alone", F.lit(False)))
+
+
+@query
+def q_two_writers(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of two servers that store their ledger at the same time, and a third that waits for one of them."""
+    store = state.Store(spark, files.shared_dir(spark, "state"))
+    base = _hour_inputs(spark, d)
+    store.put("type_timezone", base.type_timezone)
+
+    def of_servers(*links: str) -> hourly.Result:
+        own = F.col("LinkServerName").isin(*links)
+        return hourly.run_hour(_hour_inputs(spark, d, lookup=base.lookup.filter(own)), ev.BATCH, store.rollup)
+
+    one, two = of_servers("S1"), of_servers("S2", "S3")
+    mine = files.stored(one.changes["batch_status"], "mine")
+    interrupted = []
+
+    def meanwhile(old: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The second run commits after the first one has read."""
+        if not interrupted:
+            interrupted.append(True)
+            store.save(two.changes)
+        return mine, mine
+
+    keyed.update(spark, store.table("batch_status"), meanwhile)
+    # Both add a tenth of a second to what is stored; the one that read first has to read again.
+    nested = []
+
+    def slower(old: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = files.stored(old.filter("Type IN (22, 97)").withColumn("Exe_Time_sec", F.lit(0.0) + F.coalesce(
+            F.when(F.col("Exe_Time_sec") < 1000, F.lit(0.0)), F.col("Exe_Time_sec")) + 1000.0), "slower")
+        if not nested:
+            nested.append(True)
+            keyed.update(spark, store.table("batch_status"), slower)
+        return rows, rows
+
+    attempts = keyed.update(spark, store.table("batch_status"), slower)
+    rows = store.read("batch_status").withColumn("attempts", F.lit(attempts))
+    stored = _with_rows(spark, store.rollup, rows)
+    seconds = rows.filter("Exe_Time_sec >= 1000").select(*LEDGER_KEYS, F.col("Exe_Time_sec").alias("added"), "attempts")
+    return stored.join(seconds, LEDGER_KEYS, "left")
+
+
+@query
+def q_run_redo(spark: SparkSession, d: str) -> DataFrame:
+    """Every failed hour that the lag check has cleared, through the plan and on stored state."""
+    store, servers = state.Store(spark, files.shared_dir(spark, "state")), ev.server_lookup(spark)
+    base = _hour_inputs(spark, d)
+    lag_rows = files.stored(base.lag_status, "lag_status")
+    store.put("lag_status", lag_rows)
+    store.put("lag_run_status", base.lag_runs)
+    store.put("type_timezone", base.type_timezone)
+    store.put("batch_status", ev.batch_status(lag_rows, servers))
+    store.put("tz_observations", ev.observations(spark, d))
+    state.recheck(store)
+    state.run_redo(store, base, ev.BATCH)
+    return _with_rows(spark, store.rollup, store.read("batch_status"))
+
+
+@query
+def q_observe_then_lag(spark: SparkSession, d: str) -> DataFrame:
+    """Three hours observed and checked, each of them twice; lag rows, and the alerts that the last hour gives."""
+    store, alert_rows = state.Store(spark, files.shared_dir(spark, "state")), None
+    lookup, games, servers = ev.source_lookup(spark), ev.game_lookup(spark), ev.server_lookup(spark)
+    zones, targets = files.stored(ev.type_timezone(spark), "zones"), ev.lag_target_types(spark)
+    for utc in ev.CHECKED:
+        # What is written until that hour; a wager comes on its provider's clock.
+        arrived = ev.arrived(spark, d, utc)
+        for _ in range(2):
+            alert_rows = state.observe_and_check(store, arrived, lookup, games, servers, zones, targets, utc)
+    alerted = alert_rows.select("Type", "n_wait", "since")
+    rows = store.read("lag_status").join(alerted, "Type", "left")
+    return rows.select("DatePlayed", "LinkServerName", "Type", "Status", "Table_max", "Run_threshold", "n_wait", "since")
+
+
+@query
+def q_run_timezone_analysis(spark: SparkSession, d: str) -> DataFrame:
+    """The analysis on stored readings: merged where nothing has moved, left alone where a Type has."""
+    out = None
+    for name, zones in (("same", ev.type_timezone(spark)), ("moved", _drifted(spark))):
+        store = state.Store(spark, files.shared_dir(spark, "state"))
+        store.put("tz_observations", ev.observations(spark, d, both_paths=True))
+        store.put("type_timezone", zones)
+        result = state.analyse_timezones(
+            store, ev.FIRST_PATH, ev.SECOND_PATH, ev.source_lookup(spark), ev.raw_data_info(spark), ev.game_lookup(spark),
+            ev.AFTER,
+        )
+        changed = result.changes.select("Type", F.lit(True).alias("changed"))
+        rows = store.read("type_timezone").join(changed, "Type", "left").select(
+            F.lit(name).alias("stored"), "Type", "Timezone", "UpdateTime", "Status", F.lit(result.merged).alias("merged"),
+            F.coalesce("changed", F.lit(False)).alias("changed"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 # Ledger.

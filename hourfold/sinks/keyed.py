@@ -132,7 +132,7 @@ def announce(spark: SparkSession, table: Keyed, rows: DataFrame, name: str) -> b
 
 def announcements(spark: SparkSession, table: Keyed) -> list[Announced]:
     """Every announced version: one per run, or fewer where they are merged."""
-    if read_existing(spark, f"{table.path}/announced") is None:
+    if not _listed(spark, f"{table.path}/announced"):
         return []
     rows = spark.read.schema(_ANNOUNCED).parquet(f"{table.path}/announced").select("*", "_metadata.file_name").collect()
     return [

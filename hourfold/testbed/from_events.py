@@ -37,6 +37,8 @@ FIRST_PATH, SECOND_PATH = ["10", "30"], ["20"]
 AFTER_UTC, AFTER = "2024-01-31 00:00:00", "2024-01-31 08:00:00"
 # A batch hour in the middle of the month.
 BATCH = dt.datetime(2024, 1, 15, 6)
+# Hours (UTC) whose sources are observed and checked one after the other.
+CHECKED = [BATCH - dt.timedelta(hours=h) for h in (2, 1, 0)]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +76,11 @@ def wagers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arrived(spark: SparkSession, sf_dir: str, utc: dt.datetime) -> DataFrame:
+    """Wagers that were there at an hour."""
+    return wagers(spark, sf_dir).filter(F.col("wagerstime") < clock.as_ntz(utc))
+
+
 def source_lookup(spark: SparkSession) -> DataFrame:
     place = {p[0]: p for p in PLACES}
     rows = [

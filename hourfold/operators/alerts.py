@@ -10,6 +10,8 @@ from ..constants import LAG_ALERT_HOURS
 from ..functions import clock, text
 from .lag import waiting_types
 
+#: Addresses that one task numbers.
+SHARD = 10_000
 _HOUR = "yyyy-MM-dd HH:00:00.000"
 
 
@@ -56,18 +58,22 @@ def select_recipients(recipients: DataFrame, mode: str, owner: str | None = None
     return recipients.filter(tests[mode]).select(F.lit(mode).alias("mode"), "Email")
 
 
-def recipient_lines(selected: DataFrame, shard_digits: int = 0, per_line: int = 50) -> DataFrame:
-    """Addresses joined to text, at most ``per_line`` in a line, every address kept.
+def recipient_lines(selected: DataFrame, shard_digits: int | None = None, per_line: int = 50) -> DataFrame:
+    """Addresses joined to text, ``per_line`` in each line but the last of a mode, every address kept.
 
-    A staff list fits one task (``shard_digits=0``). Longer lists are numbered inside shards named
-    by the first hex digits of the address hash, so no task sees the whole list.
+    Addresses are numbered by their hash. Shards, named by the hash's first hex digits, are numbered each on
+    its own; the addresses in the shards before it are added, a sum over one row per shard. There are as
+    many shards as keep one at about ``SHARD`` addresses, so no task sees the whole list.
     """
-    shard = F.substring(F.md5(F.col("Email")), 1, shard_digits)
-    in_shard = Window.partitionBy("mode", "shard").orderBy("Email")
-    numbered = selected.distinct().withColumn("shard", shard).withColumn(
-        "line", F.floor((F.row_number().over(in_shard) - 1) / per_line)
-    )
-    lines = numbered.groupBy("mode", "shard", "line").agg(
-        F.array_sort(F.collect_list("Email")).alias("emails")
-    )
+    rows = selected.distinct().withColumn("hash", F.md5(F.col("Email")))
+    if shard_digits is None:
+        many = rows.count()
+        shard_digits = next(d for d in range(32) if many <= SHARD * 16**d)
+    rows = rows.withColumn("shard", F.substring("hash", 1, shard_digits))
+    before = Window.partitionBy("mode").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("mode", "shard").count().withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("mode", "shard").orderBy("hash", "Email"))
+    numbered = rows.withColumn("nth", nth).join(sizes.select("mode", "shard", "first"), ["mode", "shard"])
+    line = F.floor((F.col("first") + F.col("nth") - 1) / per_line)
+    lines = numbered.groupBy("mode", line.alias("line")).agg(F.array_sort(F.collect_list("Email")).alias("emails"))
     return lines.select("mode", F.concat_ws(", ", "emails").alias("recipients"))

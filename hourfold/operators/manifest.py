@@ -103,6 +103,21 @@ def expand(source_spans: DataFrame, settings: Settings = Settings()) -> DataFram
     return _windows(source_spans.withColumn("batch_utc", each_hour), settings)
 
 
+def intervals(source_spans: DataFrame) -> DataFrame:
+    """The manifest without its hours: of every span its first and last batch, window and output hour.
+
+    Costs a row per source, however many hours it serves; ``expand`` gives the hours.
+    """
+    low, high = F.col("low"), F.col("high")
+    return source_spans.select(
+        "*", low.alias("first_batch"), high.alias("last_batch"),
+        (clock.minutes_crossed(low, high) / 60 + 1).cast("bigint").alias("n_hours"),
+        clock.window_start(low, F.col("Timezone")).alias("first_start"),
+        clock.window_end(high, F.col("Timezone")).alias("last_end"),
+        clock.utc_to_output(low).alias("first_output"), clock.utc_to_output(high).alias("last_output"),
+    )
+
+
 def schedule(
     sources: DataFrame,
     type_timezone: DataFrame,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import GROUP_DESTINATIONS, MAIN_DESTINATION
+from ..functions.joins import fact_join
 
 
 def _array_of(main: Column, groups: dict[str, Column]) -> Column:
@@ -14,8 +15,11 @@ def _array_of(main: Column, groups: dict[str, Column]) -> Column:
 
 def with_server(df: DataFrame, server_lookup: DataFrame) -> DataFrame:
     """Add the ledger's Server name and whether the server feeds the group destinations."""
-    servers = server_lookup.select("LinkServerName", "Server", "GroupRouted").distinct()
-    return df.join(servers, "LinkServerName")
+    return df.join(_servers(server_lookup), "LinkServerName")
+
+
+def _servers(server_lookup: DataFrame) -> DataFrame:
+    return server_lookup.select("LinkServerName", "Server", "GroupRouted").distinct()
 
 
 def expected_destinations(manifest: DataFrame, server_lookup: DataFrame) -> DataFrame:
@@ -34,7 +38,8 @@ def route(rollup: DataFrame, site_group: DataFrame, server_lookup: DataFrame) ->
     groups = site_group.groupBy(F.col("Siteid").alias("SiteId")).agg(
         *[F.coalesce(F.bool_or(kind == g), F.lit(False)).alias(f"in_{g}") for g in GROUP_DESTINATIONS]
     )
-    marked = with_server(rollup, server_lookup).join(groups, "SiteId", "left")
+    marked = fact_join(rollup, _servers(server_lookup), "LinkServerName", "inner")
+    marked = fact_join(marked, groups, "SiteId", "left")
     tests = {g: F.col("GroupRouted") & F.col(f"in_{g}") for g in GROUP_DESTINATIONS}
     return marked.withColumn(
         "Destination", F.explode(_array_of(F.lit(MAIN_DESTINATION), tests))

@@ -244,9 +244,27 @@ CTES |= {
         SELECT CAST(s_suppkey AS INT), CAST(s_nationkey - 11 AS INT) FROM supplier
         JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = 0""",
     "big_servers": _values(od.SERVERS, "Server, LinkServerName, GroupRouted"),
-    "big_batches": f"""
-        SELECT unnest(generate_series(TIMESTAMP '{od.FIRST_BATCH}', TIMESTAMP '{od.LAST_BATCH}', INTERVAL 1 HOUR)) AS h""",
-    "big_manifest": _manifest("big_lookup", "big_batches", "big_tz"),
+    # Every hour of all order dates, and the month database that a window read in it belongs to.
+    "big_batches": """
+        SELECT unnest(generate_series(min(date_trunc('day', l_shipdate)), max(date_trunc('day', l_shipdate)) + INTERVAL 23 HOUR,
+                                      INTERVAL 1 HOUR)) AS h FROM lineitem""",
+    "big_zone_hours": """
+        SELECT z.Timezone, h, strftime(h + to_hours(CAST(coalesce(z.Timezone, 8) - 1 AS INT)), '%y%m') AS month,
+               strftime(h + to_hours(CAST(coalesce(z.Timezone, 8) AS INT)), '%y%m') AS end_month
+        FROM (SELECT DISTINCT Timezone FROM big_tz UNION ALL SELECT NULL) z CROSS JOIN big_batches""",
+    "big_sources": f"""
+        SELECT s.*, z.Timezone FROM (SELECT DISTINCT {_SOURCE} FROM big_lookup) s LEFT JOIN big_tz z ON z.Type = s.Type""",
+    "big_spans": """
+        SELECT s.*, c.low, c.high, c.n FROM big_sources s JOIN (
+          SELECT Timezone, month, min(h) AS low, max(h) AS high, count(*) AS n FROM big_zone_hours GROUP BY Timezone, month
+          UNION ALL SELECT Timezone, NULL, min(h), max(h), count(*) FROM big_zone_hours GROUP BY Timezone) c
+          ON c.Timezone IS NOT DISTINCT FROM s.Timezone AND c.month IS NOT DISTINCT FROM s.MonthDB""",
+    "big_named": """
+        SELECT s.*, c.end_month, c.low, c.high, c.n FROM big_sources s JOIN (
+          SELECT Timezone, month, end_month, min(h) AS low, max(h) AS high, count(*) AS n
+          FROM big_zone_hours GROUP BY Timezone, month, end_month
+          UNION ALL SELECT Timezone, NULL, NULL, min(h), max(h), count(*) FROM big_zone_hours GROUP BY Timezone) c
+          ON c.Timezone IS NOT DISTINCT FROM s.Timezone AND c.month IS NOT DISTINCT FROM s.MonthDB""",
     # One batch hour; the source of Type 39 declares a timezone.
     "one_batch": f"SELECT TIMESTAMP '{ev.BATCH}' AS h",
     "healed_tz": """
@@ -369,11 +387,22 @@ FINAL: dict[str, str] = {
         FROM routed GROUP BY Destination""",
     "q_run_hour": _one_hour(_LATE, f"NOT {_LATE}"),
     "q_run_hour_twice": _one_hour("m.Type IN (22, 97)", "true"),
-    "q_manifest": "SELECT batch_utc, LinkServerName, Type, DBName, MonthDB, start_t, end_t, DatePlayed FROM big_manifest",
+    "q_manifest": """
+        SELECT LinkServerName, Type, DBName, MonthDB, TableName, low AS first_batch, high AS last_batch, n AS n_hours,
+               low + to_hours(CAST(Timezone - 1 AS INT)) AS first_start, high + to_hours(CAST(Timezone AS INT)) AS last_end,
+               low + INTERVAL 8 HOUR AS first_output, high + INTERVAL 8 HOUR AS last_output FROM big_spans""",
     "q_manifest_as_is": """
-        SELECT batch_utc, Type, LinkServerName || '.' || DBName
-               || CASE WHEN MonthDB IS NULL THEN '' ELSE strftime(coalesce(end_t, batch_utc + INTERVAL 8 HOUR), '%y%m') END
-               || '.VW_' || TableName AS source FROM big_manifest""",
+        SELECT Type, LinkServerName || '.' || DBName || coalesce(end_month, '') || '.VW_' || TableName AS source,
+               low AS first_batch, high AS last_batch, n AS n_hours FROM big_named""",
+    "q_read_inputs": """
+        SELECT l.LinkServerName, l.Type, l.n_rows, z.Timezone,
+               l.Type IN (SELECT RawDataType FROM big_games WHERE GameHallName IN ('SE', '3Sing', 'TGP2', 'PS2')) AS excluded,
+               'source_lookup,type_timezone' AS copies
+        FROM (SELECT LinkServerName, Type, count(*) AS n_rows FROM big_lookup GROUP BY LinkServerName, Type) l
+        LEFT JOIN big_tz z ON z.Type = l.Type""",
+    "q_site_members": """
+        SELECT s.SiteType, w.SiteId, count(*) AS n FROM wagers w JOIN sites s ON s.Siteid = w.SiteId
+        WHERE s.SiteType IN ('Noah1', 'Noah2') GROUP BY s.SiteType, w.SiteId""",
     "q_game_list": "SELECT DISTINCT LinkServerName, Type, GameTypeSourceId FROM big_lookup",
     "q_game_counts": """
         SELECT LinkServerName, Type, count(DISTINCT GameTypeSourceId) AS n_games FROM big_lookup
@@ -420,9 +449,11 @@ FINAL: dict[str, str] = {
         SELECT Destination, count(*) AS n, CAST(sum(Commissionable) AS DOUBLE) AS Commissionable
         FROM routed GROUP BY Destination""",
     "q_start_status": """
-        SELECT v.Server, m.Type, d.Destination, 'Running' AS Status, m.DatePlayed AS UpDateTime
-        FROM big_manifest m JOIN big_servers v ON v.LinkServerName = m.LinkServerName
-        JOIN dests d ON v.GroupRouted OR NOT d.narrow""",
+        SELECT v.Server, m.Type, d.Destination, 'Running' AS Status, CAST(sum(m.n) AS BIGINT) AS n,
+               min(m.low) + INTERVAL 8 HOUR AS since, max(m.high) + INTERVAL 8 HOUR AS until
+        FROM big_spans m JOIN big_servers v ON v.LinkServerName = m.LinkServerName
+        JOIN dests d ON v.GroupRouted OR NOT d.narrow
+        GROUP BY v.Server, m.Type, d.Destination""",
     "q_batch_outcome": """
         SELECT DISTINCT v.Server, m.Type, d.Destination, m.DatePlayed AS UpDateTime,
                CASE WHEN m.start_t IS NULL OR EXISTS (
@@ -534,10 +565,9 @@ FINAL: dict[str, str] = {
         FROM tz z FULL JOIN (SELECT Type, max(Timezone) AS Timezone FROM chosen GROUP BY Type) c ON c.Type = z.Type""",
     "q_select_recipients": """
         SELECT mode, string_agg(Email, ', ' ORDER BY Email) AS recipients FROM (
-          SELECT mode, Email, substr(md5(Email), 1, 1) AS shard,
-                 (row_number() OVER (PARTITION BY mode, substr(md5(Email), 1, 1) ORDER BY Email) - 1) // 50 AS line
+          SELECT mode, Email, (row_number() OVER (PARTITION BY mode ORDER BY md5(Email), Email) - 1) // 50 AS line
           FROM (SELECT DISTINCT mode, Email FROM picked))
-        GROUP BY mode, shard, line""",
+        GROUP BY mode, line""",
 }
 
 

@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import FAIL, LEDGER_KEYS, OUTPUT_UTC_OFFSET_HOURS, Settings
 from ..functions import clock
+from ..functions.failures import FAILURES, is_transient
 from ..functions.joins import hour_join
 from ..operators import alerts, gates, ledger, manifest, redo, rollup, routing
 from ..sinks import files
 from ..sources import tables
-from .isolation import FAILURES, failing, is_transient
+from .isolation import failing
 
 
 @dataclass
@@ -27,7 +28,7 @@ class Inputs:
     """The tables a run reads.
 
     ``excluded`` holds the excluded Types, ``unreadable`` sources without read right, ``isolated`` Types that
-    failed alone before.
+    failed alone before, ``chosen`` which copy of a lookup table is read.
     """
 
     wagers: DataFrame
@@ -44,6 +45,7 @@ class Inputs:
     settings: Settings = field(default_factory=Settings)
     unreadable: DataFrame | None = None
     isolated: DataFrame | None = None
+    chosen: dict[str, str] = field(default_factory=dict)
 
 
 LOOKUPS = (
@@ -62,21 +64,21 @@ def read_inputs(
 ) -> Inputs:
     """Inputs from ``folder``, a Parquet table per logical name.
 
-    The lookup falls back to its copy in ``backup``, the excluded Types to the fixed ids; ``unreadable``
-    is a CSV file.
+    A table that can't be opened, or has a file that can't be read, falls back to its copy in ``backup``, the
+    excluded Types to the fixed ids; ``unreadable`` is a CSV file.
     """
+    chosen: dict[str, str] = {}
+
     def read(name: str) -> DataFrame:
-        return tables.read_table(spark, name, f"{folder}/{name}")
+        table, chosen[name] = tables.choose_copy(spark, name, f"{folder}/{name}", f"{backup}/{name}")
+        return table
 
     return Inputs(
-        wagers=wagers,
-        lookup=tables.read_with_fallback(
-            spark, "source_lookup", f"{folder}/source_lookup", f"{backup}/source_lookup"
-        ),
+        wagers=wagers, lookup=read("source_lookup"),
         excluded=tables.excluded_or_fallback(spark, f"{folder}/game_lookup"),
         lookup_updates=read("lookup_update_status"), lag_runs=read("lag_run_status"),
         settings=settings, unreadable=unreadable and tables.read_unreadable(spark, unreadable),
-        **{name: read(name) for name in LOOKUPS},
+        **{name: read(name) for name in LOOKUPS}, chosen=chosen,
     )
 
 

@@ -5,20 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Collection, Sequence
 from typing import TypeVar
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-
-FAILURES = (PySparkException, Py4JJavaError)
-#: What the cluster, not the data, is to blame for.
-_OF_THE_CLUSTER = ("ExecutorLostFailure", "FetchFailed", "MetadataFetchFailed", "SparkContext was shut down", "NO_ACTIVE_SESSION")
+from ..functions.failures import FAILURES, is_transient
 
 Unit = TypeVar("Unit")
 
 
-def is_transient(err: Exception) -> bool:
-    return any(word in str(err) for word in _OF_THE_CLUSTER)
-
-
 def failing(units: Sequence[Unit], attempt: Callable[[Sequence[Unit]], None], alone: Collection[Unit] = ()) -> list[Unit]:
     """The units for which ``attempt`` fails however small the part they are in; the others are done.
 

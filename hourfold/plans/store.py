@@ -37,8 +37,7 @@ class Store:
 
     def put(self, name: str, rows: DataFrame) -> None:
         """Rows in place of those of the same keys."""
-        rows = files.stored(rows, name)
-        keyed.update(self.spark, self.table(name), lambda _: (rows, rows))
+        keyed.put(self.spark, self.table(name), files.stored(rows, name))
 
     def save(self, changes: dict[str, DataFrame]) -> None:
         for name, rows in changes.items():

@@ -12,7 +12,7 @@ from .operators import (
     alerts, gates, lag, ledger, manifest, redo, rollup, routing, timezones,
 )
 from .plans import hourly, store as state
-from .schemas import fields
+from .schemas import conform, fields
 from .sinks import files, keyed
 from .sources import tables
 from .testbed import from_events as ev, from_orders as od, given
@@ -95,26 +95,25 @@ def _chosen(spark: SparkSession, d: str) -> DataFrame:
 
 # Manifest and lookup.
 
-def _listed_manifest(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
-    """Manifest of the sources that the order lines list."""
+def _listed_spans(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
+    """Sources that the order lines list, with the batch hours of all order dates that each serves."""
     sources = manifest.list_sources(od.source_lookup(spark, d))
-    return manifest.schedule(
-        sources, od.type_timezone(spark, d), od.FIRST_BATCH, od.LAST_BATCH, settings
-    )
+    return manifest.spans(sources, od.type_timezone(spark, d), *od.batch_range(spark, d), settings)
 
 
 @query
 def q_manifest(spark: SparkSession, d: str) -> DataFrame:
-    return _listed_manifest(spark, d).select(
-        "batch_utc", "LinkServerName", "Type", "DBName", "MonthDB", "start_t", "end_t", "DatePlayed"
+    return manifest.intervals(_listed_spans(spark, d)).select(
+        "LinkServerName", "Type", "DBName", "MonthDB", "TableName", "first_batch", "last_batch", "n_hours",
+        "first_start", "last_end", "first_output", "last_output",
     )
 
 
 @query
 def q_manifest_as_is(spark: SparkSession, d: str) -> DataFrame:
     settings = Settings(month_of="end")
-    rows = _listed_manifest(spark, d, settings)
-    return rows.select("batch_utc", "Type", manifest.physical_name(settings).alias("source"))
+    rows = manifest.intervals(_listed_spans(spark, d, settings))
+    return rows.select("Type", manifest.physical_name(settings).alias("source"), "first_batch", "last_batch", "n_hours")
 
 
 @query
@@ -164,6 +163,33 @@ def q_exclude_unreadable_sources(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def q_read_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """Stored tables of which the lookup has a broken file and the timezones are missing: their copies are read."""
+    folder, backup = files.shared_dir(spark, "inputs"), files.shared_dir(spark, "copies")
+    written = {
+        "source_lookup": od.source_lookup(spark, d), "type_timezone": od.type_timezone(spark, d),
+        "raw_data_info": od.raw_data_info(spark, d), "server_lookup": od.server_lookup(spark),
+        "game_lookup": od.game_lookup(spark, d),
+    }
+    for name in (*hourly.LOOKUPS, "lookup_update_status", "lag_run_status"):
+        written.setdefault(name, spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in fields(name))))
+    for name, rows in written.items():
+        rows = conform(rows.withColumns({c: F.lit(None) for c, _ in fields(name) if c not in rows.columns}), name)
+        rows.write.parquet(f"{backup}/{name}")
+        if name != "type_timezone":
+            spark.read.schema(rows.schema).parquet(f"{backup}/{name}").write.parquet(f"{folder}/{name}")
+    files.damage(spark, f"{folder}/source_lookup")
+    read = hourly.read_inputs(spark, folder, backup, ev.wagers(spark, d))
+    excluded = read.excluded.select("Type", F.lit(True).alias("excluded"))
+    listed = read.lookup.groupBy("LinkServerName", "Type").agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = listed.join(read.type_timezone.select("Type", "Timezone"), "Type", "left").join(excluded, "Type", "left")
+    return rows.withColumns({
+        "excluded": F.coalesce("excluded", F.lit(False)),
+        "copies": F.lit(",".join(sorted(name for name, where in read.chosen.items() if where == "backup"))),
+    })
+
+
 # Rollup and routing.
 
 @query
@@ -197,6 +223,18 @@ def q_route_sites(spark: SparkSession, d: str) -> DataFrame:
     return _money(routing.destination_counts(_routed(spark, d)))
 
 
+@query
+def q_site_members(spark: SparkSession, d: str) -> DataFrame:
+    """Wagers of the sites of each group."""
+    groups, out = ev.site_group(spark), None
+    for group in ("Noah1", "Noah2"):
+        sites = tables.site_members(groups, group).select(F.col("Siteid").alias("SiteId"))
+        own = ev.wagers(spark, d).join(F.broadcast(sites), "SiteId")  # site lists are as long as there are sites
+        own = own.groupBy("SiteId").agg(F.count(F.lit(1)).alias("n")).select(F.lit(group).alias("SiteType"), "SiteId", "n")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @query
 def q_site_filter(spark: SparkSession, d: str) -> DataFrame:
     grouped = tables.site_filter(ev.site_group(spark), "both_groups")
@@ -299,15 +337,13 @@ def _poisoned(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_run_hour_partial_failure(spark: SparkSession, d: str) -> DataFrame:
-    """A Type whose source can't be read fails alone, and is tried alone the next time; then it is healthy again."""
+    """A Type whose source can't be read fails alone and is kept apart; tried alone the next time, it is healthy again."""
     store = state.Store(spark, files.shared_dir(spark, "state"))
     base = _hour_inputs(spark, d)
     store.put("lag_status", base.lag_status)
     store.put("lag_run_status", base.lag_runs)
     store.put("type_timezone", base.type_timezone)
-    broken = _hour_inputs(spark, d, wagers=_poisoned(spark, d))
-    for inputs in (broken, broken):
-        state.run_hour(store, inputs, ev.BATCH)
+    state.run_hour(store, _hour_inputs(spark, d, wagers=_poisoned(spark, d)), ev.BATCH)
     first = _with_rows(spark, store.rollup, store.read("batch_status")).withColumn("run", F.lit("broken"))
     apart = store.read("isolated_types").filter("NOT healthy")
     first = files.stored(first.join(
@@ -379,15 +415,13 @@ def q_run_redo(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_observe_then_lag(spark: SparkSession, d: str) -> DataFrame:
-    """Three hours observed and checked, each of them twice; lag rows, and the alerts that the last hour gives."""
+    """Three hours observed and checked, the last one twice; lag rows, and the alerts that the last hour gives."""
     store, alert_rows = state.Store(spark, files.shared_dir(spark, "state")), None
     lookup, games, servers = ev.source_lookup(spark), ev.game_lookup(spark), ev.server_lookup(spark)
     zones, targets = files.stored(ev.type_timezone(spark), "zones"), ev.lag_target_types(spark)
-    for utc in ev.CHECKED:
-        # What is written until that hour; a wager comes on its provider's clock.
+    for utc in [*ev.CHECKED, ev.CHECKED[-1]]:
         arrived = ev.arrived(spark, d, utc)
-        for _ in range(2):
-            alert_rows = state.observe_and_check(store, arrived, lookup, games, servers, zones, targets, utc)
+        alert_rows = state.observe_and_check(store, arrived, lookup, games, servers, zones, targets, utc)
     alerted = alert_rows.select("Type", "n_wait", "since")
     rows = store.read("lag_status").join(alerted, "Type", "left")
     return rows.select("DatePlayed", "LinkServerName", "Type", "Status", "Table_max", "Run_threshold", "n_wait", "since")
@@ -418,8 +452,11 @@ def q_run_timezone_analysis(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_start_status(spark: SparkSession, d: str) -> DataFrame:
-    rows = ledger.start_status(_listed_manifest(spark, d), od.server_lookup(spark))
-    return rows.select("Server", "Type", "Destination", "Status", "UpDateTime")
+    """Running rows of every hour of all order dates, counted per Type and destination."""
+    rows = ledger.start_status(manifest.expand(_listed_spans(spark, d)), od.server_lookup(spark))
+    return rows.groupBy("Server", "Type", "Destination", "Status").agg(
+        F.count(F.lit(1)).alias("n"), F.min("UpDateTime").alias("since"), F.max("UpDateTime").alias("until"),
+    )
 
 
 @query
@@ -646,7 +683,7 @@ def q_merge_timezones(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_select_recipients(spark: SparkSession, d: str) -> DataFrame:
-    """All four modes, joined to lines within hash shards."""
+    """All four modes, joined to full lines."""
     people = od.alert_recipients(spark, d)
     picked = [
         alerts.select_recipients(people, mode, owner="Customer#000000007")
@@ -655,4 +692,4 @@ def q_select_recipients(spark: SparkSession, d: str) -> DataFrame:
     rows = picked[0]
     for more in picked[1:]:
         rows = rows.unionByName(more)
-    return alerts.recipient_lines(rows, shard_digits=1)
+    return alerts.recipient_lines(rows)

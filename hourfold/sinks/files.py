@@ -66,6 +66,16 @@ def _rows_schema() -> str:
     return ", ".join(f"{c} {kinds[c]}" for c in STORED)
 
 
+def damage(spark: SparkSession, path: str) -> None:
+    """Overwrites one file of a scratch table, to see what a reader makes of it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    name = max(s.getPath().getName() for s in fs.listStatus(where) if s.getPath().getName().endswith(".parquet"))
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    out.writeUTF("not a table")
+    out.close()
+
+
 def can_write(spark: SparkSession, path: str) -> bool:
     """Whether a table may have its folders at ``path``."""
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pending")

@@ -5,9 +5,9 @@ when both are complete. A key's rows are those of the newest announced version t
 is named without rows is empty. Nothing is read back, carried over or deleted, a run that dies changes
 nothing, and writers of different keys don't meet.
 
-* ``update`` is for rows that depend on stored ones, with several writers: announcements are numbered, and a
-  number can be taken once. A writer that comes second looks at what was announced since it read: if that
-  names none of its keys it takes the next number, else it works its rows out again from the new state.
+* ``put`` and ``update`` number their announcements, and a number can be taken once. ``update`` is for rows that depend
+  on stored ones: a writer that comes second looks at what was announced since it read. If that names none
+  of its keys it takes the next number, else it works its rows out again from the new state.
 * ``compact`` merges all versions of a level, once there are ``FANOUT`` of them, into one of the next level,
   and announces it together with the names of those it replaces. A merged key keeps the rank of the version
   that it came from, so a version that is announced late still finds its place. A row is rewritten once a
@@ -32,7 +32,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.joins import fact_join
+from ..functions.joins import BROADCAST_ROWS, fact_join
 
 #: Versions of a level that are merged.
 FANOUT = 8
@@ -249,14 +249,16 @@ def read(
         if bound is not None:
             keys = keys.filter(within(F.col(table.dated), bound))
     extra = "".join(f", {name} {kind}" for name, kind in (("date", "date"), ("hour", "int")) if name in table.folders)
-    holding = keys.select("version").distinct().collect()  # a row a live version at most
+    holding = keys.groupBy("version").count().collect()  # a row a live version at most
     rows = _folder(spark, table, "rows", f"{table.ddl}{extra}", sorted(r["version"] for r in holding))
     for bound, within in ((first, Column.__ge__), (last, Column.__le__)):
         if bound is not None:
             rows = rows.filter(within(F.col(table.dated), bound))
             if "date" in table.folders:
                 rows = rows.filter(within(F.col("date"), bound.cast("date")))
-    return fact_join(rows, keys, [*table.keys, "version"], "left_semi").select(*table.columns)
+    few = sum(r["count"] for r in holding) <= BROADCAST_ROWS
+    side = F.broadcast(keys) if few else keys.hint("merge")
+    return rows.join(side, [*table.keys, "version"], "left_semi").select(*table.columns)
 
 
 def _names(spark: SparkSession, table: Keyed, newer: list[Announced], version: str) -> bool:
@@ -267,6 +269,27 @@ def _names(spark: SparkSession, table: Keyed, newer: list[Announced], version: s
     return not theirs.join(mine, list(table.keys), "left_semi").isEmpty()
 
 
+def _next_number(announced: list[Announced]) -> str:
+    taken = (a.file.split(".")[0] for a in announced)
+    return f"{1 + max((int(n) for n in taken if n.isdigit()), default=0):020d}"
+
+
+def _numbered(announcement: DataFrame, version: str, seen: list[Announced]) -> DataFrame:
+    """Versions are named by the clock; another writer's clock may be ahead."""
+    rank = max([version, *[f"{a.rank}+" for a in seen]])
+    return announcement.withColumn("rank", F.lit(rank))
+
+
+def put(spark: SparkSession, table: Keyed, rows: DataFrame) -> None:
+    """``rows`` in place of all rows of their keys, behind whatever other writers have announced by then."""
+    version = new_version()
+    announcement = _put(table, rows, rows, version)
+    while True:
+        seen = announcements(spark, table)
+        if announce(spark, table, _numbered(announcement, version, seen), _next_number(seen)):
+            return
+
+
 def update(spark: SparkSession, table: Keyed, change: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> int:
     """Writes what ``change`` makes of the stored rows: new rows, and the keys they replace. Gives the attempts.
 
@@ -280,11 +303,7 @@ def update(spark: SparkSession, table: Keyed, change: Callable[[DataFrame], tupl
         announcement = _put(table, rows, due, version)
         known = {a.version for a in seen}
         while True:
-            number = 1 + max((int(a.file.split(".")[0]) for a in seen if a.file.split(".")[0].isdigit()), default=0)
-            name = f"{number:020d}"
-            # Versions are named by the clock; another writer's clock may be ahead.
-            rank = max([version, *[f"{a.rank}+" for a in seen]])
-            if announce(spark, table, announcement.withColumn("rank", F.lit(rank)), name):
+            if announce(spark, table, _numbered(announcement, version, seen), _next_number(seen)):
                 return attempt
             seen = announcements(spark, table)
             newer = [a for a in seen if a.version not in known and not a.replaces]

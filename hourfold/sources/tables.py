@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import EXCLUDED_HALLS, FALLBACK_EXCLUDED_TYPES, Settings
 from ..functions import clock
+from ..functions.failures import FAILURES, is_transient
 from ..schemas import conform
 
 # Provider clocks lie between UTC-12 and UTC+14.
@@ -23,14 +23,44 @@ def read_table(
     return conform(reader.load(path) if path else reader.load(), name)
 
 
+def can_read(df: DataFrame) -> bool:
+    """Whether every file of a lookup table can be read, found out by reading them all in one job.
+
+    Spark opens a table by its folder and the footer of a file; a file that is broken shows when it is read.
+    """
+    try:
+        df.write.format("noop").mode("overwrite").save()
+        return True
+    except FAILURES as err:
+        if is_transient(err):
+            raise
+        return False
+
+
+def _opened(spark: SparkSession, name: str, path: str, *args: str, **kwargs: str) -> DataFrame | None:
+    """A lookup table that can be read to its end, or None."""
+    try:
+        read = read_table(spark, name, path, *args, **kwargs)
+    except (*FAILURES, ValueError) as err:
+        if is_transient(err):
+            raise
+        return None
+    return read if can_read(read) else None
+
+
+def choose_copy(
+    spark: SparkSession, name: str, primary: str, backup: str, **kwargs: str
+) -> tuple[DataFrame, str]:
+    """A lookup table, and which copy it is: "backup" where the primary can't be opened or read to its end."""
+    read = _opened(spark, name, primary, **kwargs)
+    return (read, "primary") if read is not None else (read_table(spark, name, backup, **kwargs), "backup")
+
+
 def read_with_fallback(
     spark: SparkSession, name: str, primary: str, backup: str, **kwargs: str
 ) -> DataFrame:
-    """The primary copy of a lookup table, or the backup where the primary cannot be opened."""
-    try:
-        return read_table(spark, name, primary, **kwargs)
-    except (AnalysisException, ValueError):
-        return read_table(spark, name, backup, **kwargs)
+    """The primary copy of a lookup table, or the backup where the primary can't be read."""
+    return choose_copy(spark, name, primary, backup, **kwargs)[0]
 
 
 def read_wagers(
@@ -87,11 +117,9 @@ def fallback_excluded_types(spark: SparkSession) -> DataFrame:
 
 
 def excluded_or_fallback(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Excluded Types by the game lookup at ``path``, or the fixed ids where it cannot be opened."""
-    try:
-        return excluded_types(read_table(spark, "game_lookup", path, fmt))
-    except (AnalysisException, ValueError):
-        return fallback_excluded_types(spark)
+    """Excluded Types by the game lookup at ``path``, or the fixed ids where it can't be read."""
+    games = _opened(spark, "game_lookup", path, fmt)
+    return fallback_excluded_types(spark) if games is None else excluded_types(games)
 
 
 def drop_excluded(lookup: DataFrame, excluded: DataFrame, settings: Settings) -> DataFrame:

@@ -6,6 +6,8 @@ per Type, game and month (or per Type and game where a Type has no month databas
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clock
@@ -13,8 +15,6 @@ from . import fixed_rows, given
 
 CURRENT = "1998-06-15 08:00:00"
 SERVER = "S3"
-# Two days of batches around the end of a month (UTC).
-FIRST_BATCH, LAST_BATCH = "1998-06-30 00:00:00", "1998-07-01 23:00:00"
 SERVERS = [("10", "S0", False), ("20", "S1", True), ("30", "S2", False), ("40", "S3", True), ("50", "S4", False)]
 
 
@@ -35,6 +35,13 @@ def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.distinct()
 
 
+def batch_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    """Batch hours (UTC) from the first to the last day with an order line."""
+    span = given(spark, sf_dir, "lineitem").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    first, last = (dt.datetime.combine(t.date(), dt.time()) for t in span)
+    return first, last + dt.timedelta(hours=23)
+
+
 def server_lookup(spark: SparkSession) -> DataFrame:
     return fixed_rows(spark, SERVERS, "Server string, LinkServerName string, GroupRouted boolean")
 

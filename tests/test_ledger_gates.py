@@ -2,6 +2,7 @@ from conftest import got
 from pyspark.sql import functions as F
 
 from hourfold.operators import alerts, gates, ledger, manifest
+from hourfold.sinks import files
 from hourfold.sources import tables
 
 T = "2024-02-01 08:00:00"
@@ -172,9 +173,9 @@ def test_recipient_lines_keep_every_address(spark, table):
     chosen = alerts.select_recipients(people(table), "hourly_all")
     assert got(alerts.recipient_lines(chosen)) == [("hourly_all", "a@x, c@x")]
     many = spark.range(500).select(F.lit("m").alias("mode"), F.concat(F.col("id"), F.lit("@x")).alias("Email"))
-    for digits in (0, 1):
+    for digits in (None, 0, 1, 2):
         lines = [r["recipients"].split(", ") for r in alerts.recipient_lines(many, digits, per_line=7).collect()]
-        assert max(map(len, lines)) == 7
+        assert sorted(map(len, lines)) == [500 % 7, *[7] * (500 // 7)]
         assert sorted(sum(lines, [])) == sorted(f"{i}@x" for i in range(500))
 
 
@@ -199,6 +200,18 @@ def test_backup_copy_is_read_when_the_primary_is_gone(spark, table, tmp_path):
     assert got(read) == [(1, 5)]
 
 
+def test_backup_copy_is_read_when_a_file_is_broken(spark, table, tmp_path):
+    """A file that opens by its schema and fails when it is read."""
+    rows = table("raw_data_info", [(i, i) for i in range(50)])
+    for name in ("main", "backup"):
+        rows.repartition(4).write.parquet(str(tmp_path / name))
+    read, which = tables.choose_copy(spark, "raw_data_info", str(tmp_path / "main"), str(tmp_path / "backup"))
+    assert which == "primary" and read.count() == 50
+    files.damage(spark, str(tmp_path / "main"))
+    read, which = tables.choose_copy(spark, "raw_data_info", str(tmp_path / "main"), str(tmp_path / "backup"))
+    assert which == "backup" and read.count() == 50
+
+
 def test_wagers_reader_prunes_and_pushes_down(spark, table, tmp_path):
     import datetime as dt
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import ROLLUP_COLUMNS, SOURCE_KEYS, Settings
 from ..functions import clock, text
-from ..functions.joins import BROADCAST_ROWS, fact_join, fits
+from ..functions.joins import BROADCAST_ROWS, fact_join, fits, spread_join
 
 PLACED_COLUMNS = ["LinkServerName", "DBName", "TableName", "Type", *ROLLUP_COLUMNS[1:]]
 _SUM = "bet_sum"
@@ -71,11 +71,39 @@ def _served(rows: DataFrame, served: DataFrame) -> DataFrame:
     return joined.filter(in_span).select("r.*", "s.Timezone")
 
 
-def in_game_list(rows: DataFrame, games: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Rows of a shared database are kept for listed games only; other databases keep all."""
-    marked = rows.join(
-        games.withColumn("listed", F.lit(True)), ["LinkServerName", "Type", "GameTypeSourceId"], "left"
+_PLACE = ["LinkServerName", "DBName", "TableName", "Type", "month_key"]
+
+
+def _served_spread(rows: DataFrame, served: DataFrame, wagers: DataFrame) -> DataFrame:
+    """Like ``_served`` for more sources than are broadcast; a source with much of the rows is cut."""
+    def placed(df: DataFrame, month: str) -> DataFrame:
+        return df.filter(" AND ".join(f"{c} IS NOT NULL" for c in _PLACE[:4])).withColumn(
+            "month_key", F.coalesce(month, F.lit(""))
+        )
+
+    spans = placed(served, "read_month").select(*_PLACE, "Timezone", "from_start", "to_start")
+    joined = spread_join(
+        placed(rows, "MonthDB"), spans, _PLACE, ["start_t", "GameAccount", "SiteId"],
+        counted=placed(wagers.select(*SOURCE_KEYS), "MonthDB"),
     )
+    in_span = F.col("start_t").between(F.col("from_start"), F.col("to_start"))
+    return joined.filter(in_span).select(*rows.columns, "Timezone")
+
+
+def in_game_list(
+    rows: DataFrame, games: DataFrame, settings: Settings = Settings(), spread: bool = False
+) -> DataFrame:
+    """Rows of a shared database are kept for listed games only; other databases keep all.
+
+    With ``spread``, games that hold much of the rows are cut.
+    """
+    keys, listed = ["LinkServerName", "Type", "GameTypeSourceId"], games.withColumn("listed", F.lit(True))
+    if spread:
+        by = [c for c in ("GameAccount", "SiteId", "start_t") if c in rows.columns]
+        shared = rows.filter(F.col("DBName").eqNullSafe(settings.shared_db)).dropna(subset=keys)
+        kept = spread_join(shared, listed, keys, by, "left_semi").select(*rows.columns)
+        return rows.filter(~F.col("DBName").eqNullSafe(settings.shared_db)).unionByName(kept)
+    marked = rows.join(listed, keys, "left")
     keep = ~F.col("DBName").eqNullSafe(settings.shared_db) | F.col("listed")
     return marked.filter(keep).select(*rows.columns)
 
@@ -92,7 +120,8 @@ def hourly_rollup(
     Windows are whole hours, so a row's hour and its source's timezone give its batch: the join
     needs the sources only, not sources times hours. Sources and game lists of at most ``most``
     rows are broadcast and drop wagers before the one wide shuffle. Larger ones wait until the
-    wagers are grouped, which their tests allow: all they look at is grouping keys.
+    wagers are grouped, which their tests allow: all they look at is grouping keys. Then a source or
+    game with much of the rows is cut into parts, see ``spread_join``.
     """
     served, rows = _window_starts(source_spans), _keyed(wagers, settings)
     early = fits(served, most)
@@ -101,9 +130,9 @@ def hourly_rollup(
         rows = _served(rows, F.broadcast(served))
     if early_games:
         rows = in_game_list(rows, F.broadcast(games), settings)
-    rows = _grouped(rows, "Timezone") if early else _served(_grouped(rows), served)
+    rows = _grouped(rows, "Timezone") if early else _served_spread(_grouped(rows), served, wagers)
     if not early_games:
-        rows = in_game_list(rows, games, settings)
+        rows = in_game_list(rows, games, settings, spread=True)
     batch = clock.plus_hours(F.col("start_t"), 1 - F.col("Timezone"))
     return rows.select(clock.utc_to_output(batch).alias("DatePlayed"), *PLACED_COLUMNS)
 

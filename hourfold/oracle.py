@@ -426,6 +426,7 @@ FINAL: dict[str, str] = {
         SELECT DISTINCT {_SOURCE} FROM big_lookup
         WHERE Type NOT IN (SELECT CAST(s_suppkey AS INT) FROM supplier WHERE s_acctbal < 0)""",
     "q_hourly_rollup": f"SELECT {_REPORT} FROM rollup",
+    "q_hourly_rollup_spread": f"SELECT {_REPORT} FROM rollup",
     "q_hourly_rollup_game_filter": f"SELECT {_REPORT} FROM rollup WHERE DBName = '_DbShared'",
     "q_rollup_lineitem": f"""
         SELECT strftime(l_shipdate, '%y%m') AS m, lower(c_name) AS GameAccount, c_nationkey AS SiteId,

@@ -197,6 +197,15 @@ def q_hourly_rollup(spark: SparkSession, d: str) -> DataFrame:
     return _money(rollup.report_rows(_rollup(spark, d)))
 
 
+@query
+def q_hourly_rollup_spread(spark: SparkSession, d: str) -> DataFrame:
+    """The rollup in the form for more sources and games than are broadcast."""
+    rows = rollup.hourly_rollup(
+        ev.wagers(spark, d), _spans(spark, d), manifest.game_list(ev.source_lookup(spark)), most=0
+    )
+    return _money(rollup.report_rows(rows))
+
+
 @query
 def q_hourly_rollup_game_filter(spark: SparkSession, d: str) -> DataFrame:
     shared = F.col("DBName") == Settings().shared_db

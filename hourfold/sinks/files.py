@@ -33,11 +33,16 @@ STATE_KEYS = {
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder that all executors see.
 
-    It lies in the folder the cluster names for checkpoints, or next to the tables of the warehouse
-    where none is named.
+    It lies in the folder the cluster names for checkpoints. Where none is named it lies next to the tables
+    of the warehouse; on a cluster that must be on a shared file system.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        alone = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+        where = spark._jvm.org.apache.hadoop.fs.Path(base)
+        if not alone and where.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
     _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
     return _made[-1]
 

@@ -241,3 +241,27 @@ def test_rollup_is_additive_over_hours(spark, table):
     for h in ("2024-02-01 00:00:00", "2024-02-01 01:00:00", "2024-02-01 04:00:00"):
         single += got(rollup.hourly_rollup(fact, manifest.spans(sources, tz, hour(spark, h), hour(spark, h)), games))
     assert sorted(single, key=str) == sorted(got(whole), key=str) and len(single) == 4
+
+
+def test_heavy_sources_are_spread(spark):
+    """40 % of the rows in one Type: no task of the join reads twice the median, and no row is lost."""
+    from hourfold.functions.joins import heavy_keys, spread_join
+
+    rows = spark.range(60_000).selectExpr(
+        "CAST(IF(id % 5 < 2, 0, 1 + id % 97) AS int) AS Type", "id", "concat('u', id % 7001) AS account")
+    side = spark.range(120).selectExpr("CAST(id AS int) AS Type", "id * 10 AS zone")
+    heavy = {r["Type"]: r["_parts"] for r in heavy_keys(rows, ["Type"], 8).collect()}
+    assert set(heavy) == {0} and heavy[0] >= 8
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        joined = spread_join(rows, side, ["Type"], ["id", "account"])
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 60_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        plain = sorted(r["count"] for r in rows.join(side.hint("merge"), "Type").groupBy(F.spark_partition_id()).count().collect())
+        assert plain[-1] > 4 * plain[len(plain) // 2]
+        assert joined.filter("zone <> Type * 10").isEmpty() and joined.select("id").distinct().count() == 60_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

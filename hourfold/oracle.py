@@ -25,11 +25,21 @@ _SOURCE = "LinkServerName, DBName, MonthDB, TableName, Type"
 CTES: dict[str, str] = {
     # Fixed rows.
     "places": _values(ev.PLACES, "Type, event_type, LinkServerName, DBName, monthly, TableName"),
-    "lookup": _values(
-        [(_place[t][2], g, _place[t][3], m, _place[t][5], t)
-         for t, months, games in ev.LISTED for m in months for g in games],
-        "LinkServerName, GameTypeSourceId, DBName, MonthDB, TableName, Type",
+    "listed_games": _values(
+        [(_place[t][2], g, _place[t][3], _place[t][4], _place[t][5], t) for t, games in ev.LISTED for g in games],
+        "LinkServerName, GameTypeSourceId, DBName, monthly, TableName, Type",
     ),
+    "event_months": """
+        SELECT date_trunc('month', min(ts)) - INTERVAL 1 MONTH AS before,
+               unnest(generate_series(date_trunc('month', min(ts)), max(ts), INTERVAL 1 MONTH)) AS month FROM events""",
+    "lookup": f"""
+        SELECT LinkServerName, GameTypeSourceId, DBName, strftime(m.month, '%y%m') AS MonthDB, TableName, Type
+        FROM listed_games g CROSS JOIN event_months m WHERE g.monthly
+        UNION ALL
+        SELECT LinkServerName, GameTypeSourceId, DBName, NULL, TableName, Type FROM listed_games WHERE NOT monthly
+        UNION ALL
+        SELECT DISTINCT LinkServerName, GameTypeSourceId, DBName, strftime(m.before, '%y%m'), TableName, Type
+        FROM listed_games g CROSS JOIN event_months m WHERE g.Type = {ev.BEFORE[0]} AND g.GameTypeSourceId = {ev.BEFORE[1]}""",
     "tz": _values(ev.ZONES, "Type, Timezone"),
     "declared_rows": _values(ev.DECLARED, "Type, Timezone"),
     "games_lookup": _values(ev.CATEGORIES, "RawDataType, GameHallName, Category"),

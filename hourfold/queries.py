@@ -36,7 +36,7 @@ def _money(df: DataFrame) -> DataFrame:
 
 def _spans(spark: SparkSession, d: str, settings: Settings = Settings()) -> DataFrame:
     first, last = ev.batch_range(spark, d)
-    sources = manifest.list_sources(ev.source_lookup(spark))
+    sources = manifest.list_sources(ev.source_lookup(spark, d))
     return manifest.spans(sources, ev.type_timezone(spark), first, last, settings)
 
 
@@ -45,7 +45,7 @@ def _manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
-    games = manifest.game_list(ev.source_lookup(spark))
+    games = manifest.game_list(ev.source_lookup(spark, d))
     return rollup.hourly_rollup(ev.wagers(spark, d), _spans(spark, d), games)
 
 
@@ -72,7 +72,7 @@ def _redo_state(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Data
 
 def _redo(spark: SparkSession, d: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Manifest and routed rows of the candidates."""
-    lookup, servers = ev.source_lookup(spark), ev.server_lookup(spark)
+    lookup, servers = ev.source_lookup(spark, d), ev.server_lookup(spark)
     work = redo.redo_manifest(wanted, lookup, ev.type_timezone(spark), servers)
     routed = redo.redo_rollup(
         wanted, work, ev.wagers(spark, d), manifest.game_list(lookup), ev.site_group(spark), servers
@@ -85,7 +85,7 @@ def _chosen(spark: SparkSession, d: str) -> DataFrame:
     obs = ev.observations(spark, d, both_paths=True)
     first = obs.filter(F.col("Server").isin(ev.FIRST_PATH))
     second = timezones.second_path(obs, ev.FIRST_PATH, ev.SECOND_PATH)
-    declared = timezones.declared_timezones(ev.source_lookup(spark), ev.raw_data_info(spark))
+    declared = timezones.declared_timezones(ev.source_lookup(spark, d), ev.raw_data_info(spark))
     category = timezones.type_category(ev.game_lookup(spark))
     return timezones.stack_paths(*[
         timezones.choose_timezone(timezones.infer_timezone(o), declared, category)
@@ -201,7 +201,7 @@ def q_hourly_rollup(spark: SparkSession, d: str) -> DataFrame:
 def q_hourly_rollup_spread(spark: SparkSession, d: str) -> DataFrame:
     """The rollup in the form for more sources and games than are broadcast."""
     rows = rollup.hourly_rollup(
-        ev.wagers(spark, d), _spans(spark, d), manifest.game_list(ev.source_lookup(spark)), most=0
+        ev.wagers(spark, d), _spans(spark, d), manifest.game_list(ev.source_lookup(spark, d)), most=0
     )
     return _money(rollup.report_rows(rows))
 
@@ -209,7 +209,7 @@ def q_hourly_rollup_spread(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_hourly_rollup_game_filter(spark: SparkSession, d: str) -> DataFrame:
     shared = F.col("DBName") == Settings().shared_db
-    lookup = ev.source_lookup(spark)
+    lookup = ev.source_lookup(spark, d)
     rows = rollup.hourly_rollup(
         ev.wagers(spark, d).filter(shared), _spans(spark, d).filter(shared),
         manifest.game_list(lookup),
@@ -295,7 +295,7 @@ def _hour_inputs(spark: SparkSession, d: str, **changes) -> hourly.Inputs:
     lag_rows = ev.lag_hours(spark, d)
     no_books = spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in fields("batch_status")))
     return hourly.Inputs(**{
-        "wagers": ev.wagers(spark, d), "lookup": ev.source_lookup(spark),
+        "wagers": ev.wagers(spark, d), "lookup": ev.source_lookup(spark, d),
         "excluded": tables.excluded_types(ev.game_lookup(spark)),
         "type_timezone": ev.type_timezone(spark), "raw_data_info": ev.raw_data_info(spark),
         "site_group": ev.site_group(spark), "server_lookup": ev.server_lookup(spark),
@@ -426,7 +426,7 @@ def q_run_redo(spark: SparkSession, d: str) -> DataFrame:
 def q_observe_then_lag(spark: SparkSession, d: str) -> DataFrame:
     """Three hours observed and checked, the last one twice; lag rows, and the alerts that the last hour gives."""
     store, alert_rows = state.Store(spark, files.shared_dir(spark, "state")), None
-    lookup, games, servers = ev.source_lookup(spark), ev.game_lookup(spark), ev.server_lookup(spark)
+    lookup, games, servers = ev.source_lookup(spark, d), ev.game_lookup(spark), ev.server_lookup(spark)
     zones, targets = files.stored(ev.type_timezone(spark), "zones"), ev.lag_target_types(spark)
     for utc in [*ev.CHECKED, ev.CHECKED[-1]]:
         arrived = ev.arrived(spark, d, utc)
@@ -445,7 +445,7 @@ def q_run_timezone_analysis(spark: SparkSession, d: str) -> DataFrame:
         store.put("tz_observations", ev.observations(spark, d, both_paths=True))
         store.put("type_timezone", zones)
         result = state.analyse_timezones(
-            store, ev.FIRST_PATH, ev.SECOND_PATH, ev.source_lookup(spark), ev.raw_data_info(spark), ev.game_lookup(spark),
+            store, ev.FIRST_PATH, ev.SECOND_PATH, ev.source_lookup(spark, d), ev.raw_data_info(spark), ev.game_lookup(spark),
             ev.AFTER,
         )
         changed = result.changes.select("Type", F.lit(True).alias("changed"))
@@ -613,7 +613,7 @@ def q_close_redo(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_observe_source_max(spark: SparkSession, d: str) -> DataFrame:
     observed = timezones.observe_source_max(
-        ev.wagers(spark, d), ev.source_lookup(spark), ev.AFTER_UTC
+        ev.wagers(spark, d), ev.source_lookup(spark, d), ev.AFTER_UTC
     )
     return observed.select("Type", "table_max", "utc0", "diff_min")
 
@@ -621,7 +621,7 @@ def q_observe_source_max(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_append_observations(spark: SparkSession, d: str) -> DataFrame:
     observed = timezones.observe_source_max(
-        ev.wagers(spark, d), ev.source_lookup(spark), ev.AFTER_UTC
+        ev.wagers(spark, d), ev.source_lookup(spark, d), ev.AFTER_UTC
     )
     return timezones.append_observations(
         ev.observations(spark, d), observed, ev.server_lookup(spark), ev.AFTER_UTC
@@ -655,7 +655,7 @@ def q_type_category(spark: SparkSession, d: str) -> DataFrame:
 def q_choose_timezone(spark: SparkSession, d: str) -> DataFrame:
     return timezones.choose_timezone(
         timezones.infer_timezone(ev.observations(spark, d)),
-        timezones.declared_timezones(ev.source_lookup(spark), ev.raw_data_info(spark)),
+        timezones.declared_timezones(ev.source_lookup(spark, d), ev.raw_data_info(spark)),
         timezones.type_category(ev.game_lookup(spark)),
     )
 

@@ -18,15 +18,16 @@ PLACES = [
     (98, "signup", "S2", "_DbShared", False, "TblD"),
     (39, "error", "S3", "_DbPlain", False, "TblE"),
 ]
-# Listed games: Type, months (None without month databases), games.
+# Listed games: Type, games. Month databases are listed for the months of the events; that of the month
+# before them holds one game of Type 22.
 LISTED = [
-    (22, ["2312"], [220]),
-    (22, ["2401"], [220, 221, 222, 223]),
-    (23, ["2401"], [230, 231, 232, 233]),
-    (97, [None], [970, 971, 972]),
-    (98, [None], [980]),
-    (39, [None], [390]),
+    (22, [220, 221, 222, 223]),
+    (23, [230, 231, 232, 233]),
+    (97, [970, 971, 972]),
+    (98, [980]),
+    (39, [390]),
 ]
+BEFORE = (22, 220)
 ZONES = [(22, 0), (23, 8), (97, -4), (98, 8)]
 DECLARED = [(22, 0), (23, 8), (97, -4), (98, 8), (39, 7)]
 CATEGORIES = [(22, "HallA", "機率"), (23, "HallA", "機率"), (97, "HallB", "機率"), (98, "HallC", "真人")]
@@ -81,11 +82,18 @@ def arrived(spark: SparkSession, sf_dir: str, utc: dt.datetime) -> DataFrame:
     return wagers(spark, sf_dir).filter(F.col("wagerstime") < clock.as_ntz(utc))
 
 
-def source_lookup(spark: SparkSession) -> DataFrame:
-    place = {p[0]: p for p in PLACES}
+def event_months(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The month before the first event, and every month from the first to the last event."""
+    first, last = hour_range(spark, sf_dir)
+    numbers = range(first.year * 12 + first.month - 2, last.year * 12 + last.month)
+    return [f"{n // 12 % 100:02d}{n % 12 + 1:02d}" for n in numbers]
+
+
+def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place, months = {p[0]: p for p in PLACES}, event_months(spark, sf_dir)
+    listed = [(t, game, month) for t, games in LISTED for game in games for month in (months[1:] if place[t][4] else [None])]
     rows = [
-        (place[t][2], game, place[t][3], month, place[t][5], t)
-        for t, months, games in LISTED for month in months for game in games
+        (place[t][2], game, place[t][3], month, place[t][5], t) for t, game, month in [(*BEFORE, months[0]), *listed]
     ]
     return fixed_rows(spark, rows, "LinkServerName string, GameTypeSourceId int, DBName string, MonthDB string, "
         "TableName string, Type int",
@@ -172,7 +180,7 @@ def lag_hours(spark: SparkSession, sf_dir: str, targets: DataFrame | None = None
     """Lag rows of all hours with readings."""
     first, last = hour_range(spark, sf_dir)
     return lag.lag_status(
-        lag.lag_structure(source_lookup(spark), game_lookup(spark)),
+        lag.lag_structure(source_lookup(spark, sf_dir), game_lookup(spark)),
         observations(spark, sf_dir), type_timezone(spark),
         lag_target_types(spark) if targets is None else targets,
         first + dt.timedelta(hours=1), last + dt.timedelta(hours=1),

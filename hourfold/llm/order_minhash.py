@@ -225,11 +225,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows are told apart by doc_id and text. Of rows that share both, the least by a hash of all columns stays.
     """
+    def row_key(doc_id: Column, own: Column) -> Column:
+        """One column, so that the join and the window after it need one exchange of the texts."""
+        return F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), own)).alias("_row_key")
+
     named = _named_classes(docs)[1]
-    kept = named.filter("first = named").select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key"))
-    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (text_key(docs["text"]) == kept["kept_key"])
+    kept = named.filter("first = named").select(row_key(F.col("first.doc_id"), F.col("first.text_key")))
     hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    place = F.row_number().over(
-        Window.partitionBy("doc_id", text_key(F.col("text"))).orderBy(F.xxhash64(*hashed))
-    )
-    return docs.join(kept, same, "left_semi").withColumn("_nth_of_equal", place).filter("_nth_of_equal = 1").drop("_nth_of_equal")
+    place = F.row_number().over(Window.partitionBy("_row_key").orderBy(F.xxhash64(*hashed)))
+    rows = docs.select("*", row_key(F.col("doc_id"), text_key(F.col("text")))).join(kept, "_row_key", "left_semi")
+    return rows.withColumn("_nth_of_equal", place).filter("_nth_of_equal = 1").select(*docs.columns)

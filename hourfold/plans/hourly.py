@@ -316,7 +316,9 @@ def run_redo(
     work = files.stored(redo.redo_manifest(wanted, listed, zones, servers, settings), "redo_work")
     held = files.stored(_held(inputs, inputs.lag_status, work), "redo_held")
     free = ledger.runnable(work, held)
-    wagers = tables.within_batches(inputs.wagers, _batches(wanted))
+    wagers = tables.within_windows(inputs.wagers, free)
+    if wagers is None:  # too many scattered hours for literals
+        wagers = tables.within_batches(inputs.wagers, _batches(wanted))
     routed = redo.redo_rollup(
         wanted, free, wagers, manifest.game_list(listed),
         inputs.site_group, servers, settings, all_destinations,

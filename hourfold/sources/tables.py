@@ -95,6 +95,44 @@ def within_batches(
     return wagers.filter(keep & (F.col("MonthDB").isNull() | F.col("MonthDB").isin(sorted(months))))
 
 
+def runs_of_hours(hours: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """First and last hours of the runs of consecutive hours of each Type (Type, start_t).
+
+    An hour opens a run if the hour before it is missing, and closes one if the next is; two joins by
+    equality, whatever the length of the runs. Sorted, the n-th opening belongs to the n-th closing hour.
+    """
+    each = hours.select("Type", "start_t").filter("start_t IS NOT NULL").distinct()
+
+    def without(step: int) -> DataFrame:
+        shifted = each.select("Type", clock.plus_hours(F.col("start_t"), step).alias("start_t"))
+        return each.join(shifted.hint("merge"), ["Type", "start_t"], "left_anti")
+
+    return without(1), without(-1)
+
+
+def within_windows(wagers: DataFrame, hours: DataFrame, most: int = 200) -> DataFrame | None:
+    """Wagers of the listed local hours (Type, start_t), as literal intervals that reach the scan.
+
+    Consecutive hours of a Type are one interval. None if there are more than ``most`` intervals.
+    """
+    found = []
+    for edges in runs_of_hours(hours):
+        rows = edges.limit(most + 1).collect()
+        if len(rows) > most:
+            return None
+        found.append(sorted((r["Type"], r["start_t"]) for r in rows))
+    t, by_type, months = F.col("wagerstime"), {}, set()
+    for (one, first), (_, last) in zip(*found, strict=True):
+        end = last + dt.timedelta(hours=1)
+        inside = (t >= clock.as_ntz(first)) & (t < clock.as_ntz(end))
+        by_type[one] = by_type[one] | inside if one in by_type else inside
+        months |= _months(first, end)
+    keep = F.lit(False)
+    for one, inside in by_type.items():
+        keep = keep | ((F.col("Type") == one) & inside)
+    return wagers.filter(keep & (F.col("MonthDB").isNull() | F.col("MonthDB").isin(sorted(months))))
+
+
 def _months(low: dt.datetime, high: dt.datetime) -> set[str]:
     days = (high - low).days + 1
     return {(low + dt.timedelta(days=d)).strftime("%y%m") for d in range(days + 1)}

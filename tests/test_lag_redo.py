@@ -129,3 +129,33 @@ def test_close_only_hours_that_ended_well(table):
 def test_not_ready_and_runnable(spark, table):
     held = ledger.not_ready(lag_rows(table, [(H[8], 1, "WAIT", None, None), (H[8], 2, "TBD", None, None)]))
     assert got(held) == [("S1", 1, H[8])]
+
+
+def test_a_redo_reads_the_hours_of_its_runs_only(spark, table, tmp_path):
+    """Consecutive hours of a Type become one literal interval that prunes the scan."""
+    import random
+
+    from hourfold.sources import tables
+
+    pick = random.Random(6)
+    hours = {(t, f"2024-01-{1 + h // 24:02d} {h % 24:02d}:00:00") for t in (1, 2, 3) for h in pick.sample(range(500), 120)}
+    hours |= {(4, f"2024-01-05 {h:02d}:00:00") for h in range(24)}
+    asked = spark.createDataFrame(sorted(hours), "Type int, s string").selectExpr("Type", "CAST(s AS timestamp_ntz) AS start_t")
+    every = spark.range(4 * 600).selectExpr(
+        "'S' AS LinkServerName", "'d' AS DBName", "CAST(NULL AS string) AS MonthDB", "'t' AS TableName",
+        "CAST(1 + id % 4 AS int) AS Type", "timestampadd(MINUTE, 59, timestampadd(HOUR, CAST(id DIV 4 AS int), TIMESTAMP_NTZ '2024-01-01 00:00:00')) AS wagerstime",
+    )
+    every.write.parquet(str(tmp_path / "w"))
+    fact = spark.read.parquet(str(tmp_path / "w"))
+    read = tables.within_windows(fact, asked, most=500)
+    got_hours = {(r["Type"], str(r["h"])) for r in read.selectExpr("Type", "date_trunc('hour', wagerstime) AS h").collect()}
+    assert got_hours == hours and read.count() == len(hours)
+    whole_day = tables.within_windows(fact, asked.filter("Type = 4"))
+    plan = whole_day._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: ")[1]
+    assert "EqualTo(Type,4), GreaterThanOrEqual(wagerstime,2024-01-0" in pushed
+    assert ">= 2024-01-05 00:00:00" in plan and "< 2024-01-06 00:00:00" in plan
+    opening, closing = tables.runs_of_hours(asked.filter("Type = 4"))
+    assert [str(r["start_t"]) for r in opening.collect() + closing.collect()] == ["2024-01-05 00:00:00", "2024-01-05 23:00:00"]
+    assert tables.within_windows(fact, asked, most=5) is None
+    assert tables.within_windows(fact, asked.limit(0)).isEmpty()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import INFERRED_CATEGORY, SUCCESS, UPDATING, Settings
 from ..functions import clock, ordered
+from . import zones
 from .manifest import game_list, list_sources
 from .rollup import in_game_list
 
@@ -25,10 +26,23 @@ def observe_source_max(
     One row per pair even when its sources are empty. The game test of shared databases runs on
     per-game maxima, after the scan has been reduced.
     """
-    sources, games = list_sources(lookup), game_list(lookup)
     per_game = wagers.groupBy(
         "LinkServerName", "DBName", "MonthDB", "TableName", "Type", "GameTypeSourceId"
     ).agg(F.max("wagerstime").alias("newest"))
+    return _readings(per_game, lookup, batch_utc, settings)
+
+
+def observe_zones(
+    zone_rows: DataFrame, lookup: DataFrame, batch_utc: Column | dt.datetime, settings: Settings = Settings()
+) -> DataFrame:
+    """``observe_source_max`` from the zones of wagers, which are not read."""
+    return _readings(zones.newest(zone_rows), lookup, batch_utc, settings)
+
+
+def _readings(
+    per_game: DataFrame, lookup: DataFrame, batch_utc: Column | dt.datetime, settings: Settings
+) -> DataFrame:
+    sources, games = list_sources(lookup), game_list(lookup)
     per_source = in_game_list(per_game, games, settings).groupBy(
         "LinkServerName", "DBName", "MonthDB", "TableName", "Type"
     ).agg(F.max("newest").alias("newest"))

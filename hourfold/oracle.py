@@ -391,6 +391,22 @@ FINAL: dict[str, str] = {
         SELECT l.*, a.n_wait, a.since FROM check_lag l
         LEFT JOIN (SELECT Type, count(*) AS n_wait, min(DatePlayed) AS since FROM check_lag
                    WHERE Status = 'Wait' GROUP BY Type HAVING count(*) >= 3) a ON a.Type = l.Type""",
+    "q_zone_readings": """
+        SELECT Type, table_max, utc0, diff_min,
+               (SELECT count(DISTINCT date_trunc('day', ts)) FROM events)
+               + (SELECT count(DISTINCT date_trunc('day', ts)) FROM events WHERE day(ts) % 3 = 1) AS days_indexed
+        FROM observed""",
+    "q_zone_windows": f"""
+        SELECT h.LinkServerName, h.Type, h.n_wagers, o.n_windows
+        FROM (SELECT LinkServerName, Type, count(*) AS n_wagers FROM wagers GROUP BY LinkServerName, Type) h
+        LEFT JOIN (
+          SELECT m.LinkServerName, m.Type, count(*) AS n_windows FROM manifest m
+          JOIN (SELECT {_SOURCE}, min(wagerstime) AS first_t, max(wagerstime) AS last_t FROM wagers
+                GROUP BY {_SOURCE}, date_trunc('day', wagerstime)) z
+            ON z.LinkServerName = m.LinkServerName AND z.DBName = m.DBName AND z.TableName = m.TableName
+           AND z.Type = m.Type AND z.MonthDB IS NOT DISTINCT FROM m.MonthDB
+           AND z.first_t < m.end_t AND z.last_t >= m.start_t AND date_trunc('day', z.first_t) = date_trunc('day', m.start_t)
+          GROUP BY m.LinkServerName, m.Type) o ON o.LinkServerName = h.LinkServerName AND o.Type = h.Type""",
     "q_run_timezone_analysis": f"{_analysis('same', 'tz')} UNION ALL {_analysis('moved', 'moved_tz')}",
     "q_compacted_rollup": f"""
         SELECT Destination, count(*) AS n, CAST(sum(Commissionable) AS DOUBLE) AS Commissionable, TRUE AS few
@@ -598,4 +614,5 @@ def statement(sql: str) -> str:
     return f"WITH {', '.join(parts)} {sql.strip()}" if parts else sql.strip()
 
 
+FINAL["q_observe_stored_then_lag"] = FINAL["q_observe_then_lag"]
 ORACLE = {name: statement(sql) for name, sql in FINAL.items()}

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import OUTPUT_UTC_OFFSET_HOURS, Settings
 from ..functions import clock
-from ..operators import lag
+from ..operators import lag, zones
 from ..sinks import files, keyed
+from ..sinks.wagers import WagerTable
 from . import hourly, watch
 
 _STATE = {"batch_status": "batch_status", "type_timezone": "type_timezone", "lag_status": "lag_status",
@@ -28,6 +29,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.rollup = f"{self.root}/rollup"
+        self.wagers = WagerTable(spark, f"{self.root}/wagers")
 
     def table(self, name: str) -> keyed.Keyed:
         return files.state_table(f"{self.root}/state", name)
@@ -53,6 +55,7 @@ class Store:
         for table in [files.rollup_table(self.rollup), *map(self.table, files.STATE_KEYS)]:
             keyed.compact(self.spark, table)
             keyed.expire(self.spark, table, keep_seconds)
+        self.wagers.maintain(keep_seconds)
 
 
 def run_hour(store: Store, base: hourly.Inputs, batch_utc: dt.datetime) -> hourly.Result:
@@ -70,16 +73,18 @@ def run_redo(store: Store, base: hourly.Inputs, batch_utc: dt.datetime, **option
 
 
 def observe_and_check(
-    store: Store, wagers: DataFrame, lookup: DataFrame, game_lookup: DataFrame, server_lookup: DataFrame,
+    store: Store, wagers: DataFrame | None, lookup: DataFrame, game_lookup: DataFrame, server_lookup: DataFrame,
     type_timezone: DataFrame, targets: DataFrame, utc: dt.datetime, settings: Settings = Settings(),
 ) -> DataFrame:
     """The readings of an hour, its lag rows and the finished marker, stored; gives the alert rows.
 
-    A second run of the hour replaces its rows. Readings that come late are seen by ``recheck``.
+    Without ``wagers`` the readings come from the zones of the store's own, as loaded by that hour. A second run
+    of the hour replaces its rows. Readings that come late are seen by ``recheck``.
     """
     at, current = clock.as_ntz(utc), utc + dt.timedelta(hours=OUTPUT_UTC_OFFSET_HOURS)
     history = watch.run_observe(wagers, lookup, store.read("tz_observations").filter(F.col("Batch_time") < at),
-                                server_lookup, utc, settings)
+                                server_lookup, utc, settings,
+                                None if wagers is not None else zones.readings_until(store.wagers.current(), at))
     store.put("tz_observations", history.filter(F.col("Batch_time") == at))
     result = watch.run_lag_check(
         lookup, game_lookup, store.read("tz_observations"), type_timezone, targets,

@@ -53,18 +53,22 @@ def run_recheck(stored_lag: DataFrame, obs: DataFrame) -> DataFrame:
 
 
 def run_observe(
-    wagers: DataFrame,
+    wagers: DataFrame | None,
     lookup: DataFrame,
     obs: DataFrame,
     server_lookup: DataFrame,
     batch_utc: dt.datetime,
     settings: Settings = Settings(),
+    zone_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Observation history with the readings of this batch; Batch_time is UTC, as its readers expect.
 
-    Only wagers from the stored readings on are read; sources only grow, so a new reading is the
-    larger of the stored one and what is found.
+    Readings come from the zones of the wagers where there are any. Else only wagers from the stored readings
+    on are read; sources only grow, so a new reading is the larger of the stored one and what is found.
     """
+    if zone_rows is not None:
+        observed = timezones.observe_zones(zone_rows, lookup, batch_utc, settings)
+        return timezones.append_observations(obs, observed, server_lookup, batch_utc)
     known = timezones.known_readings(obs, lookup, server_lookup)
     observed = timezones.observe_source_max(
         timezones.unseen(wagers, known), lookup, batch_utc, settings

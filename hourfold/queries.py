@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .constants import LEDGER_KEYS, ROLLUP_COLUMNS, Settings
 from .functions import clock
 from .operators import (
-    alerts, gates, lag, ledger, manifest, redo, rollup, routing, timezones,
+    alerts, gates, lag, ledger, manifest, redo, rollup, routing, timezones, zones,
 )
 from .plans import hourly, store as state
 from .schemas import conform, fields
 from .sinks import files, keyed
+from .sinks.wagers import WagerTable
 from .sources import tables
 from .testbed import from_events as ev, from_orders as od, given
 
@@ -436,6 +437,46 @@ def q_observe_then_lag(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("DatePlayed", "LinkServerName", "Type", "Status", "Table_max", "Run_threshold", "n_wait", "since")
 
 
+@query
+def q_observe_stored_then_lag(spark: SparkSession, d: str) -> DataFrame:
+    """The same hours on stored wagers: each loads what has arrived since the last, readings come from the zones."""
+    store, alert_rows, loaded = state.Store(spark, files.shared_dir(spark, "state")), None, None
+    lookup, games, servers = ev.source_lookup(spark, d), ev.game_lookup(spark), ev.server_lookup(spark)
+    known, targets = files.stored(ev.type_timezone(spark), "known"), ev.lag_target_types(spark)
+    for utc in [*ev.CHECKED, ev.CHECKED[-1]]:
+        if utc != loaded:
+            new = ev.arrived(spark, d, utc)
+            store.wagers.load(new if loaded is None else new.filter(F.col("wagerstime") >= clock.as_ntz(loaded)), utc)
+        loaded = utc
+        alert_rows = state.observe_and_check(store, None, lookup, games, servers, known, targets, utc)
+    alerted = alert_rows.select("Type", "n_wait", "since")
+    rows = store.read("lag_status").join(alerted, "Type", "left")
+    return rows.select("DatePlayed", "LinkServerName", "Type", "Status", "Table_max", "Run_threshold", "n_wait", "since")
+
+
+@query
+def q_zone_readings(spark: SparkSession, d: str) -> DataFrame:
+    """Readings from the zones of wagers that came in three loads, one of them wrong first and loaded again."""
+    stored, fact = WagerTable(spark, files.shared_dir(spark, "wagers")), ev.wagers(spark, d)
+    load = F.dayofmonth("wagerstime") % 3
+    wrong = fact.filter(load == 1).withColumn("wagerstime", clock.hour_floor(F.col("wagerstime")))
+    indexed = stored.load(wrong, ev.CHECKED[1])
+    for k, at in enumerate(ev.CHECKED):
+        indexed += stored.load(fact.filter(load == k), at)
+    readings = timezones.observe_zones(stored.current(), ev.source_lookup(spark, d), ev.AFTER_UTC)
+    return readings.select("Type", "table_max", "utc0", "diff_min", F.lit(indexed).cast("bigint").alias("days_indexed"))
+
+
+@query
+def q_zone_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of the month that may hold wagers by the zones, and the wagers that are stored in their days."""
+    zone_rows = zones.build(ev.wagers(spark, d))
+    open_windows = zones.windows_with_rows(_manifest(spark, d), zone_rows)
+    windows = open_windows.groupBy("LinkServerName", "Type").agg(F.count(F.lit(1)).alias("n_windows"))
+    held = zone_rows.groupBy("LinkServerName", "Type").agg(F.sum("n").alias("n_wagers"))
+    return held.join(windows, ["LinkServerName", "Type"], "left")
+
+
 @query
 def q_run_timezone_analysis(spark: SparkSession, d: str) -> DataFrame:
     """The analysis on stored readings: merged where nothing has moved, left alone where a Type has."""

@@ -248,6 +248,13 @@ def read(
     for bound, within in ((first, Column.__ge__), (last, Column.__le__)):
         if bound is not None:
             keys = keys.filter(within(F.col(table.dated), bound))
+    return rows_of(spark, table, keys, first, last)
+
+
+def rows_of(
+    spark: SparkSession, table: Keyed, keys: DataFrame, first: Column | None = None, last: Column | None = None
+) -> DataFrame:
+    """Rows of some of the ``newest_keys``, dated within [first, last] where given; only their versions are opened."""
     extra = "".join(f", {name} {kind}" for name, kind in (("date", "date"), ("hour", "int")) if name in table.folders)
     holding = keys.groupBy("version").count().collect()  # a row a live version at most
     rows = _folder(spark, table, "rows", f"{table.ddl}{extra}", sorted(r["version"] for r in holding))
@@ -280,10 +287,10 @@ def _numbered(announcement: DataFrame, version: str, seen: list[Announced]) -> D
     return announcement.withColumn("rank", F.lit(rank))
 
 
-def put(spark: SparkSession, table: Keyed, rows: DataFrame) -> None:
-    """``rows`` in place of all rows of their keys, behind whatever other writers have announced by then."""
+def put(spark: SparkSession, table: Keyed, rows: DataFrame, due: DataFrame | None = None) -> None:
+    """``rows`` in place of all rows of their keys, or of the ``due`` ones, behind whatever others have announced by then."""
     version = new_version()
-    announcement = _put(table, rows, rows, version)
+    announcement = _put(table, rows, rows if due is None else due, version)
     while True:
         seen = announcements(spark, table)
         if announce(spark, table, _numbered(announcement, version, seen), _next_number(seen)):

@@ -2,32 +2,45 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import regex
 
 from hourfold.llm import links, order_minhash as om
 from document_fixtures import awkward, docs_of, sample, words  # noqa: F401
 
 
-def shingles(text):
-    w = regex.findall(r"\w+", (text or "").lower())
-    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+def words_of(text):
+    return regex.findall(r"\w+", (text or "").lower())
 
 
-def jaccard(a, b):
-    return sum((a & b).values()) / max(1, sum((a | b).values()))
+def matched(a, b):
+    """Longest common subsequence, by its table."""
+    line = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            before, line[j + 1] = line[j + 1], before + 1 if x == y else max(line[j], line[j + 1])
+    return line[-1]
+
+
+def alike(a, b):
+    """Similarity of 0.8 or more; what words they have in common is tried first."""
+    both = len(a) + len(b)
+    if (Counter(a) & Counter(b)).total() * 1.8 < 0.8 * both - 1e-9:
+        return False
+    return matched(a, b) * 1.8 >= 0.8 * both - 1e-9
 
 
 def brute_classes(rows):
-    """Classes of the graph of all pairs with similarity 0.8 or more, and the pairs."""
-    held = [shingles(t) for _, t in rows]
+    """Classes of the graph of all pairs of texts that are alike."""
+    held = [words_of(t) for _, t in rows]
     find, join = links.union_find(len(rows))
-    pairs = []
     for j in range(len(rows)):
         for i in range(j):
-            same = rows[i][1] == rows[j][1] or held[i] and held[j] and jaccard(held[i], held[j]) >= 0.8
-            if same:
+            same = rows[i][1] == rows[j][1] or held[i] and held[i] == held[j]
+            shares = same or set(zip(held[i], held[i][1:])) & set(zip(held[j], held[j][1:]))
+            if shares and find(i) != find(j) and (same or alike(held[i], held[j])):
                 join(i, j)
-                pairs.append((i, j))
     least = {}
     for i, (key, _) in enumerate(rows):
         least[find(i)] = min(least.get(find(i), key), key)
@@ -82,6 +95,38 @@ def test_order_counts():
     assert om.chained(la, lb, 0.0) == 56 and om.linked([a, b]) == []
 
 
+def test_alignment_is_the_longest_common_subsequence(monkeypatch):
+    """Also across parts, and where the band cuts: a pair that reaches the threshold lies within it."""
+    pick = random.Random(11)
+    for bits in (4096, 7):
+        monkeypatch.setattr(om, "_BITS", bits)
+        for _ in range(300):
+            a = [pick.randrange(9) for _ in range(pick.randrange(0, 60))]
+            b = [x for x in a if pick.random() > 0.1]
+            for _ in range(pick.randrange(4)):
+                b.insert(pick.randrange(len(b) + 1), pick.randrange(9))
+            want, at = matched(a, b), [np.array(x, "<u4") for x in (a, b)]
+            assert om.aligned(*at, 0.0) == want
+            assert om.aligned(*at) <= want and (om.aligned(*at) == want or want * 1.8 < 0.8 * (len(a) + len(b)))
+
+
+@pytest.mark.parametrize("share", [0.03, 0.05, 0.08, 0.1])
+def test_copies_with_scattered_edits_are_found(spark, docs_of, share):
+    """A share of the words of a copy is changed, dropped or added, all over the text."""
+    pick, rows = random.Random(int(share * 100)), []
+    for k in range(60):
+        base = words(k, 60 + 8 * k)
+        copy = list(base)
+        for _ in range(int(share * len(base))):
+            at, kind = pick.randrange(len(copy)), pick.randrange(4)
+            copy[at : at + (kind < 3)] = [f"new{pick.randrange(10**6)}"] * (kind != 0)
+        assert alike(base, copy)
+        rows += [(k, " ".join(base)), (1000 + k, " ".join(copy))]
+    got = {r.doc_id: r.class_id for r in om.near_duplicate_classes(docs_of(rows)).collect()}
+    assert sum(got[1000 + k] == k for k in range(60)) >= 54
+    assert all(got[k] == k for k in range(60)) and all(c % 1000 == d % 1000 for d, c in got.items())
+
+
 def test_chain_is_the_longest_common_subsequence():
     pick = random.Random(5)
     for _ in range(200):

@@ -61,6 +61,11 @@ def window_start(batch_utc: Column, timezone: Column) -> Column:
     return plus_hours(batch_utc, timezone - 1)
 
 
+def hours_of_day(ts: str) -> Column:
+    """Aggregate: which hours of the day come, hour h as bit h."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.hour(ts)))
+
+
 def month_code(ts: Column) -> Column:
     """Month database suffix, yyMM."""
     number = (F.year(ts) % 100) * 100 + F.month(ts)

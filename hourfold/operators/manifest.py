@@ -97,6 +97,18 @@ def spans(
     return served.filter(F.col("low") <= F.col("high"))
 
 
+def pieces(source_spans: DataFrame, days: int = 30) -> DataFrame:
+    """Spans cut into pieces of at most ``days`` days, dealt over the tasks before their hours are expanded.
+
+    Few spans would lie in one task, and a source without month databases may serve years of hours.
+    """
+    parts = int(source_spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    high = F.col("high")
+    each = source_spans.withColumn("low", F.explode(F.sequence("low", "high", F.expr(f"interval {days} days"))))
+    each = each.withColumn("high", F.least(high, clock.plus_hours(F.col("low"), 24 * days - 1)))
+    return each.repartition(parts, *SOURCE_KEYS, "Timezone", "low")
+
+
 def expand(source_spans: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One manifest row per source and batch hour it serves."""
     each_hour = F.explode(F.sequence("low", "high", F.expr("interval 1 hour")))

@@ -21,6 +21,7 @@ _place = {p[0]: p for p in ev.PLACES}
 _TYPE = "CASE event_type WHEN 'click' THEN 22 WHEN 'view' THEN 23 WHEN 'purchase' THEN 97 WHEN 'signup' THEN 98 ELSE 39 END"
 _MONEY = "DECIMAL(28,2)"
 _SOURCE = "LinkServerName, DBName, MonthDB, TableName, Type"
+_HOURS = "bit_or(CAST(1 AS BIGINT) << hour(DatePlayed)) AS hours"
 
 CTES: dict[str, str] = {
     # Fixed rows.
@@ -269,6 +270,11 @@ CTES |= {
           SELECT Timezone, month, min(h) AS low, max(h) AS high, count(*) AS n FROM big_zone_hours GROUP BY Timezone, month
           UNION ALL SELECT Timezone, NULL, min(h), max(h), count(*) FROM big_zone_hours GROUP BY Timezone) c
           ON c.Timezone IS NOT DISTINCT FROM s.Timezone AND c.month IS NOT DISTINCT FROM s.MonthDB""",
+    "big_manifest": """
+        SELECT *, h + to_hours(CAST(Timezone - 1 AS INT)) AS start_t, h + to_hours(CAST(Timezone AS INT)) AS end_t,
+               h + INTERVAL 8 HOUR AS DatePlayed
+        FROM (SELECT *, unnest(generate_series(low, high, INTERVAL 1 HOUR)) AS h
+              FROM (SELECT DISTINCT * FROM big_spans))""",
     "big_named": """
         SELECT s.*, c.end_month, c.low, c.high, c.n FROM big_sources s JOIN (
           SELECT Timezone, month, end_month, min(h) AS low, max(h) AS high, count(*) AS n
@@ -413,10 +419,10 @@ FINAL: dict[str, str] = {
         FROM routed GROUP BY Destination""",
     "q_run_hour": _one_hour(_LATE, f"NOT {_LATE}"),
     "q_run_hour_twice": _one_hour("m.Type IN (22, 97)", "true"),
-    "q_manifest": """
-        SELECT LinkServerName, Type, DBName, MonthDB, TableName, low AS first_batch, high AS last_batch, n AS n_hours,
-               low + to_hours(CAST(Timezone - 1 AS INT)) AS first_start, high + to_hours(CAST(Timezone AS INT)) AS last_end,
-               low + INTERVAL 8 HOUR AS first_output, high + INTERVAL 8 HOUR AS last_output FROM big_spans""",
+    "q_manifest": f"""
+        SELECT {_SOURCE}, CAST(DatePlayed AS DATE) AS day, count(*) AS n_hours, {_HOURS},
+               min(h) AS first_batch, max(h) AS last_batch, min(start_t) AS first_start, max(end_t) AS last_end
+        FROM big_manifest GROUP BY {_SOURCE}, CAST(DatePlayed AS DATE)""",
     "q_manifest_as_is": """
         SELECT Type, LinkServerName || '.' || DBName || coalesce(end_month, '') || '.VW_' || TableName AS source,
                low AS first_batch, high AS last_batch, n AS n_hours FROM big_named""",

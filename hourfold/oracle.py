@@ -481,11 +481,12 @@ FINAL: dict[str, str] = {
     "q_write_readback": f"""
         SELECT Destination, count(*) AS n, CAST(sum(Commissionable) AS DOUBLE) AS Commissionable
         FROM routed GROUP BY Destination""",
-    "q_start_status": """
-        SELECT v.Server, m.Type, d.Destination, 'Running' AS Status, m.h + INTERVAL 8 HOUR AS UpDateTime
-        FROM (SELECT *, low AS h FROM big_spans UNION ALL SELECT *, high AS h FROM big_spans WHERE high > low) m
-        JOIN big_servers v ON v.LinkServerName = m.LinkServerName
-        JOIN dests d ON v.GroupRouted OR NOT d.narrow""",
+    "q_start_status": f"""
+        SELECT v.Server, m.Type, d.Destination, 'Running' AS Status, CAST(m.DatePlayed AS DATE) AS day,
+               count(*) AS n_rows, {_HOURS}
+        FROM big_manifest m JOIN big_servers v ON v.LinkServerName = m.LinkServerName
+        JOIN dests d ON v.GroupRouted OR NOT d.narrow
+        GROUP BY v.Server, m.Type, d.Destination, CAST(m.DatePlayed AS DATE)""",
     "q_batch_outcome": """
         SELECT DISTINCT v.Server, m.Type, d.Destination, m.DatePlayed AS UpDateTime,
                CASE WHEN m.start_t IS NULL OR EXISTS (

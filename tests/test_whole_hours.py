@@ -5,8 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hourfold.constants import SOURCE_KEYS
-from hourfold.operators import manifest
+from hourfold.operators import ledger, manifest
 from hourfold.queries import QUERIES, _listed_spans
+from hourfold.testbed import from_orders as od
 from conftest import got
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,3 +41,12 @@ def test_manifest_lists_every_hour(spark):
     assert rows.agg(F.sum("n_hours")).first()[0] == work.count()
     rows, work = (df.filter(F.col(c) < FIRST).collect() for df, c in ((rows, "day"), (work, "DatePlayed")))
     assert hours_listed(rows, SOURCE_KEYS) == {(*(w[k] for k in SOURCE_KEYS), str(w.DatePlayed)) for w in work}
+
+
+def test_every_hour_starts_as_running(spark):
+    keys = ["Server", "Type", "Destination", "Status"]
+    rows = QUERIES["q_start_status"](spark, SF_DIR)
+    started = ledger.start_status(manifest.expand(_listed_spans(spark, SF_DIR)), od.server_lookup(spark))
+    assert rows.agg(F.sum("n_rows")).first()[0] == started.count()
+    rows, started = (df.filter(F.col(c) < FIRST).collect() for df, c in ((rows, "day"), (started, "UpDateTime")))
+    assert hours_listed(rows, keys) == {(*(s[k] for k in keys), str(s.UpDateTime)) for s in started}

@@ -12,7 +12,9 @@ Documents with equal words are one node. The members of a bucket are compared by
 labelled pairs of neighbouring words that they have in common, which bound an alignment from above. Pairs
 that may reach the threshold are verified: their words are aligned within the band that the threshold
 allows, and the similarity is matched / (all - matched). It is at least that of the aligned five-word
-shingles. Classes are the components of the links.
+shingles. Classes are the components of the links. Of a large bucket, texts that are not connected within its
+blocks are compared with those of other components that share one of their rarest pairs of neighbouring words, as
+similar texts do.
 
 Defined results: texts under five words are one shingle; texts without words are classed with equal
 texts only; null text is empty text; rows are told apart by doc_id and text, so one id may hold different
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sinks.files import stored
 from . import links
-from .tasks import Pieces, map_batches
+from .tasks import Pieces, arrow_schema, map_arrow, map_batches, record_batch
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -42,6 +44,8 @@ SKETCHES = 20
 KEPT = 2
 _COLUMNS = 4096  # of the matrix that counts common shingles
 _BITS = 4096  # words of a text that are aligned at a time
+_LONG = 1000  # words of a text whose shingles are tried before it is aligned
+_SLOTS = 1 << 16  # counters of word pairs
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -180,27 +184,39 @@ def _common(symbols: list[np.ndarray]) -> np.ndarray:
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool:
     """Whether an alignment of two texts reaches the threshold."""
     least = threshold / (1 + threshold) * (len(a) + len(b)) - 1e-9
-    if min(len(a), len(b)) >= WORDS:
-        # Aligned shingles begin with matched words, and the last one has four more.
+    if min(len(a), len(b)) >= _LONG:
+        # Quicker for long texts. Aligned shingles begin with matched words, and the last one has four more.
         chain = chained(labelled_shingles(a)[1], labelled_shingles(b)[1], threshold)
         if chain and chain + WORDS - 1 >= least:
             return True
     return aligned(a, b, threshold) >= least
 
 
-def linked(texts: list[np.ndarray], threshold: float = SIMILARITY) -> list[tuple[int, int]]:
+def linked(
+    texts: list[np.ndarray], threshold: float = SIMILARITY, roots: list | None = None, keys: list | None = None
+) -> list[tuple[int, int]]:
     """Pairs of word sequences that are similar; pairs that others connect are left out.
 
     Of m matched words at least m - 1 - e neighbours match, where e words are without a match: each of these
-    parts one pair at most.
+    parts one pair at most. Matched words are words in common. Texts of the same of the ``roots`` are connected already; where ``keys`` are given,
+    pairs have one in common.
     """
     n, sizes = len(texts), np.array(list(map(len, texts)))
     common = _common([labelled_shingles(w, 2)[1] for w in texts])
     both = sizes[:, None] + sizes[None, :]
     least = np.ceil(threshold / (1 + threshold) * both - 1e-6)
     may = (np.minimum(sizes[:, None], sizes[None, :]) >= least) & (common >= 3 * least - both - 1)
-    left, right = np.nonzero(np.triu(may, 1))
+    if n > 2:
+        may &= _common([labelled_shingles(w, 1)[1] for w in texts]) >= least
     find, join = links.union_find(n)
+    if roots is not None:
+        _, root, first = *np.unique(roots, return_inverse=True), {}
+        may &= root[:, None] != root[None, :]
+        for k, r in enumerate(root.tolist()):
+            join(k, first.setdefault(r, k))
+    if keys is not None:
+        may &= _common([np.unique(k) for k in keys]) > 0
+    left, right = np.nonzero(np.triu(may, 1))
     out = []
     for k in np.argsort(-(common / both)[left, right], kind="stable").tolist():
         a, b = int(left[k]), int(right[k])
@@ -210,6 +226,45 @@ def linked(texts: list[np.ndarray], threshold: float = SIMILARITY) -> list[tuple
     return out
 
 
+def rarest(words: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Labelled pairs of neighbouring words, the rarest first, of which any two similar texts share one.
+
+    ``often`` counts pairs by hash. A text of n words shares at least 0.6 n - 1 pairs with a similar one (see
+    ``linked``; least if that has 0.8 n words), so all but that many and one more are enough, in any one order.
+    """
+    pairs = labelled_shingles(words, 2)[1]
+    order = np.lexsort((pairs, often[(pairs % np.uint64(len(often))).astype(np.int64)]))
+    shared = (3 * SIMILARITY - 1 - (1 - SIMILARITY)) / 2 * len(words) - 1
+    return pairs[order[: max(1, len(pairs) - int(np.ceil(shared - 1e-6)) + 1)]]
+
+
+def _by_rare_pairs(rows: DataFrame) -> DataFrame:
+    """symbol, id and root: ``rarest`` of every payload of ``rows``, in one order for all."""
+
+    def count(batches):
+        total = np.zeros(_SLOTS, np.int64)
+        for batch in batches:
+            for p in batch.column(0).to_pylist():
+                pairs = labelled_shingles(np.frombuffer(p, "<u4"), 2)[1]
+                total += np.bincount((pairs % np.uint64(_SLOTS)).astype(np.int64), minlength=_SLOTS)
+        slots = np.flatnonzero(total)
+        yield record_batch([slots, total[slots]], arrow_schema("slot bigint, many bigint"))
+
+    often = np.zeros(_SLOTS, np.int64)
+    counts = map_arrow(rows.select("payload"), count, "slot bigint, many bigint")
+    for slot, many in counts.groupBy("slot").agg(F.sum("many")).collect():
+        often[slot] = many
+
+    def columns(_, payloads: pa.Array) -> list:
+        return [[rarest(np.frombuffer(p, "<u4"), often).view(np.int64).tolist() for p in payloads.to_pylist()]]
+
+    found = map_batches(rows.select(F.concat("id", "root").alias("own"), "payload"), lambda: None, columns, "symbols array<bigint>")
+    # Digests have 16 bytes.
+    return found.select(
+        F.explode("symbols").alias("symbol"), F.substring("own", 1, 16).alias("id"), F.substring("own", 17, 16).alias("root")
+    )
+
+
 def digests(words: list[np.ndarray], texts: pa.Array) -> list[bytes]:
     """Equal for equal words; texts without words are told apart by what they hold instead."""
     return [
@@ -253,26 +308,46 @@ def _words_of(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFr
     return payloads
 
 
-def _named_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _similar(payloads: list[bytes], roots: list | None = None, keys: list | None = None) -> list[tuple[int, int]]:
+    return linked([np.frombuffer(p, "<u4") for p in payloads], SIMILARITY, roots, keys)
+
+
+def _components(docs: DataFrame, nodes: DataFrame, block: int = links.BLOCK) -> DataFrame:
+    """id and root of the components of all similar nodes that share a bucket."""
+    bands = nodes.select(F.explode("keys").alias("key"), F.col("digest").alias("id"))
+    members, words = stored(links.buckets(bands, block), "buckets"), _words_of(docs, nodes.select("digest", "first"))
+    roots = links.components(links.verified_links(links.blocks(members), words, _similar))
+    if members.filter("blocks > 1").isEmpty():
+        return roots
+    unsettled = stored(links.unsettled(members, roots), "unsettled")
+    if unsettled.isEmpty():
+        return roots
+    held = stored(words(unsettled.select("id")).join(unsettled, "id"), "held")
+    groups = links.across(_by_rare_pairs(held), block)
+    found = stored(links.verified_links(groups, lambda ids: held, _similar), "links")
+    if found.isEmpty():
+        return roots
+    return links.components(found.union(roots.select("id", "root")))
+
+
+def _named_classes(docs: DataFrame, block: int = links.BLOCK) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` by doc_id, text_key and digest, and for each digest the row that its class is named by."""
     made = stored(sketches(docs), "sketches")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     nodes = stored(made.groupBy("digest").agg(F.min(row).alias("first"), F.first("keys").alias("keys")), "nodes")
-    bands = nodes.select(F.explode("keys").alias("key"), F.col("digest").alias("id"))
-    found = links.verified_links(
-        links.groups(bands), _words_of(docs, nodes.select("digest", "first")),
-        lambda payloads: linked([np.frombuffer(p, "<u4") for p in payloads]),
-    )
-    roots = links.components(found).select(F.col("id").alias("digest"), "root")
+    roots = _components(docs, nodes, block).select(F.col("id").alias("digest"), "root")
     nodes = nodes.select("digest", "first").join(roots, "digest", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "digest"))
     classes = nodes.groupBy("root").agg(F.min("first").alias("named"))
     return made.drop("keys"), nodes.join(classes, "root").select("digest", "first", "named")
 
 
-def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id, the smallest doc_id of its class, for every row of ``docs``."""
-    made, named = _named_classes(docs)
+def near_duplicate_classes(docs: DataFrame, block: int = links.BLOCK) -> DataFrame:
+    """doc_id and class_id, the smallest doc_id of its class, for every row of ``docs``.
+
+    Buckets of more than ``block`` different texts are cut.
+    """
+    made, named = _named_classes(docs, block)
     return made.join(named, "digest").select("doc_id", F.col("named.doc_id").alias("class_id"))
 
 

@@ -155,3 +155,49 @@ def test_awkward_documents(docs_of, awkward):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 3, 4, 6, 7, None, 8, 9, 10, 11, 12], key=str)
     assert om.near_duplicate_classes(docs_of([])).collect() == []
+
+
+def test_rarest_pairs_are_shared_by_all_similar_texts():
+    """In any order of the pairs."""
+    pick, met = random.Random(3), 0
+    for seed in range(3000):
+        a = [pick.randrange(30) for _ in range(pick.randrange(1, 40))]
+        b = list(a)
+        for _ in range(pick.randrange(1, 9)):
+            at, kind = pick.randrange(len(b) + 1), pick.randrange(3)
+            b[at : at + (kind < 2)] = [pick.randrange(30)] * (kind > 0)
+        wa, wb = np.array(a, "<u4"), np.array(b, "<u4")
+        if len(b) and a != b and om.similar(wa, wb):
+            often = np.random.default_rng(seed).integers(0, 5, 97)
+            assert set(om.rarest(wa, often).tolist()) & set(om.rarest(wb, often).tolist())
+            met += 1
+    assert met > 500
+
+
+def test_large_buckets_keep_all_links_in_rows_that_grow_with_their_size(spark, docs_of):
+    """A chain of edits, copies of one text, and unlike texts, all with a common passage that makes large buckets."""
+    passage, rows = " ".join(words(500, 60)), []
+    for k in range(40):  # unlike but for the passage
+        rows.append((k, f"{passage} {' '.join(words(600 + k, 60))}"))
+    chain = (passage + " " + " ".join(words(700, 60))).split()
+    for k in range(40):  # only neighbours, two or three steps apart, are similar
+        chain[60:] = [w if (3 * i + k) % 13 > 1 else f"step{k}x{i}" for i, w in enumerate(chain[60:])]
+        rows.append((100 + k, " ".join(chain)))
+    base = f"{passage} {' '.join(words(800, 60))}"
+    rows += [(200 + k, edited(base, k, 1 + k % 5)) for k in range(60)]
+    want = {r.doc_id: r.class_id for r in om.near_duplicate_classes(docs_of(rows), 10**6).collect()}  # all pairs of a bucket
+    assert len({want[100 + k] for k in range(40)}) < 20 and {want[200 + k] for k in range(60)} == {200}
+    for block in (4, 16):
+        got = {r.doc_id: r.class_id for r in om.near_duplicate_classes(docs_of(rows), block).collect()}
+        assert got == want, block
+    bands = [(band, i.to_bytes(16)) for i in range(400) for band in range(3)]
+    members = links.buckets(spark.createDataFrame(bands, "key bigint, id binary"), 8)
+    assert links.blocks(members, 2).selectExpr("sum(size(members))").first()[0] < 3 * 400 * 1.3
+
+
+def test_across_meets_all_pairs_of_different_roots(spark):
+    rows = [(s, bytes([i]), bytes([200 if i < 60 else i // 3])) for s in (1, 2) for i in range(100) if s == 1 or i % 3]
+    groups = links.across(spark.createDataFrame(rows, "symbol bigint, id binary, root binary"), 8)
+    met = {(a, b) for r in groups.collect() for a in r.members for b in r.members if a < b}
+    assert {(a, b) for _, a, ra in rows for _, b, rb in rows if a < b and ra != rb} <= met
+    assert len([1 for a, b in met if b < bytes([60])]) < 60 * 59 // 4

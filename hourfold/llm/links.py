@@ -69,14 +69,21 @@ def blocks(members: DataFrame, shared: int = SHARED) -> DataFrame:
     )
 
 
-def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """id, root and ``keys`` of the members of large buckets that hold several components."""
+def unsettled(members: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
+    """key, id and root of the members of large buckets that hold several components.
+
+    ``few`` marks buckets with no more than a block of members beside one large component: ``across`` compares
+    them in a few rows a member.
+    """
     large = members.filter("blocks > 1").join(roots, "id", "left")
     large = large.select("key", "id", F.coalesce("root", "id").alias("root"))
-    mixed = large.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return large.join(mixed, "key", "left_semi").groupBy("id").agg(
-        F.first("root").alias("root"), F.collect_set("key").alias("keys")
+    heavy = F.col("many") > block
+    mixed = large.groupBy("key", "root").agg(F.count("*").alias("many")).groupBy("key").agg(
+        F.count("*").alias("roots"), F.count_if(heavy).alias("heavy"),
+        F.sum(F.when(heavy, 0).otherwise(F.col("many"))).alias("light"),
     )
+    few = (F.col("heavy") == 1) & (F.col("light") <= block)
+    return large.join(mixed.filter("roots > 1").select("key", few.alias("few")), "key")
 
 
 def across(rows: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -319,11 +319,14 @@ def _components(docs: DataFrame, nodes: DataFrame, block: int = links.BLOCK) ->
     roots = links.components(links.verified_links(links.blocks(members), words, _similar))
     if members.filter("blocks > 1").isEmpty():
         return roots
-    unsettled = stored(links.unsettled(members, roots), "unsettled")
+    unsettled = stored(links.unsettled(members, roots, block), "unsettled")
     if unsettled.isEmpty():
         return roots
-    held = stored(words(unsettled.select("id")).join(unsettled, "id"), "held")
-    groups = links.across(_by_rare_pairs(held), block)
+    texts = unsettled.groupBy("id").agg(F.first("root").alias("root"), F.collect_set("key").alias("keys"))
+    held = stored(words(texts.select("id")).join(texts, "id"), "held")
+    direct = unsettled.filter("few").select(F.col("key").alias("symbol"), "id", "root")
+    others = held.join(unsettled.filter("NOT few").select("id").distinct(), "id", "left_semi")
+    groups = links.across(direct, block).union(links.across(_by_rare_pairs(others), block)).dropDuplicates(["members"])
     found = stored(links.verified_links(groups, lambda ids: held, _similar), "links")
     if found.isEmpty():
         return roots

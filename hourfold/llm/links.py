@@ -8,7 +8,8 @@ are compared once. Nothing is capped: a bucket of n documents takes about (n / b
 Most pairs of a large bucket of copies need no comparison, as other pairs connect them. ``blocks`` compares only
 within the blocks, each of which also holds some members that all blocks of its bucket share; a row per member
 and a few per block. Buckets that are not one component then are ``unsettled``: of their members those that share
-a symbol, by which all similar pairs can be found, meet in ``across``, unless both are of one component.
+a symbol, by which all similar pairs can be found, meet in ``across``, unless both are of one component. Texts
+made from one have most of their symbols in common; ``merged`` lets them meet once and not by each of these.
 """
 
 from __future__ import annotations
@@ -86,12 +87,26 @@ def unsettled(members: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataF
     return large.join(mixed.filter("roots > 1").select("key", few.alias("few")), "key")
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """symbol, id and root, where symbols that nearly the same ids have are one; those of a single root are left out.
+
+    Ids that share a symbol still do. Symbols become one if the least ids of both are the same by two hash
+    functions, which is likelier the more of their ids they have in common.
+    """
+    own = Window.partitionBy("symbol")
+    least = [F.min(F.xxhash64("id", F.lit(salt))).over(own) for salt in (17, 19)]
+    several = F.min("root").over(own) < F.max("root").over(own)
+    rows = rows.select("id", "root", F.xxhash64(*least).alias("symbol"), several.alias("several"))
+    return rows.filter("several").select("symbol", "id", "root").distinct()
+
+
 def across(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """``members`` of groups in which any two ids of different roots meet that share a symbol.
 
-    ``rows`` has symbol, id and root. The ids of a symbol are cut into blocks, a large component into blocks of
-    its own, and each two blocks make a group, unless both are of one component.
+    ``rows`` has symbol, id and root. Symbols are ``merged``. The ids of a symbol are cut into blocks, a large
+    component into blocks of its own, and each two blocks make a group, unless both are of one component.
     """
+    rows = stored(merged(rows), "symbols")
     sizes = rows.groupBy("symbol", "root").agg(F.count("*").alias("of_root"))
     light = F.sum(F.when(F.col("of_root") <= block, F.col("of_root")).otherwise(0)).alias("light")
     many = sizes.groupBy("symbol").agg(light, F.count("*").alias("roots")).filter("roots > 1")

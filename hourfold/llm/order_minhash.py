@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import bisect
 import hashlib
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,7 @@ KEPT = 2
 _COLUMNS = 4096  # of the matrix that counts common shingles
 _BITS = 4096  # words of a text that are aligned at a time
 _LONG = 1000  # words of a text whose shingles are tried before it is aligned
-_SLOTS = 1 << 16  # counters of word pairs
+_SLOTS = 1 << 20  # counters of word pairs
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -239,28 +238,35 @@ def rarest(words: np.ndarray, often: np.ndarray) -> np.ndarray:
 
 
 def _by_rare_pairs(rows: DataFrame) -> DataFrame:
-    """symbol, id and root: ``rarest`` of every payload of ``rows``, in one order for all."""
+    """symbol, id and root: ``rarest`` of every payload of ``rows``, in one order for all, but pairs that no other has."""
+
+    def slots(pairs: np.ndarray) -> np.ndarray:
+        return (pairs % np.uint64(_SLOTS)).astype(np.int64)
 
     def count(batches):
         total = np.zeros(_SLOTS, np.int64)
         for batch in batches:
             for p in batch.column(0).to_pylist():
-                pairs = labelled_shingles(np.frombuffer(p, "<u4"), 2)[1]
-                total += np.bincount((pairs % np.uint64(_SLOTS)).astype(np.int64), minlength=_SLOTS)
-        slots = np.flatnonzero(total)
-        yield record_batch([slots, total[slots]], arrow_schema("slot bigint, many bigint"))
+                np.add.at(total, slots(labelled_shingles(np.frombuffer(p, "<u4"), 2)[1]), 1)
+        used = np.flatnonzero(total)
+        yield record_batch([used, total[used]], arrow_schema("slot bigint, many bigint"))
 
-    often = np.zeros(_SLOTS, np.int64)
     counts = map_arrow(rows.select("payload"), count, "slot bigint, many bigint")
-    for slot, many in counts.groupBy("slot").agg(F.sum("many")).collect():
-        often[slot] = many
+    # As Arrow and small integers: there may be a counter a slot.
+    found = counts.groupBy("slot").agg(F.least(F.sum("many"), F.lit(65535)).alias("many")).filter("many > 1").toArrow()
+    often = np.ones(_SLOTS, np.uint16)
+    often[found["slot"].to_numpy()] = found["many"].to_numpy()
+
+    def shared(payload: bytes) -> list[int]:
+        pairs = rarest(np.frombuffer(payload, "<u4"), often)
+        return pairs[often[slots(pairs)] > 1].view(np.int64).tolist()
 
     def columns(_, payloads: pa.Array) -> list:
-        return [[rarest(np.frombuffer(p, "<u4"), often).view(np.int64).tolist() for p in payloads.to_pylist()]]
+        return [list(map(shared, payloads.to_pylist()))]
 
-    found = map_batches(rows.select(F.concat("id", "root").alias("own"), "payload"), lambda: None, columns, "symbols array<bigint>")
+    made = map_batches(rows.select(F.concat("id", "root").alias("own"), "payload"), lambda: None, columns, "symbols array<bigint>")
     # Digests have 16 bytes.
-    return found.select(
+    return made.select(
         F.explode("symbols").alias("symbol"), F.substring("own", 1, 16).alias("id"), F.substring("own", 17, 16).alias("root")
     )
 
@@ -290,22 +296,18 @@ def sketches(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), word_pieces, columns, ddl)
 
 
-def _words_of(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """The words of nodes, read again from the document that stands for each."""
-
-    def payloads(ids: DataFrame) -> DataFrame:
-        wanted = nodes.join(ids.withColumnRenamed("id", "digest"), "digest")
-        texts = docs.select("doc_id", "text")
-        same = texts["doc_id"].eqNullSafe(wanted["first.doc_id"]) & (text_key(texts["text"]) == wanted["first.text_key"])
-        texts = texts.join(wanted, same).select("digest", "text")
-
-        def columns(words: Pieces, values: pa.Array) -> list:
-            return [[w.tobytes() for w in words.of(values)]]
+def _words_of(docs: DataFrame, nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and payload, the words of the nodes among ``ids``, read again from the document that stands for each."""
+    wanted = nodes.join(ids.withColumnRenamed("id", "digest"), "digest")
+    texts = docs.select("doc_id", "text")
+    same = texts["doc_id"].eqNullSafe(wanted["first.doc_id"]) & (text_key(texts["text"]) == wanted["first.text_key"])
+    texts = texts.join(wanted, same).select("digest", "text")
 
-        found = map_batches(texts, word_pieces, columns, "payload binary")
-        return found.groupBy(F.col("digest").alias("id")).agg(F.first("payload").alias("payload"))
+    def columns(words: Pieces, values: pa.Array) -> list:
+        return [[w.tobytes() for w in words.of(values)]]
 
-    return payloads
+    found = map_batches(texts, word_pieces, columns, "payload binary")
+    return found.groupBy(F.col("digest").alias("id")).agg(F.first("payload").alias("payload"))
 
 
 def _similar(payloads: list[bytes], roots: list | None = None, keys: list | None = None) -> list[tuple[int, int]]:
@@ -315,15 +317,17 @@ def _similar(payloads: list[bytes], roots: list | None = None, keys: list | None
 def _components(docs: DataFrame, nodes: DataFrame, block: int = links.BLOCK) -> DataFrame:
     """id and root of the components of all similar nodes that share a bucket."""
     bands = nodes.select(F.explode("keys").alias("key"), F.col("digest").alias("id"))
-    members, words = stored(links.buckets(bands, block), "buckets"), _words_of(docs, nodes.select("digest", "first"))
-    roots = links.components(links.verified_links(links.blocks(members), words, _similar))
+    members = stored(links.buckets(bands, block), "buckets")
+    # Of both comparisons: the texts are read and exchanged once.
+    words = stored(_words_of(docs, nodes.select("digest", "first"), members.select("id").distinct()), "words")
+    roots = links.components(links.verified_links(links.blocks(members), lambda ids: words, _similar))
     if members.filter("blocks > 1").isEmpty():
         return roots
     unsettled = stored(links.unsettled(members, roots, block), "unsettled")
     if unsettled.isEmpty():
         return roots
     texts = unsettled.groupBy("id").agg(F.first("root").alias("root"), F.collect_set("key").alias("keys"))
-    held = stored(words(texts.select("id")).join(texts, "id"), "held")
+    held = stored(words.join(texts, "id"), "held")
     direct = unsettled.filter("few").select(F.col("key").alias("symbol"), "id", "root")
     others = held.join(unsettled.filter("NOT few").select("id").distinct(), "id", "left_semi")
     groups = links.across(direct, block).union(links.across(_by_rare_pairs(others), block)).dropDuplicates(["members"])

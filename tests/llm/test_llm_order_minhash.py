@@ -201,3 +201,15 @@ def test_across_meets_all_pairs_of_different_roots(spark):
     met = {(a, b) for r in groups.collect() for a in r.members for b in r.members if a < b}
     assert {(a, b) for _, a, ra in rows for _, b, rb in rows if a < b and ra != rb} <= met
     assert len([1 for a, b in met if b < bytes([60])]) < 60 * 59 // 4
+
+
+def test_ids_with_many_symbols_in_common_meet_a_few_times(spark):
+    """As variants of one text, too far apart for a link, have most of their rare word pairs in common."""
+    pick = random.Random(9)
+    has = {s: {i for i in range(300) if pick.random() < 0.98} for s in range(60)} | {60 + i: {i, i + 1} for i in range(299)}
+    rows = [(s, i.to_bytes(2), (500 if i < 100 else i).to_bytes(2)) for s, own in has.items() for i in sorted(own)]
+    groups = links.across(spark.createDataFrame(rows, "symbol bigint, id binary, root binary"), 64).collect()
+    met = {(a, b) for r in groups for a in r.members for b in r.members if a < b}
+    roots = {i: root for _, i, root in rows}
+    assert {(a, b) for a in roots for b in roots if a < b and roots[a] != roots[b]} <= met
+    assert sum(len(r.members) for r in groups) < 300 * 6 * 10  # of six blocks, and 60 symbols

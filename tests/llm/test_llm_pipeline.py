@@ -1,12 +1,15 @@
+import random
+
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from hourfold.llm import bpe, secret_scan
+from hourfold.llm import bpe, links, order_minhash, secret_scan
 from hourfold.llm.queries import VOCABULARY
 from hourfold.sinks.files import stored
 from test_llm_line_dedup import brute as line_brute
 from test_llm_order_minhash import brute_classes
-from document_fixtures import awkward, docs_of, sample  # noqa: F401
+from document_fixtures import awkward, docs_of, sample, words  # noqa: F401
 
 
 def test_each_stage_against_a_plain_version(spark, sample):
@@ -62,3 +65,21 @@ def test_stages_judge_rows_by_their_own_text(spark, docs_of):
         docs = stored(stage(spark, docs, ""), name)
     got = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
     assert got == sorted([(1, one), (1, other), (2, third), (None, "alone with its words here")], key=str)
+
+
+def test_variants_too_far_apart_are_compared_in_few_rows(spark, docs_of, monkeypatch):
+    """Their buckets are large and hold no large component; each text is handed to a comparison a few times."""
+    pick, base = random.Random(4), words(900, 150)
+    rows = [(k, " ".join(w if pick.random() > 0.08 else f"own{k}x{i}" for i, w in enumerate(base))) for k in range(700)]
+    docs = docs_of(rows, clashing=False)
+    want = {r.class_id for r in order_minhash.near_duplicate_classes(docs, 10**6).collect()}  # all pairs of a bucket
+    many, verified = [], links.verified_links
+
+    def counted(found, *rest):
+        many.append(found.agg(F.sum(F.size("members"))).first()[0])
+        return verified(found, *rest)
+
+    monkeypatch.setattr(links, "verified_links", counted)
+    kept = cp.near_duplicates(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == want and 100 < len(want) < 700
+    assert len(many) == 2 and many[1] < 700 * 20

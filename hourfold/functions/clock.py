@@ -66,6 +66,12 @@ def hours_of_day(ts: str) -> Column:
     return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.hour(ts)))
 
 
+def hour_bits(first: Column, last: Column) -> Column:
+    """The hours ``first`` to ``last`` of a day, hour h as bit h."""
+    one = F.lit(1).cast("bigint")
+    return F.call_function("shiftleft", one, last + 1) - F.call_function("shiftleft", one, first)
+
+
 def month_code(ts: Column) -> Column:
     """Month database suffix, yyMM."""
     number = (F.year(ts) % 100) * 100 + F.month(ts)
@@ -85,6 +91,11 @@ def minutes_crossed(earlier: Column, later: Column) -> Column:
     return gap.cast("interval minute").cast("bigint")
 
 
+def seconds_between(earlier: Column, later: Column) -> Column:
+    """Whole seconds between two readings."""
+    return (later - earlier).cast("interval second").cast("bigint")
+
+
 def run_threshold(batch_utc: Column, timezone: Column, slack: int = LAG_SLACK_MINUTES) -> Column:
     """Reading a source must have reached for its hour to count as complete."""
     return F.timestamp_add("MINUTE", timezone * 60 - slack, batch_utc)

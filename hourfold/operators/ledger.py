@@ -6,6 +6,7 @@ Ledger changes are functions from the old ledger to the new one; sinks decide ho
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,24 +14,28 @@ from ..constants import EMPTY, FAIL, LEDGER_KEYS, RUNNING, SUCCESS
 from ..functions import clock, text
 from ..functions.joins import hour_join
 from ..schemas import columns
+from .manifest import LISTED_BY_DAY
 from .routing import expected_destinations
 
 LEDGER = columns("batch_status")
 
 
-def _ledger_rows(df: DataFrame, status: Column | str, seconds: Column | None = None) -> DataFrame:
+def _ledger_rows(
+    df: DataFrame, status: Column | str, seconds: Column | None = None, more: Sequence[str] = ()
+) -> DataFrame:
     status = status if isinstance(status, Column) else F.lit(status)
     seconds = F.lit(None) if seconds is None else seconds
     return df.select(
         "Server", "Type", "Destination", status.alias("Status"),
-        seconds.cast("double").alias("Exe_Time_sec"), "UpDateTime",
+        seconds.cast("double").alias("Exe_Time_sec"), "UpDateTime", *more,
     )
 
 
 def start_status(manifest: DataFrame, server_lookup: DataFrame) -> DataFrame:
-    """A Running row per manifest source and destination."""
+    """A Running row per manifest source and destination; where the manifest lists hours by day, so do the rows."""
     due = expected_destinations(manifest, server_lookup)
-    return _ledger_rows(due.withColumn("UpDateTime", F.col("DatePlayed")), RUNNING)
+    listed = [c for c in LISTED_BY_DAY if c in manifest.columns]
+    return _ledger_rows(due.withColumn("UpDateTime", F.col("DatePlayed")), RUNNING, more=listed)
 
 
 def not_ready(lag_status: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,6 +14,11 @@ MANIFEST_COLUMNS = [
     "batch_utc", *SOURCE_KEYS, "Timezone", "start_t", "end_t", "read_month", "DatePlayed",
     "is_shared_db",
 ]
+LISTED_BY_DAY = ["day", "n_hours", "hours"]
+# Days of sources that a task expands: their groups by day, a few a source day, stay within some tens of megabytes.
+DAYS_PER_TASK = 100_000
+# More tasks would weigh on the driver; beyond, tasks are larger and their groups spill.
+MOST_TASKS = 50_000
 
 
 def list_sources(lookup: DataFrame) -> DataFrame:
@@ -44,7 +50,7 @@ def _with_timezone(sources: DataFrame, type_timezone: DataFrame) -> DataFrame:
     return sources.join(zones, "Type", "left")
 
 
-def _windows(df: DataFrame, settings: Settings) -> DataFrame:
+def _windows(df: DataFrame, settings: Settings, more: Sequence[str] = ()) -> DataFrame:
     return df.select(
         "batch_utc", *SOURCE_KEYS, "Timezone",
         clock.window_start(F.col("batch_utc"), F.col("Timezone")).alias("start_t"),
@@ -52,6 +58,7 @@ def _windows(df: DataFrame, settings: Settings) -> DataFrame:
         "read_month",
         clock.utc_to_output(F.col("batch_utc")).alias("DatePlayed"),
         (F.col("DBName") == settings.shared_db).alias("is_shared_db"),
+        *more,
     )
 
 
@@ -97,24 +104,64 @@ def spans(
     return served.filter(F.col("low") <= F.col("high"))
 
 
-def pieces(source_spans: DataFrame, days: int = 30) -> DataFrame:
-    """Spans cut into pieces of at most ``days`` days, dealt over the tasks before their hours are expanded.
+def pieces(
+    source_spans: DataFrame, days: int = 30, keys: Sequence[str] = (*SOURCE_KEYS, "Timezone", "low"), parts: int | None = None
+) -> DataFrame:
+    """Spans cut into pieces of at most ``days`` days, dealt over the tasks by ``keys`` before their hours are expanded.
 
     Few spans would lie in one task, and a source without month databases may serve years of hours.
     """
-    parts = int(source_spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(source_spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     high = F.col("high")
     each = source_spans.withColumn("low", F.explode(F.sequence("low", "high", F.expr(f"interval {days} days"))))
     each = each.withColumn("high", F.least(high, clock.plus_hours(F.col("low"), 24 * days - 1)))
-    return each.repartition(parts, *SOURCE_KEYS, "Timezone", "low")
+    return each.repartition(parts, *keys)
+
+
+def day_tasks(source_spans: DataFrame, most: int = DAYS_PER_TASK) -> int:
+    """Into how many tasks the days of the spans are dealt, so that a task expands about ``most`` of them.
+
+    Not less than the session's number of tasks.
+    """
+    n_days = source_spans.agg(F.sum(F.datediff("high", "low") + 1)).first()[0] or 0
+    least = int(source_spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MOST_TASKS, n_days // most + 1))
 
 
-def expand(source_spans: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One manifest row per source and batch hour it serves."""
+def expand(source_spans: DataFrame, settings: Settings = Settings(), by_day: bool = False) -> DataFrame:
+    """One manifest row per source and batch hour it serves.
+
+    ``by_day`` lists the same hours in one row per source and output day: the row of the first hour, with the
+    ``day``, the number of its hours, ``n_hours``, and each of them as a bit of ``hours``.
+    """
+    if by_day:
+        return _expand_days(source_spans, settings)
     each_hour = F.explode(F.sequence("low", "high", F.expr("interval 1 hour")))
     return _windows(source_spans.withColumn("batch_utc", each_hour), settings)
 
 
+def _expand_days(source_spans: DataFrame, settings: Settings) -> DataFrame:
+    """A span's hours are without gaps: its first and its last day are cut, the days between are whole."""
+    low, high = F.col("low"), F.col("high")
+    more = F.floor(clock.seconds_between(low, high) / 3600).cast("int")
+    first, last = clock.utc_to_output(low), clock.utc_to_output(clock.plus_hours(low, more))
+    bounded = source_spans.withColumns({
+        "first_day": F.unix_date(F.to_date(first)), "first_hour": F.hour(first),
+        "last_day": F.unix_date(F.to_date(last)), "last_hour": F.hour(last),
+    })
+    day = F.col("day")
+    each_day = bounded.withColumn("day", F.explode(F.sequence("first_day", "last_day"))).withColumns({
+        "opens": F.when(day == F.col("first_day"), F.col("first_hour")).otherwise(0),
+        "closes": F.when(day == F.col("last_day"), F.col("last_hour")).otherwise(23),
+    })
+    since_low = (day - F.col("first_day")) * 24 + F.col("opens") - F.col("first_hour")
+    listed = each_day.withColumns({
+        "batch_utc": clock.plus_hours(low, since_low), "day": F.date_from_unix_date("day"),
+        "n_hours": F.col("closes") - F.col("opens") + 1, "hours": clock.hour_bits(F.col("opens"), F.col("closes")),
+    })
+    return _windows(listed, settings, LISTED_BY_DAY)
+
+
 def intervals(source_spans: DataFrame) -> DataFrame:
     """The manifest without its hours: of every span its first and last batch, window and output hour.
 

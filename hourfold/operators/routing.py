@@ -24,8 +24,9 @@ def _servers(server_lookup: DataFrame) -> DataFrame:
 
 def expected_destinations(manifest: DataFrame, server_lookup: DataFrame) -> DataFrame:
     """Manifest rows times the one or three destinations of their server."""
-    grouped = F.coalesce(F.col("GroupRouted"), F.lit(False))
-    all_of = _array_of(F.lit(MAIN_DESTINATION), {g: grouped for g in GROUP_DESTINATIONS})
+    main, groups = F.lit(MAIN_DESTINATION), [F.lit(name) for name in GROUP_DESTINATIONS.values()]
+    # Two constant arrays, as their rows are many.
+    all_of = F.when(F.col("GroupRouted"), F.array(main, *groups)).otherwise(F.array(main))
     return with_server(manifest, server_lookup).withColumn("Destination", F.explode(all_of))
 
 
